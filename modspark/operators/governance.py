@@ -42,9 +42,12 @@ def _inside(
         return
     # the places are fixed by the schema; the test itself runs on each element
     places = [p for p, _ in _leak_tests(dtype, F.lit(None).cast(dtype), path, keys)]
+
+    def leaks(i: int) -> Column:
+        return F.exists(items, lambda x: list(_leak_tests(dtype, x, path, keys))[i][1])
+
     for i, place in enumerate(places):
-        test = F.exists(items, lambda x, i=i: list(_leak_tests(dtype, x, path, keys))[i][1])
-        yield place, F.coalesce(test, F.lit(False))
+        yield place, F.coalesce(leaks(i), F.lit(False))
 
 
 def leak_scan(df: DataFrame, keys: Sequence[str] = K.RAW_TEXT_KEYS) -> DataFrame:

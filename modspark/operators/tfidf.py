@@ -130,7 +130,7 @@ def fit_classifiers(
         learner = LogisticRegression(
             featuresCol=_FEATURES,
             labelCol="_y",
-            weightCol="_w" if settings.use_pos_weight else None,
+            weightCol="_w",
             predictionCol=f"_pred_{name}",
             probabilityCol=f"_prob_{name}",
             rawPredictionCol=f"_raw_{name}",

@@ -168,8 +168,8 @@ WITH neg AS (
 SELECT doc_id, toxic::DOUBLE AS toxic FROM labels WHERE toxic > 0
 UNION ALL SELECT doc_id, 0::DOUBLE FROM neg WHERE rn <= floor(n * 0.37::DOUBLE)"""
 SQL["hash_split"] = f"""
-SELECT doc_id, CASE WHEN at < 0.9::DOUBLE THEN 'train' WHEN at < 0.9::DOUBLE + 0.05::DOUBLE THEN 'validation'
-  ELSE 'test' END AS split FROM (SELECT doc_id, {fraction('doc_id')} AS at FROM documents)"""
+SELECT doc_id, CASE WHEN spot < 0.9::DOUBLE THEN 'train' WHEN spot < 0.9::DOUBLE + 0.05::DOUBLE THEN 'validation'
+  ELSE 'test' END AS split FROM (SELECT doc_id, {fraction('doc_id')} AS spot FROM documents)"""
 SQL["hash_split_no_test"] = f"""
 SELECT doc_id, CASE WHEN {fraction('doc_id')} < 0.9::DOUBLE THEN 'train' ELSE 'validation' END AS split
 FROM documents"""
@@ -180,9 +180,9 @@ SQL["eval_split_fallback"] = f"""
 SELECT doc_id, 'validation' AS split FROM labels WHERE {fraction('doc_id')} >= 0.9::DOUBLE"""
 SQL["class_split_fallback"] = f"""
 WITH {CLASSES}
-SELECT id, CASE WHEN at < 0.8::DOUBLE THEN 'train' WHEN at < 0.8::DOUBLE + 0.1::DOUBLE THEN 'validation'
+SELECT id, CASE WHEN spot < 0.8::DOUBLE THEN 'train' WHEN spot < 0.8::DOUBLE + 0.1::DOUBLE THEN 'validation'
   ELSE 'test' END AS split, count(*) AS n
-FROM (SELECT id, {fraction('id')} AS at FROM classes) GROUP BY ALL"""
+FROM (SELECT id, {fraction('id')} AS spot FROM classes) GROUP BY ALL"""
 SQL["seeded_shuffle"] = f"""
 SELECT doc_id, {order_key('doc_id')} AS order_key FROM documents ORDER BY order_key, doc_id"""
 SQL["load_prepared"] = f"""
@@ -194,9 +194,9 @@ sampled AS (
   SELECT doc_id, text, y_toxic, y_margin FROM prepared WHERE y_toxic > 0 OR y_margin > 0
   UNION ALL SELECT doc_id, text, y_toxic, y_margin FROM neg WHERE rn <= floor(n * 0.5::DOUBLE))
 SELECT doc_id, sha256(text) AS text_sha256, y_toxic, y_margin,
-  CASE WHEN at < 0.9::DOUBLE THEN 'train' WHEN at < 0.9::DOUBLE + 0.05::DOUBLE THEN 'validation'
+  CASE WHEN spot < 0.9::DOUBLE THEN 'train' WHEN spot < 0.9::DOUBLE + 0.05::DOUBLE THEN 'validation'
   ELSE 'test' END AS split
-FROM (SELECT *, {fraction('doc_id')} AS at FROM sampled)"""
+FROM (SELECT *, {fraction('doc_id')} AS spot FROM sampled)"""
 
 # --- text features ----------------------------------------------------------
 
@@ -223,7 +223,7 @@ def features(text: str) -> dict[str, str]:
 def repeat(text: str) -> str:
     """RE2 has no back-reference: look for three equal neighbours in the list of characters."""
     chars = f"string_split({text}, '')"
-    triple = f"list_zip({chars}, list_slice({chars}, 2, NULL), list_slice({chars}, 3, NULL))"
+    triple = f"list_zip({chars}, {chars}[2:], {chars}[3:])"
     return (
         f"CAST(len(list_filter({triple}, "
         f"lambda t: t[1] = t[2] AND t[2] = t[3] AND t[1] <> chr(10))) > 0 AS INT)"
