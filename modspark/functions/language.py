@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from modspark.functions.text import strip
+from modspark import constants as K
 
 UNKNOWN = "unknown"
 
 
 def guarded(text: Column, detected: Column) -> Column:
     """Detector output, or "unknown" for texts under three characters or failed detection."""
-    size = F.length(strip(F.coalesce(text, F.lit(""))))
+    # two visible characters with something between them: three or more after trimming
+    visible = rf"(?s)[^{K.SPACE_CHARS}].+[^{K.SPACE_CHARS}]"
     return (
-        F.when(size < 3, F.lit(UNKNOWN))
+        F.when(~F.coalesce(text, F.lit("")).rlike(visible), F.lit(UNKNOWN))
         .when(detected.isNull() | (detected == ""), F.lit(UNKNOWN))
         .otherwise(detected)
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from modspark import constants as K
+from modspark.functions.numbers import bind
 
 Groups = Mapping[str, Sequence[str]]
 
@@ -28,10 +29,21 @@ def _literal(term: str) -> str:
     return re.sub(r"([\\^$.|?*+()\[\]{}\-&~#\s])", r"\\\1", term)
 
 
+def _edges(term: str) -> str:
+    """The term between word edges.
+
+    Next to a word character an edge is the absence of another one; next to any other
+    character it is the presence of one.
+    """
+    word = re.compile(r"\w")
+    before = "(?<!" if word.match(term[0]) else "(?<="
+    after = "(?!" if word.match(term[-1]) else "(?="
+    return f"{before}[{K.WORD_CHARS}]){_literal(term)}{after}[{K.WORD_CHARS}])"
+
+
 def mentions(text: Column, terms: Sequence[str]) -> Column:
     """Some term occurs as a whole word, in any case."""
-    alternatives = "|".join(_literal(t) for t in terms)
-    return text.rlike(f"(?iu){K.WORD_EDGE}(?:{alternatives}){K.WORD_EDGE}")
+    return text.rlike("(?iu)(?:" + "|".join(_edges(t) for t in terms) + ")")
 
 
 def slices_of(text: Column, groups: Groups) -> Column:
@@ -39,7 +51,9 @@ def slices_of(text: Column, groups: Groups) -> Column:
     hits = F.array(
         *[F.when(mentions(text, terms), F.lit(g)) for g, terms in usable(groups).items()]
     )
-    found = F.filter(hits.cast("array<string>"), lambda g: g.isNotNull())
-    return F.when(
-        F.size(found) > 0, F.concat(found, F.array(F.lit(K.ANY_SLICE)))
-    ).otherwise(F.array(F.lit(K.REFERENCE_SLICE)))
+    return bind(F.array_compact(hits.cast("array<string>")), _with_any_or_none)
+
+
+def _with_any_or_none(found: Column) -> Column:
+    rest = F.when(F.size(found) > 0, F.lit(K.ANY_SLICE)).otherwise(F.lit(K.REFERENCE_SLICE))
+    return F.concat(found, F.array(rest))

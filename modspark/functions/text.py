@@ -23,9 +23,16 @@ FEATURES = (
 )
 
 
+_PUNCTUATION_RUN = "[" + "".join("\\" + c for c in K.PUNCTUATION) + "]+"
+
+
 def normalize(text: Column) -> Column:
-    """Collapse every run of whitespace to one space and trim; null becomes ''."""
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), f"[{K.SPACE_CHARS}]+", " "))
+    """Collapse every run of whitespace to one space and trim; null becomes ''.
+
+    A lone plain space is its own replacement, so the pattern passes it over.
+    """
+    runs = rf"[{K.SPACE_CHARS}&&[^ ]][{K.SPACE_CHARS}]*| [{K.SPACE_CHARS}]+"
+    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), runs, " "))
 
 
 def strip(text: Column) -> Column:
@@ -75,8 +82,7 @@ def _flag(condition: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    clean = normalize(text)
-    return F.when(clean == "", 0).otherwise(_occurrences(clean, " ") + 1)
+    return F.size(F.array_remove(F.split(text, f"[{K.SPACE_CHARS}]+"), ""))
 
 
 def feature(name: str, text: Column) -> Column:
@@ -89,13 +95,15 @@ def feature(name: str, text: Column) -> Column:
     if name == "uppercase_ratio":
         return _ratio(_kept(text, r"\P{Lu}+"), _kept(text, r"\P{L}+"))
     if name == "punct_ratio":
-        return _ratio(size - F.length(F.translate(text, K.PUNCTUATION, "")), size)
+        return _ratio(size - _kept(text, _PUNCTUATION_RUN), size)
     if name == "exclam":
         return _occurrences(text, "!")
     if name == "question":
         return _occurrences(text, "?")
     if name == "has_url":
-        return _flag(text.rlike("(?iu)" + K.URL_PATTERN))
+        low = F.lower(text)
+        may_link = F.contains(low, F.lit("http")) | F.contains(low, F.lit("www."))
+        return _flag(may_link & text.rlike("(?iu)" + K.URL_PATTERN))
     if name == "has_email":
         return _flag(F.contains(text, F.lit("@")) & text.rlike("(?iu)" + K.EMAIL_PATTERN))
     if name == "has_repeat":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from modspark import constants as K
@@ -14,8 +14,12 @@ from modspark.operators.metrics import evaluate_labels, rates, summarize, to_lon
 
 
 def slice_rows(df: DataFrame, groups: Groups, text: str = "text") -> DataFrame:
-    """One row per row and slice it belongs to."""
-    return df.withColumn("slice", F.explode(slices_of(F.col(text), groups)))
+    """One row per row and slice it belongs to.
+
+    No row is without a slice. The outer form of explode keeps Spark from adding a filter
+    on the array, which would run every pattern a second time.
+    """
+    return df.withColumn("slice", F.explode_outer(slices_of(F.col(text), groups)))
 
 
 def slice_long(
@@ -24,7 +28,7 @@ def slice_long(
     """``slice, label, y, p``; the text is dropped before rows multiply."""
     slices = slices_of(F.coalesce(F.col(text), F.lit("")), groups).alias("slices")
     narrow = df.select(slices, "labels", "probs")
-    return to_long(narrow.select(F.explode("slices").alias("slice"), "labels", "probs"), label_fields, ["slice"])
+    return to_long(narrow.select(F.explode_outer("slices").alias("slice"), "labels", "probs"), label_fields, ["slice"])
 
 
 def slice_labels(
@@ -57,25 +61,29 @@ def slice_metrics(per_label: DataFrame) -> DataFrame:
     return out.select("slice", "n", *kept)
 
 
-def _against_reference(df: DataFrame, on: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Difference of each measure from the reference slice, for non-empty slices."""
-    ref = df.filter((F.col("slice") == K.REFERENCE_SLICE) & (F.col("n") > 0)).select(
-        *on, *[F.col(m).alias(f"ref_{m}") for m in measures]
-    )
-    rows = df.filter((F.col("slice") != K.REFERENCE_SLICE) & (F.col("n") > 0))
-    # one row per label at most
-    joined = rows.join(F.broadcast(ref), list(on))
-    return joined.select(
-        "slice", *on, *[(F.col(m) - F.col(f"ref_{m}")).alias(f"{m}_gap") for m in measures]
-    )
+def _gaps(df: DataFrame, on: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Difference of each measure from the reference slice, for non-empty slices.
+
+    The table has a row per slice and label at most, so a window beside it costs nothing,
+    and the metrics are computed once for both sides.
+    """
+    is_ref = F.col("slice") == K.REFERENCE_SLICE
+    w = Window.partitionBy(*on)
+    ref_size = F.max(F.when(is_ref, F.col("n"))).over(w)
+    gaps = {
+        f"{m}_gap": F.col(m) - F.max(F.when(is_ref, F.col(m))).over(w) for m in measures
+    }
+    out = df.withColumns({**gaps, "_ref_size": ref_size})
+    kept = out.filter(~is_ref & (F.col("n") > 0) & (F.col("_ref_size") > 0))
+    return kept.select("slice", *on, *gaps)
 
 
 def label_gaps(per_label: DataFrame) -> DataFrame:
     """``slice, label, tpr_gap, fpr_gap``."""
-    return _against_reference(per_label, ["label"], ["tpr", "fpr"])
+    return _gaps(per_label, ["label"], ["tpr", "fpr"])
 
 
 def metric_gaps(per_slice: DataFrame) -> DataFrame:
     """``slice, f1_micro_gap, auc_macro_gap``; a missing AUC gives a null gap."""
     keyed = per_slice.withColumn("one", F.lit(1))
-    return _against_reference(keyed, ["one"], ["f1_micro", "auc_macro"]).drop("one")
+    return _gaps(keyed, ["one"], ["f1_micro", "auc_macro"]).drop("one")

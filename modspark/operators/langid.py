@@ -41,7 +41,8 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", max_grams: int
     languages = [x for x in languages if x is not None]
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    counted = df.select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
+    counted = df.select(F.col(lang).alias("lang"), F.explode_outer(trigrams(F.col(text))).alias("gram"))
+    counted = counted.filter(F.col("gram").isNotNull())
     per = [F.count_if(F.col("lang") == x).alias(f"c{i}") for i, x in enumerate(languages)]
     wide = counted.groupBy("gram").agg(*per, F.count("lang").alias("total"))
     top = wide.orderBy(F.desc("total"), "gram").limit(max_grams).drop("total")

@@ -35,7 +35,7 @@ def mean_overall_score(log: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def mean_label_scores(log: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mean per label over the rows that have a readable score for it."""
-    rows = log.select(*keys, F.explode("label_scores").alias("label", "value"))
+    rows = log.select(*keys, F.explode_outer("label_scores").alias("label", "value"))
     value = F.col("value").try_cast("double")
     return rows.filter(value.isNotNull()).groupBy(*keys, "label").agg(F.avg(value).alias("mean_score"))
 
@@ -59,7 +59,7 @@ def report(log: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     all_facts = F.concat(F.array(*facts), per_label)
     measured = F.col("section").isin("overall_score", "label_score")
     out = (
-        log.select(*keys, F.inline(all_facts))
+        log.select(*keys, F.inline_outer(all_facts))
         .groupBy(*keys, "section", "name")
         .agg(
             F.when(F.first(measured), F.count("value")).otherwise(F.count("*")).alias("n"),
@@ -128,27 +128,25 @@ def drift(counts: DataFrame, day: str, in_reference: Column, floor: float = 1e-6
     never paired up in full.
     """
     low = F.lit(floor)
-    per_day = counts.groupBy("signal", day).agg(F.sum("n").alias("total"))
-    share = counts.join(per_day, ["signal", day]).withColumn("a", F.col("n") / F.col("total"))
-    ref_total = Window.partitionBy("signal")
-    reference = (
-        counts.filter(in_reference)
-        .groupBy("signal", "bin")
-        .agg(F.sum("n").alias("rn"))
-        .withColumn("b", F.col("rn") / F.sum("rn").over(ref_total))
-    )
 
     def term(a: Column, b: Column) -> Column:
         a, b = F.greatest(a, low), F.greatest(b, low)
         return (a - b) * F.ln(a / b)
 
-    base = reference.groupBy("signal").agg(F.sum(term(low, F.col("b"))).alias("base"))
-    found = share.join(reference.select("signal", "bin", "b"), ["signal", "bin"], "left")
-    b = F.coalesce("b", low)
-    shift = term(F.col("a"), b) - term(low, b)
-    out = found.groupBy(day, "signal").agg(F.sum("n").alias("n"), F.sum(shift).alias("shift"))
-    return out.join(base, "signal").select(
-        day, "signal", "n", (F.col("base") + F.col("shift")).alias("psi")
+    # bins are few, so windows over the counts stand in for joins with their totals
+    of_signal = Window.partitionBy("signal")
+    reference = (
+        counts.groupBy("signal", "bin")
+        .agg(F.sum(F.when(in_reference, F.col("n"))).alias("rn"))
+        .withColumn("b", F.col("rn") / F.sum("rn").over(of_signal))
+        .withColumn("base", F.sum(F.when(F.col("rn") > 0, term(low, F.col("b")))).over(of_signal))
+        .select("signal", "bin", F.coalesce("b", low).alias("b"), "base")
+    )
+    of_day = Window.partitionBy(day, "signal")
+    found = counts.withColumn("a", F.col("n") / F.sum("n").over(of_day)).join(reference, ["signal", "bin"])
+    shift = term(F.col("a"), F.col("b")) - term(low, F.col("b"))
+    return found.groupBy(day, "signal").agg(
+        F.sum("n").alias("n"), (F.max("base") + F.sum(shift)).alias("psi")
     )
 
 
@@ -206,15 +204,21 @@ def retraining_set(
 ) -> DataFrame:
     """Reviewed queue items that are new, plus the previous training set, one row per text.
 
-    ``reviewed`` and ``train`` carry ``key, text, labels``. Each side is reduced to one row
-    per hash before it is joined, so copies neither multiply nor pile up in one task.
+    ``reviewed`` and ``train`` carry ``key, text, labels``. One aggregate by hash brings the
+    three inputs together: copies shrink before the shuffle and each text moves once.
     """
-    asked = queue.select(key).distinct()
-    answers = reviewed.dropDuplicates([key])
-    known = train.dropDuplicates([key])
-    new = answers.join(asked, key, "left_semi").join(known.select(key), key, "left_anti")
-    columns = [key, "text", "labels"]
-    return (
-        new.select(*columns, F.lit("review").alias("origin"))
-        .unionByName(known.select(*columns, F.lit("train").alias("origin")))
+    source = "_source"
+
+    def tagged(df: DataFrame, rank: int) -> DataFrame:
+        content = F.struct("text", "labels") if rank else F.lit(None).cast(kind)
+        return df.select(key, content.alias("content"), F.lit(rank).alias(source))
+
+    kind = train.select(F.struct("text", "labels").alias("c")).schema["c"].dataType
+    rows = tagged(queue, 0).unionByName(tagged(reviewed, 1)).unionByName(tagged(train, 2))
+    per_text = rows.groupBy(key).agg(
+        *[F.max(F.col(source) == i).alias(f"in{i}") for i in range(3)],
+        F.max_by("content", F.col(source)).alias("content"),
     )
+    kept = per_text.filter("in2 OR (in0 AND in1)")
+    origin = F.when(F.col("in2"), F.lit("train")).otherwise(F.lit("review"))
+    return kept.select(key, "content.text", "content.labels", origin.alias("origin"))

@@ -15,6 +15,14 @@ from modspark.functions.labels import rekey
 Predict = Callable[[list[str]], np.ndarray]
 
 
+def computed_once(scores: Column) -> Column:
+    """Keep Spark from copying a costly expression into filters and later projections.
+
+    The condition always holds; being non-deterministic, it pins the column to its place.
+    """
+    return F.when(F.spark_partition_id() >= 0, scores)
+
+
 class Scorer:
     """Adds ``array<float>`` scores, one per label, to a frame of texts.
 
@@ -38,7 +46,7 @@ class ExpressionScorer(Scorer):
 
     def score(self, df, text, out, where=None):
         scores = self.expression(F.coalesce(F.col(text), F.lit(""))).cast("array<float>")
-        return df.withColumn(out, scores if where is None else F.when(where, scores))
+        return df.withColumn(out, computed_once(scores if where is None else F.when(where, scores)))
 
 
 @dataclass(frozen=True)
@@ -53,7 +61,7 @@ class MapScorer(Scorer):
     def score(self, df, text, out, where=None):
         found = self.expression(F.coalesce(F.col(text), F.lit("")))
         scores = rekey(found, self.labels, self.renames)
-        return df.withColumn(out, scores if where is None else F.when(where, scores))
+        return df.withColumn(out, computed_once(scores if where is None else F.when(where, scores)))
 
 
 @dataclass(frozen=True)

@@ -58,7 +58,7 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.table(spark, sf_dir, "documents")
+    return S.texts(spark, sf_dir)
 
 
 # --- sources, cleaning, labels ---------------------------------------------
@@ -168,7 +168,7 @@ def short_id(spark, sf_dir):
 @register
 def cap_rows(spark, sf_dir):
     """The first 100 rows in hash order."""
-    rows = docs(spark, sf_dir).select("doc_id", "lang")
+    rows = S.table(spark, sf_dir, "documents").select("doc_id", "lang")
     return sampling.cap_rows(rows, 100, ["doc_id"], method="sha256")
 
 
@@ -191,7 +191,7 @@ def label_rekey(spark, sf_dir):
 @register
 def sigmoid_scores(spark, sf_dir):
     logit = (F.col("n_chars") - 2000) / 1000.0
-    return docs(spark, sf_dir).select("doc_id", r6(sigmoid(logit)).alias("p"))
+    return S.table(spark, sf_dir, "documents").select("doc_id", r6(sigmoid(logit)).alias("p"))
 
 
 # --- sampling and splitting -------------------------------------------------
@@ -210,13 +210,13 @@ def downsample_negatives(spark, sf_dir):
 
 @register
 def hash_split(spark, sf_dir):
-    rows = docs(spark, sf_dir).select("doc_id")
+    rows = S.table(spark, sf_dir, "documents").select("doc_id")
     return sampling.random_split(rows, ["doc_id"], method="sha256")
 
 
 @register
 def hash_split_no_test(spark, sf_dir):
-    rows = docs(spark, sf_dir).select("doc_id")
+    rows = S.table(spark, sf_dir, "documents").select("doc_id")
     return sampling.random_split(rows, ["doc_id"], SplitSettings(0.9, 0.1, 0.0), method="sha256")
 
 
@@ -231,7 +231,7 @@ def supplied_splits(spark, sf_dir):
 
 @register
 def eval_split_fallback(spark, sf_dir):
-    """Supplied test rows lack positives after filtering, so train is split anew."""
+    """The supplied test split is empty, so train is split anew, without test rows."""
     rows = _labelled(spark, sf_dir)
     nothing = rows.filter(F.size("labels") > 1)
     out = sampling.supplied_or_resplit(
@@ -251,7 +251,7 @@ def class_split_fallback(spark, sf_dir):
 
 @register
 def seeded_shuffle(spark, sf_dir):
-    rows = docs(spark, sf_dir).select("doc_id")
+    rows = S.table(spark, sf_dir, "documents").select("doc_id")
     key = sampling.hash_key(["doc_id"], 42, "sha256")
     return sampling.shuffled(rows, ["doc_id"], method="sha256").select("doc_id", key.alias("order_key"))
 
@@ -296,7 +296,7 @@ def redact_pii(spark, sf_dir):
 def redact_pages(spark, sf_dir):
     """Web pages hold the links that the documents lack."""
     text = F.concat("url", F.lit(" "), "html")
-    rows = S.table(spark, sf_dir, "pages").select("page_id", X.redact_pii(text).alias("t"))
+    rows = S.texts(spark, sf_dir, "pages", "page_id").select("page_id", X.redact_pii(text).alias("t"))
     return rows.select("page_id", F.sha2("t", 256).alias("sha256"), F.length("t").alias("length"))
 
 

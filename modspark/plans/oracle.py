@@ -280,9 +280,9 @@ SELECT doc_id, lang, starts_with(lower(lang), 'en') AS is_english,
   starts_with(lower(lang), 'vi') AS is_vietnamese FROM messages"""
 
 LANGUAGES = f"""
-clean AS (SELECT doc_id, lang, lower({norm('text')}) AS t FROM documents),
+clean AS (SELECT doc_id, lang, string_split(lower({norm('text')}), '') AS c FROM documents),
 grams AS (
-  SELECT doc_id, lang, unnest(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) AS gram
+  SELECT doc_id, lang, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram
   FROM clean),
 top AS (SELECT gram FROM grams GROUP BY gram ORDER BY count(*) DESC, gram LIMIT 50000),
 by_lang AS (SELECT lang, gram, count(*) AS c FROM grams WHERE gram IN (SELECT gram FROM top) GROUP BY lang, gram),

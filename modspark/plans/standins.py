@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from modspark import constants as K
 from modspark.config import AgentSettings
 from modspark.functions.language import guarded
+from modspark.functions.numbers import bind
 from modspark.functions.text import content_hash
 from modspark.operators.moderation import ScorerSet, moderate
 from modspark.operators.scoring import ExpressionScorer
@@ -34,6 +35,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
+    """A table of texts, spread over the cores if the scan has fewer tasks than cores.
+
+    The given files are a single row group each. A table of many files is left as it is.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def uniform(text_hash: Column, label: str, salt: str) -> Column:
     """A number in [0, 1) from a text hash, a label and a salt."""
     digest = F.sha2(F.concat(text_hash, F.lit(f"|{salt}|{label}")), 256)
@@ -47,8 +58,8 @@ def agent_scores(text: Column, labels: Sequence[str], salt: str) -> Column:
         us = F.array(*[uniform(h, x, salt) for x in labels])
         return F.transform(us, lambda u: (u * u * u * u).cast("float"))
 
-    # bind the text hash once: hashing the text is the costly part
-    return F.get(F.transform(F.array(content_hash(text)), scores), F.lit(0))
+    # hashing the text is the costly part
+    return bind(content_hash(text), scores)
 
 
 def stand_in_scorer(salt: str, labels: Sequence[str] = K.ENGLISH_LABELS) -> ExpressionScorer:
@@ -75,7 +86,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("lang") == "en", F.lit("en-US"))
         .otherwise(F.col("lang"))
     )
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     return docs.select("doc_id", "text", "n_chars", guarded(F.col("text"), detected).alias("lang"))
 
 
@@ -119,7 +130,7 @@ def scored(
 
     Without text only ids and scores travel through the join.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     truth = table(spark, sf_dir, "labels").select("doc_id", *LABELS)
     kept = ["doc_id", "text"] if with_text else ["doc_id"]
     if with_text:
@@ -138,7 +149,7 @@ def scored(
 
 def class_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-class rows ``free_text, label_id, type`` in the mixed spellings such data has."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = texts(spark, sf_dir).select("doc_id", "text", "lang")
     truth = table(spark, sf_dir, "labels")
     bad, good = F.col("toxic") == 1, F.col("quality") == 1
     label = (

@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", name: str = "modspark", partitions: in
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # call-site capture makes every column expression slow to build
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
