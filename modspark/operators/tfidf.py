@@ -26,6 +26,7 @@ from modspark import constants as K
 from modspark.operators.metrics import evaluate_labels, positive_weights, summarize, to_long
 from modspark.operators.scoring import Scorer
 
+ROWS_PER_TASK = 2_000
 _TEXT, _FEATURES = "_tfidf_text", "_tfidf"
 
 
@@ -119,6 +120,8 @@ def fit_classifiers(
 ) -> list[LogisticRegressionModel]:
     """One classifier per label on a frame with a feature vector and a label array."""
     n = max(features.count(), 1)
+    # every iteration adds up a gradient per partition; few rows need few partitions
+    features = features.coalesce(max(1, min(features.rdd.getNumPartitions(), n // ROWS_PER_TASK)))
     weights = {}
     if settings.use_pos_weight:
         found = positive_weights(features, label_fields, labels).collect()
