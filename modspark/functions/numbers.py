@@ -23,6 +23,14 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def computed_once(value: Column) -> Column:
+    """Keep Spark from copying a costly expression into filters and later projections.
+
+    The condition always holds; being non-deterministic, it pins the column to its place.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """Division that yields 0 when the denominator is 0."""
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))

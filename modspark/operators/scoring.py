@@ -11,18 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modspark.functions.labels import rekey
+from modspark.functions.numbers import computed_once
 
 Predict = Callable[[list[str]], np.ndarray]
 
 
-def computed_once(scores: Column) -> Column:
-    """Keep Spark from copying a costly expression into filters and later projections.
-
-    The condition always holds; being non-deterministic, it pins the column to its place.
-    """
-    return F.when(F.spark_partition_id() >= 0, scores)
-
-
 class Scorer:
     """Adds ``array<float>`` scores, one per label, to a frame of texts.
 

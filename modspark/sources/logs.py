@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from modspark import schemas
 from modspark.config import LogSettings
+from modspark.functions.numbers import computed_once
 from modspark.functions.text import content_hash
 from modspark.sources.datasets import read_or_none
 
@@ -61,25 +62,24 @@ def read_prediction_log(spark: SparkSession, path: str) -> tuple[DataFrame, Data
     """``(log, bad)``: readable records, and the lines that are no JSON record.
 
     Blank lines are skipped; a missing path is an empty log. Scores stay text here and are
-    parsed by the reports, label by label.
+    parsed by the reports, label by label. Lines are read as text and parsed whole, since
+    a JSON scan of a few columns would let a broken line pass.
     """
-    df = read_or_none(
-        spark,
-        path,
-        "json",
-        schemas.PREDICTION_LOG_READ,
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord="_bad",
+    lines = read_or_none(spark, path, "text")
+    if lines is None:
+        lines = spark.createDataFrame([], "value string, dt date")
+    lines = lines.filter(F.trim(F.translate("value", "\t\r", "  ")) != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    parsed = lines.withColumn(
+        "_r", computed_once(F.from_json("value", schemas.PREDICTION_LOG_READ, options))
     )
-    if df is None:
-        df = spark.createDataFrame([], schemas.PREDICTION_LOG_READ)
-    log = df.filter(F.col("_bad").isNull()).drop("_bad")
-    return as_scored(log), df.filter(F.col("_bad").isNotNull()).select(F.col("_bad").alias("line"))
-
-
-def as_scored(log: DataFrame) -> DataFrame:
-    """Label scores as ``map<string,string>``."""
-    return log.withColumn("label_scores", F.from_json("label_scores", "map<string,string>"))
+    kept = [c for c in lines.columns if c != "value"]
+    fields = [c for c in schemas.PREDICTION_LOG_READ.names if c != "_bad"]
+    log = parsed.filter(F.col("_r").isNotNull() & F.col("_r._bad").isNull())
+    bad = parsed.filter(F.col("_r").isNull() | F.col("_r._bad").isNotNull())
+    scores = F.from_json("label_scores", "map<string,string>")
+    log = log.select(*[F.col(f"_r.{c}") for c in fields], *kept).withColumn("label_scores", scores)
+    return log, bad.select(F.col("value").alias("line"))
 
 
 def read_review_queue(spark: SparkSession, path: str) -> DataFrame:
