@@ -92,7 +92,8 @@ def latency_summary(df: DataFrame, millis: str, keys: Sequence[str] = ()) -> Dat
     points = [0.5, 0.95, 0.99]
     grouping = list(keys) or ["_all"]
     rows = df if keys else df.withColumn("_all", F.lit(1))
-    stats = exact_percentiles(count_values(rows, grouping, millis), grouping, millis, "w", points)
+    counts = count_values(rows, grouping, millis)
+    stats = exact_percentiles(counts, grouping, millis, "w", points)
     named = [F.get("p", F.lit(i)).alias(f"p{round(q * 100)}_ms") for i, q in enumerate(points)]
     out = stats.select(*grouping, "n", *named, F.col("mean").alias("mean_ms"))
     if keys:

@@ -47,82 +47,74 @@ def exact_percentiles(
     Three steps narrow each wanted rank down: logarithmic cells, then equal-width cells
     inside the cell that holds the rank, then the values of one such cell.
     """
-    keys = list(keys)
+    # Keys packed in a struct and a cell that is never null leave Spark no null filters to
+    # add on one side of a join, so both uses of the counts share one exchange.
     base = counts.select(
-        *keys,
+        F.struct(*keys).alias("_k"),
         F.col(value).cast("double").alias("_v"),
         F.col(weight).cast("long").alias("_w"),
-        value_cell(F.col(value)).alias("_cell"),
+        F.coalesce(value_cell(F.col(value)), F.lit(0)).alias("_cell"),
     )
-    cells = base.groupBy(*keys, "_cell").agg(
+    cells = base.groupBy("_k", "_cell").agg(
         F.sum("_w").alias("_w"),
         F.sum(F.col("_v") * F.col("_w")).alias("_total"),
         F.min("_v").alias("_lo"),
         F.max("_v").alias("_hi"),
     )
-    cells = _before(cells, keys, "_cell", "_w", "_below")
-    whole = Window.partitionBy(*keys)
-    cells = cells.withColumn("_n", F.sum("_w").over(whole)).withColumn(
-        "_mean", F.sum("_total").over(whole) / F.col("_n")
+    whole = Window.partitionBy("_k")
+    cells = _before(cells, ["_k"], "_cell", "_w", "_below").withColumns(
+        {"_n": F.sum("_w").over(whole), "_sum": F.sum("_total").over(whole)}
     )
     # a percentile lies between the values at two neighbouring ranks
     wanted = F.array(
         *[
-            F.struct(F.lit(i).alias("i"), side.alias("side"), rank.alias("rank"))
+            F.struct(F.lit(i).alias("_i"), F.lit(side).alias("_side"), rank.alias("_rank"))
             for i, q in enumerate(fractions)
-            for side, rank in _ranks(q, F.col("_n"))
+            for side, rank in enumerate(_neighbours(q, F.col("_n")))
         ]
     )
     cut = (
-        cells.withColumn("_want", F.explode(wanted))
-        .filter(
-            (F.col("_want.rank") >= F.col("_below"))
-            & (F.col("_want.rank") < F.col("_below") + F.col("_w"))
-        )
+        cells.select("*", F.inline(wanted))
+        .filter(_holds("_rank", "_below", "_w"))
         .select(
-            *keys,
+            "_k",
             "_cell",
+            "_i",
+            "_side",
             "_n",
-            "_mean",
             "_lo",
             "_hi",
-            F.col("_want.i").alias("_i"),
-            F.col("_want.side").alias("_side"),
-            (F.col("_want.rank") - F.col("_below")).alias("_rank"),
+            (F.col("_sum") / F.col("_n")).alias("_mean"),
+            (F.col("_rank") - F.col("_below")).alias("_rank"),
         )
     )
-    held = base.join(cut, [*keys, "_cell"]).withColumn(
-        "_sub",
-        F.coalesce(
-            F.try_divide((F.col("_v") - F.col("_lo")) * SUBCELLS, F.col("_hi") - F.col("_lo")),
-            F.lit(0.0),
-        ).cast("int"),
-    )
-    target = [*keys, "_i", "_side"]
-    kept = target + ["_n", "_mean", "_rank"]
-    subs = held.groupBy(*kept, "_sub").agg(F.sum("_w").alias("_w"))
-    subs = _before(subs, target, "_sub", "_w", "_below").filter(
-        (F.col("_rank") >= F.col("_below")) & (F.col("_rank") < F.col("_below") + F.col("_w"))
+    # inside the cell: equal-width cells between its least and greatest value
+    target = ["_k", "_i", "_side"]
+    part = F.try_divide((F.col("_v") - F.col("_lo")) * SUBCELLS, F.col("_hi") - F.col("_lo"))
+    held = base.join(cut, ["_k", "_cell"]).select(
+        *target, "_n", "_mean", "_rank", "_v", "_w", F.coalesce(part, F.lit(0.0)).cast("int").alias("_sub")
     )
-    inner = held.select(*target, "_sub", "_v", "_w").join(
-        subs.select(*kept, "_sub", "_below"), [*target, "_sub"]
+    subs = held.groupBy(*target, "_sub").agg(F.sum("_w").alias("_w"), F.first("_rank").alias("_rank"))
+    subs = _before(subs, target, "_sub", "_w", "_below").filter(_holds("_rank", "_below", "_w"))
+    inner = held.drop("_rank").join(
+        subs.select(*target, "_sub", (F.col("_rank") - F.col("_below")).alias("_rank")), [*target, "_sub"]
     )
-    inner = _before(inner, [*target, "_sub"], "_v", "_w", "_inside").filter(
-        (F.col("_rank") - F.col("_below") >= F.col("_inside"))
-        & (F.col("_rank") - F.col("_below") < F.col("_inside") + F.col("_w"))
-    )
-    at = {
-        (i, side): F.max(F.when((F.col("_i") == i) & (F.col("_side") == side), F.col("_v")))
-        for i in range(len(fractions))
-        for side in (0, 1)
-    }
+    inner = _before(inner, target, "_v", "_w", "_below").filter(_holds("_rank", "_below", "_w"))
+
+    def at(i: int, side: int) -> Column:
+        return F.max(F.when((F.col("_i") == i) & (F.col("_side") == side), F.col("_v")))
+
     points = [
-        at[i, 0] + (at[i, 1] - at[i, 0]) * _excess(q, F.first("_n"))
-        for i, q in enumerate(fractions)
+        at(i, 0) + (at(i, 1) - at(i, 0)) * _excess(q, F.first("_n")) for i, q in enumerate(fractions)
     ]
-    return inner.groupBy(*keys).agg(
+    out = inner.groupBy("_k").agg(
         F.first("_n").alias("n"), F.first("_mean").alias("mean"), F.array(*points).alias("p")
     )
+    return out.select(*[F.col(f"_k.{k}").alias(k) for k in keys], "n", "mean", "p")
+
+
+def _holds(rank: str, below: str, weight: str) -> Column:
+    return (F.col(rank) >= F.col(below)) & (F.col(rank) < F.col(below) + F.col(weight))
 
 
 def _position(q: float, n: Column) -> Column:
@@ -133,11 +125,8 @@ def _excess(q: float, n: Column) -> Column:
     return _position(q, n) - F.floor(_position(q, n))
 
 
-def _ranks(q: float, n: Column) -> list[tuple[Column, Column]]:
-    return [
-        (F.lit(0), F.floor(_position(q, n)).cast("long")),
-        (F.lit(1), F.ceil(_position(q, n)).cast("long")),
-    ]
+def _neighbours(q: float, n: Column) -> list[Column]:
+    return [f(_position(q, n)).cast("long") for f in (F.floor, F.ceil)]
 
 
 def count_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -449,17 +449,17 @@ def prediction_log_redacted(spark, sf_dir):
 
 @register
 def request_texts(spark, sf_dir):
-    """Conversations as requests: system turns as single texts, the others as a batch."""
+    """Conversation turns as requests: a single text, a batch that wins over it, or neither."""
     turns = S.table(spark, sf_dir, "conversations")
-    batch = turns.filter(F.col("role") != "system").groupBy("conv_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("texts")
+    batch = F.array("text", F.concat("role", F.lit(": "), "text"))
+    asked = turns.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("role") != "system", F.col("text")).alias("text"),
+        F.when(F.col("role") == "assistant", batch).alias("texts"),
     )
-    single = turns.filter(F.col("role") == "system").groupBy("conv_id").agg(
-        F.min_by("text", "turn").alias("text")
-    )
-    both = single.join(batch, "conv_id", "full")
-    rows = requests.request_texts(both)
-    return rows.select("conv_id", "pos", X.content_hash(F.col("text")).alias("sha256"))
+    rows = requests.request_texts(asked)
+    return rows.select("conv_id", "turn", "pos", X.content_hash(F.col("text")).alias("sha256"))
 
 
 # --- metrics ----------------------------------------------------------------

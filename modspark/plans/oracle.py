@@ -372,12 +372,9 @@ FROM decided"""
 SQL["prediction_log_redacted"] = f"""
 SELECT sha256(text) AS text_sha256, sha256({redact('text')}) AS redacted_sha256 FROM documents"""
 SQL["request_texts"] = """
-WITH batched AS (SELECT DISTINCT conv_id FROM conversations WHERE role <> 'system')
-SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, sha256(text) AS sha256
-FROM conversations WHERE role <> 'system'
+SELECT conv_id, turn, 0 AS pos, sha256(text) AS sha256 FROM conversations WHERE role <> 'system'
 UNION ALL
-SELECT conv_id, 0, sha256(arg_min(text, turn)) FROM conversations
-WHERE role = 'system' AND conv_id NOT IN (SELECT conv_id FROM batched) GROUP BY conv_id"""
+SELECT conv_id, turn, 1, sha256('assistant: ' || text) FROM conversations WHERE role = 'assistant'"""
 
 # --- metrics ----------------------------------------------------------------
 
