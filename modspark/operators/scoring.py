@@ -88,16 +88,17 @@ class BatchScorer(Scorer):
 
 def _score_batch(predict: Predict, batch: pd.Series, width: int, size: int) -> pd.Series:
     """Scores of the non-null texts of a batch, null elsewhere."""
-    rows = pd.Series([None] * len(batch), index=batch.index, dtype=object)
+    scores: list[np.ndarray | None] = [None] * len(batch)
     places = np.flatnonzero(batch.notna().to_numpy())
-    for start in range(0, len(places), size):
-        chunk = places[start : start + size]
-        matrix = np.asarray(predict(batch.iloc[chunk].tolist()), dtype=np.float32)
-        if matrix.ndim != 2 or matrix.shape != (len(chunk), width):
+    texts = batch.iloc[places].tolist()
+    for start in range(0, len(texts), size):
+        chunk = texts[start : start + size]
+        matrix = np.asarray(predict(chunk), dtype=np.float32)
+        if matrix.shape != (len(chunk), width):
             raise ValueError(f"scorer returned shape {matrix.shape}, expected {(len(chunk), width)}")
-        for place, row in zip(chunk, matrix):
-            rows.iloc[place] = row
-    return rows
+        for place, row in zip(places[start : start + size], matrix):
+            scores[place] = row
+    return pd.Series(scores, index=batch.index, dtype=object)
 
 
 def constant_scorer(name: str, labels: Sequence[str], values: Sequence[float]) -> ExpressionScorer:
