@@ -186,7 +186,7 @@ def tune(
     names = list(grid)
     combos = [dict(zip(names, values)) for values in islice(product(*grid.values()), max_trials)]
     finished = {r["params"]: r for r in done.collect()} if done is not None else {}
-    spark, results, shared = train.sparkSession, [], {}
+    spark, results, shared, scored = train.sparkSession, [], {}, []
     for number, params in enumerate(combos, 1):
         key = trial_key(params)
         if key in finished:
@@ -197,24 +197,30 @@ def tune(
         kind = (settings.max_features, settings.ngram_range)
         if kind not in shared:
             stages = fit_features(train, text, settings)
-            frames = [
+            shared[kind] = [
                 _through(stages, d.select(_empty_text(text).alias(_TEXT), labels)).select(_FEATURES, labels).persist()
                 for d in (train, validation)
             ]
-            shared[kind] = frames
         fit_on, check_on = shared[kind]
-        scored = _through(fit_classifiers(fit_on, label_fields, labels, settings), check_on)
+        found = _through(fit_classifiers(fit_on, label_fields, labels, settings), check_on)
         probs = F.array(
             *[F.get(vector_to_array(F.col(f"_prob_{x}")), F.lit(1)).cast("float") for x in label_fields]
         )
-        long = to_long(scored.select(labels, probs.alias("probs")), label_fields, labels=labels)
-        row = summarize(evaluate_labels(long, threshold=threshold)).first()
-        results.append((number, key, row["f1_micro"], row["f1_macro"], row["auc_macro"]))
+        rows = found.select(F.lit(number).alias("trial"), labels, probs.alias("probs"))
+        scored.append(to_long(rows, label_fields, ["trial"], labels))
+    if scored:
+        # all trials are measured in one job
+        long = scored[0]
+        for part in scored[1:]:
+            long = long.unionByName(part)
+        for r in summarize(evaluate_labels(long, ["trial"], threshold), ["trial"]).collect():
+            params = trial_key(combos[r["trial"] - 1])
+            results.append((r["trial"], params, r["f1_micro"], r["f1_macro"], r["auc_macro"]))
     for frames in shared.values():
         for frame in frames:
             frame.unpersist()
     best = max(results, key=lambda r: (r[2], -r[0]))[0] if results else None
     return spark.createDataFrame(
-        [(*r, r[0] == best) for r in results],
+        [(*r, r[0] == best) for r in sorted(results)],
         "trial int, params string, f1_micro double, f1_macro double, auc_macro double, best boolean",
     )
