@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modspark.llm import mixing
+from modspark.llm import decontamination, mixing
 from modspark.llm.jaccard_join import similar_documents
 from modspark.llm.lm_scoring import scored
 
@@ -33,12 +33,18 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_lm_scoring": op2_lm_scoring,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
 }
 
 SQL: dict[str, str] = {
     "op1_mixing": mixing.SQL,
+    "op6_benchmark_decontamination": decontamination.SQL,
 }
