@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modspark.llm import decontamination, mixing
+from modspark.llm import decontamination, line_rules, mixing
 from modspark.llm.jaccard_join import similar_documents
 from modspark.llm.lm_scoring import scored
 
@@ -29,6 +29,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(table(spark, sf_dir, "documents"), fold(10) == 0)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.measured(table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
 
@@ -40,11 +44,13 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_lm_scoring": op2_lm_scoring,
+    "op4_quality_rules": op4_quality_rules,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
 }
 
 SQL: dict[str, str] = {
     "op1_mixing": mixing.SQL,
+    "op4_quality_rules": line_rules.SQL,
     "op6_benchmark_decontamination": decontamination.SQL,
 }
