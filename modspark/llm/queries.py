@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modspark.llm import decontamination, line_rules, mixing
+from modspark.llm import decontamination, line_rules, mixing, toxicity
 from modspark.llm.jaccard_join import similar_documents
 from modspark.llm.lm_scoring import scored
 
@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def decided(scores: DataFrame, held_out: Column) -> DataFrame:
+    """doc_id, held_out, score and the decision at 0.3."""
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -41,12 +47,20 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fitted(docs, labels, fold(4) == 2)
+    found = toxicity.scored(docs.select("doc_id", "text"), model)
+    return decided(found, fold(4) == 2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_lm_scoring": op2_lm_scoring,
     "op4_quality_rules": op4_quality_rules,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op9_toxicity": op9_toxicity,
 }
 
 SQL: dict[str, str] = {
