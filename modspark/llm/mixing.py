@@ -58,7 +58,8 @@ def targets(sources: DataFrame, mix: Mix) -> DataFrame:
     budget = F.sum("source_size").over(everything)
     candidate = (budget - F.coalesce(before, F.lit(0))) / left
     levels = ranked.select("*", candidate.alias("candidate"), (F.col("full") / F.col("weight")).alias("ratio"))
-    level = F.min(F.when(F.col("candidate") <= F.col("ratio"), F.col("candidate"))).over(everything)
+    # the first source that is not exhausted at its candidate gives the level; later ones are lower
+    level = F.max(F.when(F.col("candidate") <= F.col("ratio"), F.col("candidate"))).over(everything)
     levels = levels.select("*", level.alias("level"))
     target = F.least(F.col("weight") * F.col("level"), F.col("full").cast("double"))
     return levels.select("source", "source_size", "rank", "weight", "level", target.alias("target"))
@@ -210,7 +211,7 @@ WITH sized AS (
     / (sum(weight) OVER (ORDER BY most / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS candidate
   FROM ranked
 ), aims AS (
-  SELECT *, min(CASE WHEN candidate <= ratio THEN candidate END) OVER () AS level FROM levels
+  SELECT *, max(CASE WHEN candidate <= ratio THEN candidate END) OVER () AS level FROM levels
 ), queue AS (
   SELECT d.doc_id, d.source, d.size, d.shuffle, a.rank, a.weight, a.source_size,
     least(a.weight * a.level, a.most::DOUBLE) AS target,

@@ -67,11 +67,11 @@ class ToxicityFit:
     """
 
     documents: int = 3000
-    sentences: int = 30_000
+    sentences: int = 80_000
     landmarks: int = 768
     decay: float = 0.7
-    penalty: float = 1e-5
-    turns: int = 5
+    penalty: float = 1e-4
+    turns: int = 6
     seed: int = 7
 
 
@@ -269,13 +269,16 @@ def trained(sample: list[tuple[int, str, int]], share: float, fit: ToxicityFit)
     for doc, sentence, y in sample:
         texts.setdefault(doc, []).extend(word_list(sentence))
         label[doc] = y
+    # a third of the documents is kept back for the curve
+    kept_back = {d for i, d in enumerate(sorted(texts, key=lambda d: (label[d], d))) if i % 3 == 2}
+    every_text, texts = texts, {d: ws for d, ws in texts.items() if d not in kept_back}
     number = {w: i for i, w in enumerate(sorted({w for ws in texts.values() for w in ws}))}
     names = list(number)
     seen = np.zeros((2, len(names)))
     bags = {d: np.unique([number[w] for w in ws]) for d, ws in texts.items()}
     for d, bag in bags.items():
         seen[label[d], bag] += 1
-    n = [max(1, sum(y == c for y in label.values())) for c in (0, 1)]
+    n = [max(1, sum(label[d] == c for d in texts)) for c in (0, 1)]
     lift = seen[1] / n[1] - seen[0] / n[0]
     spread = np.sqrt(seen.sum(0) + 1) / min(n)
     rng = np.random.default_rng(fit.seed)
@@ -294,7 +297,7 @@ def trained(sample: list[tuple[int, str, int]], share: float, fit: ToxicityFit)
         return ToxicityModel(table.astype(np.float32), b, fit.decay, np.zeros(5))
 
     every = pa.array([" ".join(names)])
-    toxic_docs = [d for d, y in label.items() if y == 1]
+    toxic_docs = [d for d in texts if label[d] == 1]
     clean_pool = np.concatenate(
         (clean[np.argsort(-seen[0][clean], kind="stable")[:4000]], rng.choice(clean, min(4000, len(clean)), replace=False))
     )
@@ -322,12 +325,12 @@ def trained(sample: list[tuple[int, str, int]], share: float, fit: ToxicityFit)
         score = model.word_scores(next(word_slices(every, most=1 << 40)))
         # clean words that look most toxic join the next turn
         look_alike = clean[np.argsort(-score[clean], kind="stable")]
-        pool = np.union1d(pool, look_alike[:2000])
+        pool = np.union1d(pool, look_alike[:3000])
         if turn == 0:
             marks = np.union1d(marks, look_alike[:third])
             landmarks, root = landmark_map([names[i] for i in marks], fit.decay)
-    docs = sorted(texts)
-    inputs = np.vstack([model.text_inputs(c) for c in word_slices(pa.array([" ".join(texts[d]) for d in docs]))])
+    docs = sorted(kept_back)
+    inputs = np.vstack([model.text_inputs(c) for c in word_slices(pa.array([" ".join(every_text[d]) for d in docs]))])
     truth = np.array([label[d] for d in docs], float)
     model.curve = logistic(inputs, truth, share)
     return model
