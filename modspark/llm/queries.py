@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modspark.llm import decontamination, line_rules, mixing, toxicity
+from modspark.llm import decontamination, line_rules, mixing, quality, toxicity
 from modspark.llm.jaccard_join import similar_documents
 from modspark.llm.lm_scoring import scored
 
@@ -47,6 +47,11 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return decided(quality.document_quality(docs, labels, fold(5) == 0), fold(5) == 0)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fitted(docs, labels, fold(4) == 2)
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_toxicity": op9_toxicity,
 }
 
