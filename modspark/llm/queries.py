@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modspark.llm import decontamination, line_rules, mixing, quality, toxicity
+from modspark.llm import decontamination, line_rules, mixing, quality, toxicity, warc_zip
+from modspark.llm.html_text import extracted
 from modspark.llm.jaccard_join import similar_documents
 from modspark.llm.lm_scoring import scored
 
@@ -52,6 +53,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided(quality.document_quality(docs, labels, fold(5) == 0), fold(5) == 0)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fitted(docs, labels, fold(4) == 2)
@@ -59,6 +64,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided(found, fold(4) == 2)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_lm_scoring": op2_lm_scoring,
@@ -66,11 +75,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_warc": op8_warc,
     "op9_toxicity": op9_toxicity,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 SQL: dict[str, str] = {
     "op1_mixing": mixing.SQL,
     "op4_quality_rules": line_rules.SQL,
     "op6_benchmark_decontamination": decontamination.SQL,
+    "op8_warc": warc_zip.SQL,
 }
