@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modspark.llm import decontamination, line_rules, mixing, quality, toxicity, warc_zip
+from modspark.llm import decontamination, licenses, line_rules, mixing, quality, toxicity, warc_zip
 from modspark.llm.html_text import extracted
 from modspark.llm.jaccard_join import similar_documents
 from modspark.llm.lm_scoring import scored
@@ -36,6 +36,10 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(table(spark, sf_dir, "documents"), fold(10) == 0)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(licenses.document_paths(table(spark, sf_dir, "documents")), ["doc_id"])
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.measured(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_license_scan": op3_license_scan,
     "op4_quality_rules": op4_quality_rules,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op1_mixing": mixing.SQL,
+    "op3_license_scan": licenses.SQL,
     "op4_quality_rules": line_rules.SQL,
     "op6_benchmark_decontamination": decontamination.SQL,
     "op8_warc": warc_zip.SQL,
