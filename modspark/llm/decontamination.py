@@ -123,8 +123,8 @@ def contamination(docs: DataFrame, items: DataFrame, settings: Decontamination =
 
 def decontaminated(docs: DataFrame, items: DataFrame, settings: Decontamination = Decontamination()) -> DataFrame:
     """The rows of docs in which no window occurs, with all their columns."""
-    found = hits(docs, items, settings).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"))
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_k"))
+    found = hits(docs, items, settings).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__k"))
+    same = F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__k"))
     return docs.join(found, same, "left_anti")
 
 

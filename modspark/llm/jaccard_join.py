@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from modspark.llm.components import components
@@ -198,7 +198,7 @@ def prefix_keys(
 
 
 def indexed(docs: DataFrame, settings: JaccardJoin) -> DataFrame:
-    """doc_id, n, sig, keys, places, text: every document with its set's size, signature and keys.
+    """doc_id, text_key, n, sig, keys, places, text: every document with its set's size, signature and keys.
 
     Texts stay only where a set has keys, that is, may be similar to another one.
     """
@@ -227,18 +227,19 @@ def indexed(docs: DataFrame, settings: JaccardJoin) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(row, len(n)),
+                        batch.column(2).slice(row, len(n)),
                         pa.array(n, pa.int64()),
                         pa.array(signs, pa.binary()),
                         pa.array(keys, pa.list_(pa.int64())),
                         pa.array(places, pa.list_(pa.int32())),
                         pa.array(kept, pa.string()),
                     ],
-                    names=["doc_id", "n", "sig", "keys", "places", "text"],
+                    names=["doc_id", "text_key", "n", "sig", "keys", "places", "text"],
                 )
 
     return saved(
-        docs.select("doc_id", "text").mapInArrow(
-            index, "doc_id long, n long, sig binary, keys array<long>, places array<int>, text string"
+        docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
+            index, "doc_id long, text_key long, n long, sig binary, keys array<long>, places array<int>, text string"
         )
     )
 
@@ -331,7 +332,7 @@ def _pairs(frame: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame, settings: JaccardJoin = JaccardJoin()) -> DataFrame:
-    """doc_id, n_shingles, component_id, set_id, n_links for every row of docs(doc_id, text).
+    """doc_id, n_shingles, component_id, set_id, n_links, text_key for every row of docs(doc_id, text).
 
     Words are runs of bytes other than ASCII white space, A-Z lower-cased. A null or blank
     text has no shingles and links with nothing; fewer words than a shingle make one
@@ -353,12 +354,32 @@ def similar_documents(docs: DataFrame, settings: JaccardJoin = JaccardJoin()) ->
     named = classes.join(whole, "label").join(degree, "sig", "left").select(
         "sig", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
-    rows = table.select("doc_id", "n", F.when(F.col("n") > 0, F.col("sig")).alias("sig"))
+    rows = table.select("doc_id", "text_key", "n", F.when(F.col("n") > 0, F.col("sig")).alias("sig"))
     empty = rows.filter("sig is null").select(
         "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"),
-        F.lit(None).cast("string").alias("set_id"), F.lit(0).cast("long").alias("n_links"),
+        F.lit(None).cast("string").alias("set_id"), F.lit(0).cast("long").alias("n_links"), "text_key",
     )
     full = rows.filter("sig is not null").join(named, "sig").select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.hex("sig").alias("set_id"), "n_links"
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.hex("sig").alias("set_id"), "n_links", "text_key"
     )
     return full.unionByName(empty)
+
+
+def one_of_each(docs: DataFrame, settings: JaccardJoin = JaccardJoin()) -> DataFrame:
+    """The rows of docs with one document of every component, the one with the smallest doc_id.
+
+    Documents without words belong to no component and all stay. Of rows that agree in
+    doc_id and text one stays.
+    """
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    found = similar_documents(docs.filter(has_words), settings)
+    # sets of a component by their first document; a null component has null ids only
+    first = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("set_id"))).agg(
+        F.min_by(F.struct("doc_id", "text_key"), F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "text_key")).alias("r")
+    )
+    chosen = first.select(F.col("r.doc_id").alias("__id"), F.col("r.text_key").alias("__key"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
+    rows = docs.filter(has_words).join(chosen, same, "left_semi")
+    repeat = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id"))
+    rows = rows.withColumn("__repeat", repeat).filter("__repeat = 1").drop("__repeat")
+    return rows.unionByName(docs.filter(~has_words))

@@ -173,14 +173,14 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     own = ("size", "source_size", "target", "copy")
     kept = [c for c in docs.columns if c not in own]
     plan = served(docs, mix).filter("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"),
         "source_size", "target", "copies",
     )
     rows = docs.select(*kept, n_words(F.col("text")).alias("size"))
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("size") == F.col("_size"))
+        F.col("doc_id").eqNullSafe(F.col("__id"))
+        & F.col("source").eqNullSafe(F.col("__source"))
+        & (F.col("size") == F.col("__size"))
     )
     copy = F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")
     return rows.join(plan, same).select(*kept, "size", "source_size", "target", copy)

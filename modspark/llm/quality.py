@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modspark.llm.store import saved
+from modspark.llm.scores import with_score
 from modspark.llm.words import Words, run_hashes, word_slices
 
 KINDS = (
@@ -233,37 +233,25 @@ def described(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(describe, "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
-def fitted(described_docs: DataFrame, labels: DataFrame, held_out: Column, fit: AdditiveFit = AdditiveFit()) -> AdditiveModel:
+def fitted(docs: DataFrame, labels: DataFrame, held_out: Column, fit: AdditiveFit = AdditiveFit()) -> AdditiveModel:
     """The model from at most ``fit.rows`` labelled documents that are not held out.
 
-    Labels without a value are passed over; of several labels of a document the highest counts.
+    Labels without a value are passed over; of several labels of a document the highest
+    counts. The sample of labels is bounded by a parameter, so it may be broadcast.
     """
     truth = labels.filter(~held_out).filter("quality is not null and doc_id is not null")
     truth = truth.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     sample = truth.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.rows)
-    rows = described_docs.join(sample, "doc_id").select("doc_id", *FEATURES, "quality")
-    rows = rows.orderBy(F.xxhash64("doc_id"), *FEATURES).limit(fit.rows).toPandas()
+    rows = described(docs.join(F.broadcast(sample.select("doc_id")), "doc_id"))
+    rows = rows.join(F.broadcast(sample), "doc_id").orderBy(F.xxhash64("doc_id"), *FEATURES).limit(fit.rows).toPandas()
     return trained(rows[list(FEATURES)].to_numpy(float), rows["quality"].to_numpy(float), fit)
 
 
-def scored(described_docs: DataFrame, model: AdditiveModel) -> DataFrame:
-    """doc_id and score (0 to 1, higher is better) of described documents."""
-    shared = described_docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]], axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(x))], names=["doc_id", "score"])
-
-    return described_docs.select("doc_id", *FEATURES).mapInArrow(score, "doc_id long, score double")
-
-
-def document_quality(docs: DataFrame, labels: DataFrame, held_out: Column, fit: AdditiveFit = AdditiveFit()) -> DataFrame:
-    """doc_id and score for every row of docs(doc_id, text), learned from labels(doc_id, quality).
+def scored(docs: DataFrame, model: AdditiveModel) -> DataFrame:
+    """docs with ``score`` from 0 to 1, higher for better, for every row.
 
     A null or blank text has statistics of zero and gets a score like any other. Rows repeat
-    as they come, equal texts score equally. Without labels of both classes all scores are
-    the share of the class there is. Other columns are ignored; no rows give no rows.
+    as they come, equal texts score equally, whole texts count. A column named score is
+    replaced, all others stay; no rows give no rows.
     """
-    table = saved(described(docs))
-    return scored(table, fitted(table, labels, held_out, fit))
+    return with_score(docs, model, lambda known, words: known.score(features(words)), lower=False)

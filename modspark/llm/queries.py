@@ -45,7 +45,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_documents(table(spark, sf_dir, "documents"))
+    return similar_documents(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,8 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return decided(quality.document_quality(docs, labels, fold(5) == 0), fold(5) == 0)
+    model = quality.fitted(docs, labels, fold(5) == 0)
+    return decided(quality.scored(docs.select("doc_id", "text"), model), fold(5) == 0)
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,6 @@ scored by look-ups. A logistic curve on a text's highest word scores gives its s
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -20,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
+from modspark.llm.scores import with_score
 from modspark.llm.words import BLANK, LOWER, Words, word_slices
 
 TABLE_BITS = 21
@@ -39,8 +38,11 @@ TAIL = max(span[-1] for span in SPANS)
 SENTENCE = r"[.!?\n]+\s*"
 
 
+MARK = 28
+
+
 def symbol_table() -> np.ndarray:
-    """Bytes as small numbers: 0 is a word's end, letters and digits are their own, other bytes share."""
+    """Bytes as small numbers: 0 is a word's end, letters and digits are their own, ASCII marks are one."""
     table = np.zeros(256, np.uint32)
     for byte in range(256):
         low = int(LOWER[byte])
@@ -49,7 +51,7 @@ def symbol_table() -> np.ndarray:
         elif 48 <= low <= 57:
             table[byte] = 27
         elif low < 128:
-            table[byte] = 28
+            table[byte] = MARK
         else:
             table[byte] = 29 + low % 35
     return table
@@ -68,10 +70,10 @@ class ToxicityFit:
 
     documents: int = 3000
     sentences: int = 80_000
-    landmarks: int = 768
+    landmarks: int = 384
     decay: float = 0.7
     penalty: float = 1e-4
-    turns: int = 6
+    turns: int = 5
     seed: int = 7
 
 
@@ -114,16 +116,23 @@ class ToxicityModel:
 
 
 def letters(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, start, length): all words with an end mark before and after, one after another."""
-    length = words.end - words.start + 2
+    """(symbols, start, length): the words' letters with an end mark before and after, one after another.
+
+    ASCII marks inside or around a word are passed over.
+    """
+    inside = SYMBOL[words.data[words.is_word]]
+    counts = inside != MARK
+    begins = np.zeros(len(words.start), np.int64)
+    np.cumsum((words.end - words.start)[:-1], out=begins[1:])
+    length = np.add.reduceat(counts.astype(np.int64), begins) + 2
     start = np.zeros(len(length), np.int64)
     np.cumsum(length[:-1], out=start[1:])
     symbols = np.zeros(int(length.sum()) + TAIL, np.uint32)
-    inside = np.ones(len(symbols), bool)
-    inside[start] = False
-    inside[start + length - 1] = False
-    inside[-TAIL:] = False
-    symbols[inside] = SYMBOL[words.data[words.is_word]]
+    letter = np.ones(len(symbols), bool)
+    letter[start] = False
+    letter[start + length - 1] = False
+    letter[-TAIL:] = False
+    symbols[letter] = inside[counts]
     return symbols, start, length
 
 
@@ -209,16 +218,17 @@ def landmark_map(landmarks: list[str], decay: float) -> tuple[list[str], np.ndar
 
 def linear_machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
     """Squared hinge and a quadratic penalty, by Newton steps on the active rows."""
-    z = np.hstack((x, np.ones((len(x), 1), x.dtype))).astype(np.float64)
+    z = np.hstack((x, np.ones((len(x), 1), x.dtype)))
+    weight, y = weight.astype(z.dtype), y.astype(z.dtype)
     w = np.zeros(z.shape[1])
     ridge = penalty * np.eye(len(w))
     ridge[-1, -1] = 1e-9
     total = weight.sum()
-    for _ in range(20):
-        active = y * (z @ w) < 1
+    for _ in range(8):
+        active = y * (z @ w.astype(z.dtype)) < 1
         a, wa = z[active], weight[active] / total
-        new = np.linalg.solve(a.T @ (a * wa[:, None]) + ridge, a.T @ (wa * y[active]))
-        if np.abs(new - w).max() < 1e-7:
+        new = np.linalg.solve((a.T @ (a * wa[:, None])).astype(float) + ridge, (a.T @ (wa * y[active])).astype(float))
+        if np.abs(new - w).max() < 1e-4:
             break
         w = new
     return w[:-1], float(w[-1])
@@ -364,16 +374,4 @@ def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     Rows repeat as they come, equal texts score equally, whole texts count whatever their
     length. A column named score is replaced; all others stay.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.drop("score")
-    at = kept.columns.index("text")
-    schema = StructType([*kept.schema.fields, StructField("score", DoubleType())])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            parts = [known.score(known.text_inputs(words)) for words in word_slices(batch.column(at))]
-            found = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, "score"])
-
-    return kept.mapInArrow(score, schema)
+    return with_score(docs, model, lambda known, words: known.score(known.text_inputs(words)), lower=True)
