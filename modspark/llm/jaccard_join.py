@@ -332,14 +332,14 @@ def _pairs(frame: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame, settings: JaccardJoin = JaccardJoin()) -> DataFrame:
-    """doc_id, n_shingles, component_id, set_id, n_links, text_key for every row of docs(doc_id, text).
+    """doc_id, n_shingles, component_id, set_id, n_links, group_id, text_key for every row of docs(doc_id, text).
 
     Words are runs of bytes other than ASCII white space, A-Z lower-cased. A null or blank
     text has no shingles and links with nothing; fewer words than a shingle make one
     shingle. Rows with equal sets are linked; repeated rows come out as often as they came
     in. component_id is the smallest doc_id reachable (null ids are passed over), n_links
-    counts the compared links of the row's set with different sets. Other columns of docs
-    are ignored. An empty table gives an empty result.
+    counts the compared links of the row's set with different sets, group_id names the
+    component whatever the ids. Other columns of docs are ignored. An empty table gives an empty result.
     """
     table = indexed(docs, settings)
     edges = saved(links(table, settings))
@@ -352,15 +352,15 @@ def similar_documents(docs: DataFrame, settings: JaccardJoin = JaccardJoin()) ->
     )
     whole = classes.groupBy("label").agg(F.min("least").alias("component_id"))
     named = classes.join(whole, "label").join(degree, "sig", "left").select(
-        "sig", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")
+        "sig", F.hex("label").alias("group_id"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
     rows = table.select("doc_id", "text_key", "n", F.when(F.col("n") > 0, F.col("sig")).alias("sig"))
     empty = rows.filter("sig is null").select(
         "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"),
-        F.lit(None).cast("string").alias("set_id"), F.lit(0).cast("long").alias("n_links"), "text_key",
+        F.lit(None).cast("string").alias("set_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("string").alias("group_id"), "text_key",
     )
     full = rows.filter("sig is not null").join(named, "sig").select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.hex("sig").alias("set_id"), "n_links", "text_key"
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.hex("sig").alias("set_id"), "n_links", "group_id", "text_key"
     )
     return full.unionByName(empty)
 
@@ -373,8 +373,7 @@ def one_of_each(docs: DataFrame, settings: JaccardJoin = JaccardJoin()) -> DataF
     """
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     found = similar_documents(docs.filter(has_words), settings)
-    # sets of a component by their first document; a null component has null ids only
-    first = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("set_id"))).agg(
+    first = found.groupBy("group_id").agg(
         F.min_by(F.struct("doc_id", "text_key"), F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "text_key")).alias("r")
     )
     chosen = first.select(F.col("r.doc_id").alias("__id"), F.col("r.text_key").alias("__key"))

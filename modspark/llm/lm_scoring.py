@@ -313,11 +313,12 @@ def scored(docs: DataFrame, held_out: F.Column, model: BloomModel = BloomModel()
         follows = np.ones(len(place), bool)
         follows[first] = False
         at = np.flatnonzero(follows)
-        # a pair can only have been seen if both its words were
-        at = at[(estimate[place[at]] > 0) & (estimate[place[at - 1]] > 0)]
         before, now = place[at - 1], place[at]
-        key, back = np.unique(bigrams(word[now], word[before]), return_inverse=True)
-        seen = np.minimum(both.counts(key)[back], np.minimum(estimate[now], estimate[before]))
+        # a pair can only have been seen if both its words were
+        seen = np.minimum(estimate[now], estimate[before])
+        both_known = seen > 0
+        key, back = np.unique(bigrams(word[now[both_known]], word[before[both_known]]), return_inverse=True)
+        seen[both_known] = np.minimum(seen[both_known], both.counts(key)[back])
         chance[at] = (seen + model.mass * unigram[now]) / (estimate[before] + model.mass)
         return pa.table(
             {
