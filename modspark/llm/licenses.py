@@ -77,8 +77,8 @@ def term_weights(files: DataFrame, notices: DataFrame) -> tuple[DataFrame, Colum
 
 
 def cosines(lines: DataFrame, notices: DataFrame, idf: DataFrame, other: Column) -> DataFrame:
-    """path, text_key, line, license, cosine, n_terms: the best notice of every line."""
-    keys = ["path", "text_key", "line"]
+    """path_key, text_key, line, license, cosine, n_terms: the best notice of every line."""
+    keys = ["path_key", "text_key", "line"]
     vector = lines.select(*keys, F.explode("terms").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
     vector = vector.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", other))
     size = vector.groupBy(*keys).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"), F.sum("tf").alias("n_terms"))
@@ -130,25 +130,23 @@ def scanned(files: DataFrame, keep: list[str], scan: LicenseScan = LicenseScan()
     spark = files.sparkSession
     notices = notice_table(spark)
     idf, other = term_weights(files, notices)
-    key = F.xxhash64("text").alias("text_key")
-    cut = files.select("path", key, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "raw"))
-    lines = cut.filter(F.col("raw").rlike(CUE)).select("path", "text_key", "line", terms(F.col("raw")).alias("terms"))
+    keys = [F.coalesce("path", F.lit("\0")).alias("path_key"), F.xxhash64("text").alias("text_key")]
+    cut = files.select(*keys, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "raw"))
+    lines = cut.filter(F.col("raw").rlike(CUE)).select("path_key", "text_key", "line", terms(F.col("raw")).alias("terms"))
     matched = cosines(lines, notices, idf, other).filter(F.col("cosine") >= scan.least_cosine)
     # repeated rows have their lines' terms summed once per row: the cosine stays, the count is of all rows
-    own = matched.groupBy("path", "text_key").agg(
+    own = matched.groupBy("path_key", "text_key").agg(
         F.min(F.struct(-F.col("cosine"), "license")).alias("b"), F.sum("n_terms").alias("notice_terms")
     )
-    own = saved(own.select(F.col("path").alias("_p"), F.col("text_key").alias("_k"), F.col("b.license").alias("own_license"), (-F.col("b.col1")).alias("cosine"), "notice_terms"))
+    own = saved(own.select("path_key", "text_key", F.col("b.license").alias("own_license"), (-F.col("b.col1")).alias("cosine"), "notice_terms"))
     n_terms = F.coalesce(F.regexp_count(F.lower("text"), F.lit(TERM)), F.lit(0)).alias("n_terms")
-    rows = files.select(*keep, *([] if "path" in keep else ["path"]), key, n_terms)
-    times = files.groupBy("path", key).agg(F.count("*").alias("times")).toDF("_p2", "_k2", "times")
-    own = own.join(times, F.col("_p").eqNullSafe(F.col("_p2")) & (F.col("_k") == F.col("_k2")))
-    same = F.col("path").eqNullSafe(F.col("_p")) & (F.col("text_key") == F.col("_k"))
+    rows = files.select(*keep, *([] if "path" in keep else ["path"]), *keys, n_terms)
+    own = own.join(files.groupBy(*keys).agg(F.count("*").alias("times")), ["path_key", "text_key"])
     share = 100 * F.col("notice_terms") >= scan.file_share * F.col("n_terms") * F.col("times")
     told = F.col("own_license").isNotNull() & (share | F.coalesce(F.col("path").rlike(NAMED), F.lit(False)))
     found = saved(
-        rows.join(own, same, "left").select(
-            *rows.columns[:-2], "own_license", "cosine", F.coalesce(told, F.lit(False)).alias("license_file"),
+        rows.join(own, ["path_key", "text_key"], "left").select(
+            *rows.columns[:-3], "own_license", "cosine", F.coalesce(told, F.lit(False)).alias("license_file"),
             directory(F.col("path")).alias("dir"),
         )
     )
