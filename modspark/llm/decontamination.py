@@ -5,10 +5,15 @@ ordered by their number of occurrences in the documents; the rarest is the prefi
 text with the window must contain. Documents are joined on these words alone, the place of
 the word in the window bounds where the window may lie, and the window is then compared
 word by word in the text.
+
+Before the join, words pass a bitmap of a fixed size over the hashes of the wanted words;
+what passes takes along only the words around it. So the join stays small whether Spark
+broadcasts the windows or, with a large benchmark, shuffles both sides.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +32,28 @@ class Decontamination:
     window: int = 10
 
 
+FLAGS = 1 << 20
+"""Bits of the bitmap that words pass before a join."""
+
+
+def may_contain(values: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A test that every value of the column passes, and few others: one bit per hash."""
+    place = lambda value: F.pmod(F.xxhash64(value), F.lit(FLAGS))
+    bits = values.select(place(F.col(column)).alias("at")).select(
+        F.expr("at div 64").alias("id"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bit")
+    )
+    every = values.sparkSession.range(FLAGS // 64).join(bits.groupBy("id").agg(F.bit_or("bit").alias("bits")), "id", "left")
+    cells = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))))
+    table = saved(every.agg(F.transform(cells, lambda c: c["bits"]).alias("bitmap")))
+
+    def test(value: Column) -> Column:
+        at = place(value)
+        cell = F.element_at(table.select("bitmap").scalar(), F.shiftright(at, 6).cast("int") + 1)
+        return F.call_function("shiftright", cell, (at % 64).cast("int")).bitwiseAND(1) == 1
+
+    return test
+
+
 def words(text: Column) -> Column:
     lower = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
     return F.regexp_extract_all(lower, F.lit(WORD), F.lit(0))
@@ -49,8 +76,10 @@ def anchors(docs: DataFrame, items: DataFrame, settings: Decontamination) -> Dat
     """
     shingles = saved(windows(items, settings))
     vocabulary = saved(shingles.select(F.explode("window").alias("word")).distinct())
-    seen = docs.select(F.explode(words(F.col("text"))).alias("word")).join(vocabulary, "word")
-    counts = vocabulary.join(seen.groupBy("word").agg(F.count("*").alias("n")), "word")
+    wanted = may_contain(vocabulary, "word")
+    seen = docs.select(F.explode_outer(words(F.col("text"))).alias("word")).filter(wanted(F.col("word")))
+    # counted before the join: a frequent word is one row per task
+    counts = seen.groupBy("word").agg(F.count("*").alias("n")).join(vocabulary, "word")
     # a word that no document has makes the window impossible: the inner join drops it
     placed = shingles.groupBy("window").agg(F.collect_set("item_id").alias("items"))
     each = placed.select("window", "items", F.posexplode("window").alias("offset", "word"))
@@ -68,21 +97,29 @@ def key_columns() -> list[Column]:
     return [F.col("doc_id"), F.xxhash64("text").alias("text_key")]
 
 
-def occurrences(docs: DataFrame, index: DataFrame) -> DataFrame:
+def occurrences(docs: DataFrame, index: DataFrame, settings: Decontamination) -> DataFrame:
     """doc_id, text_key, start, stop, items: where windows occur, in words."""
+    wanted = may_contain(index, "word")
     at = docs.select(*key_columns(), words(F.col("text")).alias("words"))
-    placed = at.select("doc_id", "text_key", "words", F.posexplode("words").alias("place", "word"))
+    placed = at.select("doc_id", "text_key", "words", F.posexplode_outer("words").alias("place", "word"))
+    reach = F.lit(settings.window - 1)
+    begin = F.greatest(F.col("place") - reach, F.lit(0))
+    near = placed.filter(wanted(F.col("word"))).select(
+        "doc_id", "text_key", "place", "word", begin.alias("begin"),
+        F.slice("words", begin + 1, 2 * settings.window - 1).alias("around"),
+    )
     start = F.col("place") - F.col("offset")
-    inside = (start >= 0) & (start + F.size("window") <= F.size("words"))
-    same = F.slice("words", F.greatest(start, F.lit(0)) + 1, F.size("window")) == F.col("window")
-    return placed.join(index, "word").filter(inside & same).select(
-        "doc_id", "text_key", start.alias("start"), (start + F.size("window")).alias("stop"), "items"
+    n = F.size("window")
+    inside = (start >= 0) & (start - F.col("begin") + n <= F.size("around"))
+    same = F.slice("around", F.greatest(start - F.col("begin"), F.lit(0)) + 1, n) == F.col("window")
+    return near.join(index, "word").filter(inside & same).select(
+        "doc_id", "text_key", start.alias("start"), (start + n).alias("stop"), "items"
     )
 
 
 def hits(docs: DataFrame, items: DataFrame, settings: Decontamination = Decontamination()) -> DataFrame:
     """doc_id, text_key, n_hit, item_ids of the documents in which a window occurs."""
-    found = occurrences(docs, anchors(docs, items, settings))
+    found = occurrences(docs, anchors(docs, items, settings), settings)
     by_doc = found.groupBy("doc_id", "text_key").agg(
         F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"),
         F.array_sort(F.array_distinct(F.array_compact(F.flatten(F.collect_set(F.transform("items", lambda i: i.cast("string"))))))).alias("item_ids"),
