@@ -74,6 +74,8 @@ class ToxicityFit:
     decay: float = 0.7
     penalty: float = 1e-4
     turns: int = 5
+    spoiled: int = 3
+    """Copies of every toxic word with a character put in, so that gaps are learned."""
     seed: int = 7
 
 
@@ -209,6 +211,12 @@ def kernel(words: list[str], landmarks: list[str], decay: float) -> np.ndarray:
     return out
 
 
+def stretched(word: str, rng: np.random.Generator) -> str:
+    """The word with a letter put somewhere inside."""
+    at = int(rng.integers(1, max(2, len(word))))
+    return word[:at] + chr(97 + int(rng.integers(26))) + word[at:]
+
+
 def landmark_map(landmarks: list[str], decay: float) -> tuple[list[str], np.ndarray]:
     """The landmarks and the inverse root of their kernel, which turns kernel values into coordinates."""
     gram = kernel(landmarks, landmarks, decay).astype(np.float64)
@@ -314,7 +322,9 @@ def trained(sample: list[tuple[int, str, int]], share: float, fit: ToxicityFit)
     only = np.unique(np.concatenate([bags[d] for d in toxic_docs]))
     only = only[np.argsort(-standing[only], kind="stable")][:4000]
     pool = np.unique(np.concatenate((clean_pool, only)))
-    score = standing.copy()
+    # at first only words that several toxic documents share can be the toxic ones
+    shared = seen[1] > 1
+    score = np.where(shared, standing, -1.0) if shared.any() else standing.copy()
     model = folded(np.zeros(len(landmarks)), -1.0)
     for turn in range(fit.turns):
         # the toxic words of a toxic document are those that stand out most just now
@@ -325,9 +335,11 @@ def trained(sample: list[tuple[int, str, int]], share: float, fit: ToxicityFit)
         toxic = (weight > 0) & (seen[0] / n[0] < 0.2 * seen[1] / n[1])
         rows = np.union1d(pool, np.flatnonzero(toxic))
         rows = rows[toxic[rows] | (seen[0][rows] > 0)]
-        x = kernel([names[i] for i in rows], landmarks, fit.decay) @ root.astype(np.float32)
-        y = np.where(toxic[rows], 1.0, -1.0)
+        spoiled = [stretched(names[i], rng) for i in rows[toxic[rows]] for _ in range(fit.spoiled)]
+        x = kernel([names[i] for i in rows] + spoiled, landmarks, fit.decay) @ root.astype(np.float32)
+        y = np.append(np.where(toxic[rows], 1.0, -1.0), np.ones(len(spoiled)))
         cost = np.where(toxic[rows], np.sqrt(weight[rows]), np.sqrt(seen[0][rows] + 1))
+        cost = np.append(cost, np.repeat(cost[toxic[rows]], fit.spoiled) / max(1, fit.spoiled))
         if toxic.any():
             cost[y > 0] *= 0.5 * cost[y < 0].sum() / cost[y > 0].sum()
         w, b = linear_machine(x, y, cost, fit.penalty)
