@@ -197,8 +197,8 @@ def kernel(words: list[str], landmarks: list[str], decay: float) -> np.ndarray:
     table = np.zeros((len(used) + 1, len(landmarks)), np.float32)
     np.add.at(table, (k, r), v)
     out = np.zeros((len(words), len(landmarks)), np.float32)
-    for at in range(0, len(words), 4000):
-        part = words[at : at + 4000]
+    for at in range(0, len(words), 200):
+        part = words[at : at + 200]
         r, k, v = word_map(part, decay)
         place = np.minimum(np.searchsorted(used, k), len(used) - 1)
         known = used[place] == k
