@@ -91,7 +91,9 @@ SPACE_CHARS = (
 # Word characters: letters, numbers and the underscore.
 WORD_CHARS = r"\p{L}\p{N}_"
 PUNCTUATION = "!?.:,;\"'()[]{}<>/\\|@#$%^&*_+-=~`"
-EMAIL_PATTERN = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+# Starts only where a run of such characters starts or the last match ended: trying every
+# place of a long run would take quadratic time.
+EMAIL_PATTERN = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 URL_PATTERN = rf"https?://[^{SPACE_CHARS}]+|www\.[^{SPACE_CHARS}]+"
 WORD_EDGE = (
     rf"(?:(?<=[{WORD_CHARS}])(?![{WORD_CHARS}])|(?<![{WORD_CHARS}])(?=[{WORD_CHARS}]))"

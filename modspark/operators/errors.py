@@ -120,14 +120,13 @@ def worst_cases(
 ) -> DataFrame:
     """The ``k`` rows furthest from their labels as records without text.
 
-    Each task keeps its own k best, so no full sort takes place; features and hashes are
-    computed for the winners only.
+    Each task keeps its own k best by scores alone; the k winners, a bounded table, then
+    fetch their texts. ``order`` breaks ties and must name a row; a null there matches none.
     """
-    top = (
-        df.withColumn("max_abs_error", max_error(labels, probs))
-        .orderBy(F.desc("max_abs_error"), *order)
-        .limit(k)
-    )
+    narrow = df.select(*order, labels, probs, max_error(labels, probs).alias("max_abs_error"))
+    best = narrow.orderBy(F.desc("max_abs_error"), *order).limit(k)
+    top = df.select(*order, text).join(F.broadcast(best), [*order])
+    top = top.repartition(1).sortWithinPartitions(F.desc("max_abs_error"), *order)
     names = F.array(*[F.lit(x) for x in label_fields])
     indexes = range(len(label_fields))
     raw = F.coalesce(F.col(text), F.lit(""))

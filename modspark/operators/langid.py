@@ -2,115 +2,97 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modspark.functions.language import guarded
-from modspark.functions.text import normalize
-
-MAX_GRAMS = 50_000
-MAX_LANGUAGES = 500
+from modspark.functions.text import content_hash, normalize
+from modspark.session import work_folder
 
 
 def trigrams(text: Column) -> Column:
-    """Overlapping trigrams of the lower-cased, normalised text, in one linear pass."""
-    return F.regexp_extract_all(F.lower(normalize(text)), F.lit(r"(?s)(?=(...))"), 1)
+    """Overlapping trigrams of the lower-cased, normalised text, in one linear pass.
+
+    Looks ahead over three characters and consumes one, so no match starts inside one.
+    """
+    return F.regexp_extract_all(F.lower(normalize(text)), F.lit(r"(?s)(?=(...))."), 1)
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``grams``: one row per trigram with a log probability per language (``l0, l1, ...``).
+    """``grams``: ``gram, place, weight``, one row per trigram and language that has it.
 
-    At most MAX_GRAMS rows, so it may be broadcast. ``unseen`` holds the log probability
-    of a trigram the language does not have.
+    ``languages`` and ``costs`` hold, in the order of ``place``, the names and what every
+    trigram of a text costs in that language: the logarithm of its smoothed total. The
+    weight is the logarithm of the trigram's smoothed count.
     """
 
     languages: list[str]
-    unseen: list[float]
+    costs: list[float]
     grams: DataFrame
 
 
-def train(df: DataFrame, text: str = "text", lang: str = "lang", max_grams: int = MAX_GRAMS) -> LanguageModel:
-    """Count trigrams per language with add-one smoothing; the commonest ``max_grams`` stay."""
-    languages = [r[0] for r in df.select(lang).distinct().orderBy(lang).limit(MAX_LANGUAGES + 1).collect()]
-    languages = [x for x in languages if x is not None]
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    counted = df.select(F.col(lang).alias("lang"), F.explode_outer(trigrams(F.col(text))).alias("gram"))
-    counted = counted.filter(F.col("gram").isNotNull())
-    per = [F.count_if(F.col("lang") == x).alias(f"c{i}") for i, x in enumerate(languages)]
-    wide = counted.groupBy("gram").agg(*per, F.count("lang").alias("total"))
-    top = wide.orderBy(F.desc("total"), "gram").limit(max_grams).drop("total")
-    top = top.persist()
-    sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(len(languages))]
-    totals = top.agg(F.count("*").alias("size"), *sums).first()
-    below = [(totals[f"c{i}"] or 0) + totals["size"] for i in range(len(languages))]
-    log_probs = [
-        F.ln((F.col(f"c{i}") + 1) / F.lit(float(n))).alias(f"l{i}") for i, n in enumerate(below)
-    ]
-    return LanguageModel(
-        languages, [math.log(1.0 / n) if n else 0.0 for n in below], top.select("gram", *log_probs)
-    )
+def train(df: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
+    """Count all trigrams per language, with add-one smoothing over all trigrams seen.
+
+    The counts are written once to the shared folder; the driver sees one row per language.
+    """
+    rows = df.select(F.col(lang).alias("lang"), F.explode_outer(trigrams(F.col(text))).alias("gram"))
+    counted = rows.filter("gram is not null").groupBy("lang", "gram").agg(F.count("*").alias("c"))
+    path = work_folder(df.sparkSession, "language-model")
+    counted.write.parquet(path)
+    counted = df.sparkSession.read.parquet(path)
+    size = counted.select("gram").distinct().count()
+    totals = {r["lang"]: r["n"] for r in counted.filter("lang is not null").groupBy("lang").agg(F.sum("c").alias("n")).collect()}
+    languages = sorted(r[0] for r in df.select(lang).filter(F.col(lang).isNotNull()).distinct().collect())
+    below = [totals.get(x, 0) + size for x in languages]
+    costs = df.sparkSession.range(1).select(F.array(*[F.ln(F.lit(float(max(1, n)))) for n in below])).first()[0]
+    places = df.sparkSession.createDataFrame(list(enumerate(languages)), "place int, lang string")
+    weighed = counted.join(places, "lang").select("gram", "place", F.ln(F.col("c") + 1).alias("weight"))
+    return LanguageModel(languages, costs, weighed)
 
 
 def identify(df: DataFrame, model: LanguageModel, key: str, text: str = "text") -> DataFrame:
-    """``key, lang``: trigrams meet the broadcast model and are summed per text.
+    """``key, lang``, one row per key; "unknown" without trigrams.
 
-    The sums of a text are formed in the task that read it, so the shuffle carries one
-    row per text and no text.
+    A text's trigrams collapse to counts in the task that read it, before they meet the
+    model; Spark chooses the join by the sizes it finds.
     """
-    size = len(model.languages)
-    rows = df.select(
-        F.col(key),
-        F.explode_outer(trigrams(F.col(text))).alias("gram"),
-    )
-    scored = rows.join(F.broadcast(model.grams), "gram", "left")
-    sums = [
-        F.sum(F.coalesce(F.col(f"l{i}"), F.lit(model.unseen[i]))).alias(f"s{i}") for i in range(size)
-    ]
-    per_text = scored.groupBy(key).agg(F.count("gram").alias("n"), *sums)
-    return per_text.select(key, F.coalesce(_best(model.languages), F.lit("unknown")).alias("lang"))
-
-
-def _best(languages: list[str]) -> Column:
+    if not model.languages:
+        return df.groupBy(key).agg(F.lit("unknown").alias("lang"))
+    rows = df.select(F.col(key), F.explode_outer(trigrams(F.col(text))).alias("gram"))
+    counts = rows.groupBy(key, "gram").agg(F.count("gram").alias("k"))
+    met = counts.join(model.grams, "gram", "left").groupBy(key, "place").agg(F.sum(F.col("k") * F.col("weight")).alias("s"))
+    total = counts.groupBy(key).agg(F.sum("k").alias("n"))
+    found = met.filter("place is not null").groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("place", "s"))).alias("sums"))
+    joined = total.join(found.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key")), "left")
+    return joined.select(key, F.coalesce(_best(model), F.lit("unknown")).alias("lang"))
+
+
+def _best(model: LanguageModel) -> Column:
     """Language with the greatest sum, first in order among equals; null without trigrams."""
-    ranked = F.array(
-        *[
-            F.struct(F.col(f"s{i}").alias("s"), F.lit(-i).alias("place"), F.lit(x).alias("lang"))
-            for i, x in enumerate(languages)
-        ]
+    known = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("cost"), F.lit(x).alias("lang"))
+                      for i, (c, x) in enumerate(zip(model.costs, model.languages, strict=True))])
+    ranked = F.transform(
+        known,
+        lambda x: F.struct(
+            (F.coalesce(F.try_element_at("sums", x["i"]), F.lit(0.0)) - F.col("n") * x["cost"]).alias("s"),
+            (-x["i"]).alias("place"),
+            x["lang"].alias("lang"),
+        ),
     )
     return F.when(F.col("n") > 0, F.array_max(ranked)["lang"])
 
 
-def detector(model: LanguageModel) -> Callable[[Column], Column]:
-    """A column function that detects in place, for use ahead of routing.
+def with_language(df: DataFrame, model: LanguageModel, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``df`` with a guarded language column; copies of a text are identified once.
 
-    The model has at most MAX_GRAMS rows; it travels inside the function.
+    Hashes, not texts, meet the languages again.
     """
-    size = range(len(model.languages))
-    table = {r["gram"]: [r[f"l{i}"] for i in size] for r in model.grams.collect()}
-    unseen, languages = model.unseen, model.languages
-
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: _detect(t, table, unseen, languages))
-
-    def detect(text: Column) -> Column:
-        clean = F.lower(normalize(text))
-        return guarded(text, run(clean))
-
-    return detect
-
-
-def _detect(text: str, table: dict, unseen: list[float], languages: list[str]) -> str | None:
-    grams = [text[i : i + 3] for i in range(len(text) - 2)]
-    if not grams:
-        return None
-    sums = [sum(column) for column in zip(*[table.get(g, unseen) for g in grams])]
-    return languages[sums.index(max(sums))]
+    hashed = df.drop(lang).withColumn("_hash", content_hash(F.col(text)))
+    once = hashed.groupBy("_hash").agg(F.first(text, ignorenulls=True).alias("_text"))
+    found = identify(once, model, "_hash", "_text").withColumnRenamed("lang", "_found")
+    joined = hashed.join(found.withColumnRenamed("_hash", "_known"), F.col("_hash").eqNullSafe(F.col("_known")), "left")
+    return joined.select(*[c for c in df.columns if c != lang], guarded(F.col(text), F.col("_found")).alias(lang))

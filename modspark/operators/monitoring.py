@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modspark.functions.numbers import at_least, f1
+from modspark.functions.numbers import at_least, f1, parse_number
 from modspark.operators.order_stats import count_values, exact_percentiles
 
 NO_ACTION = "UNKNOWN"
@@ -16,7 +16,7 @@ NO_LANGUAGE = "unknown"
 
 def _overall() -> Column:
     """The logged score: missing counts as 0, text that is no number is dropped."""
-    return F.coalesce(F.col("overall_score").cast("string"), F.lit("0")).try_cast("double")
+    return parse_number(F.coalesce(F.col("overall_score").cast("string"), F.lit("0")))
 
 
 def action_counts(log: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -36,7 +36,7 @@ def mean_overall_score(log: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def mean_label_scores(log: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mean per label over the rows that have a readable score for it."""
     rows = log.select(*keys, F.explode_outer("label_scores").alias("label", "value"))
-    value = F.col("value").try_cast("double")
+    value = parse_number(F.col("value").cast("string"))
     return rows.filter(value.isNotNull()).groupBy(*keys, "label").agg(F.avg(value).alias("mean_score"))
 
 
@@ -54,7 +54,7 @@ def report(log: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     ]
     per_label = F.transform(
         F.coalesce(F.map_entries("label_scores"), F.array()),
-        lambda e: _fact("label_score", e["key"], e["value"].try_cast("double")),
+        lambda e: _fact("label_score", e["key"], parse_number(e["value"].cast("string"))),
     )
     all_facts = F.concat(F.array(*facts), per_label)
     measured = F.col("section").isin("overall_score", "label_score")
@@ -218,7 +218,8 @@ def retraining_set(
     rows = tagged(queue, 0).unionByName(tagged(reviewed, 1)).unionByName(tagged(train, 2))
     per_text = rows.groupBy(key).agg(
         *[F.max(F.col(source) == i).alias(f"in{i}") for i in range(3)],
-        F.max_by("content", F.col(source)).alias("content"),
+        # of several labellings of one text the greatest counts, whatever the order of rows
+        F.max_by("content", F.struct(F.col(source), F.col("content.labels"))).alias("content"),
     )
     kept = per_text.filter("in2 OR (in0 AND in1)")
     origin = F.when(F.col("in2"), F.lit("train")).otherwise(F.lit("review"))

@@ -6,6 +6,7 @@ every rank up to the cell that holds it, and only that cell is looked into.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,9 +24,19 @@ def value_cell(value: Column) -> Column:
     At most 2 * 2104 * 128 + 1 cells exist for doubles, and for 32-bit floats a cell holds
     fewer than 91,000 distinct values, whatever the data.
     """
-    size = F.abs(value.cast("double"))
+    largest = F.lit(sys.float_info.max)
+    size = F.least(F.abs(value.cast("double")), largest)
     step = F.floor(F.log2(size) * CELLS_PER_OCTAVE).cast("int") + F.lit(_OCTAVES * CELLS_PER_OCTAVE)
-    return F.when(value > 0, step).when(value < 0, -step).otherwise(F.lit(0))
+    # infinities and NaN (above all numbers) have cells of their own
+    top = 2 * _OCTAVES * CELLS_PER_OCTAVE
+    return (
+        F.when(F.isnan(value), top + 1)
+        .when(value > largest, top)
+        .when(value < -largest, -top)
+        .when(value > 0, step)
+        .when(value < 0, -step)
+        .otherwise(F.lit(0))
+    )
 
 
 def _before(df: DataFrame, keys: Sequence[str], order: str, weight: str, name: str) -> DataFrame:
@@ -90,7 +101,10 @@ def exact_percentiles(
     )
     # inside the cell: equal-width cells between its least and greatest value
     target = ["_k", "_i", "_side"]
-    part = F.try_divide((F.col("_v") - F.col("_lo")) * SUBCELLS, F.col("_hi") - F.col("_lo"))
+    part = F.when(
+        F.col("_hi") > F.col("_lo"),
+        F.nanvl(F.try_divide((F.col("_v") - F.col("_lo")) * SUBCELLS, F.col("_hi") - F.col("_lo")), F.lit(0.0)),
+    )
     held = base.join(cut, ["_k", "_cell"]).select(
         *target, "_n", "_mean", "_rank", "_v", "_w", F.coalesce(part, F.lit(0.0)).cast("int").alias("_sub")
     )
@@ -105,7 +119,10 @@ def exact_percentiles(
         return F.max(F.when((F.col("_i") == i) & (F.col("_side") == side), F.col("_v")))
 
     points = [
-        at(i, 0) + (at(i, 1) - at(i, 0)) * _excess(q, F.first("_n")) for i, q in enumerate(fractions)
+        F.when(at(i, 0) == at(i, 1), at(i, 0)).otherwise(
+            at(i, 0) + (at(i, 1) - at(i, 0)) * _excess(q, F.first("_n"))
+        )
+        for i, q in enumerate(fractions)
     ]
     out = inner.groupBy("_k").agg(
         F.first("_n").alias("n"), F.first("_mean").alias("mean"), F.array(*points).alias("p")

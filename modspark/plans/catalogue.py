@@ -85,12 +85,11 @@ def load_splits(spark, sf_dir):
 
 @register
 def export_splits(spark, sf_dir):
-    """Random split written by split and read back: one split is one folder."""
+    """Random split written by split and read back, every part from its folder."""
     rows = sampling.random_split(S.table(spark, sf_dir, "labels"), ["doc_id"], method="sha256")
     path = work_folder(spark, "splits")
     datasets.export_splits(rows, path, id_columns=["doc_id"])
-    back = spark.read.parquet(path).filter(F.col("split") == "train")
-    return back.select("doc_id", "quality", "toxic", "split")
+    return spark.read.parquet(path).select("doc_id", "quality", "toxic", "split")
 
 
 @register
@@ -224,7 +223,8 @@ def hash_split_no_test(spark, sf_dir):
 def supplied_splits(spark, sf_dir):
     """Validation and test are supplied, labelled and not empty, so they are used."""
     rows = _labelled(spark, sf_dir).join(docs(spark, sf_dir).select("doc_id", "lang"), "doc_id")
-    parts = [rows.filter(F.col("lang") == x) for x in ("en", "fr", "de")]
+    lang = F.coalesce("lang", F.lit(""))
+    parts = [rows.filter(~lang.isin("fr", "de")), rows.filter(lang == "fr"), rows.filter(lang == "de")]
     out = sampling.supplied_or_resplit(*parts, ["doc_id"], method="sha256")
     return out.select("doc_id", "split")
 
@@ -333,8 +333,7 @@ def language_id(spark, sf_dir):
 def language_id_in_place(spark, sf_dir):
     """The same model as a column ahead of routing, with the guard for short texts."""
     rows = docs(spark, sf_dir).select("doc_id", "text", "lang")
-    detect = langid.detector(langid.train(rows))
-    return rows.select("doc_id", detect(F.col("text")).alias("detected"))
+    return langid.with_language(rows, langid.train(rows), lang="detected").select("doc_id", "detected")
 
 
 # --- moderation -------------------------------------------------------------
@@ -694,7 +693,8 @@ def retrain_set(spark, sf_dir):
     labels = F.array(*[F.col(x).cast("double") for x in S.LABELS]).alias("labels")
     reviewed = rows.select("text_sha256", "text", labels)
     train = rows.filter(F.col("quality") == 1).select("text_sha256", "text", labels)
-    return monitoring.retraining_set(queue, reviewed, train).select("text_sha256", "origin")
+    merged = monitoring.retraining_set(queue, reviewed, train)
+    return merged.select("text_sha256", "origin", *[F.get("labels", F.lit(i)).alias(x) for i, x in enumerate(S.LABELS)])
 
 
 # --- models -----------------------------------------------------------------

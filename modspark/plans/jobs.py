@@ -30,8 +30,7 @@ def prepare(
     negative_ratio: float = 1.0,
     settings: SplitSettings = SplitSettings(),
 ) -> None:
-    options = {"header": True} if fmt == "csv" else {}
-    found = datasets.load_splits(spark, paths, label_fields, fmt, **options)
+    found = datasets.load_splits(spark, paths, label_fields, fmt)
     rows = datasets.load_prepared(found, text_field, label_fields, id_field, negative_ratio, settings)
     datasets.export_splits(rows, out)
 
@@ -109,8 +108,7 @@ def moderate_table(
     if "texts" in rows.columns:
         rows = request_texts(rows)
     if language_table is not None:
-        detect = langid.detector(langid.train(spark.read.parquet(language_table)))
-        rows = rows.withColumn("lang", detect(F.col("text")))
+        rows = langid.with_language(rows, langid.train(spark.read.parquet(language_table)))
     elif "lang" not in rows.columns:
         rows = rows.withColumn("lang", F.lit(UNKNOWN))
     scorers = ScorerSet(fast=tfidf.TfidfModel.load(model))

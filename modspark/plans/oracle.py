@@ -112,8 +112,9 @@ prepared AS (
 
 SQL["load_splits"] = "SELECT 'train' AS split, doc_id, toxic, quality FROM labels"
 SQL["export_splits"] = f"""
-SELECT doc_id, quality, toxic, 'train' AS split FROM labels
-WHERE {fraction('doc_id')} < 0.9::DOUBLE"""
+SELECT doc_id, quality, toxic, CASE WHEN spot < 0.9::DOUBLE THEN 'train'
+  WHEN spot < 0.9::DOUBLE + 0.05::DOUBLE THEN 'validation' ELSE 'test' END AS split
+FROM (SELECT *, {fraction('doc_id')} AS spot FROM labels)"""
 SQL["prepare_normalize"] = f"""
 SELECT doc_id, sha256(t) AS norm_sha256, length(t) AS norm_length
 FROM (SELECT doc_id, {norm('text')} AS t FROM documents)"""
@@ -174,8 +175,8 @@ SQL["hash_split_no_test"] = f"""
 SELECT doc_id, CASE WHEN {fraction('doc_id')} < 0.9::DOUBLE THEN 'train' ELSE 'validation' END AS split
 FROM documents"""
 SQL["supplied_splits"] = """
-SELECT doc_id, CASE lang WHEN 'en' THEN 'train' WHEN 'fr' THEN 'validation' ELSE 'test' END AS split
-FROM labels JOIN documents USING (doc_id) WHERE lang IN ('en', 'fr', 'de')"""
+SELECT doc_id, CASE WHEN lang = 'fr' THEN 'validation' WHEN lang = 'de' THEN 'test' ELSE 'train' END AS split
+FROM labels JOIN documents USING (doc_id)"""
 SQL["eval_split_fallback"] = f"""
 SELECT doc_id, 'validation' AS split FROM labels WHERE {fraction('doc_id')} >= 0.9::DOUBLE"""
 SQL["class_split_fallback"] = f"""
@@ -284,9 +285,8 @@ clean AS (SELECT doc_id, lang, string_split(lower({norm('text')}), '') AS c FROM
 grams AS (
   SELECT doc_id, lang, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram
   FROM clean),
-top AS (SELECT gram FROM grams GROUP BY gram ORDER BY count(*) DESC, gram LIMIT 50000),
-by_lang AS (SELECT lang, gram, count(*) AS c FROM grams WHERE gram IN (SELECT gram FROM top) GROUP BY lang, gram),
-size AS (SELECT count(*) AS v FROM top),
+by_lang AS (SELECT lang, gram, count(*) AS c FROM grams GROUP BY lang, gram),
+size AS (SELECT count(DISTINCT gram) AS v FROM grams),
 totals AS (SELECT lang, sum(c) + any_value(v) AS n FROM by_lang, size GROUP BY lang),
 seen AS (SELECT doc_id, gram, count(*) AS k FROM grams GROUP BY doc_id, gram),
 sums AS (
@@ -504,7 +504,8 @@ WHERE a.slice <> b.slice AND a.n > 0 AND b.n > 0"""
 
 LOG = f"""{MODERATED},
 log AS (
-  SELECT d.*, e.ts, CAST(e.ts AS DATE) AS day FROM decided d JOIN events e ON e.event_id = d.doc_id * 10)"""
+  SELECT d.*, e.ts, CAST(e.ts AS DATE) AS day 
+  FROM decided d LEFT JOIN events e ON e.event_id % (SELECT count(*) FROM documents) = d.doc_id)"""
 SQL["action_counts"] = f"{LOG} SELECT action, count(*) AS n FROM log GROUP BY action"
 SQL["language_counts"] = f"{LOG} SELECT lang AS language, count(*) AS n FROM log GROUP BY lang"
 SQL["score_means"] = f"""{LOG}
@@ -561,10 +562,17 @@ rolled AS (
 SELECT day, 'toxic' AS label, n::BIGINT AS n, round({F1_ROW}, 6) AS f1 FROM rolled"""
 SQL["retrain_set"] = f"""{MODERATED},
 known AS (SELECT DISTINCT sha256(text) AS h FROM documents JOIN labels USING (doc_id) WHERE quality = 1),
-reviewed AS (SELECT DISTINCT sha256(text) AS h FROM documents JOIN labels USING (doc_id))
-SELECT h AS text_sha256, 'train' AS origin FROM known
-UNION ALL SELECT h, 'review' FROM reviewed WHERE h NOT IN (SELECT h FROM known)
-  AND h IN (SELECT h FROM decided WHERE request_human_review)"""
+reviewed AS (SELECT DISTINCT sha256(text) AS h FROM documents JOIN labels USING (doc_id)),
+chosen AS (
+  SELECT h, 'train' AS origin FROM known
+  UNION ALL SELECT h, 'review' FROM reviewed WHERE h NOT IN (SELECT h FROM known)
+    AND h IN (SELECT h FROM decided WHERE request_human_review)),
+truth AS (
+  SELECT sha256(text) AS h, [toxic, quality] AS pair, quality = 1 AS good FROM documents JOIN labels USING (doc_id)),
+best AS (SELECT h, max(pair) AS pair, max(pair) FILTER (WHERE good) AS good FROM truth GROUP BY h)
+SELECT h AS text_sha256, origin, CASE WHEN origin = 'train' THEN good[1] ELSE pair[1] END AS toxic,
+  CASE WHEN origin = 'train' THEN good[2] ELSE pair[2] END AS quality
+FROM chosen JOIN best USING (h)"""
 
 # --- models and governance --------------------------------------------------
 

@@ -36,13 +36,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
-    """A table of texts, spread over the cores if the scan has fewer tasks than cores.
+    """A table of texts as it is stored.
 
-    The given files are a single row group each. A table of many files is left as it is.
+    A session may ask with ``modspark.spread`` to deal texts out to its cores first: the
+    small given files are one row group each, which one task reads. Sizes play no part.
     """
     df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    if spark.conf.get("modspark.spread", "false") == "true":
+        return df.repartition(spark.sparkContext.defaultParallelism, key)
+    return df
 
 
 def uniform(text_hash: Column, label: str, salt: str) -> Column:
@@ -95,11 +97,11 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decisions with a time stamp and without text: every tenth event lends its clock."""
-    clock = table(spark, sf_dir, "events").select("event_id", "ts")
+    """Decisions with a time stamp and without text: every event is a request for some document."""
+    n_docs = table(spark, sf_dir, "documents").count()
+    clock = table(spark, sf_dir, "events").select((F.col("event_id") % F.lit(max(1, n_docs))).alias("doc_id"), "ts")
     log = decisions(spark, sf_dir).select(
         "doc_id",
-        (F.col("doc_id") * 10).alias("event_id"),
         content_hash(F.col("text")).alias("text_sha256"),
         "n_chars",
         "action",
@@ -109,7 +111,7 @@ def decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "language",
         "request_human_review",
     )
-    return log.join(clock, "event_id").drop("event_id").withColumn("day", F.to_date("ts"))
+    return log.join(clock, "doc_id", "left").withColumn("day", F.to_date("ts"))
 
 
 def score_columns(text_hash: Column, salt: str) -> list[Column]:

@@ -15,11 +15,15 @@ from modspark.operators.sampling import cap_rows, downsample_negatives, supplied
 _MISSING = {"PATH_NOT_FOUND"}
 
 
+CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "mode": "FAILFAST"}
+"""Records as spreadsheets write them: line ends and doubled quotes inside quotes; a broken file is an error."""
+
+
 def read_or_none(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None, **options
 ) -> DataFrame | None:
     """A file or folder as a frame; None if it does not exist."""
-    reader = spark.read.format(fmt).options(**options)
+    reader = spark.read.format(fmt).options(**(CSV_OPTIONS if fmt == "csv" else {}) | options)
     if schema is not None:
         reader = reader.schema(schema)
     try:

@@ -140,3 +140,13 @@ def test_reports_saved_from_one_scoring(spark, scored, tmp_path):
     saved = []
     reports.save_all(scored, builders, lambda table, name: saved.append((name, table.count())))
     assert len(saved) == 10 and all(n > 0 for _, n in saved)
+
+
+def test_worst_cases_are_a_top_k_without_texts(spark):
+    rows = [(str(i), f"text {i}", [float(i % 2)], [i / 50]) for i in range(40)]
+    frame = spark.createDataFrame(rows, "id string, text string, labels array<double>, probs array<double>")
+    worst = errors.worst_cases(frame, ["y"], 0.5, 5)
+    plan = worst._jdf.queryExecution().executedPlan().toString()
+    top = next(line for line in plan.split("\n") if "TakeOrderedAndProject" in line)
+    assert "rangepartitioning" not in plan and "text" not in top
+    assert worst.count() == 5

@@ -98,7 +98,40 @@ def test_language_model(spark):
     new = spark.createDataFrame([(1, "the dog is here"), (2, "die katze ist da"), (3, "ab"), (4, None), (5, "")], "id int, text string")
     got = {r["id"]: r["lang"] for r in langid.identify(new, model, "id").collect()}
     assert got == {1: "en", 2: "de", 3: "unknown", 4: "unknown", 5: "unknown"}
-    detect = langid.detector(model)
-    assert {r["id"]: r["lang"] for r in new.select("id", detect(F.col("text")).alias("lang")).collect()} == got
-    few = langid.train(spark.createDataFrame(rows, "id int, text string, lang string"), max_grams=5)
-    assert few.grams.count() == 5
+    told = langid.with_language(new.union(new), model)
+    assert [r["lang"] for r in told.orderBy("id").collect()] == [got[i] for i in (1, 1, 2, 2, 3, 3, 4, 4, 5, 5)]
+
+
+def test_trigrams_are_characters(spark):
+    rows = spark.createDataFrame([("a😀bc",), ("😀😀",), ("xyz",)], "text string")
+    assert [r[0] for r in rows.select(langid.trigrams(F.col("text"))).collect()] == [["a😀b", "😀bc"], [], ["xyz"]]
+
+
+def test_language_model_keeps_all_trigrams_and_languages(spark):
+    signs = [chr(0x4E00 + i) for i in range(120)]
+    rare = [(f"{signs[i // 450 % 120]}{signs[i // 4 % 113]}{chr(0x5000 + i % 9000)}", "zh") for i in range(52_000)]
+    rows = rare + [(f"qq{chr(0x6000 + i)}", f"l{i:03}") for i in range(600)] + [("null", None)]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    model = langid.train(frame)
+    assert len(model.languages) == 601 and model.grams.select("gram").distinct().count() > 50_000
+    asked = spark.createDataFrame([(1, f"qq{chr(0x6000 + 599)}"), (2, rare[-1][0])], "id int, text string")
+    assert {r["id"]: r["lang"] for r in langid.identify(asked, model, "id").collect()} == {1: "l599", 2: "zh"}
+
+
+def test_retraining_set_does_not_follow_row_order(spark):
+    kind = "text_sha256 string, text string, labels array<double>"
+    queue = spark.createDataFrame([("a",)], "text_sha256 string")
+    two = [("b", "t", [0.0]), ("b", "t", [1.0])]
+    for rows in (two, two[::-1]):
+        train = spark.createDataFrame(rows, kind).coalesce(1)
+        found = monitoring.retraining_set(queue, train, train).collect()
+        assert [r["labels"] for r in found] == [[1.0]]
+
+
+def test_latency_with_nan_and_infinity(spark):
+    rows = spark.createDataFrame([(float(i),) for i in range(97)] + [(float("inf"),), (float("inf"),), (float("nan"),)], "ms double")
+    found = monitoring.latency_summary(rows, "ms").first()
+    assert found["n"] == 100 and found["p50_ms"] == 49.5 and found["p95_ms"] == 94.05
+    assert found["p99_ms"] == float("inf") or found["p99_ms"] != found["p99_ms"]
+    endless = monitoring.latency_summary(spark.createDataFrame([(float("inf"),)] * 3, "ms double"), "ms").first()
+    assert endless["p50_ms"] == endless["mean_ms"] == float("inf")

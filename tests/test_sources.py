@@ -10,6 +10,7 @@ from modspark.operators import monitoring
 from modspark.operators.moderation import ScorerSet, moderate
 from modspark.operators.scoring import constant_scorer
 from modspark.constants import ENGLISH_LABELS
+from modspark.plans import jobs
 from modspark.sources import datasets, logs, reports, requests, settings_files
 
 def stamp():
@@ -149,6 +150,17 @@ def test_csv_splits(spark, tmp_path):
     assert [r["id"] for r in rows.collect()] == ["1"]
 
 
+def test_csv_records_with_line_ends_and_quotes(spark, tmp_path):
+    (tmp_path / "train.csv").write_text('id,comment_text,toxic\n1,"two\nlines",1\n2,"she said ""no"", twice",0\n3,plain,1\n')
+    jobs.prepare(spark, {"train": str(tmp_path / "train.csv")}, str(tmp_path / "out"), "comment_text", ["toxic"], "id", "csv")
+    found = {r["id"]: r["text"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert found.keys() == {"1", "2", "3"} and '"no"' in found["2"] and "lines" in found["1"]
+    (tmp_path / "bad.csv").write_text('id,comment_text,toxic\n1,a,1,9,9\n')
+    broken = datasets.load_splits(spark, {"train": str(tmp_path / "bad.csv")}, ["toxic"], "csv")["train"]
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        broken.collect()
+
+
 def test_settings_files(spark, tmp_path):
     policy = {"actions": {"ALLOW": {"user_message": "fine"}, "X": {}}, "labels": {"a": {"display_name": "A!"}, "b": {}}}
     (tmp_path / "p.json").write_text(json.dumps(policy))

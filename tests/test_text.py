@@ -3,6 +3,7 @@
 import hashlib
 import re
 import string
+import time
 
 import numpy as np
 import pytest
@@ -139,3 +140,18 @@ def test_language_guard(spark):
     df = spark.createDataFrame(cases, "text string, lang string")
     got = [r[0] for r in df.select(language.guarded(F.col("text"), F.col("lang"))).collect()]
     assert got == ["unknown", "en", "unknown", "fr", "unknown", "unknown", "unknown"]
+
+
+def test_patterns_take_linear_time_on_long_runs(spark):
+    runs = ["a" * 1_000_000 + "@", "@" + "a" * 1_000_000, "http" * 250_000, "1" * 1_000_000, "a" * 500_000 + " x@y.io1@z.com"]
+    rows = spark.createDataFrame([(t,) for t in runs], "text string").coalesce(1)
+    start = time.perf_counter()
+    found = [r[0] for r in rows.select(X.redact_pii(F.col("text"))).collect()]
+    flags = [r[0] for r in rows.select(X.feature("has_email", F.col("text"))).collect()]
+    assert time.perf_counter() - start < 20
+    assert flags == [0, 0, 0, 0, 1] and found[0] == runs[0]
+
+
+def test_adjacent_addresses_give_two_marks(spark):
+    mark = spark.range(1).select(X.redact_pii(F.lit("x@y.io"))).first()[0]
+    assert spark.range(1).select(X.redact_pii(F.lit("x@y.io1@z.com"))).first()[0].count(mark) == 2
