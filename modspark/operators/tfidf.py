@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (
     IDF,
-    CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
     NGram,
     Normalizer,
@@ -107,7 +107,13 @@ def fit_features(df: DataFrame, text: str, settings: TfidfSettings) -> list[Tran
     """
     stages, terms_column = _term_stages(settings.ngram_range)
     terms = _through(stages, df.select(_empty_text(text).alias(_TEXT))).select(terms_column)
-    counter = CountVectorizer(inputCol=terms_column, outputCol="_tf", vocabSize=settings.max_features).fit(terms)
+    # the commonest terms, by name among equals, so that two fits agree
+    counted = terms.select(F.explode(terms_column).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    top = counted.orderBy(F.desc("n"), "term").limit(settings.max_features).collect()
+    if not top:
+        raise ValueError("no text has a term")
+    vocabulary = [r["term"] for r in top]
+    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol=terms_column, outputCol="_tf")
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(counter.transform(terms))
     scale = ElementwiseProduct(
         scalingVec=Vectors.dense([x + 1.0 for x in idf.idf.toArray().tolist()]), inputCol="_tf", outputCol="_scaled"
@@ -115,6 +121,48 @@ def fit_features(df: DataFrame, text: str, settings: TfidfSettings) -> list[Tran
     return [*stages, counter, scale, Normalizer(p=2.0, inputCol="_scaled", outputCol=_FEATURES)]
 
 
+def weighted_terms(df: DataFrame, stages: Sequence[Transformer], keys: Sequence[str], text: str) -> DataFrame:
+    """``keys, term, weight``: the non-zero TF-IDF weights of every text."""
+    counter = next(s for s in stages if isinstance(s, CountVectorizerModel))
+    names = df.sparkSession.createDataFrame(list(enumerate(counter.vocabulary)), "place int, term string")
+    vectors = _through(stages, df.select(*keys, _empty_text(text).alias(_TEXT)))
+    cells = vectors.select(*keys, F.posexplode(vector_to_array(F.col(_FEATURES))).alias("place", "weight"))
+    return cells.filter("weight > 0").join(names, "place").select(*keys, "term", "weight")
+
+
+def gradient_size(
+    model: "TfidfModel", df: DataFrame, settings: TfidfSettings, text: str = "text", labels: str = "labels"
+) -> DataFrame:
+    """``label, size``: the largest slope of each classifier's objective where training stopped.
+
+    The objective is the mean (weighted) log loss plus half the penalty times the squared
+    weights, intercept left out. A size near zero says that it has been minimised.
+    """
+    rows = _through(model.stages.stages, df.select(_empty_text(text).alias(_TEXT), labels)).persist()
+    try:
+        n = max(1, rows.count())
+        weights = {}
+        if settings.use_pos_weight:
+            weights = {r["label"]: float(r["pos_weight"]) for r in positive_weights(rows, model.labels, labels).collect()}
+        found = []
+        fitted = {s.getProbabilityCol(): s for s in model.stages.stages if isinstance(s, LogisticRegressionModel)}
+        for i, name in enumerate(model.labels):
+            y = F.get(F.col(labels), F.lit(i))
+            w = F.when(y > 0, weights.get(name, 1.0)).otherwise(1.0)
+            miss = w * (F.get(vector_to_array(F.col(f"_prob_{name}")), F.lit(1)) - F.when(y > 0, 1.0).otherwise(0.0))
+            total = rows.agg(F.sum(w)).first()[0]
+            cells = rows.select(miss.alias("m"), F.posexplode(vector_to_array(F.col(_FEATURES))).alias("place", "x"))
+            slopes = cells.filter("x <> 0").groupBy("place").agg((F.sum(F.col("m") * F.col("x")) / total).alias("g"))
+            slope = {r["place"]: r["g"] for r in slopes.collect()}
+            theta = fitted[f"_prob_{name}"].coefficients.toArray()
+            penalty = 1.0 / (settings.c * n)
+            inner = rows.agg(F.sum(miss) / total).first()[0]
+            found.append((name, float(max(abs(inner), *(abs(slope.get(k, 0.0) + penalty * t) for k, t in enumerate(theta))))))
+    finally:
+        rows.unpersist()
+    return df.sparkSession.createDataFrame(found, "label string, size double")
+
+
 def fit_classifiers(
     features: DataFrame, label_fields: Sequence[str], labels: str, settings: TfidfSettings
 ) -> list[LogisticRegressionModel]:
@@ -187,38 +235,40 @@ def tune(
     combos = [dict(zip(names, values)) for values in islice(product(*grid.values()), max_trials)]
     finished = {r["params"]: r for r in done.collect()} if done is not None else {}
     spark, results, shared, scored = train.sparkSession, [], {}, []
-    for number, params in enumerate(combos, 1):
-        key = trial_key(params)
-        if key in finished:
-            old = finished[key]
-            results.append((number, key, old["f1_micro"], old["f1_macro"], old["auc_macro"]))
-            continue
-        settings = TfidfSettings(**params)
-        kind = (settings.max_features, settings.ngram_range)
-        if kind not in shared:
-            stages = fit_features(train, text, settings)
-            shared[kind] = [
-                _through(stages, d.select(_empty_text(text).alias(_TEXT), labels)).select(_FEATURES, labels).persist()
-                for d in (train, validation)
-            ]
-        fit_on, check_on = shared[kind]
-        found = _through(fit_classifiers(fit_on, label_fields, labels, settings), check_on)
-        probs = F.array(
-            *[F.get(vector_to_array(F.col(f"_prob_{x}")), F.lit(1)).cast("float") for x in label_fields]
-        )
-        rows = found.select(F.lit(number).alias("trial"), labels, probs.alias("probs"))
-        scored.append(to_long(rows, label_fields, ["trial"], labels))
-    if scored:
-        # all trials are measured in one job
-        long = scored[0]
-        for part in scored[1:]:
-            long = long.unionByName(part)
-        for r in summarize(evaluate_labels(long, ["trial"], threshold), ["trial"]).collect():
-            params = trial_key(combos[r["trial"] - 1])
-            results.append((r["trial"], params, r["f1_micro"], r["f1_macro"], r["auc_macro"]))
-    for frames in shared.values():
-        for frame in frames:
-            frame.unpersist()
+    try:
+        for number, params in enumerate(combos, 1):
+            key = trial_key(params)
+            if key in finished:
+                old = finished[key]
+                results.append((number, key, old["f1_micro"], old["f1_macro"], old["auc_macro"]))
+                continue
+            settings = TfidfSettings(**params)
+            kind = (settings.max_features, settings.ngram_range)
+            if kind not in shared:
+                stages = fit_features(train, text, settings)
+                shared[kind] = [
+                    _through(stages, d.select(_empty_text(text).alias(_TEXT), labels)).select(_FEATURES, labels).persist()
+                    for d in (train, validation)
+                ]
+            fit_on, check_on = shared[kind]
+            found = _through(fit_classifiers(fit_on, label_fields, labels, settings), check_on)
+            probs = F.array(
+                *[F.get(vector_to_array(F.col(f"_prob_{x}")), F.lit(1)).cast("float") for x in label_fields]
+            )
+            rows = found.select(F.lit(number).alias("trial"), labels, probs.alias("probs"))
+            scored.append(to_long(rows, label_fields, ["trial"], labels))
+        if scored:
+            # all trials are measured in one job
+            long = scored[0]
+            for part in scored[1:]:
+                long = long.unionByName(part)
+            for r in summarize(evaluate_labels(long, ["trial"], threshold), ["trial"]).collect():
+                params = trial_key(combos[r["trial"] - 1])
+                results.append((r["trial"], params, r["f1_micro"], r["f1_macro"], r["auc_macro"]))
+    finally:
+        for frames in shared.values():
+            for frame in frames:
+                frame.unpersist()
     best = max(results, key=lambda r: (r[2], -r[0]))[0] if results else None
     return spark.createDataFrame(
         [(*r, r[0] == best) for r in sorted(results)],

@@ -33,10 +33,12 @@ from modspark.operators import (
     tfidf,
     thresholds,
 )
+from modspark.operators.moderation import moderate
 from modspark.operators.scoring import BatchScorer, MapScorer
+from modspark.plans import reports as reports_plan
 from modspark.plans import standins as S
 from modspark.session import work_folder
-from modspark.sources import datasets, logs, reports, requests
+from modspark.sources import datasets, logs, reports, requests, settings_files
 from modspark.streaming import daily
 from modspark.streaming import moderation as stream_moderation
 
@@ -49,6 +51,21 @@ def register(fn: Query) -> Query:
     return fn
 
 
+ERROR_LAYOUT = {
+    "overall": ([], ["n", "f1_micro", "f1_macro", "auc_macro"]),
+    "confusion": (["label"], ["n", "tp", "fp", "fn", "tn"]),
+    "features": (["grp", "feature"], ["n", "mean", "median", "p90"]),
+    "cases": (["sha256"], ["max_abs_error", "length_chars"]),
+}
+FAIRNESS_LAYOUT = {
+    "labels": (["slice", "label"], ["n", "prevalence", "tpr", "fpr"]),
+    "slices": (["slice"], ["n", "f1_micro", "f1_macro", "auc_macro"]),
+    "label_gaps": (["slice", "label"], ["tpr_gap", "fpr_gap"]),
+    "metric_gaps": (["slice"], ["f1_micro_gap", "auc_macro_gap"]),
+}
+"""Key and value columns of the parts of a report."""
+
+
 def r6(c: Column | str) -> Column:
     return F.round((F.col(c) if isinstance(c, str) else c).cast("double"), 6)
 
@@ -610,6 +627,56 @@ def slice_metric_gaps(spark, sf_dir):
     return rounded(rows, "f1_micro_gap", "auc_macro_gap")
 
 
+def tidy(section: str, rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """``section, name, measure, value``: a result table as one value per row."""
+    name = F.concat_ws("/", *keys).alias("name") if keys else F.lit("").alias("name")
+    cells = F.explode(F.array(*[F.struct(F.lit(v).alias("m"), r6(v).alias("v")) for v in values])).alias("c")
+    return rows.select(F.lit(section).alias("section"), name, cells).select(
+        "section", "name", F.col("c.m").alias("measure"), F.col("c.v").alias("value")
+    )
+
+
+def tidy_report(report: reports_plan.Report, layout: dict[str, tuple[list[str], list[str]]]) -> DataFrame:
+    parts = [tidy(part, report[part], *layout[part]) for part in layout]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@register
+def whole_error_report(spark, sf_dir):
+    """Every part of the error report as one table."""
+    report = reports_plan.error_report(S.scored(spark, sf_dir, with_text=True), S.LABELS)
+    return tidy_report(report, ERROR_LAYOUT)
+
+
+@register
+def whole_fairness_report(spark, sf_dir):
+    """Every part of the fairness report as one table; the groups come from a settings file."""
+    report = reports_plan.fairness_report(S.scored(spark, sf_dir, with_text=True), S.stored_groups(), S.LABELS)
+    return tidy_report(report, FAIRNESS_LAYOUT)
+
+
+@register
+def identity_groups(spark, sf_dir):
+    """Documents that mention each group of a settings file, groups without terms included."""
+    groups = S.stored_groups()
+    members = fairness.slice_rows(docs(spark, sf_dir).select("doc_id", "text"), groups).groupBy("slice").agg(F.count("*").alias("n"))
+    listed = settings_files.groups_frame(spark, groups)
+    return listed.join(members, F.col("grp") == F.col("slice"), "left").select(
+        "grp", F.size("terms").cast("long").alias("n_terms"), F.coalesce("n", F.lit(0)).alias("n")
+    )
+
+
+@register
+def policy_messages(spark, sf_dir):
+    """Decisions by the message that a stored policy gives them."""
+    policy = S.stored_policy()
+    decided = moderate(S.messages(spark, sf_dir), S.scorers(), S.AGENT, policy)
+    return decided.groupBy("action", "policy_message").agg(F.count("*").alias("n"))
+
+
 # --- monitoring -------------------------------------------------------------
 
 
@@ -726,6 +793,47 @@ def tfidf_lr_scores(spark, sf_dir):
     )
 
 
+TERMS = tfidf.TfidfSettings(max_features=2_000)
+
+
+@register
+def tfidf_features(spark, sf_dir):
+    """TF-IDF weights of every document over the commonest terms of all of them."""
+    rows = docs(spark, sf_dir).select("doc_id", "text")
+    stages = tfidf.fit_features(rows, "text", TERMS)
+    return rounded(tfidf.weighted_terms(rows, stages, ["doc_id"], "text"), "weight")
+
+
+@register
+def tfidf_stationary(spark, sf_dir):
+    """Whether training has minimised each label's objective on the training rows."""
+    train, _ = _train_and_test(spark, sf_dir)
+    settings = tfidf.TfidfSettings(max_features=2_000)
+    sizes = tfidf.gradient_size(tfidf.train_tfidf_lr(train, S.LABELS, settings), train, settings)
+    return sizes.select("label", (F.col("size") < 1e-3).alias("minimised"))
+
+
+@register
+def tfidf_save_load(spark, sf_dir):
+    """How many scores of the other rows change when the model is saved and loaded."""
+    train, test = _train_and_test(spark, sf_dir)
+    path = work_folder(spark, "model")
+    model = tfidf.train_tfidf_lr(train, S.LABELS, tfidf.TfidfSettings(max_iter=5))
+    model.save(path)
+    both = tfidf.TfidfModel.load(path).score(model.score(test, "text", "a"), "text", "b")
+    return both.agg(F.count_if(F.col("a") != F.col("b")).alias("differing"), F.count("*").alias("n"))
+
+
+@register
+def tune_agrees(spark, sf_dir):
+    """The trial that tuning calls best against the arg-max of its own results."""
+    trials = tune_grid(spark, sf_dir)
+    top = F.max_by("trial", F.struct("f1_micro", -F.col("trial")))
+    return trials.agg(
+        (F.max(F.when(F.col("best"), F.col("trial"))) == top).alias("agrees"), F.count_if("best").alias("bests")
+    )
+
+
 @register
 def tfidf_evaluation(spark, sf_dir):
     """The fitted classifiers and the stand-in scores, compared on the same rows."""

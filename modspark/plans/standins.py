@@ -6,18 +6,22 @@ They stand in for a model's output and are not a model.
 
 from __future__ import annotations
 
+import json
+import os
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modspark import constants as K
-from modspark.config import AgentSettings
+from modspark.config import AgentSettings, PolicyRules
 from modspark.functions.language import guarded
 from modspark.functions.numbers import bind
 from modspark.functions.text import content_hash
 from modspark.operators.moderation import ScorerSet, moderate
 from modspark.operators.scoring import ExpressionScorer
+from modspark.sources.settings_files import load_groups, load_policy
 
 LABELS = ("toxic", "quality")
 AGENT = AgentSettings(forced_languages=("vi",))
@@ -114,6 +118,25 @@ def decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.join(clock, "doc_id", "left").withColumn("day", F.to_date("ts"))
 
 
+def _stored(content: dict) -> str:
+    """A settings file for the driver program, which alone reads such files."""
+    handle, path = tempfile.mkstemp(suffix=".json")
+    with os.fdopen(handle, "w") as file:
+        json.dump(content, file)
+    return path
+
+
+def stored_groups() -> dict[str, list[str]]:
+    return load_groups(_stored({"groups": TERM_GROUPS}))
+
+
+def stored_policy() -> PolicyRules:
+    """A policy that names every action after itself."""
+    actions = {a: {"user_message": f"{a.lower()} it"} for a in K.ACTIONS}
+    labels = {x: {"display_name": x} for x in K.LABEL_DISPLAY_NAMES}
+    return load_policy(_stored({"actions": actions, "labels": labels}))
+
+
 def score_columns(text_hash: Column, salt: str) -> list[Column]:
     return [uniform(text_hash, x, salt).alias(f"u_{x}") for x in LABELS]
 
