@@ -36,13 +36,15 @@ class JaccardJoin:
 
     Similarity is at least ``at_least`` hundredths; sets are ``shingle``-word runs. Tokens
     of more than ``frequent`` documents are indexed in combinations. ``filter_bytes`` is
-    the size of the broadcast token filters, whatever the size of the corpus.
+    the size of the broadcast token filters, whatever the size of the corpus. A set that is
+    compared with more than ``pairs_a_part`` others is dealt out to several tasks.
     """
 
     at_least: int = 85
     shingle: int = 4
     frequent: int = 64
     filter_bytes: int = 32 << 20
+    pairs_a_part: int = 128
 
     def required(self, n: np.ndarray | int) -> np.ndarray | int:
         """Least overlap of a set of n tokens with any similar set."""
@@ -270,8 +272,15 @@ def verified(pairs: DataFrame, texts: DataFrame, settings: JaccardJoin) -> DataF
 
     ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
     used = texts.join(ends, "sig", "left_semi").dropDuplicates(["sig"])
-    with_b = pairs.join(used.select(F.col("sig").alias("b"), F.col("text").alias("text_b")), "b")
-    with_a = with_b.join(used.select(F.col("sig").alias("a"), F.col("text").alias("text_a")), "a")
+    # a set that very many are compared with is dealt out in parts, its text once to each
+    load = pairs.groupBy("a").agg(F.ceil(F.count("*") / settings.pairs_a_part).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part")
+    dealt = pairs.join(load, "a").select("a", "b", part)
+    with_b = dealt.join(used.select(F.col("sig").alias("b"), F.col("text").alias("text_b")), "b")
+    centres = load.join(used.withColumnRenamed("sig", "a"), "a").select(
+        "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("text").alias("text_a")
+    )
+    with_a = with_b.join(centres, ["a", "part"])
     return saved(with_a.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a binary, b binary"))
 
 

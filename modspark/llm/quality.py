@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modspark.llm.scores import with_score
+from modspark.llm.scores import hashed_sample, with_score
 from modspark.llm.words import Words, run_hashes, word_slices
 
 KINDS = (
@@ -241,7 +241,7 @@ def fitted(docs: DataFrame, labels: DataFrame, held_out: Column, fit: AdditiveFi
     """
     truth = labels.filter(~held_out).filter("quality is not null and doc_id is not null")
     truth = truth.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    sample = truth.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.rows)
+    sample = hashed_sample(truth, "doc_id", fit.rows)
     rows = described(docs.join(F.broadcast(sample.select("doc_id")), "doc_id"))
     rows = rows.join(F.broadcast(sample), "doc_id").orderBy(F.xxhash64("doc_id"), *FEATURES).limit(fit.rows).toPandas()
     return trained(rows[list(FEATURES)].to_numpy(float), rows["quality"].to_numpy(float), fit)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modspark.llm.scores import with_score
+from modspark.llm.scores import hashed_sample, with_score
 from modspark.llm.words import BLANK, LOWER, Words, word_slices
 
 TABLE_BITS = 21
@@ -251,8 +251,7 @@ def labelled_sentences(docs: DataFrame, labels: DataFrame, fit: ToxicityFit) ->
     truth = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = []
     for toxic in (0, 1):
-        kind = truth.filter(F.col("toxic") == toxic)
-        chosen.append(kind.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.documents))
+        chosen.append(hashed_sample(truth.filter(F.col("toxic") == toxic), "doc_id", fit.documents))
     sample = F.broadcast(chosen[0].union(chosen[1]))
     cut = docs.join(sample, "doc_id").select(
         "doc_id", "toxic", F.explode(F.split(F.coalesce("text", F.lit("")), SENTENCE)).alias("sentence")
