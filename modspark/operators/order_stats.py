@@ -168,15 +168,18 @@ def smallest_keys_cut(keys: DataFrame, key: str, k: int | None, share: float | N
     run = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
     steps = hist.withColumn("upto", F.sum("w").over(run))
     if k is None:
-        total = hist.agg(F.sum("w")).first()[0] or 0
-        k = int(total * share)
+        # the histogram is bounded, so the total and the cell come from one job
+        steps = steps.withColumn("total", F.sum("w").over(Window.partitionBy()))
+        wanted = F.floor(F.col("total") * F.lit(float(share))).cast("long")
     else:
-        total = None
-    if k <= 0:
-        return None, 0, total
-    found = steps.filter(F.col("upto") >= k).orderBy("cell").select("cell", "upto", "w").first()
+        steps = steps.withColumn("total", F.lit(None).cast("long"))
+        wanted = F.lit(int(k))
+    steps = steps.withColumn("k", wanted).filter((F.col("upto") >= F.col("k")) & (F.col("k") > 0))
+    found = steps.orderBy("cell").first() if k is None or k > 0 else None
     if found is None:
-        return (1 << KEY_BITS), 0, total
+        # nothing wanted, or more than there is
+        return (None if k is None or k <= 0 else 1 << KEY_BITS), 0, None
+    k, total = found["k"], found["total"]
     below = found["upto"] - found["w"]
     inside = keys.filter(cell == found["cell"]).groupBy(key).agg(F.count("*").alias("w"))
     run = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
@@ -190,24 +193,21 @@ def smallest_keys_cut(keys: DataFrame, key: str, k: int | None, share: float | N
 
 
 def drop_any(df: DataFrame, condition: Column, spare: int) -> DataFrame:
-    """Leave out ``spare`` of the rows that meet ``condition``, which are copies of one row.
+    """Leave out ``spare`` of the rows that meet ``condition``, rows that tie on their key.
 
-    Rows are counted per input partition; whole partitions are dropped up to the one in
-    which the count is reached, so no task gets more than one partition's rows. Needs an
-    input whose partitions do not change between runs, such as a file scan.
+    A hash of the whole row decides between them, so the result rests on the rows alone and
+    not on where they lie. Rows that are equal in every column collapse to one, which is
+    then repeated as often as it has to stay.
     """
     if spare <= 0:
         return df
-    tagged = df.withColumn("_part", F.spark_partition_id()).withColumn("_tied", condition)
-    per = tagged.filter("_tied").groupBy("_part").agg(F.count("*").alias("w"))
-    run = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
-    at = (
-        per.withColumn("upto", F.sum("w").over(run))
-        .filter(F.col("upto") >= spare)
-        .orderBy("_part")
-        .first()
-    )
-    keep = at["upto"] - spare
-    plain = tagged.filter(~F.col("_tied") | (F.col("_part") > at["_part"]))
-    rest = tagged.filter(F.col("_tied") & (F.col("_part") == at["_part"])).limit(keep)
-    return plain.unionByName(rest).drop("_part", "_tied")
+    whole = F.shiftrightunsigned(F.xxhash64(F.to_json(F.struct(*df.columns))), 64 - KEY_BITS)
+    tied = df.filter(condition).withColumn("_whole", whole)
+    cut, extra, _ = smallest_keys_cut(tied.select("_whole"), "_whole", tied.count() - spare)
+    plain = df.filter(~condition)
+    if cut is None:
+        return plain
+    equal = tied.filter(F.col("_whole") == cut)
+    copies = F.explode(F.sequence(F.lit(1), F.lit(equal.count() - extra))).alias("_copy")
+    repeated = equal.limit(1).select("*", copies).select(*df.columns)
+    return plain.unionByName(tied.filter(F.col("_whole") < cut).select(*df.columns)).unionByName(repeated)

@@ -40,8 +40,8 @@ def downsample_negatives(
 ) -> DataFrame:
     """Keep all positives and exactly ``int(n_negatives * ratio)`` negatives.
 
-    The negatives with the smallest order keys stay: after two small counting jobs the
-    result is a plain filter over one scan.
+    The negatives with the smallest order keys stay: two counting jobs find the cut, one
+    over a histogram and one over a cell of it, and the result is a filter over the scan.
     """
     if ratio >= 1.0:
         return df

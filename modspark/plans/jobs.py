@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,12 +99,17 @@ def moderate_table(
     settings: AgentSettings = AgentSettings(),
     policy: PolicyRules = PolicyRules(),
     logging: LogSettings = LogSettings(),
+    run: str | None = None,
 ) -> None:
-    """Decide over a table of texts or requests; appends to ``out/log`` and ``out/queue``.
+    """Decide over a table of texts or requests; adds to ``out/log`` and ``out/queue``.
+
+    Every run has a folder of its own in both, named after ``run`` or else after the input
+    table, so a job that is started again replaces what it wrote.
 
     Language comes from a ``lang`` column, or from a trigram model trained on
     ``language_table`` (``text, lang``).
     """
+    run = run or hashlib.sha1(path.encode()).hexdigest()[:12]
     rows = spark.read.parquet(path)
     if "texts" in rows.columns:
         rows = request_texts(rows)
@@ -117,8 +123,8 @@ def moderate_table(
     decided = decided.persist()
     try:
         stamp = F.current_timestamp()
-        logs.append_json(logs.prediction_records(decided, stamp, logging), f"{out}/log")
-        logs.append_json(logs.review_records(decided, stamp), f"{out}/queue")
+        logs.append_json(logs.prediction_records(decided, stamp, logging), f"{out}/log", run)
+        logs.append_json(logs.review_records(decided, stamp), f"{out}/queue", run)
     finally:
         decided.unpersist()
 

@@ -54,8 +54,12 @@ def review_records(decisions: DataFrame, ts: Column | None = None, text: str = "
     )
 
 
-def append_json(records: DataFrame, path: str) -> None:
-    records.write.mode("append").partitionBy("dt").json(path)
+def append_json(records: DataFrame, path: str, run: str | None = None) -> None:
+    """Add records by day. A named run owns a folder and overwrites it, so a restart adds nothing twice."""
+    if run is None:
+        records.write.mode("append").partitionBy("dt").json(path)
+    else:
+        records.write.mode("overwrite").partitionBy("dt").json(f"{path}/run={run}")
 
 
 def read_prediction_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -65,3 +65,20 @@ def latest_days(updates: DataFrame) -> DataFrame:
     return updates.groupBy("day", "action", "language").agg(newest).select(
         "day", "action", "language", "v.n", "v.mean_score"
     )
+
+
+def compact_days(updates: DataFrame, path: str, before: str) -> None:
+    """Write the final counts of all days before ``before`` once, one folder per day.
+
+    Run again, it replaces the days it finds and leaves others alone. The update folders of
+    these days may then go; ``all_days`` reads both.
+    """
+    closed = latest_days(updates.filter(F.to_date("day") < F.lit(before).cast("date")))
+    closed = closed.withColumn("dt", F.to_date("day"))
+    closed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
+
+
+def all_days(updates: DataFrame, compacted: DataFrame, before: str) -> DataFrame:
+    """Counts of all days: closed ones from the compacted table, open ones from the updates."""
+    closed = compacted.filter(F.col("dt") < F.lit(before).cast("date")).drop("dt")
+    return closed.unionByName(latest_days(updates.filter(F.to_date("day") >= F.lit(before).cast("date"))))

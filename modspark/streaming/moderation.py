@@ -32,7 +32,8 @@ def moderate_stream(
     """Score, decide, log and queue each micro-batch of ``text, lang``.
 
     foreachBatch may run a batch again after a failure. Each batch owns one folder per
-    target and overwrites it, so a replay leaves no second copy.
+    target, split by day, and overwrites it, so a replay leaves no second copy and a day's
+    report reads that day only.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -44,7 +45,7 @@ def moderate_stream(
                 (prediction_records(rows, ts, logging), targets.log),
                 (review_records(rows, ts), targets.queue),
             ):
-                records.write.mode("overwrite").json(f"{path}/batch_id={batch_id}")
+                records.write.mode("overwrite").partitionBy("dt").json(f"{path}/batch_id={batch_id}")
         finally:
             rows.unpersist()
 

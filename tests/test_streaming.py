@@ -98,3 +98,18 @@ def test_daily(spark, tmp_path):
     write(log_rows(1, [12], 9.0))
     run(daily.append_closed_days, "closed")
     assert rows(spark.read.schema(everything.schema).parquet(str(tmp_path / "closed"))) == rows(closed)
+
+
+def test_compacted_days_replace_their_updates(spark, tmp_path):
+    rows = [("2024-01-01", "ALLOW", 1, 0.1, 0), ("2024-01-01", "ALLOW", 3, 0.3, 1), ("2024-01-02", "WARN", 2, 0.5, 1), ("2024-01-02", "WARN", 4, 0.6, 2)]
+    updates = spark.createDataFrame([(d, a, "en", n, s, b) for d, a, n, s, b in rows], "day string, action string, language string, n long, mean_score double, batch_id int")
+    updates = updates.withColumn("day", F.col("day").cast("timestamp"))
+    path = str(tmp_path / "closed")
+    for _ in range(2):
+        daily.compact_days(updates, path, "2024-01-02")
+    closed = spark.read.parquet(path)
+    assert [(r["n"], str(r["dt"])) for r in closed.collect()] == [(3, "2024-01-01")]
+    plan = closed.filter("dt = date'2024-01-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
+    found = daily.all_days(updates, closed, "2024-01-02").orderBy("day").collect()
+    assert [(r["action"], r["n"]) for r in found] == [("ALLOW", 3), ("WARN", 4)]
