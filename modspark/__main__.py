@@ -8,10 +8,10 @@ import json
 from pyspark.sql import SparkSession
 
 from modspark import constants as K
-from modspark.config import LogSettings, PolicyRules
+from modspark.config import AgentSettings, LogSettings, PolicyRules
 from modspark.operators.tfidf import TfidfSettings
 from modspark.plans import jobs, reports
-from modspark.sources.settings_files import load_groups, load_policy
+from modspark.sources.settings_files import load_agent, load_groups, load_policy
 
 
 def _pairs(text: str) -> dict[str, str]:
@@ -57,10 +57,21 @@ def _parser() -> argparse.ArgumentParser:
     c = add("moderate", "decide over a table of texts or requests", "data", "model")
     c.add_argument("--language-table")
     c.add_argument("--policy", help="YAML or JSON file of policy rules")
+    c.add_argument("--agent", help="YAML or JSON file of cut-offs and routing switches")
+    for route in ("multilingual", "finetuned", "vi"):
+        c.add_argument(f"--{route}", help="a further scorer: model folder, column:NAME or MODULE:FUNCTION")
+    c.add_argument("--run", help="name of this run; its folder is overwritten when it starts again")
     c.add_argument("--store-raw-text", action="store_true")
     c.add_argument("--store-redacted-text", action="store_true")
     c = add("report", "monitoring report of a prediction log", "log")
     c.add_argument("--daily", action="store_true")
+    c = add("prepare-classes", "three-class rows to a prepared table", "data")
+    c.add_argument("--format", default="parquet")
+    c = add("apply-thresholds", "counts at the thresholds of a search", "data", "model", "thresholds")
+    c.add_argument("--split", default="test")
+    add("drift", "daily drift of a prediction log", "log", "reference-until")
+    add("retrain-set", "the next training set", "queue", "reviewed", "train")
+    add("leak-scan", "raw text in JSON reports", "data")
     add("benchmark", "percentiles of measured latencies", "data", "column")
     return parser
 
@@ -95,11 +106,24 @@ def main(argv: list[str] | None = None) -> None:
             o.model,
             o.out,
             o.language_table,
+            load_agent(o.agent) if o.agent else AgentSettings(),
             policy=load_policy(o.policy) if o.policy else PolicyRules(),
+            run=o.run,
+            others={r: getattr(o, r) for r in ("multilingual", "finetuned", "vi") if getattr(o, r)},
             logging=LogSettings(o.store_raw_text, o.store_redacted_text),
         )
     elif o.command == "report":
         jobs.report(spark, o.log, o.out, o.daily)
+    elif o.command == "prepare-classes":
+        jobs.prepare_classes(spark, o.data, o.out, o.format)
+    elif o.command == "apply-thresholds":
+        jobs.apply_stored_thresholds(spark, o.data, o.model, o.thresholds, o.out, labels, o.split)
+    elif o.command == "drift":
+        jobs.drift(spark, o.log, o.out, o.reference_until)
+    elif o.command == "retrain-set":
+        jobs.retrain(spark, o.queue, o.reviewed, o.train, o.out)
+    elif o.command == "leak-scan":
+        jobs.scan_for_leaks(spark, o.data, o.out)
     elif o.command == "benchmark":
         jobs.latency(spark, o.data, o.column, o.out)
 

@@ -42,6 +42,19 @@ class ExpressionScorer(Scorer):
         return df.withColumn(out, computed_once(scores if where is None else F.when(where, scores)))
 
 
+@dataclass(frozen=True)
+class ColumnScorer(Scorer):
+    """Scores that a table holds already, as an array in label order."""
+
+    name: str
+    labels: Sequence[str]
+    column: str
+
+    def score(self, df, text, out, where=None):
+        scores = F.col(self.column).cast("array<float>")
+        return df.withColumn(out, scores if where is None else F.when(where, scores))
+
+
 @dataclass(frozen=True)
 class MapScorer(Scorer):
     """Wraps an expression that yields a map of scores under the model's own label names."""

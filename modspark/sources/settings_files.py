@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import json
+from dataclasses import fields
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modspark.config import PolicyRules
+from modspark.config import AgentSettings, PolicyRules
 
 
 def _read(path: str) -> dict:
@@ -33,6 +34,17 @@ def load_policy(path: str) -> PolicyRules:
     )
 
 
+def load_agent(path: str) -> AgentSettings:
+    """Cut-offs and routing switches; settings that are not given keep their defaults."""
+    given = _read(path)
+    known = {f.name for f in fields(AgentSettings)}
+    if set(given) - known:
+        raise ValueError(f"unknown agent settings: {sorted(set(given) - known)}")
+    if "forced_languages" in given:
+        given["forced_languages"] = tuple(given["forced_languages"])
+    return AgentSettings(**given)
+
+
 def load_groups(path: str) -> dict[str, list[str]]:
     """Identity-term groups; terms are trimmed and blank ones dropped."""
     groups = _read(path).get("groups")

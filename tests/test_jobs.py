@@ -2,7 +2,9 @@
 
 import json
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from modspark.__main__ import main
 
@@ -63,3 +65,61 @@ def test_benchmark(spark, root):
     spark.createDataFrame([(float(i),) for i in range(101)], "ms double").write.parquet(f"{root}/ms")
     main(["benchmark", "--data", f"{root}/ms", "--column", "ms", "--out", f"{root}/latency"])
     assert table(spark, root / "latency")[0] == {"n": 101, "p50_ms": 50.0, "p95_ms": 95.0, "p99_ms": 99.0, "mean_ms": 50.0}
+
+
+def bad_words():
+    """A Python model for the command line: the share of known bad words decides."""
+    return lambda texts: np.array([[0.9 if "bad" in t or "awful" in t else 0.1] * 1 for t in texts])
+
+
+def test_other_scorers(spark, root):
+    spark.read.parquet(f"{root}/data").withColumn("stored", F.array(F.lit(0.2))).write.mode("overwrite").partitionBy("split").parquet(f"{root}/stored")
+    models = f"python=tests.test_jobs:bad_words,stored=column:stored,tfidf={root}/model"
+    main(["eval", "--data", f"{root}/stored", "--models", models, "--out", f"{root}/eval2", "--labels", "toxic"])
+    got = {r["model"]: r for r in table(spark, root / "eval2")}
+    assert got["python"]["f1_micro"] == got["tfidf"]["f1_micro"] == 1.0 and got["stored"]["f1_micro"] == 0.0
+    main(["fairness", "--data", f"{root}/stored", "--model", "column:stored", "--labels", "toxic", "--out", f"{root}/c2", "--split", "train"])
+    assert table(spark, root / "c2/fairness/slices")
+
+
+def test_stored_thresholds(spark, root):
+    common = ["--data", f"{root}/data", "--model", f"{root}/model", "--labels", "toxic"]
+    main(["threshold-search", *common, "--out", f"{root}/a2"])
+    main(["apply-thresholds", *common, "--thresholds", f"{root}/a2/thresholds/per_label", "--out", f"{root}/a3"])
+    (row,) = table(spark, root / "a3")
+    assert row["label"] == "toxic" and row["f1"] == 1.0 and row["fp"] == row["fn"] == 0
+
+
+def test_all_routes_from_the_job(spark, root):
+    six = lambda v: [v, *[0.0] * 5]
+    rows = [
+        ("low", "en", six(0.1), six(0.1), six(0.0), [0.0, 0.0]),
+        ("borderline", "en", six(0.5), six(0.0), [0.9, 0.2, 0.0, 0.0, 0.0, 0.0], [0.0, 0.0]),
+        ("vi", "vi", six(0.05), six(0.0), six(0.0), [0.85, 0.1]),
+        ("unused", "en", six(0.05), six(0.0), six(0.0), [0.99, 0.99]),
+    ]
+    kinds = "text string, lang string, f array<double>, m array<double>, t array<double>, v array<double>"
+    spark.createDataFrame(rows, kinds).write.parquet(f"{root}/routed")
+    (root / "agent.json").write_text(json.dumps({"forced_languages": ["vi"]}))
+    for _ in range(2):
+        main(["moderate", "--data", f"{root}/routed", "--model", "column:f", "--multilingual", "column:m", "--finetuned", "column:t",
+              "--vi", "column:v", "--agent", f"{root}/agent.json", "--store-raw-text", "--out", f"{root}/served2"])
+    got = {r["text"]: r for r in spark.read.json(f"{root}/served2/log").collect()}
+    assert spark.read.json(f"{root}/served2/log").count() == 4
+    assert {t: r["action"] for t, r in got.items()} == {"low": "ALLOW", "borderline": "REVIEW", "vi": "BLOCK", "unused": "ALLOW"}
+    main(["drift", "--log", f"{root}/served2/log", "--reference-until", "2999-01-01", "--out", f"{root}/drift"])
+    (root / "agent.json").write_text(json.dumps({"typo": 1}))
+    with pytest.raises(ValueError):
+        main(["moderate", "--data", f"{root}/routed", "--model", "column:f", "--agent", f"{root}/agent.json", "--out", f"{root}/x"])
+
+
+def test_classes_leaks_and_retraining(spark, root):
+    raw = [(f"text {i}", ["CLEAN", "offensive", "2"][i % 3], ["train", "dev", "test"][i % 5 % 3]) for i in range(30)]
+    spark.createDataFrame(raw, "free_text string, label_id string, type string").write.parquet(f"{root}/classes")
+    main(["prepare-classes", "--data", f"{root}/classes", "--out", f"{root}/classes_out"])
+    assert spark.read.parquet(f"{root}/classes_out/rows").count() == 30 and table(spark, root / "classes_out/summary")
+    main(["leak-scan", "--data", f"{root}/classes_out/summary", "--out", f"{root}/leaks"])
+    kind = "text_sha256 string, text string, labels array<double>"
+    spark.createDataFrame([("h", "t", [1.0])], kind).write.parquet(f"{root}/reviewed")
+    main(["retrain-set", "--queue", f"{root}/nothing", "--reviewed", f"{root}/reviewed", "--train", f"{root}/reviewed", "--out", f"{root}/next"])
+    assert [r["origin"] for r in spark.read.parquet(f"{root}/next").collect()] == ["train"]
