@@ -34,6 +34,8 @@ HEADLINE = (
     "rolling_f1",
     "downsample_negatives",
     "language_id",
+    "tfidf_evaluation",
+    "tune_grid",
 )
 
 

@@ -6,10 +6,8 @@ They stand in for a model's output and are not a model.
 
 from __future__ import annotations
 
-import json
-import os
-import tempfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,23 +116,17 @@ def decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.join(clock, "doc_id", "left").withColumn("day", F.to_date("ts"))
 
 
-def _stored(content: dict) -> str:
-    """A settings file for the driver program, which alone reads such files."""
-    handle, path = tempfile.mkstemp(suffix=".json")
-    with os.fdopen(handle, "w") as file:
-        json.dump(content, file)
-    return path
+SETTINGS = Path(__file__).with_name("settings")
+"""Settings files of the registered queries; the driver program alone reads them."""
 
 
 def stored_groups() -> dict[str, list[str]]:
-    return load_groups(_stored({"groups": TERM_GROUPS}))
+    return load_groups(str(SETTINGS / "groups.json"))
 
 
 def stored_policy() -> PolicyRules:
     """A policy that names every action after itself."""
-    actions = {a: {"user_message": f"{a.lower()} it"} for a in K.ACTIONS}
-    labels = {x: {"display_name": x} for x in K.LABEL_DISPLAY_NAMES}
-    return load_policy(_stored({"actions": actions, "labels": labels}))
+    return load_policy(str(SETTINGS / "policy.json"))
 
 
 def score_columns(text_hash: Column, salt: str) -> list[Column]:
