@@ -72,7 +72,7 @@ def report(log: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         always = log.sparkSession.createDataFrame(
             [("rows", ""), ("overall_score", "")], "section string, name string"
         )
-        out = out.join(F.broadcast(always), ["section", "name"], "full").select(
+        out = out.join(always, ["section", "name"], "full").select(
             "section", "name", F.coalesce("n", F.lit(0)).alias("n"), "mean"
         )
     zero = F.when(F.col("section") == "overall_score", F.lit(0.0))

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import islice, product
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (
@@ -19,14 +20,13 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from modspark import constants as K
 from modspark.operators.metrics import evaluate_labels, positive_weights, summarize, to_long
 from modspark.operators.scoring import Scorer
 
-ROWS_PER_TASK = 2_000
 _TEXT, _FEATURES = "_tfidf_text", "_tfidf"
 
 
@@ -99,6 +99,24 @@ class TfidfModel(Scorer):
         return TfidfModel([c.removeprefix("_prob_") for c in columns], stages)
 
 
+def _commonest(terms: DataFrame, most: int) -> list[str]:
+    """The commonest terms, by name among equals, so that two fits agree.
+
+    A table of how many terms have which count finds the least count that can stay; rarer
+    terms are filtered out before the rest is put in order.
+    """
+    counted = terms.groupBy("term").agg(F.count("*").alias("n")).persist(StorageLevel.DISK_ONLY)
+    try:
+        by_count = counted.groupBy("n").agg(F.count("*").alias("terms"))
+        down = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+        cut = by_count.withColumn("upto", F.sum("terms").over(down)).filter(F.col("upto") >= most)
+        least = cut.agg(F.max("n")).first()[0] or 1
+        top = counted.filter(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(most)
+        return [r["term"] for r in top.collect()]
+    finally:
+        counted.unpersist()
+
+
 def fit_features(df: DataFrame, text: str, settings: TfidfSettings) -> list[Transformer]:
     """Stages from text to unit-length TF-IDF vectors.
 
@@ -107,12 +125,9 @@ def fit_features(df: DataFrame, text: str, settings: TfidfSettings) -> list[Tran
     """
     stages, terms_column = _term_stages(settings.ngram_range)
     terms = _through(stages, df.select(_empty_text(text).alias(_TEXT))).select(terms_column)
-    # the commonest terms, by name among equals, so that two fits agree
-    counted = terms.select(F.explode(terms_column).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    top = counted.orderBy(F.desc("n"), "term").limit(settings.max_features).collect()
-    if not top:
+    vocabulary = _commonest(terms.select(F.explode(terms_column).alias("term")), settings.max_features)
+    if not vocabulary:
         raise ValueError("no text has a term")
-    vocabulary = [r["term"] for r in top]
     counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol=terms_column, outputCol="_tf")
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(counter.transform(terms))
     scale = ElementwiseProduct(
@@ -168,8 +183,6 @@ def fit_classifiers(
 ) -> list[LogisticRegressionModel]:
     """One classifier per label on a frame with a feature vector and a label array."""
     n = max(features.count(), 1)
-    # every iteration adds up a gradient per partition; few rows need few partitions
-    features = features.coalesce(max(1, min(features.rdd.getNumPartitions(), n // ROWS_PER_TASK)))
     weights = {}
     if settings.use_pos_weight:
         found = positive_weights(features, label_fields, labels).collect()
