@@ -14,7 +14,7 @@ can cost work, never a link.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,7 +43,7 @@ class JaccardJoin:
     at_least: int = 85
     shingle: int = 4
     frequent: int = 64
-    filter_bytes: int = 32 << 20
+    filter_bytes: int = 16 << 20
     pairs_a_part: int = 128
 
     def required(self, n: np.ndarray | int) -> np.ndarray | int:
@@ -54,11 +54,11 @@ class JaccardJoin:
 class TokenFilter:
     """Two Bloom filters (several documents, frequent), one segment per range of hashes."""
 
-    def __init__(self, bits: int, ranges: int, segments: dict[int, bytes]):
+    def __init__(self, bits: int, ranges: int, segments: Iterable[tuple[int, bytes]]):
         self.shift = np.uint64(64 - (ranges.bit_length() - 1)) if ranges > 1 else None
         self.bits = bits
         self.table = np.zeros(ranges * bits // 8, np.uint8)
-        for at, raw in segments.items():
+        for at, raw in segments:
             self.table[at * bits // 8 : (at + 1) * bits // 8] = np.frombuffer(raw, np.uint8)
 
     @staticmethod
@@ -166,7 +166,7 @@ def token_filter(docs: DataFrame, settings: JaccardJoin) -> TokenFilter:
 
     counted = docs.select("text").mapInArrow(count_own, "range int, piece binary")
     segments = counted.groupBy("range").applyInArrow(sum_range, "range int, segment binary")
-    return TokenFilter(bits, ranges, {r["range"]: bytes(r["segment"]) for r in segments.collect()})
+    return TokenFilter(bits, ranges, ((r["range"], r["segment"]) for r in segments.toLocalIterator()))
 
 
 def prefix_keys(

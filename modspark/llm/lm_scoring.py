@@ -16,7 +16,7 @@ account, so that a filter far too small tends to the unigram model.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,15 +59,17 @@ MOST_LEVELS = 64
 class FilterPart:
     """A Bloom filter of (n-gram, level) entries in one segment of bits per range of hashes."""
 
-    def __init__(self, model: BloomModel, ranges: int, total_bytes: int, segments: dict[int, bytes]):
+    def __init__(self, model: BloomModel, ranges: int, total_bytes: int, segments: Iterable[tuple[int, bytes]]):
         self.model, self.ranges, self.bits = model, ranges, segment_bits(total_bytes, ranges)
         self.table = np.zeros(ranges * self.bits // 8, np.uint8)
         size = self.bits // 8
-        for at, raw in segments.items():
+        filled = 0
+        for at, raw in segments:
+            filled += 1
             self.table[at * size : (at + 1) * size] = np.frombuffer(raw, np.uint8)
         step = 1 << 20
         on = sum(int(np.bitwise_count(self.table[i : i + step]).sum()) for i in range(0, len(self.table), step))
-        self.false_rate = (on / max(1, self.bits * len(segments))) ** model.probes
+        self.false_rate = (on / max(1, self.bits * filled)) ** model.probes
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Estimated counts; every hit is worth less by the rate of false ones."""
@@ -224,7 +226,7 @@ def counted_words(parts: DataFrame, ranges: int, model: BloomModel) -> DataFrame
     return saved(parts.groupBy("range").applyInArrow(count, schema))
 
 
-def bigram_segments(docs: DataFrame, ranges: int, model: BloomModel) -> dict[int, bytes]:
+def bigram_segments(docs: DataFrame, ranges: int, model: BloomModel) -> Iterator[tuple[int, bytes]]:
     bits = segment_bits(model.bigram_bytes, ranges)
 
     def pieces(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -269,7 +271,7 @@ def bigram_segments(docs: DataFrame, ranges: int, model: BloomModel) -> dict[int
 
     packed_rows = docs.filter(~F.col("held_out")).select("text").mapInArrow(cut, "range int, n int, piece binary, counts binary")
     filled = packed_rows.groupBy("range").applyInArrow(fill, "range int, segment binary")
-    return {r["range"]: bytes(r["segment"]) for r in filled.toLocalIterator()}
+    return ((r["range"], r["segment"]) for r in filled.toLocalIterator())
 
 
 def scored(docs: DataFrame, held_out: F.Column, model: BloomModel = BloomModel()) -> DataFrame:
@@ -288,7 +290,7 @@ def scored(docs: DataFrame, held_out: F.Column, model: BloomModel = BloomModel()
     own = counted.filter("block is null")
     sums = own.agg(F.sum("tokens"), F.sum("vocabulary")).first()
     n_train, vocabulary = int(sums[0] or 0), int(sums[1] or 0)
-    words = FilterPart(model, ranges, model.unigram_bytes, {r["range"]: bytes(r["counts"]) for r in own.toLocalIterator()})
+    words = FilterPart(model, ranges, model.unigram_bytes, ((r["range"], r["counts"]) for r in own.toLocalIterator()))
     pairs = FilterPart(model, ranges, model.bigram_bytes, bigram_segments(rows, ranges, model))
     shared = spark.sparkContext.broadcast((words, pairs))
     norm = n_train + model.add * (vocabulary + 1)

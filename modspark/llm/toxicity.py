@@ -69,8 +69,8 @@ class ToxicityFit:
     """
 
     documents: int = 3000
-    sentences: int = 80_000
-    landmarks: int = 384
+    sentences: int = 50_000
+    landmarks: int = 256
     decay: float = 0.7
     penalty: float = 1e-4
     turns: int = 5
@@ -313,13 +313,13 @@ def trained(sample: list[tuple[int, str, int]], share: float, fit: ToxicityFit)
         np.add.at(table, k, v * (root @ w)[r])
         return ToxicityModel(table.astype(np.float32), b, fit.decay, np.zeros(5))
 
-    every = pa.array([" ".join(names)])
+    every = [pa.array([" ".join(names[i : i + 5000])]) for i in range(0, len(names), 5000)]
     toxic_docs = [d for d in texts if label[d] == 1]
     clean_pool = np.concatenate(
-        (clean[np.argsort(-seen[0][clean], kind="stable")[:4000]], rng.choice(clean, min(4000, len(clean)), replace=False))
+        (clean[np.argsort(-seen[0][clean], kind="stable")[:3000]], rng.choice(clean, min(3000, len(clean)), replace=False))
     )
     only = np.unique(np.concatenate([bags[d] for d in toxic_docs]))
-    only = only[np.argsort(-standing[only], kind="stable")][:4000]
+    only = only[np.argsort(-standing[only], kind="stable")][:3000]
     pool = np.unique(np.concatenate((clean_pool, only)))
     # at first only words that several toxic documents share can be the toxic ones
     shared = seen[1] > 1
@@ -343,10 +343,10 @@ def trained(sample: list[tuple[int, str, int]], share: float, fit: ToxicityFit)
             cost[y > 0] *= 0.5 * cost[y < 0].sum() / cost[y > 0].sum()
         w, b = linear_machine(x, y, cost, fit.penalty)
         model = folded(w, b)
-        score = model.word_scores(next(word_slices(every, most=1 << 40)))
+        score = np.concatenate([model.word_scores(words) for part in every for words in word_slices(part)])
         # clean words that look most toxic join the next turn
         look_alike = clean[np.argsort(-score[clean], kind="stable")]
-        pool = np.union1d(pool, look_alike[:3000])
+        pool = np.union1d(pool, look_alike[:2000])
         if turn == 0:
             marks = np.union1d(marks, look_alike[:third])
             landmarks, root = landmark_map([names[i] for i in marks], fit.decay)
