@@ -12,6 +12,9 @@ from modspark.functions.text import content_hash, normalize
 from modspark.session import work_folder
 
 
+COUNT = -1
+
+
 def trigrams(text: Column) -> Column:
     """Overlapping trigrams of the lower-cased, normalised text, in one linear pass.
 
@@ -26,7 +29,8 @@ class LanguageModel:
 
     ``languages`` and ``costs`` hold, in the order of ``place``, the names and what every
     trigram of a text costs in that language: the logarithm of its smoothed total. The
-    weight is the logarithm of the trigram's smoothed count.
+    weight is the logarithm of the trigram's smoothed count. Place COUNT has weight one for
+    every trigram.
     """
 
     languages: list[str]
@@ -51,24 +55,27 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMode
     costs = df.sparkSession.range(1).select(F.array(*[F.ln(F.lit(float(max(1, n)))) for n in below])).first()[0]
     places = df.sparkSession.createDataFrame(list(enumerate(languages)), "place int, lang string")
     weighed = counted.join(places, "lang").select("gram", "place", F.ln(F.col("c") + 1).alias("weight"))
-    return LanguageModel(languages, costs, weighed)
+    every = counted.select("gram").distinct().select("gram", F.lit(COUNT), F.lit(1.0))
+    weighed.union(every).write.parquet(f"{path}-weights")
+    return LanguageModel(languages, costs, df.sparkSession.read.parquet(f"{path}-weights"))
 
 
 def identify(df: DataFrame, model: LanguageModel, key: str, text: str = "text") -> DataFrame:
     """``key, lang``, one row per key; "unknown" without trigrams.
 
-    A text's trigrams collapse to counts in the task that read it, before they meet the
-    model; Spark chooses the join by the sizes it finds.
+    The model is a stored table, so Spark knows its size and broadcasts it only if it is
+    small; sums of a text are formed before anything is shuffled then. Every trigram also
+    adds one to the place that counts them.
     """
     if not model.languages:
         return df.groupBy(key).agg(F.lit("unknown").alias("lang"))
     rows = df.select(F.col(key), F.explode_outer(trigrams(F.col(text))).alias("gram"))
-    counts = rows.groupBy(key, "gram").agg(F.count("gram").alias("k"))
-    met = counts.join(model.grams, "gram", "left").groupBy(key, "place").agg(F.sum(F.col("k") * F.col("weight")).alias("s"))
-    total = counts.groupBy(key).agg(F.sum("k").alias("n"))
-    found = met.filter("place is not null").groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("place", "s"))).alias("sums"))
-    joined = total.join(found.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key")), "left")
-    return joined.select(key, F.coalesce(_best(model), F.lit("unknown")).alias("lang"))
+    weight = F.when(F.col("gram").isNull(), 0.0).otherwise(F.coalesce("weight", F.lit(1.0)))
+    met = rows.join(model.grams, "gram", "left").select(key, F.coalesce("place", F.lit(COUNT)).alias("place"), weight.alias("w"))
+    sums = met.groupBy(key, "place").agg(F.sum("w").alias("s"))
+    per_text = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("place", "s"))).alias("sums"))
+    per_text = per_text.withColumn("n", F.try_element_at("sums", F.lit(COUNT)))
+    return per_text.select(key, F.coalesce(_best(model), F.lit("unknown")).alias("lang"))
 
 
 def _best(model: LanguageModel) -> Column:
