@@ -5,18 +5,18 @@ logarithmic scale: an n-gram of level q is entered q times, as (n-gram, 1) to (n
 and its level is found by probing until an entry is missing. Conditional probabilities are
 smoothed towards the unigram distribution with a constant mass.
 
-Work goes in three steps. Tasks cut texts into blocks and hand on packed word lists by range
-of hashes; every range sums its words, replies with exact counts to the blocks and fills its
-segment of the unigram filter. Bigrams go the same way into theirs. Then every block scores
-its texts with the exact counts (base) and the broadcast filter (model). The filter's size
-is a parameter; more n-grams raise its rate of false hits, which the score takes into
-account, so that a filter far too small tends to the unigram model.
+Work goes in three steps. Tasks cut texts into blocks and hand on packed word lists and
+word-pair lists by range of hashes. Every range sums its n-grams, fills a segment of the
+filter, probes it for the blocks and replies with levels (and exact counts of words). Then
+every block scores its texts with the exact counts (base) and the levels (model). A segment
+has at least ``entry_bits`` bits for each of its entries and lives only in its range's task,
+so the rate of false hits does not rise with the corpus and nothing is broadcast.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +35,8 @@ END = np.uint64(0x454E44)
 
 @dataclass(frozen=True)
 class BloomModel:
-    """Parameters: bytes of the two filters, probes per level, base of the scale, smoothing mass."""
+    """Parameters: least bytes of the two filters, probes per level, base of the scale,
+    smoothing mass, least bits for each entry of a filter."""
 
     unigram_bytes: int = 16 << 20
     bigram_bytes: int = 64 << 20
@@ -43,6 +44,7 @@ class BloomModel:
     base: float = 1.5
     mass: float = 50.0
     add: float = 0.1
+    entry_bits: int = 16
 
     def level(self, count: np.ndarray) -> np.ndarray:
         return 1 + np.floor(np.log(count) / np.log(self.base) + 1e-9).astype(np.int64)
@@ -56,46 +58,50 @@ class BloomModel:
 MOST_LEVELS = 64
 
 
-class FilterPart:
-    """A Bloom filter of (n-gram, level) entries in one segment of bits per range of hashes."""
-
-    def __init__(self, model: BloomModel, ranges: int, total_bytes: int, segments: Iterable[tuple[int, bytes]]):
-        self.model, self.ranges, self.bits = model, ranges, segment_bits(total_bytes, ranges)
-        self.table = np.zeros(ranges * self.bits // 8, np.uint8)
-        size = self.bits // 8
-        filled = 0
-        for at, raw in segments:
-            filled += 1
-            self.table[at * size : (at + 1) * size] = np.frombuffer(raw, np.uint8)
-        step = 1 << 20
-        on = sum(int(np.bitwise_count(self.table[i : i + step]).sum()) for i in range(0, len(self.table), step))
-        self.false_rate = (on / max(1, self.bits * filled)) ** model.probes
-
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Estimated counts; every hit is worth less by the rate of false ones."""
-        shift = range_shift(self.ranges)
-        base = (keys >> shift).astype(np.int64) * self.bits
-        suffix = keys & np.uint64(0xFFFFFFFF)
-        level = np.zeros(len(keys), np.int64)
+class Segment:
+    """A Bloom filter of the (n-gram, level) entries of one range of hashes, one byte a bit."""
+
+    def __init__(self, model: BloomModel, least_bytes: int, ranges: int, keys: np.ndarray, count: np.ndarray):
+        """Every n-gram is entered on all levels up to its own."""
+        self.model = model
+        level = model.level(count)
+        self.bits = max(1 << 10, least_bytes * 8 // ranges, model.entry_bits * int(level.sum()))
+        self.flags = np.zeros(self.bits, bool)
+        for q in range(1, int(level.max(initial=0)) + 1):
+            inside = keys[level >= q]
+            for i in range(model.probes):
+                self.flags[probe(inside, q, self.bits, i)] = True
+        self.false_rate = float(np.count_nonzero(self.flags) / self.bits) ** model.probes
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        level = np.zeros(len(keys), np.uint8)
         inside = np.arange(len(keys))
         for q in range(1, MOST_LEVELS):
             for i in range(self.model.probes):
-                place = probe(suffix[inside], q, self.bits, i)
-                at = base[inside] + place
-                hit = (self.table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-                inside = inside[hit]
+                inside = inside[self.flags[probe(keys[inside], q, self.bits, i)]]
             if not len(inside):
                 break
             level[inside] = q
-        return self.model.middles(MOST_LEVELS)[level] * (1.0 - self.false_rate)
+        return level
+
 
+def estimates(levels: np.ndarray, false_rate: float, model: BloomModel) -> np.ndarray:
+    """Counts for found levels, each its own plus a geometric number of false ones.
+
+    The mean over the false levels is the middle of the true one, but for n-grams never
+    seen, whose estimate cannot be below zero.
+    """
+    middles = model.middles(MOST_LEVELS)
+    return np.maximum((middles[:-1] - false_rate * middles[1:]) / (1.0 - false_rate), 0.0)[levels]
 
-def segment_bits(total_bytes: int, ranges: int) -> int:
-    return max(1 << 10, total_bytes * 8 // ranges // 8 * 8)
 
+def range_bits(ranges: int) -> int:
+    return ranges.bit_length() - 1
 
-def range_shift(ranges: int) -> np.uint64:
-    return np.uint64(64 - (ranges.bit_length() - 1))
+
+def suffixes(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """The 32 bits after those of the range: sorted as the keys are."""
+    return (keys << np.uint64(range_bits(ranges))) >> np.uint64(32)
 
 
 def probe(suffix: np.ndarray, level: int, bits: int, i: int) -> np.ndarray:
@@ -103,17 +109,6 @@ def probe(suffix: np.ndarray, level: int, bits: int, i: int) -> np.ndarray:
     return (mix(suffix + np.uint64((level << 40) + (i << 33))) % np.uint64(bits)).astype(np.int64)
 
 
-def segment(keys: np.ndarray, count: np.ndarray, bits: int, model: BloomModel) -> bytes:
-    """The bits of one range, with every n-gram entered on all levels up to its own."""
-    flags = np.zeros(bits, np.uint8)
-    level, suffix = model.level(count), keys.astype(np.uint64) & np.uint64(0xFFFFFFFF)
-    for q in range(1, int(level.max(initial=0)) + 1):
-        inside = suffix[level >= q]
-        for i in range(model.probes):
-            flags[probe(inside, q, bits, i)] = 1
-    return np.packbits(flags, bitorder="little").tobytes()
-
-
 def bigrams(tokens: np.ndarray, before: np.ndarray) -> np.ndarray:
     by = factors(2, salt=13)
     with np.errstate(over="ignore"):
@@ -131,8 +126,16 @@ def token_slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         yield words.rows.start, tokens, first
 
 
+def inner(bounds: np.ndarray) -> np.ndarray:
+    """Places of all tokens but the first of every text."""
+    follows = np.ones(int(bounds[-1]), bool)
+    follows[bounds[:-1]] = False
+    return np.flatnonzero(follows)
+
+
 def by_range(keys: np.ndarray, ranges: int) -> np.ndarray:
-    return np.searchsorted(keys >> range_shift(ranges), np.arange(ranges + 1, dtype=np.uint64))
+    shift = np.uint64(64 - range_bits(ranges))
+    return np.searchsorted(keys >> shift, np.arange(ranges + 1, dtype=np.uint64))
 
 
 def packed(array: np.ndarray) -> bytes:
@@ -147,12 +150,13 @@ def unpacked(raw: bytes, n: int, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(plain, np.uint8).reshape(size, n).T).view(kind).ravel()
 
 
-BLOCK = "block string, range int, doc_id long, held_out boolean, n int, piece binary, counts binary"
+BLOCK = "kind int, block string, range int, doc_id long, held_out boolean, n int, piece binary, counts binary"
 
 
 def blocks(docs: DataFrame, ranges: int) -> DataFrame:
-    """Two kinds of rows: a text as packed places in its block's sorted word list (range null),
-    and a part of that list with the words' counts in training texts."""
+    """Three kinds of rows: a text as packed places in its block's sorted word list (0), a part
+    of that list with the words' counts in training texts (1), and a part of the block's
+    sorted word pairs, as steps between suffixes, with theirs (2)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, held, parts, size = [], [], [], 0
@@ -177,101 +181,72 @@ def blocks(docs: DataFrame, ranges: int) -> DataFrame:
         count = np.bincount(place[training], minlength=len(words)).astype(np.uint32)
         bounds = np.concatenate(([0], np.cumsum(lengths)))
         rows = [
-            (name, None, i, h, n, packed(place[a : a + n]), None)
+            (0, name, None, i, h, n, packed(place[a : a + n]), None)
             for i, h, n, a in zip(ids, held, lengths, bounds[:-1], strict=True)
         ]
         cuts = by_range(words, ranges)
         rows += [
-            (name, r, None, None, int(b - a), words[a:b].tobytes(), packed(count[a:b]))
+            (1, name, r, None, None, int(b - a), words[a:b].tobytes(), packed(count[a:b]))
+            for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
+            if b > a
+        ]
+        at = inner(bounds)
+        pairs, which = np.unique(bigrams(words[place[at]], words[place[at - 1]]), return_inverse=True)
+        count = np.bincount(which[training[at]], minlength=len(pairs)).astype(np.uint32)
+        cuts, suffix = by_range(pairs, ranges), suffixes(pairs, ranges).astype(np.uint32)
+        rows += [
+            (2, name, r, None, None, int(b - a), packed(np.diff(suffix[a:b], prepend=np.uint32(0))), packed(count[a:b]))
             for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
             if b > a
         ]
-        kinds = [pa.string(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary()]
+        kinds = [pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary()]
         names = [x.split()[0] for x in BLOCK.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     return saved(docs.select("doc_id", "held_out", "text").mapInArrow(cut, BLOCK))
 
 
-def counted_words(parts: DataFrame, ranges: int, model: BloomModel) -> DataFrame:
-    """Replies (block, range, n, counts) to every part, and per range one row with its totals and segment."""
-    bits = segment_bits(model.unigram_bytes, ranges)
+REPLY = "block string, range int, n int, counts binary, levels binary, rate double, tokens long, vocabulary long"
+
+
+def counted(parts: DataFrame, ranges: int, model: BloomModel, least_bytes: int, words: bool) -> DataFrame:
+    """Replies (block, range, n, levels, rate) to every part of words or word pairs; to words also
+    their exact counts, and per range one row (block null) with its totals."""
+
+    def keys_of(piece: pa.Scalar, n: int) -> np.ndarray:
+        if words:
+            return np.frombuffer(piece.as_buffer(), np.uint64)
+        return np.cumsum(unpacked(piece.as_py(), n, np.uint32), dtype=np.uint64)
 
     def count(table: pa.Table) -> pa.Table:
         sizes = table.column("n").to_pylist()
-        words = np.concatenate([np.frombuffer(p.as_buffer(), np.uint64) for p in table.column("piece")])
+        keys = np.concatenate([keys_of(p, n) for p, n in zip(table.column("piece"), sizes, strict=True)])
         own = np.concatenate([unpacked(c.as_py(), n, np.uint32) for c, n in zip(table.column("counts"), sizes, strict=True)])
-        distinct, place = np.unique(words, return_inverse=True)
+        distinct, place = np.unique(keys, return_inverse=True)
         total = np.bincount(place, weights=own, minlength=len(distinct))
         seen = total > 0
-        reply, at = [], 0
-        for n in sizes:
-            reply.append(packed(total[place[at : at + n]].astype(np.uint64)))
-            at += n
-        bits_row = segment(distinct[seen], total[seen], bits, model)
+        suffix = suffixes(distinct, ranges) if words else distinct
+        part = Segment(model, least_bytes, ranges, suffix[seen], total[seen])
+        level = part.levels(suffix)
+        ends = np.cumsum([0, *sizes])
+        cut = [place[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
         name = table.column("block").to_pylist()
+        extra = 1 if words else 0
         r = table.column("range")[0].as_py()
         return pa.table(
             {
-                "block": pa.array([*name, None], pa.string()),
-                "range": pa.array([r] * (len(name) + 1), pa.int32()),
-                "n": pa.array([*sizes, 0], pa.int32()),
-                "counts": pa.array([*reply, bits_row], pa.binary()),
-                "tokens": pa.array([None] * len(name) + [int(total.sum())], pa.int64()),
-                "vocabulary": pa.array([None] * len(name) + [int(seen.sum())], pa.int64()),
+                "block": pa.array([*name, *[None] * extra], pa.string()),
+                "range": pa.array([r] * (len(name) + extra), pa.int32()),
+                "n": pa.array([*sizes, *[0] * extra], pa.int32()),
+                "counts": pa.array([packed(total[c].astype(np.uint64)) if words else None for c in cut] + [None] * extra, pa.binary()),
+                "levels": pa.array([packed(level[c]) for c in cut] + [None] * extra, pa.binary()),
+                "rate": pa.array([part.false_rate] * (len(name) + extra), pa.float64()),
+                "tokens": pa.array([None] * len(name) + [int(total.sum())] * extra, pa.int64()),
+                "vocabulary": pa.array([None] * len(name) + [int(seen.sum())] * extra, pa.int64()),
             }
         )
 
-    schema = "block string, range int, n int, counts binary, tokens long, vocabulary long"
-    return saved(parts.groupBy("range").applyInArrow(count, schema))
-
-
-def bigram_segments(docs: DataFrame, ranges: int, model: BloomModel) -> Iterator[tuple[int, bytes]]:
-    bits = segment_bits(model.bigram_bytes, ranges)
-
-    def pieces(held: list[np.ndarray]) -> pa.RecordBatch:
-        keys, count = np.unique(np.concatenate(held), return_counts=True)
-        cuts = by_range(keys, ranges)
-        rows = [
-            (r, int(b - a), (keys[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), packed(count[a:b].astype(np.uint32)))
-            for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
-            if b > a
-        ]
-        kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["range", "n", "piece", "counts"]
-        )
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for _, tokens, at in token_slices(batch.column(0)):
-                follows = np.ones(len(tokens), bool)
-                follows[at[:-1]] = False
-                place = np.flatnonzero(follows)
-                held.append(bigrams(tokens[place], tokens[place - 1]))
-                size += len(place)
-                if size >= 2 * BLOCK_WORDS:
-                    yield pieces(held)
-                    held, size = [], 0
-        if size:
-            yield pieces(held)
-
-    def fill(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(p.as_buffer(), np.uint32) for p in table.column("piece")])
-        count = np.concatenate(
-            [unpacked(c.as_py(), n.as_py(), np.uint32) for c, n in zip(table.column("counts"), table.column("n"), strict=True)]
-        )
-        order = np.argsort(keys, kind="stable")
-        keys, count = keys[order], count[order]
-        heads = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        total = np.add.reduceat(count.astype(np.int64), heads)
-        raw = segment(keys[heads], total, bits, model)
-        return pa.table({"range": table.column("range")[:1], "segment": pa.array([raw], pa.binary())})
-
-    packed_rows = docs.filter(~F.col("held_out")).select("text").mapInArrow(cut, "range int, n int, piece binary, counts binary")
-    filled = packed_rows.groupBy("range").applyInArrow(fill, "range int, segment binary")
-    return ((r["range"], r["segment"]) for r in filled.toLocalIterator())
+    return saved(parts.select("block", "range", "n", "piece", "counts").groupBy("range").applyInArrow(count, REPLY))
 
 
 def scored(docs: DataFrame, held_out: F.Column, model: BloomModel = BloomModel()) -> DataFrame:
@@ -285,42 +260,37 @@ def scored(docs: DataFrame, held_out: F.Column, model: BloomModel = BloomModel()
     rows = docs.select("doc_id", F.coalesce(held_out, F.lit(True)).alias("held_out"), "text")
     ranges = 1 << max(3, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     cut = blocks(rows, ranges)
-    parts = cut.filter("range is not null")
-    counted = counted_words(parts.select("block", "range", "n", "piece", "counts"), ranges, model)
-    own = counted.filter("block is null")
-    sums = own.agg(F.sum("tokens"), F.sum("vocabulary")).first()
+    one = counted(cut.filter("kind = 1"), ranges, model, model.unigram_bytes, words=True)
+    two = counted(cut.filter("kind = 2"), ranges, model, model.bigram_bytes, words=False)
+    sums = one.filter("block is null").agg(F.sum("tokens"), F.sum("vocabulary")).first()
     n_train, vocabulary = int(sums[0] or 0), int(sums[1] or 0)
-    words = FilterPart(model, ranges, model.unigram_bytes, ((r["range"], r["counts"]) for r in own.toLocalIterator()))
-    pairs = FilterPart(model, ranges, model.bigram_bytes, bigram_segments(rows, ranges, model))
-    shared = spark.sparkContext.broadcast((words, pairs))
     norm = n_train + model.add * (vocabulary + 1)
 
+    def found(replies: pa.Table) -> np.ndarray:
+        parts = zip(replies.column("levels"), replies.column("n").to_pylist(), replies.column("rate").to_pylist(), strict=True)
+        return np.concatenate([np.zeros(0), *(estimates(unpacked(p.as_py(), n, np.uint8), rate, model) for p, n, rate in parts)])
+
     def score(table: pa.Table) -> pa.Table:
-        unigrams, both = shared.value
         kind = table.column("kind").to_numpy()
-        lists = table.filter(pa.array(kind == 1)).sort_by("range")
-        replies = table.filter(pa.array(kind == 2)).sort_by("range")
         texts = table.filter(pa.array(kind == 0))
+        lists, replies, both = (table.filter(pa.array(kind == k)).sort_by("range") for k in (1, 2, 3))
         word = np.concatenate([np.frombuffer(p.as_buffer(), np.uint64) for p in lists.column("piece")])
         count = np.concatenate(
             [unpacked(c.as_py(), n.as_py(), np.uint64) for c, n in zip(replies.column("counts"), replies.column("n"), strict=True)]
         )
         base = np.log10(count + model.add)
-        estimate = unigrams.counts(word)
+        estimate = found(replies)
         unigram = (estimate + model.add) / norm
         sizes = texts.column("n").to_numpy().astype(np.int64)
         place = np.concatenate([unpacked(p.as_py(), n, np.uint32) for p, n in zip(texts.column("piece"), sizes.tolist(), strict=True)])
-        first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+        bounds = np.concatenate(([0], np.cumsum(sizes)))
+        first, at = bounds[:-1], inner(bounds)
         chance = unigram[place]
-        follows = np.ones(len(place), bool)
-        follows[first] = False
-        at = np.flatnonzero(follows)
         before, now = place[at - 1], place[at]
+        # the block's pairs in the order of its parts
+        _, back = np.unique(bigrams(word[now], word[before]), return_inverse=True)
         # a pair can only have been seen if both its words were
-        seen = np.minimum(estimate[now], estimate[before])
-        both_known = seen > 0
-        key, back = np.unique(bigrams(word[now[both_known]], word[before[both_known]]), return_inverse=True)
-        seen[both_known] = np.minimum(seen[both_known], both.counts(key)[back])
+        seen = np.minimum(np.minimum(estimate[now], estimate[before]), found(both)[back])
         chance[at] = (seen + model.mass * unigram[now]) / (estimate[before] + model.mass)
         return pa.table(
             {
@@ -334,11 +304,17 @@ def scored(docs: DataFrame, held_out: F.Column, model: BloomModel = BloomModel()
             }
         )
 
-    texts = cut.select(F.when(F.col("range").isNull(), 0).otherwise(1).alias("kind"), "block", "range", "doc_id", "held_out", "n", "piece", F.lit(None).cast("binary").alias("counts"))
-    replies = counted.filter("block is not null").select(
-        F.lit(2).alias("kind"), "block", "range", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"),
-        "n", F.lit(None).cast("binary").alias("piece"), "counts",
-    )
-    return texts.union(replies).groupBy("block").applyInArrow(
+    none = lambda kind: F.lit(None).cast(kind)
+    texts = cut.filter("kind < 2").select(
+        "kind", "block", "range", "doc_id", "held_out", "n", "piece", none("binary").alias("counts"), none("binary").alias("levels"), none("double").alias("rate")
+    )
+    replies = [
+        frame.filter("block is not null").select(
+            F.lit(kind).alias("kind"), "block", "range", none("long").alias("doc_id"), none("boolean").alias("held_out"),
+            "n", none("binary").alias("piece"), "counts", "levels", "rate",
+        )
+        for kind, frame in ((2, one), (3, two))
+    ]
+    return texts.union(replies[0]).union(replies[1]).groupBy("block").applyInArrow(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )

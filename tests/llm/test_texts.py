@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from modspark.llm import decontamination, licenses, line_rules
 from modspark.llm.jaccard_join import JaccardJoin, one_of_each, similar_documents
-from modspark.llm.lm_scoring import BloomModel, scored
+from modspark.llm.lm_scoring import BloomModel, estimates, scored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -151,6 +151,24 @@ def test_language_model_with_a_filter_far_too_small(spark, texts):
     assert {(r["n_known"], r["train_tokens"]) for r in nothing_learned} == {(0, 0)}
 
 
+def test_language_model_is_as_good_in_a_filter_that_has_to_grow(spark, texts):
+    docs = frame(spark, texts + made(300, seed=8))
+    held = F.col("doc_id") % 3 == 0
+    exact, grown = (
+        {r["doc_id"]: r for r in scored(docs, held, model).collect()} for model in (BloomModel(), BloomModel(unigram_bytes=1, bigram_bytes=1))
+    )
+    off = [abs(grown[i]["score"] - exact[i]["score"]) / exact[i]["n_tokens"] for i in exact]
+    assert sum(off) / len(off) < 0.02 and max(off) < 0.15
+
+
+def test_estimates_are_right_on_average_for_false_levels():
+    model, rate = BloomModel(), 0.2
+    for true in (1, 3, 8):
+        steps = [(rate**j * (1 - rate), true + j) for j in range(50)]
+        mean = sum(p * estimates([level], rate, model)[0] for p, level in steps)
+        assert mean == pytest.approx(model.middles(64)[true], rel=1e-3)
+
+
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
