@@ -4,7 +4,7 @@ Text nodes of a page are grouped by their path of tags from the root. Article pa
 long texts with marks of punctuation, menus and lists of links short ones without. Both
 ratios are averaged per path, smoothed along the page, so that a short heading between
 paragraphs is carried by them, and fused; paths above a share of the best one are content,
-and so are the blocks that share their container. Elements that are no article by their
+all of them, and so are the blocks that share their container, the deepest that holds them all. Elements that are no article by their
 meaning (navigation, footers, forms, adverts, comments, ...) never count.
 """
 
@@ -54,6 +54,8 @@ NOISE = re.compile(
     r"toolbar|pagination|pager|tags|contentinfo|complementary|dialog|alert)(?:$|[\s_-])",
     re.I,
 )
+TOP = {"", "html", "body"}
+"""Tags that hold the whole page, its article and all else."""
 PUNCTUATION = re.compile(r"[.,;:!?。，،؟]")
 
 
@@ -192,21 +194,27 @@ def main_text(source: str | None, ratios: PathRatios = PathRatios()) -> str:
     if best <= 0:
         return ""
     chosen = {int(p) for p, s in zip(paths, score, strict=True) if s >= ratios.share * best}
-    mass = Counter()
-    for path, text, linked in rows:
-        if path in chosen:
-            mass[page.parent[path]] += len(text) - linked
-    container = max(mass, key=lambda p: (mass[p], -p))
-    chosen = {p for p in chosen if below(page, p, container) or page.tag[container] in {"", "html", "body"}}
-    kept = [
-        text
-        for path, text, linked in rows
-        if path in chosen or (below(page, path, container) and page.tag[container] not in {"", "html", "body"})
-        if linked < len(text) or path in chosen
-    ]
+    container = lowest_common(page, {page.parent[path] for path in chosen})
+    if page.tag[container] in TOP:
+        # chosen paths all over the page: blocks are shared with the one of most text only
+        mass = Counter()
+        for path, text, linked in rows:
+            if path in chosen:
+                mass[page.parent[path]] += len(text) - linked
+        container = max(mass, key=lambda p: (mass[p], -p))
+    whole = page.tag[container] not in TOP
+    kept = [text for path, text, linked in rows if path in chosen or (whole and linked < len(text) and below(page, path, container))]
     return "\n".join(kept)
 
 
+def lowest_common(page: Page, paths: set[int]) -> int:
+    """The deepest path that all the paths are at or below; a parent's number is below its children's."""
+    while len(paths) > 1:
+        last = max(paths)
+        paths = (paths - {last}) | {page.parent[last]}
+    return paths.pop()
+
+
 def below(page: Page, path: int, container: int) -> bool:
     while path > container:
         path = page.parent[path]

@@ -138,6 +138,23 @@ def test_main_text(kind):
     assert main_text(PAGES[kind].format(BODY)) == PLAIN
 
 
+LEAD, LONG = "The lead, of some length, comes first. " * 8, "A longer part, with many words, follows it. " * 14
+NESTED = {
+    "list": f"<article><h1>The title</h1><p>{LEAD}</p><ul><li>{LONG}</li><li>{LONG}</li><li>{LONG}</li></ul></article>",
+    "section": f"<article><h1>The title</h1><p>{LEAD}</p><section><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></section></article>",
+    "quote": f"<article><h1>The title</h1><p>{LEAD}</p><blockquote><p>{LONG}</p><p>{LONG}</p></blockquote><p>{LEAD}</p></article>",
+    "siblings": f"<h1>The title</h1><section><p>{LEAD}</p></section><div><p>{LONG}</p><p>{LONG}</p></div>",
+}
+
+
+@pytest.mark.parametrize("kind", NESTED)
+@pytest.mark.parametrize("page", ["<body><nav><a href=x>One</a></nav>{}<footer>Us, you.</footer></body>", "<body><main>{}</main></body>"])
+def test_main_text_of_several_containers(kind, page):
+    lines = main_text(page.format(NESTED[kind])).split("\n")
+    assert lines[:2] == ["The title", LEAD.strip()] and len(lines) == NESTED[kind].count("</p>") + NESTED[kind].count("</li>") + 1
+    assert lines.count(LONG.strip()) >= 2
+
+
 def test_pages_of_all_kinds(spark):
     long = "<article>" + "<p>Words, and words, and words.</p>" * 20_000 + "</article>"
     rows = [(1, "u", None, "x"), (1, "u", "", "x"), (2, None, "no tags, only text.", "x"), (None, "u", "<a \"'<<>", "x"), (3, "u", long, "x"), (3, "u", long, "x")]
