@@ -37,7 +37,8 @@ class JaccardJoin:
     Similarity is at least ``at_least`` hundredths; sets are ``shingle``-word runs. Tokens
     of more than ``frequent`` documents are indexed in combinations. ``filter_bytes`` is
     the size of the broadcast token filters, whatever the size of the corpus. A set that is
-    compared with more than ``pairs_a_part`` others is dealt out to several tasks.
+    compared with more than ``pairs_a_part`` others is dealt out to several tasks. Links are
+    counted in blocks of about ``block_sets`` sets and ``block_bytes`` of text at most.
     """
 
     at_least: int = 85
@@ -45,6 +46,8 @@ class JaccardJoin:
     frequent: int = 64
     filter_bytes: int = 16 << 20
     pairs_a_part: int = 128
+    block_sets: int = 256
+    block_bytes: int = 8 << 20
 
     def required(self, n: np.ndarray | int) -> np.ndarray | int:
         """Least overlap of a set of n tokens with any similar set."""
@@ -340,20 +343,86 @@ def _pairs(frame: DataFrame, a: str, b: str) -> DataFrame:
     return frame.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
-def similar_documents(docs: DataFrame, settings: JaccardJoin = JaccardJoin()) -> DataFrame:
+COLUMNS = 4096
+"""Shingles of a block that are multiplied at a time."""
+
+
+def common_counts(tokens: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many tokens every left set has in common with every right one."""
+    _, place, times = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(tokens)), [len(x) for x in tokens])
+    shared = np.flatnonzero(times[place] > 1)
+    shared = shared[np.argsort(place[shared], kind="stable")]
+    owner, place = owner[shared], (np.cumsum(times > 1) - 1)[place[shared]]
+    common = np.zeros((len(left), len(right)))
+    for first in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+        a, b = np.searchsorted(place, (first, first + COLUMNS))
+        holds = np.zeros((len(tokens), COLUMNS), np.float32)
+        holds[owner[a:b], place[a:b] - first] = 1
+        common += holds[left] @ holds[right].T
+    return common
+
+
+def link_counts(group: DataFrame, texts: DataFrame, settings: JaccardJoin) -> DataFrame:
+    """(sig, n_links): for every linked set the number of different sets similar to it.
+
+    All links of a set lie in its component. Components of two sets have one; in larger ones
+    all sets are compared with all, a block of sets with a block, and every block's part in
+    the counts is summed. Texts travel once per block of their component, pairs never do.
+    """
+    t, shingle = settings.at_least, settings.shingle
+    members = texts.dropDuplicates(["sig"]).join(group, F.col("sig") == F.col("node")).select("label", "sig", "text")
+    load = members.groupBy("label").agg(
+        F.count("*").alias("members"),
+        F.greatest(F.ceil(F.count("*") / settings.block_sets), F.ceil(F.sum(F.octet_length("text")) / settings.block_bytes)).cast("int").alias("parts"),
+    )
+    part = F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int").alias("part")
+    dealt = members.join(load.filter("members > 2"), "label").select("label", "sig", "text", part, "parts")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    dealt = dealt.select("label", "sig", "text", "part", other).select(
+        "label", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "sig", "text"
+    )
+
+    def count(table: pa.Table) -> pa.Table:
+        i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
+        own = table.column("part").to_numpy()
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        cut = shingle_sets(table.column("text").combine_chunks(), shingle)
+        sets = [tokens[at[k] : at[k + 1]] for _, tokens, at in cut for k in range(len(at) - 1)]
+        n = np.array([len(x) for x in sets])
+        common = common_counts(sets, left, right)
+        alike = 100 * common >= t * (n[left][:, None] + n[right][None, :] - common)
+        if i == j:
+            np.fill_diagonal(alike, False)
+        found = np.zeros(len(sets), np.int64)
+        found[left] = alike.sum(axis=1)
+        if i != j:
+            found[right] = alike.sum(axis=0)
+        return pa.table({"sig": table.column("sig"), "n_links": pa.array(found)})
+
+    counted = dealt.groupBy("label", "i", "j").applyInArrow(count, "sig binary, n_links long")
+    pairs = group.join(load.filter("members = 2"), "label").select(F.col("node").alias("sig"), F.lit(1).cast("long").alias("n_links"))
+    return counted.union(pairs).groupBy("sig").agg(F.sum("n_links").alias("n_links"))
+
+
+def similar_documents(docs: DataFrame, settings: JaccardJoin = JaccardJoin(), count_links: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id, set_id, n_links, group_id, text_key for every row of docs(doc_id, text).
 
     Words are runs of bytes other than ASCII white space, A-Z lower-cased. A null or blank
     text has no shingles and links with nothing; fewer words than a shingle make one
     shingle. Rows with equal sets are linked; repeated rows come out as often as they came
     in. component_id is the smallest doc_id reachable (null ids are passed over), n_links
-    counts the compared links of the row's set with different sets, group_id names the
-    component whatever the ids. Other columns of docs are ignored. An empty table gives an empty result.
+    counts all different sets that are similar to the row's set (null if ``count_links`` is
+    false), group_id names the component whatever the ids. Other columns of docs are ignored. An empty table gives an empty result.
     """
     table = indexed(docs, settings)
     edges = saved(links(table, settings))
-    group = components(edges)
-    degree = edges.select(F.explode(F.array("a", "b")).alias("sig")).groupBy("sig").agg(F.count("*").alias("n_links"))
+    group = saved(components(edges))
+    if count_links:
+        degree = link_counts(group, table.filter("text is not null").select("sig", "text"), settings)
+    else:
+        degree = table.sparkSession.createDataFrame([], "sig binary, n_links long")
+    zero = F.lit(0 if count_links else None).cast("long")
     # classes of equal sets first: a large class is one row in what follows
     classes = table.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
     classes = classes.join(group, classes["sig"] == group["node"], "left").select(
@@ -361,12 +430,12 @@ def similar_documents(docs: DataFrame, settings: JaccardJoin = JaccardJoin()) ->
     )
     whole = classes.groupBy("label").agg(F.min("least").alias("component_id"))
     named = classes.join(whole, "label").join(degree, "sig", "left").select(
-        "sig", F.hex("label").alias("group_id"), "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")
+        "sig", F.hex("label").alias("group_id"), "component_id", F.coalesce("n_links", zero).alias("n_links")
     )
     rows = table.select("doc_id", "text_key", "n", F.when(F.col("n") > 0, F.col("sig")).alias("sig"))
     empty = rows.filter("sig is null").select(
         "doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"),
-        F.lit(None).cast("string").alias("set_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("string").alias("group_id"), "text_key",
+        F.lit(None).cast("string").alias("set_id"), zero.alias("n_links"), F.lit(None).cast("string").alias("group_id"), "text_key",
     )
     full = rows.filter("sig is not null").join(named, "sig").select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id", F.hex("sig").alias("set_id"), "n_links", "group_id", "text_key"
@@ -381,7 +450,7 @@ def one_of_each(docs: DataFrame, settings: JaccardJoin = JaccardJoin()) -> DataF
     doc_id and text one stays.
     """
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    found = similar_documents(docs.filter(has_words), settings)
+    found = similar_documents(docs.filter(has_words), settings, count_links=False)
     first = found.groupBy("group_id").agg(
         F.min_by(F.struct("doc_id", "text_key"), F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "text_key")).alias("r")
     )

@@ -92,6 +92,28 @@ def test_similar_documents(spark, texts, settings):
         assert (r["n_shingles"], r["component_id"]) == expected[r["doc_id"]]
 
 
+def test_all_links_between_different_sets_are_counted(spark):
+    base = [f"t{i}" for i in range(100)]
+    family = [" ".join(base)] * 2
+    for i in range(60):
+        words = list(base)
+        for k in range(1 + i % 3):
+            words[(7 * i + 31 * k) % 100] = f"e{i}x{k}"
+        family.append(" ".join(words))
+    texts = [*family, "a b c d e f g h i j", "A b c d e f g h i j", *(" ".join(f"q{i}" for i in range(40 + k)) for k in (0, 1)), None, "one"]
+    sets = [shingles(t) for t in texts]
+
+    def similar(x, y):
+        return 100 * len(x & y) >= 85 * len(x | y)
+
+    different = {frozenset(x) for x in sets if x}
+    expected = [sum(bool(x) and x != y and similar(x, y) for y in different) for x in sets]
+    assert any(2 < n < 50 for n in expected) and expected[-1] == expected[-2] == 0
+    for settings in (JaccardJoin(), JaccardJoin(frequent=8, block_sets=7)):
+        found = similar_documents(frame(spark, texts), settings).collect()
+        assert [r["n_links"] for r in sorted(found, key=lambda r: r["doc_id"])] == expected
+
+
 def test_family_of_copies_is_one_component(spark):
     base = [f"t{i}" for i in range(200)]
     family = [" ".join(base)] * 30
