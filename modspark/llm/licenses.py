@@ -1,13 +1,16 @@
 """License scan: TF-IDF cosine of header lines to notices, then inheritance along directories.
 
-DataFrame operations only. Lines that speak of a license become sparse TF-IDF vectors and
-are joined with the notices on their terms; the best cosine above the limit is the file's
+DataFrame operations only. Lines that hold a term without which no notice can be near enough
+become sparse TF-IDF vectors and are joined with the notices on their terms; the best cosine above the limit is the file's
 license. Files that are mostly notice, or are named like one, declare it for their
 directory; a file without a license of its own takes that of the nearest directory above.
 """
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +20,7 @@ from modspark.llm.store import saved
 
 TERM = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 CUE = r"(?i)licen[cs]e|copyright|copying|copyleft|public domain|spdx|warrant|redistribut"
-"""Every notice below has one of these, and so has any line that says the same."""
+"""Every notice below has one of these. The SQL twin looks at no other lines; the operator does."""
 NAMED = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)(\.[^/]*)?$"
 
 # fixed values: short notices as their licenses give them
@@ -76,6 +79,26 @@ def term_weights(files: DataFrame, notices: DataFrame) -> tuple[DataFrame, Colum
     return saved(vocabulary.join(seen, "term", "left").select("term", idf.alias("idf"))), F.log(n + 1) + 1
 
 
+def telling_terms(idf: DataFrame, least_cosine: float) -> list[str]:
+    """Terms of which every line holds one whose cosine with some notice reaches the limit.
+
+    A cosine is at most the length of the notice's unit vector on the shared terms. So of
+    every notice those terms are taken, from the heaviest on, whose remainder is too short.
+    """
+    weight = dict(idf.collect())
+    least = max(0.0, least_cosine - 1e-6) ** 2  # cosines are rounded to six places
+    chosen: set[str] = set()
+    for _, text in NOTICES:
+        square = {t: (n * weight[t]) ** 2 for t, n in Counter(re.findall(TERM, text.lower())).items()}
+        heaviest = sorted(square, key=lambda t: (-square[t], t))
+        total = math.fsum(square.values())
+        for i, term in enumerate(heaviest):
+            if math.fsum(square[t] for t in heaviest[i:]) < least * total:
+                break
+            chosen.add(term)
+    return sorted(chosen)
+
+
 def cosines(lines: DataFrame, notices: DataFrame, idf: DataFrame, other: Column) -> DataFrame:
     """path_key, text_key, line, license, cosine, n_terms: the best notice of every line."""
     keys = ["path_key", "text_key", "line"]
@@ -132,7 +155,11 @@ def scanned(files: DataFrame, keep: list[str], scan: LicenseScan = LicenseScan()
     idf, other = term_weights(files, notices)
     keys = [F.coalesce("path", F.lit("\0")).alias("path_key"), F.xxhash64("text").alias("text_key")]
     cut = files.select(*keys, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "raw"))
-    lines = cut.filter(F.col("raw").rlike(CUE)).select("path_key", "text_key", "line", terms(F.col("raw")).alias("terms"))
+    telling = telling_terms(idf, scan.least_cosine)
+    # the pattern finds the terms also inside others; the array tells
+    near = cut.filter(F.lower("raw").rlike("|".join(map(re.escape, telling))))
+    lines = near.select("path_key", "text_key", "line", terms(F.col("raw")).alias("terms"))
+    lines = saved(lines.filter(F.arrays_overlap("terms", F.array(*map(F.lit, telling)))))
     matched = cosines(lines, notices, idf, other).filter(F.col("cosine") >= scan.least_cosine)
     # repeated rows have their lines' terms summed once per row: the cosine stays, the count is of all rows
     own = matched.groupBy("path_key", "text_key").agg(

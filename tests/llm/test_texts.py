@@ -303,3 +303,28 @@ def test_licenses(spark):
     }
     assert all(r["cosine"] > 0.99 for r in found if r["own_license"])
     assert licenses.scanned(files.filter("1 = 0"), ["path"]).count() == 0
+
+
+def test_license_lines_without_cue_words(spark):
+    rows = [
+        ("a", "CC BY-SA 4.0"), ("b", "Released under the MIT"), ("c", "Licensed under the MIT"), ("d", "GNU General Public, version 3"),
+        ("e", "We were released under it."), ("f", "4.0"), ("g", "permit all of it"), *((f"x{i}", f"some words w{i} and the like") for i in range(50)),
+    ]
+    found = licenses.scanned(spark.createDataFrame(rows, "path string, text string"), ["path"]).collect()
+    weight = lambda t: math.log((len(rows) + 1) / (sum(t in re.findall(licenses.TERM, x.lower()) for _, x in rows) + 1)) + 1
+
+    def vector(text):
+        return {t: n * weight(t) for t, n in collections.Counter(re.findall(licenses.TERM, text.lower())).items()}
+
+    def cosine(a, b):
+        size = lambda x: math.sqrt(sum(w * w for w in x.values()))
+        return sum(w * b.get(t, 0) for t, w in a.items()) / size(a) / size(b)
+
+    terms = {t for _, text in licenses.NOTICES for t in re.findall(licenses.TERM, text.lower())}
+    told = {r["path"]: (r["own_license"], r["cosine"]) for r in found}
+    for path, text in rows:
+        own = {t: w if t in terms else n * (math.log(len(rows) + 1) + 1) for (t, w), n in zip(vector(text).items(), collections.Counter(re.findall(licenses.TERM, text.lower())).values(), strict=True)}
+        best = max(cosine(own, vector(notice)) for _, notice in licenses.NOTICES)
+        assert (told[path][0] is not None) == (best >= 0.6)
+        assert best < 0.6 or told[path][1] == pytest.approx(best, abs=2e-6)
+    assert told["a"][0] == "CC-BY-SA-4.0" and told["b"][0] == "MIT"
