@@ -85,11 +85,15 @@ def leaves(rows: DataFrame, settings: Manifest, present: Column) -> DataFrame:
 
 
 def runs(nodes: DataFrame, fan_out: int) -> DataFrame:
-    """tree, run, members, digest: every ``fan_out`` consecutive nodes of a tree, in order."""
-    run = F.floor(F.col("pos") / fan_out).cast("long").alias("run")
+    """tree, run, members, digest, nodes: every ``fan_out`` consecutive nodes of a tree, in order.
+
+    ``nodes`` is the number of nodes of the tree, in this level and in the next one.
+    """
+    run = F.expr(f"pos div {fan_out}").alias("run")
     members = F.array_sort(F.collect_list(F.struct("pos", "digest")))["digest"]
-    grouped = nodes.groupBy("tree", run).agg(members.alias("members"))
-    return grouped.select("tree", "run", "members", digest(F.col("members")).alias("digest"))
+    grouped = nodes.groupBy("tree", "nodes", run).agg(members.alias("members"))
+    left = F.expr(f"(nodes + {fan_out - 1}) div {fan_out}").alias("nodes")
+    return grouped.select("tree", "run", "members", digest(F.col("members")).alias("digest"), left)
 
 
 def built(nodes: DataFrame, settings: Manifest) -> tuple[list[DataFrame], DataFrame]:
@@ -102,9 +106,7 @@ def built(nodes: DataFrame, settings: Manifest) -> tuple[list[DataFrame], DataFr
     levels, tops, level = [], nodes.filter("nodes = 1").select("tree", F.lit(0).alias("level"), "digest"), 0
     open_nodes = nodes.filter("nodes > 1")
     while not open_nodes.isEmpty():
-        made = runs(open_nodes, settings.fan_out)
-        left = open_nodes.select("tree", F.ceil(F.col("nodes") / settings.fan_out).cast("long").alias("nodes")).distinct()
-        made = saved(made.join(left, "tree").select("tree", F.lit(level).alias("level"), "run", "members", "digest", "nodes"))
+        made = saved(runs(open_nodes, settings.fan_out).withColumn("level", F.lit(level)))
         levels.append(made)
         level += 1
         tops = tops.unionByName(made.filter("nodes = 1").select("tree", F.lit(level).alias("level"), "digest"))
@@ -249,3 +251,59 @@ def tamper_check(docs: DataFrame, settings: Manifest = Manifest()) -> DataFrame:
         "doc_id", hexed("leaf").alias("leaf"), hexed("subroot").alias("subroot"), hexed("root").alias("root"),
         proof.alias("proof_sha256"), hexed("folded_root").alias("folded_root"), "verified",
     )
+
+
+SQL = r"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, lang,
+    sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN crc % 3 = 0 THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))
+      ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS present
+  FROM (
+    SELECT doc_id, lang, text,
+      coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+        || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+      -- crc32: every byte goes in and is followed by eight shifts (marked by 256)
+      xor(list_reduce(
+        list_concat([4294967295::BIGINT], flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''),
+          lambda c: CASE WHEN c = '' THEN []::BIGINT[] ELSE [ascii(c)::BIGINT, 256, 256, 256, 256, 256, 256, 256, 256] END))),
+        lambda crc, x: CASE WHEN x < 256 THEN xor(crc, x) WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END
+      ), 4294967295) AS crc
+    FROM documents
+  )
+), leaves AS (
+  SELECT *, row_number() OVER () AS no, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM hashed
+), levels AS (
+  SELECT tree, 0 AS level, pos, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 7) // 8
+  FROM levels WHERE n > 1 GROUP BY tree, level, pos // 8
+), tops AS (
+  SELECT tree, level, digest FROM levels WHERE n = 1
+), upper AS (
+  SELECT 0 AS tree, 0 AS level, tree - 1 AS pos, digest, (SELECT count(*) FROM tops) AS n FROM tops
+  UNION ALL
+  SELECT tree, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 7) // 8
+  FROM upper WHERE n > 1 GROUP BY tree, level, pos // 8
+), runs AS (
+  SELECT tree, level, pos // 8 AS run, list(digest ORDER BY pos) AS members, any_value(n) AS n
+  FROM (FROM levels UNION ALL FROM upper) WHERE n > 1 GROUP BY tree, level, pos // 8
+), climb AS (
+  SELECT no, 0 AS step, CASE WHEN n = 1 THEN 0 ELSE tree END AS tree, 0 AS level, CASE WHEN n = 1 THEN tree - 1 ELSE pos END AS pos,
+    present AS folded, '' AS siblings
+  FROM leaves
+  UNION ALL
+  SELECT c.no, c.step + 1, CASE WHEN r.n <= 8 THEN 0 ELSE c.tree END, CASE WHEN r.n <= 8 AND c.tree > 0 THEN 0 ELSE c.level + 1 END,
+    CASE WHEN r.n <= 8 AND c.tree > 0 THEN c.tree - 1 ELSE r.run END,
+    sha256(array_to_string(r.members[:c.pos % 8], '') || c.folded || array_to_string(r.members[c.pos % 8 + 2:], '')),
+    c.siblings || array_to_string(r.members[:c.pos % 8], '') || array_to_string(r.members[c.pos % 8 + 2:], '')
+  FROM climb c JOIN runs r ON c.tree = r.tree AND c.level = r.level AND c.pos // 8 = r.run
+), ends AS (
+  SELECT no, arg_max(folded, step) AS folded, arg_max(siblings, step) AS siblings FROM climb GROUP BY no
+)
+SELECT l.doc_id, l.leaf, t.digest AS subroot, u.digest AS root, sha256(e.siblings) AS proof_sha256, e.folded AS folded_root,
+  e.folded = u.digest AS verified
+FROM leaves l JOIN ends e USING (no) JOIN tops t USING (tree), (SELECT digest FROM upper WHERE n = 1) u
+"""

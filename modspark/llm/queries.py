@@ -109,4 +109,5 @@ SQL: dict[str, str] = {
     "op4_quality_rules": line_rules.SQL,
     "op6_benchmark_decontamination": decontamination.SQL,
     "op8_warc": warc_zip.SQL,
+    "op12_merkle_manifest": merkle.SQL,
 }
