@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--id-field", default="id")
     c.add_argument("--format", default="parquet")
     c.add_argument("--negative-ratio", type=float, default=1.0)
+    c.add_argument("--split-csv", action="store_true", help="CSV files have no line ends inside quotes: read a file in parts")
     c = add("train", "fit the TF-IDF classifiers", "data")
     c.add_argument("--max-features", type=int, default=80_000)
     c.add_argument("--c", type=float, default=4.0)
@@ -42,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     c = add("tune", "try a grid of settings", "data")
     c.add_argument("--grid", required=True, help="JSON object of value lists")
     c.add_argument("--max-trials", type=int, default=6)
+    c.add_argument("--store", help="folder of finished trials; a run that was ended goes on from there")
     c = add("eval", "compare models", "data", "models")
     c.add_argument("--threshold", type=float, default=0.5)
     for name, text, split in (
@@ -60,7 +62,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--agent", help="YAML or JSON file of cut-offs and routing switches")
     for route in ("multilingual", "finetuned", "vi"):
         c.add_argument(f"--{route}", help="a further scorer: model folder, column:NAME or MODULE:FUNCTION")
-    c.add_argument("--run", help="name of this run; its folder is overwritten when it starts again")
+    c.add_argument("--run", help="name of this run; started again, it replaces what it added")
     c.add_argument("--store-raw-text", action="store_true")
     c.add_argument("--store-redacted-text", action="store_true")
     c = add("report", "monitoring report of a prediction log", "log")
@@ -82,13 +84,13 @@ def main(argv: list[str] | None = None) -> None:
     labels = o.labels.split(",")
     if o.command == "prepare":
         jobs.prepare(
-            spark, _pairs(o.splits), o.out, o.text_field, labels, o.id_field, o.format, o.negative_ratio
+            spark, _pairs(o.splits), o.out, o.text_field, labels, o.id_field, o.format, o.negative_ratio, split_csv=o.split_csv
         )
     elif o.command == "train":
         settings = TfidfSettings(o.max_features, c=o.c, max_iter=o.max_iter, use_pos_weight=o.use_pos_weight)
         jobs.train(spark, o.data, o.out, labels, settings)
     elif o.command == "tune":
-        jobs.tune(spark, o.data, o.out, labels, json.loads(o.grid), o.max_trials)
+        jobs.tune(spark, o.data, o.out, labels, json.loads(o.grid), o.max_trials, o.store)
     elif o.command == "eval":
         jobs.evaluate(spark, o.data, _pairs(o.models), o.out, labels, o.threshold)
     elif o.command in ("threshold-search", "error-analysis", "fairness"):

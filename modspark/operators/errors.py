@@ -118,15 +118,13 @@ def worst_cases(
     labels: str = "labels",
     probs: str = "probs",
 ) -> DataFrame:
-    """The ``k`` rows furthest from their labels as records without text.
+    """The ``k`` rows furthest from their labels as records without text; all if there are fewer.
 
-    Each task keeps its own k best by scores alone; the k winners, a bounded table, then
-    fetch their texts. ``order`` breaks ties and must name a row; a null there matches none.
+    Each task keeps its own k best rows, texts included, in one pass. ``order`` and then a
+    hash of the text break ties; null ids come first, and rows that repeat count each.
     """
-    narrow = df.select(*order, labels, probs, max_error(labels, probs).alias("max_abs_error"))
-    best = narrow.orderBy(F.desc("max_abs_error"), *order).limit(k)
-    top = df.select(*order, text).join(F.broadcast(best), [*order])
-    top = top.repartition(1).sortWithinPartitions(F.desc("max_abs_error"), *order)
+    rows = df.select(*order, text, labels, probs, max_error(labels, probs).alias("max_abs_error"))
+    top = rows.orderBy(F.desc("max_abs_error"), *order, F.xxhash64(text)).limit(k)
     names = F.array(*[F.lit(x) for x in label_fields])
     indexes = range(len(label_fields))
     raw = F.coalesce(F.col(text), F.lit(""))

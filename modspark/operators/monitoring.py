@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from modspark.functions.numbers import at_least, f1, parse_number
-from modspark.operators.order_stats import count_values, exact_percentiles
+from modspark.operators.order_stats import count_values, exact_percentiles, value_cell
 
 NO_ACTION = "UNKNOWN"
 NO_LANGUAGE = "unknown"
@@ -105,6 +106,35 @@ def latency_summary(df: DataFrame, millis: str, keys: Sequence[str] = ()) -> Dat
     )
 
 
+def latency_sketches(df: DataFrame, millis: str, keys: Sequence[str], k: int = 400) -> DataFrame:
+    """``keys, n, total, sketch``: one small row per key, which can be stored and merged later.
+
+    The sketch is a KLL quantile sketch; a larger ``k`` makes it larger and closer. Nulls and
+    NaN are no measurements and are left out.
+    """
+    rows = df.select(*keys, F.col(millis).cast("double").alias("_v")).filter("_v IS NOT NULL AND NOT isnan(_v)")
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.sum("_v").alias("total"), F.kll_sketch_agg_double("_v", k).alias("sketch")
+    )
+
+
+def sketch_rank_error(k: int = 400) -> float:
+    """By how much the rank of an estimated percentile may be off, as a share of all rows.
+
+    The published bound of a KLL sketch for single queries at 99% confidence.
+    """
+    return 2.296 / k**0.9021
+
+
+def sketched_latency(sketches: DataFrame, keys: Sequence[str] = (), points: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """``keys, n, mean_ms, p50_ms, ...`` over any groups of stored rows; n and the mean are exact."""
+    merged = sketches.groupBy(*keys).agg(
+        F.sum("n").alias("n"), (F.sum("total") / F.sum("n")).alias("mean_ms"), F.kll_merge_agg_double("sketch").alias("_s")
+    )
+    at = [F.kll_sketch_get_quantile_double("_s", F.lit(float(q))).alias(f"p{round(q * 100)}_ms") for q in points]
+    return merged.select(*keys, "n", "mean_ms", *at)
+
+
 def log_signals(length: str = "n_chars", score: str = "overall_score") -> Column:
     """Binned drift signals of a log row: length, language, score and action."""
     # powers of two for lengths (number of binary digits), tenths for scores
@@ -151,6 +181,54 @@ def drift(counts: DataFrame, day: str, in_reference: Column, floor: float = 1e-6
     )
 
 
+def sample_distances(df: DataFrame, day: str, value: str, in_reference: Column) -> DataFrame:
+    """``day, n, ks, wasserstein``: how far each day's values are from those of a reference window.
+
+    Kolmogorov-Smirnov is the largest gap between the two distribution functions, Wasserstein
+    the area between them; neither needs bins. Values are counted first; then each day's counts are
+    laid over those of the reference. Running totals come in two steps, over cells of the
+    value range and inside one cell, so a day is never ordered in one task. Nulls
+    and NaN are left out, as are rows without a day; a reference without values gives null distances.
+    """
+    counted = (
+        df.select(F.col(day).alias("_day"), F.col(value).cast("double").alias("_v"), in_reference.alias("_ref"))
+        .filter("_v IS NOT NULL AND NOT isnan(_v)")
+        .groupBy("_day", "_v", "_ref")
+        .agg(F.count("*").alias("w"))
+    )
+    own = counted.groupBy("_day", "_v").agg(F.sum("w").alias("a"))
+    reference = counted.filter("_ref").groupBy("_v").agg(F.sum("w").alias("b"))
+    # one number per day is all that the driver sees
+    sizes = {r["_day"]: r["n"] for r in own.filter("_day IS NOT NULL").groupBy("_day").agg(F.sum("a").alias("n")).collect()}
+    size = reference.agg(F.sum("b")).first()[0]
+    kind = df.schema[day].dataType
+    listed = F.array(*[F.lit(d).cast(kind) for d in sorted(sizes)]).cast(ArrayType(kind))
+    # the reference once per day: a row per distinct value of it and day
+    theirs = reference.select(F.explode(listed).alias("_day"), "_v", F.lit(0).cast("long").alias("a"), "b")
+    both = own.filter("_day IS NOT NULL").select("_day", "_v", "a", F.lit(0).cast("long").alias("b")).unionByName(theirs)
+    merged = both.groupBy("_day", "_v").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).withColumn("_cell", value_cell(F.col("_v")))
+    cells = merged.groupBy("_day", "_cell").agg(F.sum("a").alias("ca"), F.sum("b").alias("cb"), F.min("_v").alias("_least"))
+    ahead = Window.partitionBy("_day").orderBy("_cell")
+    before = ahead.rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select(
+        "_day", "_cell", F.coalesce(F.sum("ca").over(before), F.lit(0)).alias("ca"),
+        F.coalesce(F.sum("cb").over(before), F.lit(0)).alias("cb"), F.lead("_least").over(ahead).alias("_after"),
+    )
+    inside = Window.partitionBy("_day", "_cell").orderBy("_v")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    na = F.coalesce(*[F.when(F.col("_day") == F.lit(d), n) for d, n in sizes.items()], F.lit(0)).cast("long")
+    rows = merged.join(cells, ["_day", "_cell"]).select(
+        "_day", na.alias("_na"), F.lit(size).cast("long").alias("_nb"),
+        (F.col("ca") + F.sum("a").over(upto)).alias("ta"), (F.col("cb") + F.sum("b").over(upto)).alias("tb"),
+        (F.coalesce(F.lead("_v").over(inside), "_after") - F.col("_v")).alias("width"),
+    )
+    rows = rows.withColumn("gap", F.abs(F.col("ta") / F.col("_na") - F.col("tb") / F.col("_nb")))
+    return rows.groupBy(F.col("_day").alias(day)).agg(
+        F.max("_na").alias("n"), F.max("gap").alias("ks"),
+        F.when(F.max("gap").isNotNull(), F.coalesce(F.sum(F.col("gap") * F.col("width")), F.lit(0.0))).alias("wasserstein"),
+    )
+
+
 def rolling_f1(
     log: DataFrame,
     truth: DataFrame,
@@ -165,13 +243,21 @@ def rolling_f1(
     Copies of a text collapse to one row per day and score before the join, and the truth
     has one row per hash, so a text that makes up much of the log does not skew the join.
     """
-    scores = [
+    hits = [f"hit{i}" for i in range(len(label_fields))]
+    seen = log.select(day, key, *label_hits(label_fields, threshold)).groupBy(day, key, *hits).agg(F.count("*").alias("w"))
+    return rolling(hit_counts(seen.join(truth, key), day, label_fields), day, days)
+
+
+def label_hits(label_fields: Sequence[str], threshold: float) -> list[Column]:
+    """``hit0, hit1, ...``: whether the logged score of each label reaches the threshold."""
+    return [
         at_least(F.try_element_at("label_scores", F.lit(x)).cast("float"), threshold).alias(f"hit{i}")
         for i, x in enumerate(label_fields)
     ]
-    hits = [f"hit{i}" for i in range(len(label_fields))]
-    seen = log.select(day, key, *scores).groupBy(day, key, *hits).agg(F.count("*").alias("w"))
-    joined = seen.join(truth, key)
+
+
+def hit_counts(joined: DataFrame, day: str, label_fields: Sequence[str]) -> DataFrame:
+    """``day, label, n, tp, fp, fn`` of rows with ``w``, hits and labels; parts of a day can be added."""
     cells = F.array(
         *[
             F.struct(
@@ -187,12 +273,16 @@ def rolling_f1(
     def total(case: Column, name: str) -> Column:
         return F.sum(F.when(case, F.col("w")).otherwise(0)).alias(name)
 
-    daily = rows.groupBy(day, "label").agg(
+    return rows.groupBy(day, "label").agg(
         F.sum("w").alias("n"),
         total((F.col("y") == 1) & F.col("hit"), "tp"),
         total((F.col("y") == 0) & F.col("hit"), "fp"),
         total((F.col("y") == 1) & ~F.col("hit"), "fn"),
     )
+
+
+def rolling(daily: DataFrame, day: str, days: int = 7) -> DataFrame:
+    """``day, label, n, f1`` from the daily counts, over the last ``days`` days that have some."""
     w = Window.partitionBy("label").orderBy(day).rowsBetween(1 - days, 0)
     sums = {c: F.sum(c).over(w) for c in ("n", "tp", "fp", "fn")}
     return daily.select(day, "label", *[v.alias(k) for k, v in sums.items()]).select(

@@ -77,21 +77,25 @@ class BatchScorer(Scorer):
     ``load`` runs once per worker task and returns a function from a list of texts to an
     N x L matrix. The column is marked non-deterministic so that Spark neither repeats it
     nor moves filters through it: each text is scored once.
+
+    A model pads the texts of a batch to the longest. Of every ``reorder`` texts those of like
+    length make a batch, and scores go back to their places; 0 keeps texts in their order.
     """
 
     name: str
     labels: Sequence[str]
     load: Callable[[], Predict]
     batch_size: int = 64
+    reorder: int = 4096
 
     def score(self, df, text, out, where=None):
-        load, width, size = self.load, len(self.labels), max(self.batch_size, 1)
+        load, width, size, reorder = self.load, len(self.labels), max(self.batch_size, 1), self.reorder
 
         @F.pandas_udf("array<float>")
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             predict = load()
             for batch in batches:
-                yield _score_batch(predict, batch, width, size)
+                yield _score_batch(predict, batch, width, size, reorder)
 
         wanted = F.coalesce(F.col(text), F.lit(""))
         if where is not None:
@@ -99,17 +103,28 @@ class BatchScorer(Scorer):
         return df.withColumn(out, run.asNondeterministic()(wanted))
 
 
-def _score_batch(predict: Predict, batch: pd.Series, width: int, size: int) -> pd.Series:
+def batch_places(lengths: np.ndarray, size: int, reorder: int) -> Iterator[np.ndarray]:
+    """Which texts make a batch: like lengths together, inside every ``reorder`` texts."""
+    window = reorder if reorder > 0 else max(1, len(lengths))
+    for first in range(0, len(lengths), window):
+        order = np.arange(first, min(first + window, len(lengths)))
+        if reorder > 0:
+            order = order[np.argsort(lengths[order], kind="stable")]
+        for start in range(0, len(order), size):
+            yield order[start : start + size]
+
+
+def _score_batch(predict: Predict, batch: pd.Series, width: int, size: int, reorder: int) -> pd.Series:
     """Scores of the non-null texts of a batch, null elsewhere."""
     scores: list[np.ndarray | None] = [None] * len(batch)
     places = np.flatnonzero(batch.notna().to_numpy())
     texts = batch.iloc[places].tolist()
-    for start in range(0, len(texts), size):
-        chunk = texts[start : start + size]
-        matrix = np.asarray(predict(chunk), dtype=np.float32)
-        if matrix.shape != (len(chunk), width):
-            raise ValueError(f"scorer returned shape {matrix.shape}, expected {(len(chunk), width)}")
-        for place, row in zip(places[start : start + size], matrix):
+    lengths = np.array([len(t) for t in texts], int)
+    for chosen in batch_places(lengths, size, reorder):
+        matrix = np.asarray(predict([texts[i] for i in chosen]), dtype=np.float32)
+        if matrix.shape != (len(chosen), width):
+            raise ValueError(f"scorer returned shape {matrix.shape}, expected {(len(chosen), width)}")
+        for place, row in zip(places[chosen], matrix):
             scores[place] = row
     return pd.Series(scores, index=batch.index, dtype=object)
 

@@ -1,14 +1,22 @@
-"""TF-IDF features and one logistic regression per label, with Spark ML."""
+"""TF-IDF features and one logistic regression per label, as Spark ML stages.
+
+The classifiers are fitted by ``newton``: their intercept is penalised like a weight, and all
+labels, and all settings that share features, are fitted in the same passes.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import islice, product
 
+import numpy as np
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import (
     IDF,
     CountVectorizerModel,
@@ -20,10 +28,11 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from modspark import constants as K
+from modspark.operators import newton
 from modspark.operators.metrics import evaluate_labels, positive_weights, summarize, to_long
 from modspark.operators.scoring import Scorer
 
@@ -136,75 +145,141 @@ def fit_features(df: DataFrame, text: str, settings: TfidfSettings) -> list[Tran
     return [*stages, counter, scale, Normalizer(p=2.0, inputCol="_scaled", outputCol=_FEATURES)]
 
 
+def _cells(vector: str) -> Column:
+    """The non-zero cells of a sparse vector, one row each: place and value."""
+    cut = F.unwrap_udt(vector)
+    return F.inline(F.arrays_zip(cut["indices"].alias("place"), cut["values"].alias("value")))
+
+
 def weighted_terms(df: DataFrame, stages: Sequence[Transformer], keys: Sequence[str], text: str) -> DataFrame:
     """``keys, term, weight``: the non-zero TF-IDF weights of every text."""
     counter = next(s for s in stages if isinstance(s, CountVectorizerModel))
     names = df.sparkSession.createDataFrame(list(enumerate(counter.vocabulary)), "place int, term string")
     vectors = _through(stages, df.select(*keys, _empty_text(text).alias(_TEXT)))
-    cells = vectors.select(*keys, F.posexplode(vector_to_array(F.col(_FEATURES))).alias("place", "weight"))
+    cells = vectors.select(*keys, _cells(_FEATURES)).toDF(*keys, "place", "weight")
     return cells.filter("weight > 0").join(names, "place").select(*keys, "term", "weight")
 
 
+def term_weights(model: "TfidfModel") -> DataFrame:
+    """``term, label, weight`` of a fitted model, zeros left out; the intercept's term is null."""
+    spark = SparkSession.getActiveSession()
+    counter = next(s for s in model.stages.stages if isinstance(s, CountVectorizerModel))
+    rows = []
+    for stage in model.stages.stages:
+        if isinstance(stage, LogisticRegressionModel):
+            name = stage.getProbabilityCol().removeprefix("_prob_")
+            found = stage.coefficients.toArray()
+            rows.append((None, name, float(stage.intercept)))
+            rows += [(counter.vocabulary[i], name, float(found[i])) for i in np.flatnonzero(found)]
+    return spark.createDataFrame(rows, "term string, label string, weight double")
+
+
 def gradient_size(
     model: "TfidfModel", df: DataFrame, settings: TfidfSettings, text: str = "text", labels: str = "labels"
 ) -> DataFrame:
     """``label, size``: the largest slope of each classifier's objective where training stopped.
 
-    The objective is the mean (weighted) log loss plus half the penalty times the squared
-    weights, intercept left out. A size near zero says that it has been minimised.
+    The objective is the mean weighted log loss plus the squared weights, intercept included,
+    over twice C times the rows. A size near zero says that it has been minimised.
     """
     rows = _through(model.stages.stages, df.select(_empty_text(text).alias(_TEXT), labels)).persist()
     try:
         n = max(1, rows.count())
-        weights = {}
-        if settings.use_pos_weight:
-            weights = {r["label"]: float(r["pos_weight"]) for r in positive_weights(rows, model.labels, labels).collect()}
+        weights = _positive_weights(rows, model.labels, labels, settings)
         found = []
         fitted = {s.getProbabilityCol(): s for s in model.stages.stages if isinstance(s, LogisticRegressionModel)}
         for i, name in enumerate(model.labels):
-            y = F.get(F.col(labels), F.lit(i))
-            w = F.when(y > 0, weights.get(name, 1.0)).otherwise(1.0)
+            y = F.coalesce(F.get(F.col(labels), F.lit(i)), F.lit(0.0))
+            w = F.when(y > 0, weights[name]).otherwise(1.0)
             miss = w * (F.get(vector_to_array(F.col(f"_prob_{name}")), F.lit(1)) - F.when(y > 0, 1.0).otherwise(0.0))
-            total = rows.agg(F.sum(w)).first()[0]
-            cells = rows.select(miss.alias("m"), F.posexplode(vector_to_array(F.col(_FEATURES))).alias("place", "x"))
-            slopes = cells.filter("x <> 0").groupBy("place").agg((F.sum(F.col("m") * F.col("x")) / total).alias("g"))
+            cells = rows.select(miss.alias("m"), _cells(_FEATURES)).toDF("m", "place", "x")
+            slopes = cells.groupBy("place").agg((F.sum(F.col("m") * F.col("x")) / n).alias("g"))
             slope = {r["place"]: r["g"] for r in slopes.collect()}
-            theta = fitted[f"_prob_{name}"].coefficients.toArray()
+            classifier = fitted[f"_prob_{name}"]
+            theta, intercept = classifier.coefficients.toArray(), classifier.intercept
             penalty = 1.0 / (settings.c * n)
-            inner = rows.agg(F.sum(miss) / total).first()[0]
-            found.append((name, float(max(abs(inner), *(abs(slope.get(k, 0.0) + penalty * t) for k, t in enumerate(theta))))))
+            inner = rows.agg(F.sum(miss) / n).first()[0] or 0.0
+            sizes = [abs(slope.get(k, 0.0) + penalty * t) for k, t in enumerate(theta)]
+            # a label that is the same in all rows has a constant classifier, without an objective
+            sizes.append(abs(inner + penalty * intercept) if math.isfinite(intercept) else 0.0)
+            found.append((name, float(max(sizes))))
     finally:
         rows.unpersist()
     return df.sparkSession.createDataFrame(found, "label string, size double")
 
 
+def _positive_weights(rows: DataFrame, label_fields: Sequence[str], labels: str, settings: TfidfSettings) -> dict[str, float]:
+    if not settings.use_pos_weight:
+        return dict.fromkeys(label_fields, 1.0)
+    return {r["label"]: float(r["pos_weight"]) for r in positive_weights(rows, label_fields, labels).collect()}
+
+
+def _constant(features: DataFrame, label_fields: Sequence[str], labels: str) -> dict[int, float]:
+    """Places of the labels that all rows agree on, with the intercept that says so."""
+    given = [F.count_if(F.get(F.col(labels), F.lit(i)) > 0) for i in range(len(label_fields))]
+    n, *counts = features.agg(F.count("*"), *given).first()
+    return {i: math.inf if k == n and n else -math.inf for i, k in enumerate(counts) if k in (0, n)}
+
+
+def fitted_weights(
+    data: DataFrame, size: int, trials: Sequence[TfidfSettings], weights: Sequence[Mapping[str, float]],
+    label_fields: Sequence[str], constant: Mapping[int, float],
+) -> np.ndarray:
+    """(trials x labels) x (features + intercept), all fitted in the same passes over the blocks."""
+    columns = [
+        newton.Column(i, settings.c, weight[name])
+        for settings, weight in zip(trials, weights, strict=True)
+        for i, name in enumerate(label_fields)
+    ]
+    found = np.zeros((len(columns), size + 1))
+    for k, column in enumerate(columns):
+        found[k, -1] = constant.get(column.label, 0.0)
+    open_columns = [k for k, column in enumerate(columns) if column.label not in constant]
+    limits = {settings.max_iter for settings in trials}
+    for limit in sorted(limits):
+        own = [k for k in open_columns if trials[k // len(label_fields)].max_iter == limit]
+        if own:
+            found[own] = newton.minimised(data, size, [columns[k] for k in own], limit)
+    return found
+
+
+def _classifier(name: str, weights: np.ndarray) -> LogisticRegressionModel:
+    """A Spark ML classifier with the given weights, the intercept last."""
+    spark_context = SparkSession.getActiveSession().sparkContext
+    uid = LogisticRegressionModel().uid
+    vector = _py2java(spark_context, Vectors.dense(weights[:-1].tolist()))
+    kind = "org.apache.spark.ml.classification.LogisticRegressionModel"
+    model = LogisticRegressionModel(LogisticRegressionModel._new_java_obj(kind, uid, vector, float(weights[-1])))
+    model._resetUid(uid)
+    for setter, column in (
+        (model.setFeaturesCol, _FEATURES),
+        (model.setPredictionCol, f"_pred_{name}"),
+        (model.setProbabilityCol, f"_prob_{name}"),
+        (model.setRawPredictionCol, f"_raw_{name}"),
+    ):
+        setter(column)
+    return model
+
+
 def fit_classifiers(
-    features: DataFrame, label_fields: Sequence[str], labels: str, settings: TfidfSettings
+    features: DataFrame, label_fields: Sequence[str], labels: str, settings: TfidfSettings, size: int
 ) -> list[LogisticRegressionModel]:
-    """One classifier per label on a frame with a feature vector and a label array."""
-    n = max(features.count(), 1)
-    weights = {}
-    if settings.use_pos_weight:
-        found = positive_weights(features, label_fields, labels).collect()
-        weights = {r["label"]: float(r["pos_weight"]) for r in found}
-    models = []
-    for i, name in enumerate(label_fields):
-        y = F.get(F.col(labels), F.lit(i))
-        rows = features.select(_FEATURES, y.alias("_y"), F.when(y > 0, weights.get(name, 1.0)).otherwise(1.0).alias("_w"))
-        learner = LogisticRegression(
-            featuresCol=_FEATURES,
-            labelCol="_y",
-            weightCol="_w",
-            predictionCol=f"_pred_{name}",
-            probabilityCol=f"_prob_{name}",
-            rawPredictionCol=f"_raw_{name}",
-            regParam=1.0 / (settings.c * n),
-            standardization=False,
-            maxIter=settings.max_iter,
-            tol=1e-4,
-        )
-        models.append(learner.fit(rows))
-    return models
+    """One classifier per label on a frame with vectors of ``size`` features and a label array.
+
+    A label that all rows agree on gets a classifier that always says so.
+    """
+    data = newton.blocks(features, _FEATURES, labels, len(label_fields)).persist()
+    try:
+        weights = _positive_weights(features, label_fields, labels, settings)
+        constant = _constant(features, label_fields, labels)
+        found = fitted_weights(data, size, [settings], [weights], label_fields, constant)
+    finally:
+        data.unpersist()
+    return [_classifier(name, found[i]) for i, name in enumerate(label_fields)]
+
+
+def _size(stages: Sequence[Transformer]) -> int:
+    return len(next(s for s in stages if isinstance(s, CountVectorizerModel)).vocabulary)
 
 
 def train_tfidf_lr(
@@ -218,7 +293,7 @@ def train_tfidf_lr(
     features = _through(stages, df.select(_empty_text(text).alias(_TEXT), labels)).select(_FEATURES, labels)
     features = features.persist()
     try:
-        classifiers = fit_classifiers(features, label_fields, labels, settings)
+        classifiers = fit_classifiers(features, label_fields, labels, settings, _size(stages))
     finally:
         features.unpersist()
     return TfidfModel(list(label_fields), PipelineModel([*stages, *classifiers]))
@@ -228,6 +303,19 @@ def trial_key(params: Mapping[str, object]) -> str:
     return ",".join(f"{k}={params[k]}" for k in sorted(params))
 
 
+TRIALS = "params string, f1_micro double, f1_macro double, auc_macro double"
+
+
+def finished_trials(spark: SparkSession, store: str | None) -> dict[str, Row]:
+    """What a store of trials holds, by parameters; a store that is not there yet holds nothing."""
+    if store is None:
+        return {}
+    try:
+        return {r["params"]: r for r in spark.read.schema(TRIALS).parquet(store).collect()}
+    except AnalysisException:
+        return {}
+
+
 def tune(
     train: DataFrame,
     validation: DataFrame,
@@ -238,52 +326,59 @@ def tune(
     threshold: float = 0.5,
     text: str = "text",
     labels: str = "labels",
+    store: str | None = None,
 ) -> DataFrame:
     """``trial, params, f1_micro, f1_macro, auc_macro, best`` for the first combinations of a grid.
 
-    Features that several trials share are fitted once; finished trials are taken over
-    from ``done``. The best trial has the highest micro F1, the earliest among equals.
+    Trials that share features are fitted together, in the same passes over the rows, and
+    measured in one job. Finished trials are taken over from ``done`` and from the folder
+    ``store``, to which every group of trials is appended when it is measured: a run that was
+    ended goes on from there. The best trial has the highest micro F1, the earliest among equals.
     """
     names = list(grid)
     combos = [dict(zip(names, values)) for values in islice(product(*grid.values()), max_trials)]
+    spark = train.sparkSession
     finished = {r["params"]: r for r in done.collect()} if done is not None else {}
-    spark, results, shared, scored = train.sparkSession, [], {}, []
-    try:
-        for number, params in enumerate(combos, 1):
-            key = trial_key(params)
-            if key in finished:
-                old = finished[key]
-                results.append((number, key, old["f1_micro"], old["f1_macro"], old["auc_macro"]))
-                continue
+    finished |= finished_trials(spark, store)
+    groups: dict[tuple, list[int]] = {}
+    for number, params in enumerate(combos):
+        if trial_key(params) not in finished:
             settings = TfidfSettings(**params)
-            kind = (settings.max_features, settings.ngram_range)
-            if kind not in shared:
-                stages = fit_features(train, text, settings)
-                shared[kind] = [
-                    _through(stages, d.select(_empty_text(text).alias(_TEXT), labels)).select(_FEATURES, labels).persist()
-                    for d in (train, validation)
-                ]
-            fit_on, check_on = shared[kind]
-            found = _through(fit_classifiers(fit_on, label_fields, labels, settings), check_on)
-            probs = F.array(
-                *[F.get(vector_to_array(F.col(f"_prob_{x}")), F.lit(1)).cast("float") for x in label_fields]
-            )
-            rows = found.select(F.lit(number).alias("trial"), labels, probs.alias("probs"))
-            scored.append(to_long(rows, label_fields, ["trial"], labels))
-        if scored:
-            # all trials are measured in one job
-            long = scored[0]
-            for part in scored[1:]:
-                long = long.unionByName(part)
-            for r in summarize(evaluate_labels(long, ["trial"], threshold), ["trial"]).collect():
-                params = trial_key(combos[r["trial"] - 1])
-                results.append((r["trial"], params, r["f1_micro"], r["f1_macro"], r["auc_macro"]))
-    finally:
-        for frames in shared.values():
-            for frame in frames:
-                frame.unpersist()
+            groups.setdefault((settings.max_features, settings.ngram_range), []).append(number)
+    for numbers in groups.values():
+        trials = [TfidfSettings(**combos[k]) for k in numbers]
+        found = _measured(train, validation, label_fields, trials, threshold, text, labels)
+        rows = [(trial_key(combos[k]), *found[i]) for i, k in enumerate(numbers)]
+        if store is not None:
+            spark.createDataFrame(rows, TRIALS).coalesce(1).write.mode("append").parquet(store)
+        finished |= {r[0]: Row(params=r[0], f1_micro=r[1], f1_macro=r[2], auc_macro=r[3]) for r in rows}
+    results = []
+    for number, params in enumerate(combos, 1):
+        r = finished[trial_key(params)]
+        results.append((number, r["params"], r["f1_micro"], r["f1_macro"], r["auc_macro"]))
     best = max(results, key=lambda r: (r[2], -r[0]))[0] if results else None
     return spark.createDataFrame(
-        [(*r, r[0] == best) for r in sorted(results)],
+        [(*r, r[0] == best) for r in results],
         "trial int, params string, f1_micro double, f1_macro double, auc_macro double, best boolean",
     )
+
+
+def _measured(
+    train: DataFrame, validation: DataFrame, label_fields: Sequence[str], trials: Sequence[TfidfSettings],
+    threshold: float, text: str, labels: str,
+) -> list[tuple[float, float, float]]:
+    """f1_micro, f1_macro and auc_macro of trials that share their features."""
+    stages = fit_features(train, text, trials[0])
+    features = _through(stages, train.select(_empty_text(text).alias(_TEXT), labels)).select(_FEATURES, labels)
+    data = newton.blocks(features, _FEATURES, labels, len(label_fields)).persist()
+    try:
+        weights = [_positive_weights(train, label_fields, labels, settings) for settings in trials]
+        constant = _constant(train, label_fields, labels)
+        found = fitted_weights(data, _size(stages), trials, weights, label_fields, constant)
+    finally:
+        data.unpersist()
+    rows = _through(stages, validation.select(_empty_text(text).alias(_TEXT), labels)).select(_FEATURES, labels)
+    scored = newton.probabilities(newton.blocks(rows, _FEATURES, labels, len(label_fields)), found, len(trials))
+    long = to_long(scored, label_fields, ["trial"], "labels")
+    by_trial = {r["trial"]: r for r in summarize(evaluate_labels(long, ["trial"], threshold), ["trial"]).collect()}
+    return [(by_trial[k]["f1_micro"], by_trial[k]["f1_macro"], by_trial[k]["auc_macro"]) for k in range(len(trials))]

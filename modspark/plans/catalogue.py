@@ -23,6 +23,7 @@ from modspark.operators import (
     errors,
     fairness,
     governance,
+    identity,
     langid,
     metrics,
     monitoring,
@@ -38,9 +39,10 @@ from modspark.operators.scoring import BatchScorer, MapScorer
 from modspark.plans import reports as reports_plan
 from modspark.plans import standins as S
 from modspark.session import work_folder
-from modspark.sources import datasets, logs, reports, requests, settings_files
+from modspark.sources import datasets, logs, reports, requests, settings_files, shards
 from modspark.streaming import daily
 from modspark.streaming import moderation as stream_moderation
+from modspark.streaming import quality as stream_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -273,6 +275,15 @@ def seeded_shuffle(spark, sf_dir):
     return sampling.shuffled(rows, ["doc_id"], method="sha256").select("doc_id", key.alias("order_key"))
 
 
+@register
+def export_shards(spark, sf_dir):
+    """Documents exported in seeded order as sixteen files; the place of every row in the whole order."""
+    path = work_folder(spark, "shards")
+    manifest = shards.export_shards(S.table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"], path, 16, method="sha256")
+    rows = spark.read.parquet(f"{path}/rows")
+    return shards.positions(rows, manifest, ["doc_id"]).select("doc_id", F.col("position").cast("long").alias("position"))
+
+
 @register
 def load_prepared(spark, sf_dir):
     """Filter, normalise, down-sample and split in one job."""
@@ -328,6 +339,13 @@ def slice_membership(spark, sf_dir):
     return rows.select("doc_id", "slice")
 
 
+@register
+def slice_membership_terms(spark, sf_dir):
+    """The same slices by one automaton over all terms."""
+    rows = identity.term_slice_rows(docs(spark, sf_dir).select("doc_id", "text"), S.TERM_GROUPS)
+    return rows.select("doc_id", "slice")
+
+
 @register
 def language_rules(spark, sf_dir):
     rows = S.messages(spark, sf_dir)
@@ -463,6 +481,19 @@ def prediction_log_redacted(spark, sf_dir):
     return log.select("text_sha256", F.sha2("text_redacted", 256).alias("redacted_sha256"))
 
 
+@register
+def committed_log(spark, sf_dir):
+    """Two runs over one table, one of them repeated under its name, and one that never committed."""
+    path = work_folder(spark, "log")
+    stamp = F.lit("2024-01-02 03:04:05.678").cast("timestamp")
+    rows = logs.prediction_records(S.decisions(spark, sf_dir), stamp)
+    for run in ("monday", "tuesday", "tuesday"):
+        logs.append_json(rows, path, run)
+    rows.write.partitionBy("dt").json(f"{path}/attempt=a-killed")
+    log, _ = logs.read_prediction_log(spark, path)
+    return log.groupBy("action").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+
+
 @register
 def request_texts(spark, sf_dir):
     """Conversation turns as requests: a single text, a batch that wins over it, or neither."""
@@ -724,6 +755,34 @@ def latency_by_kind(spark, sf_dir):
     return rounded(rows, "p50_ms", "p95_ms", "p99_ms", "mean_ms")
 
 
+@register
+def latency_sketched(spark, sf_dir):
+    """Percentiles from stored daily sketches, and whether their ranks are within the stated error."""
+    events = S.table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"), "value")
+    path = work_folder(spark, "sketches")
+    monitoring.latency_sketches(events, "value", ["event_type", "day"]).write.parquet(path)
+    found = monitoring.sketched_latency(spark.read.parquet(path), ["event_type"])
+    points = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+    ranks = events.filter("value IS NOT NULL").join(found, "event_type").groupBy("event_type").agg(
+        *[(F.count_if(F.col("value") <= F.col(c)) / F.count("*")).alias(f"r_{c}") for c in points]
+    )
+    error = monitoring.sketch_rank_error()
+    near = [(F.abs(F.col(f"r_{c}") - q) <= error).alias(f"{c}_near") for c, q in points.items()]
+    return found.join(ranks, "event_type").select("event_type", "n", r6("mean_ms").alias("mean_ms"), *near)
+
+
+@register
+def drift_distances(spark, sf_dir):
+    """Distances of each day's text lengths and scores from the first week's, without bins."""
+    log = S.decision_log(spark, sf_dir).select("day", "n_chars", "overall_score")
+    first_week = F.col("day") < "2024-01-08"
+    parts = [
+        monitoring.sample_distances(log, "day", column, first_week).withColumn("signal", F.lit(column))
+        for column in ("n_chars", "overall_score")
+    ]
+    return rounded(parts[0].unionByName(parts[1]), "ks", "wasserstein")
+
+
 @register
 def drift(spark, sf_dir):
     """Each day against the first week."""
@@ -785,7 +844,7 @@ def tfidf_lr_scores(spark, sf_dir):
     """Classifiers fitted on train, saved, loaded, and applied to the other rows."""
     train, test = _train_and_test(spark, sf_dir)
     path = work_folder(spark, "model")
-    tfidf.train_tfidf_lr(train, S.LABELS, tfidf.TfidfSettings(max_iter=15)).save(path)
+    tfidf.train_tfidf_lr(train, S.LABELS, tfidf.TfidfSettings()).save(path)
     scored = tfidf.TfidfModel.load(path).score(test, "text", "probs")
     return scored.select(
         F.col("id").alias("doc_id"),
@@ -793,14 +852,11 @@ def tfidf_lr_scores(spark, sf_dir):
     )
 
 
-TERMS = tfidf.TfidfSettings(max_features=2_000)
-
-
 @register
 def tfidf_features(spark, sf_dir):
     """TF-IDF weights of every document over the commonest terms of all of them."""
     rows = docs(spark, sf_dir).select("doc_id", "text")
-    stages = tfidf.fit_features(rows, "text", TERMS)
+    stages = tfidf.fit_features(rows, "text", tfidf.TfidfSettings())
     return rounded(tfidf.weighted_terms(rows, stages, ["doc_id"], "text"), "weight")
 
 
@@ -808,9 +864,9 @@ def tfidf_features(spark, sf_dir):
 def tfidf_stationary(spark, sf_dir):
     """Whether training has minimised each label's objective on the training rows."""
     train, _ = _train_and_test(spark, sf_dir)
-    settings = tfidf.TfidfSettings(max_features=2_000)
+    settings = tfidf.TfidfSettings()
     sizes = tfidf.gradient_size(tfidf.train_tfidf_lr(train, S.LABELS, settings), train, settings)
-    return sizes.select("label", (F.col("size") < 1e-3).alias("minimised"))
+    return sizes.select("label", (F.col("size") < 1e-4).alias("minimised"))
 
 
 @register
@@ -818,7 +874,7 @@ def tfidf_save_load(spark, sf_dir):
     """How many scores of the other rows change when the model is saved and loaded."""
     train, test = _train_and_test(spark, sf_dir)
     path = work_folder(spark, "model")
-    model = tfidf.train_tfidf_lr(train, S.LABELS, tfidf.TfidfSettings(max_iter=5))
+    model = tfidf.train_tfidf_lr(train, S.LABELS, tfidf.TfidfSettings())
     model.save(path)
     both = tfidf.TfidfModel.load(path).score(model.score(test, "text", "a"), "text", "b")
     return both.agg(F.count_if(F.col("a") != F.col("b")).alias("differing"), F.count("*").alias("n"))
@@ -838,7 +894,7 @@ def tune_agrees(spark, sf_dir):
 def tfidf_evaluation(spark, sf_dir):
     """The fitted classifiers and the stand-in scores, compared on the same rows."""
     train, test = _train_and_test(spark, sf_dir)
-    model = tfidf.train_tfidf_lr(train, S.LABELS, tfidf.TfidfSettings(max_iter=15, use_pos_weight=True))
+    model = tfidf.train_tfidf_lr(train, S.LABELS, tfidf.TfidfSettings(use_pos_weight=True))
     ours = metrics.to_long(model.score(test, "text", "probs"), S.LABELS).withColumn("model", F.lit("tfidf_lr"))
     other = S.scored(spark, sf_dir).join(test.select("id"), "id", "left_semi")
     other = metrics.to_long(other, S.LABELS).withColumn("model", F.lit("stand_in"))
@@ -851,7 +907,7 @@ def tfidf_evaluation(spark, sf_dir):
 @register
 def tune_grid(spark, sf_dir):
     train, test = _train_and_test(spark, sf_dir)
-    grid = {"c": [1.0, 4.0, 16.0], "max_iter": [5], "use_pos_weight": [False, True]}
+    grid = {"c": [1.0, 4.0, 16.0], "use_pos_weight": [False, True]}
     return rounded(tfidf.tune(train, test, S.LABELS, grid), "f1_micro", "f1_macro", "auc_macro")
 
 
@@ -892,9 +948,12 @@ def overfit_flags(spark, sf_dir):
 # --- streams ----------------------------------------------------------------
 
 
+def _turn_language() -> Column:
+    return F.when(F.col("role") == "user", "en").when(F.col("role") == "assistant", "vi").otherwise("unknown")
+
+
 def _conversation_messages(rows: DataFrame) -> DataFrame:
-    lang = F.when(F.col("role") == "user", "en").when(F.col("role") == "assistant", "vi").otherwise("unknown")
-    return rows.select("text", lang.alias("lang"))
+    return rows.select("text", _turn_language().alias("lang"))
 
 
 @register
@@ -915,6 +974,44 @@ def stream_moderate(spark, sf_dir):
     return both.unionByName(queue.select("target", "text_sha256", "model_used", "language", r6("overall_score").alias("overall_score")))
 
 
+@register
+def stream_moderate_once(spark, sf_dir):
+    """Conversation turns sent twice, the second time in a later micro-batch; the log has each once."""
+    root = work_folder(spark, "requests")
+    turns = S.table(spark, sf_dir, "conversations").select(
+        F.concat_ws("|", "conv_id", "turn", F.sha2("text", 256)).alias("request_id"), "role", "text", F.timestamp_seconds(1_704_067_200 + F.col("conv_id") % 3000).alias("ts")
+    )
+    for _ in range(2):
+        turns.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    texts = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    texts = texts.withColumn("lang", _turn_language())
+    targets = stream_moderation.StreamTargets(f"{root}/log", f"{root}/queue", f"{root}/checkpoint")
+    stream_moderation.moderate_stream(
+        texts, S.scorers(), targets, S.AGENT, once=stream_moderation.OncePerRequest(horizon="1 hour")
+    ).awaitTermination()
+    log, _ = logs.read_prediction_log(spark, targets.log)
+    return log.groupBy("text_sha256", "language").agg(F.count("*").alias("n"))
+
+
+@register
+def stream_rolling_f1(spark, sf_dir):
+    """Decisions and later labels as two streams: the rolling F1 once all labels are in."""
+    root = work_folder(spark, "judged")
+    log = S.decision_log(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), "text_sha256", "label_scores")
+    log.write.parquet(f"{root}/log")
+    log = spark.read.parquet(f"{root}/log")
+    first = log.groupBy("text_sha256").agg(F.min("ts").alias("first"))
+    delay = F.make_dt_interval(days=F.pmod(F.xxhash64("text_sha256"), F.lit(5)).cast("int"))
+    truth = _truth_by_hash(spark, sf_dir).join(first, "text_sha256")
+    truth = truth.select("text_sha256", "labels", (F.col("first") + delay).alias("labelled_at"))
+    truth.write.parquet(f"{root}/truth")
+    sides = [spark.readStream.schema(d.schema).parquet(f"{root}/{n}") for d, n in ((log, "log"), (truth, "truth"))]
+    wide = stream_quality.LabelDelay(before="400 days", after="400 days")
+    rows = stream_quality.judged(*sides, ["toxic"], wide)
+    stream_quality.append_counts(rows, ["toxic"], f"{root}/counts", f"{root}/checkpoint").awaitTermination()
+    return rounded(stream_quality.current_f1(spark, f"{root}/counts"), "f1")
+
+
 def _log_stream(spark, sf_dir) -> DataFrame:
     """The decision log, written by day and read as a stream of files."""
     path = work_folder(spark, "log")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import importlib
 import re
 from collections.abc import Callable, Sequence
@@ -36,8 +35,11 @@ def prepare(
     fmt: str = "parquet",
     negative_ratio: float = 1.0,
     settings: SplitSettings = SplitSettings(),
+    split_csv: bool = False,
 ) -> None:
-    found = datasets.load_splits(spark, paths, label_fields, fmt)
+    """``split_csv`` says that CSV files have no line ends inside quotes, so many tasks can read a file."""
+    options = {"multiLine": False} if fmt == "csv" and split_csv else {}
+    found = datasets.load_splits(spark, paths, label_fields, fmt, **options)
     rows = datasets.load_prepared(found, text_field, label_fields, id_field, negative_ratio, settings)
     datasets.export_splits(rows, out)
 
@@ -53,9 +55,12 @@ def train(spark: SparkSession, path: str, out: str, label_fields: Sequence[str],
     tfidf.train_tfidf_lr(split_rows(spark, path, "train"), label_fields, settings).save(out)
 
 
-def tune(spark: SparkSession, path: str, out: str, label_fields: Sequence[str], grid: dict, max_trials: int = 6) -> None:
+def tune(
+    spark: SparkSession, path: str, out: str, label_fields: Sequence[str], grid: dict, max_trials: int = 6, store: str | None = None
+) -> None:
     parts = [split_rows(spark, path, s) for s in ("train", "validation")]
-    save_report(tfidf.tune(*parts, label_fields, grid, max_trials), out)
+    grid = {k: [tuple(v) if isinstance(v, list) else v for v in values] for k, values in grid.items()}
+    save_report(tfidf.tune(*parts, label_fields, grid, max_trials, store=store), out)
 
 
 def load_scorer(spark: SparkSession, spec: str, label_fields: Sequence[str], name: str) -> Scorer | None:
@@ -101,7 +106,7 @@ def apply_stored_thresholds(
 def drift(spark: SparkSession, log: str, out: str, reference_until: str) -> None:
     """Daily distance of a log's signals from those of the days up to a date."""
     rows, _ = logs.read_prediction_log(spark, log)
-    rows = rows.withColumn("day", F.to_date(F.substring("ts_utc", 1, 10))).withColumn("n_chars", F.lit(None).cast("long"))
+    rows = rows.withColumn("day", F.to_date(F.substring("ts_utc", 1, 10)))
     rows = rows.withColumn("overall_score", parse_number(F.col("overall_score").cast("string")))
     counts = monitoring.signal_counts(rows, "day", monitoring.log_signals())
     save_report(monitoring.drift(counts, "day", F.col("day") <= F.lit(reference_until).cast("date")), out)
@@ -185,13 +190,12 @@ def moderate_table(
 ) -> None:
     """Decide over a table of texts or requests; adds to ``out/log`` and ``out/queue``.
 
-    Every run has a folder of its own in both, named after ``run`` or else after the input
-    table, so a job that is started again replaces what it wrote.
+    Every run adds to both. A run with a name can be started again: it then replaces what it
+    added before. A run that is killed adds nothing to the sink it was writing.
 
     Language comes from a ``lang`` column, or from a trigram model trained on
     ``language_table`` (``text, lang``).
     """
-    run = run or hashlib.sha1(path.encode()).hexdigest()[:12]
     rows = spark.read.parquet(path)
     if "texts" in rows.columns:
         rows = request_texts(rows)

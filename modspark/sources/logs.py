@@ -1,7 +1,16 @@
-"""Prediction log and review queue: append-only JSON lines, partitioned by day."""
+"""Prediction log and review queue: append-only JSON lines, partitioned by day.
+
+Every append is an attempt with a folder of its own, and counts once a commit names it. A
+run that is killed leaves an attempt without a commit, which readers pass over; a run that
+is repeated under its name is committed again, and the later commit takes the place of the earlier.
+Nothing that is committed is ever overwritten. Spark's own writers do all of it, so a log can
+be in any store that Spark writes to.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +40,7 @@ def prediction_records(
         "model_used",
         "language",
         "request_human_review",
+        F.length(F.coalesce(text, F.lit(""))).cast("long").alias("n_chars"),
     ]
     if settings.store_raw_text:
         columns.append(F.col(text).alias("text"))
@@ -54,12 +64,41 @@ def review_records(decisions: DataFrame, ts: Column | None = None, text: str = "
     )
 
 
+COMMITS = "_commits"
+COMMIT = "run string, attempt string, at timestamp"
+
+
 def append_json(records: DataFrame, path: str, run: str | None = None) -> None:
-    """Add records by day. A named run owns a folder and overwrites it, so a restart adds nothing twice."""
-    if run is None:
-        records.write.mode("append").partitionBy("dt").json(path)
-    else:
-        records.write.mode("overwrite").partitionBy("dt").json(f"{path}/run={run}")
+    """Add records by day, all of them or none.
+
+    A run's name makes it repeatable: what it added before is replaced when the new records
+    are complete. Without a name every call is a run of its own.
+    """
+    attempt = f"a-{uuid.uuid4().hex}"
+    records.write.partitionBy("dt").json(f"{path}/attempt={attempt}")
+    commit = records.sparkSession.range(1, numPartitions=1).select(
+        F.lit(run or attempt).alias("run"), F.lit(attempt).alias("attempt"), F.current_timestamp().alias("at")
+    )
+    # a folder of its own: writers that commit at the same time do not meet
+    commit.write.json(f"{path}/{COMMITS}/{attempt}")
+
+
+def committed(spark: SparkSession, path: str) -> DataFrame | None:
+    """``run, attempt``: what readers of a log count; None if nothing was ever committed."""
+    found = read_or_none(spark, f"{path}/{COMMITS}/*", "json", COMMIT)
+    if found is None:
+        return None
+    return found.groupBy("run").agg(F.max_by("attempt", F.struct("at", "attempt")).alias("attempt"))
+
+
+def _only_committed(df: DataFrame, path: str) -> DataFrame:
+    """Rows of committed attempts; files that were put there by other means all count."""
+    if "attempt" not in df.columns:
+        return df
+    done = committed(df.sparkSession, path)
+    if done is None:
+        return df.filter("attempt IS NULL").drop("attempt")
+    return df.join(done.select("attempt"), "attempt", "left_semi").drop("attempt")
 
 
 def read_prediction_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -72,6 +111,7 @@ def read_prediction_log(spark: SparkSession, path: str) -> tuple[DataFrame, Data
     lines = read_or_none(spark, path, "text")
     if lines is None:
         lines = spark.createDataFrame([], "value string, dt date")
+    lines = _only_committed(lines, path)
     lines = lines.filter(F.trim(F.translate("value", "\t\r", "  ")) != "")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     parsed = lines.withColumn(
@@ -88,4 +128,4 @@ def read_prediction_log(spark: SparkSession, path: str) -> tuple[DataFrame, Data
 
 def read_review_queue(spark: SparkSession, path: str) -> DataFrame:
     df = read_or_none(spark, path, "json", schemas.REVIEW_QUEUE)
-    return spark.createDataFrame([], schemas.REVIEW_QUEUE) if df is None else df
+    return spark.createDataFrame([], schemas.REVIEW_QUEUE) if df is None else _only_committed(df, path)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from modspark.config import AgentSettings, LogSettings, PolicyRules
 from modspark.operators.moderation import ScorerSet, moderate
-from modspark.sources.logs import prediction_records, review_records
+from modspark.sources.logs import append_json, prediction_records, review_records
 
 
 @dataclass(frozen=True)
@@ -19,6 +20,25 @@ class StreamTargets:
     checkpoint: str
 
 
+@dataclass(frozen=True)
+class OncePerRequest:
+    """What tells a request that is sent again: the same id within a time.
+
+    Ids are kept as keyed state until the watermark is ``horizon`` past their event time, so
+    the state holds the ids of that time and no more. A request with that id beyond it is a
+    new one. Requests without an id are all kept.
+    """
+
+    request_id: str = "request_id"
+    event_time: str = "ts"
+    horizon: str = "1 hour"
+
+    def first_only(self, requests: DataFrame) -> DataFrame:
+        key = F.coalesce(F.col(self.request_id), F.concat(F.lit("no id "), F.uuid())).alias("_request")
+        keyed = requests.withWatermark(self.event_time, self.horizon).select("*", key)
+        return keyed.dropDuplicatesWithinWatermark(["_request"]).drop("_request")
+
+
 def moderate_stream(
     texts: DataFrame,
     scorers: ScorerSet,
@@ -28,15 +48,19 @@ def moderate_stream(
     logging: LogSettings = LogSettings(),
     ts: Column | None = None,
     trigger: dict | None = None,
+    once: OncePerRequest | None = None,
 ) -> StreamingQuery:
     """Score, decide, log and queue each micro-batch of ``text, lang``.
 
-    foreachBatch may run a batch again after a failure. Each batch owns one folder per
-    target, split by day, and overwrites it, so a replay leaves no second copy and a day's
-    report reads that day only.
+    foreachBatch may run a batch again after a failure. A batch is a named run of the query:
+    a replay takes its place in the log, and what a failure left unfinished never counts.
+    With ``once`` a request that is sent again is neither scored nor logged again.
     """
+    if once is not None:
+        texts = once.first_only(texts)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         rows = moderate(batch, scorers, settings, policy, with_redaction=logging.store_redacted_text)
         # both sinks read the decisions; score once
         rows = rows.persist()
@@ -45,7 +69,7 @@ def moderate_stream(
                 (prediction_records(rows, ts, logging), targets.log),
                 (review_records(rows, ts), targets.queue),
             ):
-                records.write.mode("overwrite").partitionBy("dt").json(f"{path}/batch_id={batch_id}")
+                append_json(records, path, f"{query}-{batch_id}")
         finally:
             rows.unpersist()
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from modspark.__main__ import main
+from modspark.sources import logs
 
 RAW = [(f"r{i}", ["bad awful man", "nice tree day", "awful girl", "good moon"][i % 4] + f" w{i % 7}", float(i % 4 in (0, 2))) for i in range(400)]
 
@@ -103,11 +104,16 @@ def test_all_routes_from_the_job(spark, root):
     (root / "agent.json").write_text(json.dumps({"forced_languages": ["vi"]}))
     for _ in range(2):
         main(["moderate", "--data", f"{root}/routed", "--model", "column:f", "--multilingual", "column:m", "--finetuned", "column:t",
-              "--vi", "column:v", "--agent", f"{root}/agent.json", "--store-raw-text", "--out", f"{root}/served2"])
-    got = {r["text"]: r for r in spark.read.json(f"{root}/served2/log").collect()}
-    assert spark.read.json(f"{root}/served2/log").count() == 4
+              "--vi", "column:v", "--agent", f"{root}/agent.json", "--store-raw-text", "--run", "first", "--out", f"{root}/served2"])
+    log, _ = logs.read_prediction_log(spark, f"{root}/served2/log")
+    got = {r["text"]: r for r in log.collect()}
+    assert log.count() == 4 and all(r["n_chars"] == len(r["text"]) for r in got.values())
     assert {t: r["action"] for t, r in got.items()} == {"low": "ALLOW", "borderline": "REVIEW", "vi": "BLOCK", "unused": "ALLOW"}
     main(["drift", "--log", f"{root}/served2/log", "--reference-until", "2999-01-01", "--out", f"{root}/drift"])
+    # runs without a name add to what is there
+    for _ in range(2):
+        main(["moderate", "--data", f"{root}/routed", "--model", "column:f", "--out", f"{root}/served2"])
+    assert logs.read_prediction_log(spark, f"{root}/served2/log")[0].count() == 12
     (root / "agent.json").write_text(json.dumps({"typo": 1}))
     with pytest.raises(ValueError):
         main(["moderate", "--data", f"{root}/routed", "--model", "column:f", "--agent", f"{root}/agent.json", "--out", f"{root}/x"])
