@@ -8,8 +8,7 @@ and a set is done as soon as no later step can be the least anywhere: early for
 
 Equal sets are one from the start. Sets that agree in a whole band are candidates: first
 every band key's members with one of them, then those of a key that still lie in different
-groups, block by block, if their signatures agree in enough places. All are
-confirmed on their full sets.
+groups, block by block. All are confirmed on their full sets.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modspark.llm.components import components
-from modspark.llm.jaccard_join import JaccardJoin, shingle_sets, verified
+from modspark.llm.jaccard_join import common_counts, shingle_sets
 from modspark.llm.store import saved
 from modspark.llm.words import factors, mix
 
@@ -37,10 +36,9 @@ class SuperMinHash:
 
     Sets of ``shingle``-word runs with a similarity of at least ``at_least`` hundredths are
     linked. ``bands`` of ``rows`` places each miss a pair of similarity s with a probability
-    of (1 - s^rows)^bands: 4e-7 at 0.80, less above. A candidate of the second kind is dropped
-    unscored when its signatures agree in fewer than ``agree`` hundredths of the places
-    (seven standard deviations below 80 of 112). Members of a key
-    are compared in blocks of ``block``.
+    of (1 - s^rows)^bands: 4e-7 at 0.80, less above. Candidates of the second kind are compared
+    on their sets if their signatures agree in at least ``agree`` hundredths of the places
+    (seven standard deviations below 0.80). Members of a key are compared in blocks of ``block``.
     """
 
     at_least: int = 80
@@ -54,9 +52,6 @@ class SuperMinHash:
     def places(self) -> int:
         return self.bands * self.rows
 
-    def join(self) -> JaccardJoin:
-        return JaccardJoin(at_least=self.at_least, shingle=self.shingle)
-
 
 def signatures(tokens: np.ndarray, at: np.ndarray, places: int) -> np.ndarray:
     """The signature of every set tokens[at[i]:at[i + 1]]; that of an empty set is all ones.
@@ -201,11 +196,47 @@ def sizes_allow(n: str, m: str, t: int) -> F.Column:
     return F.expr(f"100 * least({n}, {m}) >= {t} * greatest({n}, {m})")
 
 
-def links(table: DataFrame, texts: DataFrame, settings: SuperMinHash) -> DataFrame:
+def sets_of(texts: pa.Array, shingle: int) -> list[np.ndarray]:
+    return [tokens[at[i] : at[i + 1]] for _, tokens, at in shingle_sets(texts, shingle) for i in range(len(at) - 1)]
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, settings: SuperMinHash) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar.
+
+    ``parts`` of a pair says over how many tasks the partners of a are dealt out; a's text
+    goes to each of them once.
+    """
+    t, shingle = settings.at_least, settings.shingle
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # partners of one set follow each other: its text is cut once
+            left = batch.column(2).dictionary_encode()
+            cut, which = sets_of(left.dictionary, shingle), left.indices.to_numpy()
+            alike = []
+            for i, y in zip(which, sets_of(batch.column(3), shingle), strict=True):
+                x = cut[i]
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                alike.append(100 * common >= t * (len(x) + len(y) - common))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(alike, pa.bool_()))
+
+    dealt = saved(
+        pairs.groupBy("a", "b").agg(F.max("parts").alias("parts"))
+        .select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"))
+    )
+    with_b = dealt.join(texts.select(F.col("sig").alias("b"), F.col("text").alias("text_b")), "b")
+    centres = dealt.select("a", "part").distinct().join(texts.select(F.col("sig").alias("a"), F.col("text").alias("text_a")), "a")
+    both = with_b.join(centres, ["a", "part"]).select("a", "b", "text_a", "text_b")
+    return saved(both.mapInArrow(compare, "a binary, b binary"))
+
+
+def links(table: DataFrame, texts_of, settings: SuperMinHash) -> DataFrame:
     """(a, b): confirmed links between different sets that connect all that share a band.
 
-    ``table`` holds sig, n, keys, mini; ``texts`` one text per sig. The second round looks
-    only at keys whose members lie in several groups, at pairs of different groups.
+    ``table`` holds sig, n, keys, mini; ``texts_of`` gives one text per wanted sig. First every
+    member of a key is compared with one of them. The second round looks only at keys whose members
+    then lie in several groups, and at pairs of different groups: block by block signatures tell the members
+    that may be similar, and only these are compared on their sets. No step has a row per pair of a block.
     """
     t = settings.at_least
     index = saved(
@@ -214,52 +245,93 @@ def links(table: DataFrame, texts: DataFrame, settings: SuperMinHash) -> DataFra
         .groupBy("key", "sig")
         .agg(F.first("n").alias("n"))
     )
-    shared = index.groupBy("key").agg(F.min(F.struct("sig", "n")).alias("c"), F.count("*").alias("members")).filter("members > 1")
-    starred = index.join(shared, "key").filter("sig <> c.sig").filter(sizes_allow("n", "c.n", t))
-    first = saved(starred.select(F.col("c.sig").alias("a"), F.col("sig").alias("b")).distinct())
-    found = verified(first, texts, settings.join())
-    group = grouped(found)
-
-    members = index.join(shared.select("key"), "key", "left_semi")
-    labelled = members.join(group, members["sig"] == group["node"], "left").select(
-        "key", "sig", "n", F.coalesce("label", "sig").alias("label")
+    shared = saved(
+        index.groupBy("key").agg(F.min(F.struct("sig", "n")).alias("c"), F.count("*").alias("members")).filter("members > 1")
+    )
+    members = saved(index.join(shared, "key").select("key", "sig", "n", F.col("c.sig").alias("centre"), F.col("c.n").alias("m"), "members"))
+    texts = saved(texts_of(members.select("sig").distinct()))
+    starred = members.filter("sig <> centre").filter(sizes_allow("n", "m", t))
+    parts = F.ceil(F.col("members") / settings.block).cast("int").alias("parts")
+    found = confirmed(starred.select(F.col("centre").alias("a"), F.col("sig").alias("b"), parts), texts, settings)
+    group = saved(grouped(found))
+
+    labelled = saved(
+        members.join(group, members["sig"] == group["node"], "left").select(
+            "key", "sig", "n", F.coalesce("label", "sig").alias("label"), "members"
+        )
     )
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"))
-    open_keys = open_keys.filter("low <> high").select("key", F.ceil(F.col("members") / settings.block).cast("int").alias("blocks"))
+    open_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("members").alias("members"))
+    blocks = F.ceil(F.col("members") / settings.block).cast("int").alias("blocks")
+    open_keys = saved(open_keys.filter("low <> high").select("key", blocks))
+    wanted = labelled.join(open_keys, "key").drop("members")
     minis = table.filter("n > 0").groupBy("sig").agg(F.min("mini").alias("mini"))
-    rest = saved(labelled.join(open_keys, "key").join(minis, "sig"))
+    rest = wanted.join(minis, "sig")
     own = F.pmod(F.xxhash64("sig", "key"), F.col("blocks")).cast("int")
-    dealt = rest.select("*", own.alias("own")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    )
+    dealt = rest.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sig", "n", "label", "mini")
-    second = dealt.groupBy("key", "i", "j").applyInArrow(_likely(settings), "a binary, b binary")
-    more = second.distinct().join(first, ["a", "b"], "left_anti")
-    return found.union(verified(saved(more), texts, settings.join()))
+    kind = "key long, i int, j int, own int, sig binary, label binary"
+    likely = saved(dealt.groupBy("key", "i", "j").applyInArrow(_likely(settings), kind))
+    more = likely.join(texts, "sig").groupBy("key", "i", "j").applyInArrow(_linked(settings), "a binary, b binary")
+    return found.union(more)
+
+
+def _numbers(labels: pa.ChunkedArray) -> np.ndarray:
+    return labels.combine_chunks().dictionary_encode().indices.to_numpy()
 
 
 def _likely(settings: SuperMinHash):
+    """The members of a block that may be similar to one of another group, by sizes and signatures.
+
+    A pair that agrees in an earlier band as well is left to that band's key.
+    """
     t, least = settings.at_least, settings.agree * settings.places // 100
 
     def likely(table: pa.Table) -> pa.Table:
         i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
-        own, n = table.column("own").to_numpy(), table.column("n").to_numpy()
-        sig = table.column("sig").to_pylist()
-        label = np.unique(np.array(table.column("label").to_pylist(), dtype="S16"), return_inverse=True)[1]
+        own, n, label = table.column("own").to_numpy(), table.column("n").to_numpy(), _numbers(table.column("label"))
         mini = np.frombuffer(b"".join(table.column("mini").to_pylist()), np.uint8).reshape(len(n), -1)
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        pairs: list[tuple[bytes, bytes]] = []
+        wanted = np.zeros(len(n), bool)
+        # the band of the key is the first that all members of the block agree in
+        whole = (mini == mini[0]).reshape(len(n), settings.bands, settings.rows).all(axis=2).all(axis=0)
+        band = int(np.argmax(whole)) if whole.any() else 0
         for x in left:
             ys = right[(label[right] != label[x]) & (100 * np.minimum(n[right], n[x]) >= t * np.maximum(n[right], n[x]))]
             if i == j:
                 ys = ys[ys > x]
-            agree = (mini[ys] == mini[x]).sum(axis=1)
-            pairs += [(min(sig[x], sig[y]), max(sig[x], sig[y])) for y in ys[agree >= least]]
-        return pa.table({c: pa.array([p[k] for p in pairs], pa.binary()) for k, c in enumerate("ab")})
+            same = mini[ys] == mini[x]
+            near = same.sum(axis=1) >= least
+            if band and near.any():
+                near &= ~same.reshape(len(ys), settings.bands, settings.rows)[:, :band].all(axis=2).any(axis=1)
+            if near.any():
+                wanted[x] = True
+                wanted[ys[near]] = True
+        return table.filter(pa.array(wanted)).select(["key", "i", "j", "own", "sig", "label"])
 
     return likely
 
 
+def _linked(settings: SuperMinHash):
+    """Links of a block's members on their full sets, as many as it takes to join their groups."""
+    t = settings.at_least
+
+    def linked(table: pa.Table) -> pa.Table:
+        i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
+        own, label = table.column("own").to_numpy(), _numbers(table.column("label"))
+        sig = table.column("sig").to_pylist()
+        sets = sets_of(table.column("text").combine_chunks(), settings.shingle)
+        n = np.array([len(x) for x in sets])
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        common = common_counts(sets, left, right)
+        alike = 100 * common >= t * (n[left][:, None] + n[right][None, :] - common)
+        alike &= label[left][:, None] != label[right][None, :]
+        groups = UnionFind(int(label.max()) + 1)
+        pairs = [(sig[left[x]], sig[right[y]]) for x, y in zip(*np.nonzero(alike), strict=True) if groups.union(int(label[left[x]]), int(label[right[y]]))]
+        return pa.table({c: pa.array([p[k] for p in pairs], pa.binary()) for k, c in enumerate("ab")})
+
+    return linked
+
+
 def near_duplicates(docs: DataFrame, settings: SuperMinHash = SuperMinHash()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, set_id, text_key for every row of docs(doc_id, text).
 
@@ -277,10 +349,15 @@ def near_duplicates(docs: DataFrame, settings: SuperMinHash = SuperMinHash()) ->
         .groupBy("sig")
         .agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("first"))
     )
-    chosen = classes.select("sig", F.col("first.doc_id").alias("__id"), F.col("first.text_key").alias("__key"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
-    texts = docs.select("doc_id", "text").join(chosen, same).select("sig", "text")
-    group = grouped(links(table, texts, settings))
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        chosen = classes.join(wanted, "sig", "left_semi").select(
+            "sig", F.col("first.doc_id").alias("__id"), F.col("first.text_key").alias("__key")
+        )
+        same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
+        return docs.select("doc_id", "text").join(chosen, same).select("sig", "text").dropDuplicates(["sig"])
+
+    group = saved(grouped(links(table, texts_of, settings)))
     labelled = classes.join(group, classes["sig"] == group["node"], "left").select(
         "sig", "least", F.coalesce("label", "sig").alias("label")
     )

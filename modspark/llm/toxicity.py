@@ -76,6 +76,10 @@ class ToxicityFit:
     turns: int = 5
     spoiled: int = 3
     """Copies of every toxic word with a character put in, so that gaps are learned."""
+    lengths: tuple[int, ...] = (10, 100, 1000)
+    """Clean words around the made variants that the curve is fitted on."""
+    variants: int = 300
+    """Documents of each class that variants are made of."""
     seed: int = 7
 
 
@@ -92,9 +96,9 @@ class ToxicityModel:
         return subsequence_sums(words, self.weights, self.decay) + self.bias
 
     def text_inputs(self, words: Words) -> np.ndarray:
-        """Per text: the two highest word scores, how many words are toxic, and its words (as logarithms)."""
+        """Per text: the two highest word scores, and how many words are toxic (as a logarithm)."""
         n = len(words.first) - 1
-        out = np.tile(np.array([-3.0, -3.0, 0.0, 0.0]), (n, 1))
+        out = np.tile(np.array([-3.0, -3.0, 0.0]), (n, 1))
         if not len(words.start):
             return out
         score = np.clip(self.word_scores(words), -3.0, 3.0)
@@ -109,7 +113,6 @@ class ToxicityModel:
         rest[at_top[np.unique(text[at_top], return_index=True)[1]]] = -3.0  # one of them only
         out[full, 0] = top
         out[full, 1] = np.maximum.reduceat(rest, heads)
-        out[:, 3] = np.log1p(np.diff(words.first))
         out[full, 2] = np.log1p(np.add.reduceat((score > 0).astype(float), heads))
         return out
 
@@ -277,7 +280,7 @@ def trained(sample: list[tuple[int, str, int]], share: float, fit: ToxicityFit)
 
     Without both classes every text scores the base rate."""
     both = {y for _, _, y in sample}
-    empty = ToxicityModel(np.zeros(1 << TABLE_BITS, np.float32), -1.0, fit.decay, np.zeros(5))
+    empty = ToxicityModel(np.zeros(1 << TABLE_BITS, np.float32), -1.0, fit.decay, np.zeros(4))
     if both != {0, 1}:
         empty.curve[0] = -3.0 if 1 not in both else 3.0
         return empty
@@ -286,9 +289,8 @@ def trained(sample: list[tuple[int, str, int]], share: float, fit: ToxicityFit)
     for doc, sentence, y in sample:
         texts.setdefault(doc, []).extend(word_list(sentence))
         label[doc] = y
-    # a third of the documents is kept back for the curve
-    kept_back = {d for i, d in enumerate(sorted(texts, key=lambda d: (label[d], d))) if i % 3 == 2}
-    every_text, texts = texts, {d: ws for d, ws in texts.items() if d not in kept_back}
+    every_text, (kept_back, taught) = texts, parted(label)
+    texts = {d: texts[d] for d in taught}
     number = {w: i for i, w in enumerate(sorted({w for ws in texts.values() for w in ws}))}
     names = list(number)
     seen = np.zeros((2, len(names)))
@@ -311,7 +313,7 @@ def trained(sample: list[tuple[int, str, int]], share: float, fit: ToxicityFit)
         r, k, v = word_map(landmarks, fit.decay)
         table = np.zeros(1 << TABLE_BITS)
         np.add.at(table, k, v * (root @ w)[r])
-        return ToxicityModel(table.astype(np.float32), b, fit.decay, np.zeros(5))
+        return ToxicityModel(table.astype(np.float32), b, fit.decay, np.zeros(4))
 
     every = [pa.array([" ".join(names[i : i + 5000])]) for i in range(0, len(names), 5000)]
     toxic_docs = [d for d in texts if label[d] == 1]
@@ -350,13 +352,55 @@ def trained(sample: list[tuple[int, str, int]], share: float, fit: ToxicityFit)
         if turn == 0:
             marks = np.union1d(marks, look_alike[:third])
             landmarks, root = landmark_map([names[i] for i in marks], fit.decay)
-    docs = sorted(kept_back)
-    inputs = np.vstack([model.text_inputs(c) for c in word_slices(pa.array([" ".join(every_text[d]) for d in docs]))])
-    truth = np.array([label[d] for d in docs], float)
-    model.curve = logistic(inputs, truth, share)
+    model.curve = fitted_curve(model, [(every_text[d], label[d]) for d in kept_back], share, fit, rng)
     return model
 
 
+def parted(label: dict[int, int]) -> tuple[list[int], list[int]]:
+    """(documents for the curve, documents for the machine): a third and the rest of each class.
+
+    With so few labels that a class would be missing on a side, all documents are on both.
+    """
+    members = [sorted(d for d, y in label.items() if y == c) for c in (0, 1)]
+    if min(map(len, members)) < 3:
+        return (everyone := sorted(label)), everyone
+    back = [d for m in members for d in m[2::3]]
+    return back, sorted(set(label) - set(back))
+
+
+def fitted_curve(
+    model: ToxicityModel, docs: list[tuple[list[str], int]], share: float, fit: ToxicityFit, rng: np.random.Generator
+) -> np.ndarray:
+    """The curve over a text's inputs, from documents as they are and from made variants of them.
+
+    The words that make a toxic document toxic are put, as they are and with a character put
+    in, among clean words of several lengths; as many texts of these lengths are clean. So
+    neither a spoiled word nor a long text around it lowers a score.
+    """
+    clean = [w for words, y in docs if not y for w in words]
+    texts, truth = [words for words, _ in docs], [y for _, y in docs]
+    scores = np.concatenate([model.word_scores(c) for c in word_slices(pa.array([" ".join(w) for w, _ in docs]))])
+    at, left = 0, [fit.variants, fit.variants]
+    for words, y in docs:
+        own, at = scores[at : at + len(words)], at + len(words)
+        left[y] -= 1
+        if left[y] < 0:
+            continue
+        toxic = [words[i] for i in np.flatnonzero(own > 0)] if y else []
+        for length in fit.lengths if clean else ():
+            first = int(rng.integers(len(clean)))
+            around = [clean[(first + i) % len(clean)] for i in range(length)]
+            if not y:
+                texts.append(around)
+                truth.append(0)
+            elif toxic:
+                for chosen in (toxic[:1], [stretched(w, rng) for w in toxic[:2]], [stretched(toxic[-1], rng)] * 2):
+                    texts.append(around + chosen)
+                    truth.append(1)
+    inputs = np.vstack([model.text_inputs(c) for c in word_slices(pa.array([" ".join(t) for t in texts]))])
+    return logistic(inputs, np.array(truth, float), share)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1e-4) -> np.ndarray:
     """Logistic regression with the positive class weighted to its share, by Newton steps."""
     z = np.hstack((np.ones((len(x), 1)), x))

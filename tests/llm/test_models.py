@@ -81,6 +81,32 @@ def test_toxic_words_with_gaps_and_marks(corpus):
     assert scores[0] < 0.3 and (scores[1:] >= 0.3).all()
 
 
+@pytest.mark.parametrize("length", [10, 100, 1000])
+def test_insertions_are_caught_at_any_length(corpus, length):
+    """Every place and several letters and marks in every trained insult; clean texts stay clean."""
+    docs, labels = corpus
+    model = toxicity.fitted(docs, labels, F.lit(False))
+    rng = np.random.default_rng(11)
+
+    def clean() -> str:
+        return " ".join(sentence(rng, 10) for _ in range(length // 10))
+
+    made = [w[:i] + c + w[i:] for w in INSULTS for i in range(1, len(w)) for c in "aeokxz.*"]
+    texts = [f"{clean()} {w} {clean()} {w}" for w in made] + [clean() for _ in range(100)]
+    scores = np.concatenate([model.score(model.text_inputs(w)) for w in word_slices(pa.array(texts))])
+    assert (scores[: len(made)] >= 0.3).mean() >= 0.9 and (scores[len(made) :] < 0.3).mean() >= 0.98
+
+
+@pytest.mark.parametrize("classes", [(), (0,), (1,), (0, 1), (0, 1, 1), (0, 0, 1), (0, 1, 0, 1), (1, 1, 1, 1, 0), (0, 1, 0, 1, 0, 1)])
+def test_few_labels_do_not_end_the_fit(spark, classes):
+    texts = ["ta ri mo. len sko", "you idiot. moron you"]
+    rows = [(i, texts[y]) for i, y in enumerate(classes)]
+    docs = spark.createDataFrame([*rows, (99, "vi dar")], "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(classes)), "doc_id long, toxic int")
+    found = toxicity.scored(docs, toxicity.fitted(docs, labels, F.lit(False))).collect()
+    assert len(found) == len(classes) + 1 and all(0 <= r["score"] <= 1 for r in found)
+
+
 def test_kernel_is_that_of_subsequences():
     """The folded table equals kernel values summed over the definition."""
     words, landmarks = ["idiot", "idxiot", "abc", "a"], ["idiot", "abcd"]
