@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -109,11 +108,21 @@ def _summed(i: np.ndarray, j: np.ndarray, v: np.ndarray, columns: int) -> tuple[
     return key[heads] // max(columns, 1), key[heads] % max(columns, 1), total
 
 
-def incidence(length: np.ndarray) -> Csr:
-    """Tokens by bytes, from the tokens' lengths in order."""
-    row = np.concatenate(([0], np.cumsum(length)))
-    n = int(row[-1])
-    return Csr(row, np.arange(n), np.ones(n, np.int64), n)
+def incidences(a: np.ndarray, b: np.ndarray) -> tuple[Csr, Csr]:
+    """Tokens by bytes for both tokenizers, from the tokens' lengths in order.
+
+    Bytes between two neighbouring token ends are in the same tokens of both: they are one column,
+    and A's entries say of how many bytes.
+    """
+    ends_a, ends_b = np.cumsum(a), np.cumsum(b)
+    marks = np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, bool)
+    marks[ends_a] = marks[ends_b] = True
+    ends = np.flatnonzero(marks)
+    width = np.diff(ends, prepend=0)
+    column = np.arange(len(ends))
+    upto = np.cumsum(marks)
+    rows = [np.concatenate(([0], upto[e])) for e in (ends_a, ends_b)]
+    return Csr(rows[0], column, width, len(ends)), Csr(rows[1], column, np.ones(len(ends), np.int64), len(ends))
 
 
 def groups(overlaps: Csr) -> tuple[np.ndarray, np.ndarray]:
@@ -140,6 +149,10 @@ class Bytes:
         start = np.concatenate(([0], np.cumsum([len(t) for t in tokens]))).astype(np.int64)
         return Bytes(np.frombuffer(b"".join(tokens), np.uint8), start)
 
+    def words(self) -> list[bytes]:
+        raw = self.data.tobytes()
+        return [raw[i:j] for i, j in zip(self.start[:-1], self.start[1:], strict=True)]
+
     def length(self, ids: np.ndarray) -> np.ndarray:
         return self.start[ids + 1] - self.start[ids]
 
@@ -159,6 +172,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+# Fixed value: the pattern of byte-level vocabularies that cuts a text before any merge.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 class Tokenizers:
     """Both tokenizers, from the contents of their files, so that tasks need no files."""
 
@@ -177,12 +194,17 @@ class Tokenizers:
 
     @cached_property
     def a(self):
-        from tokenizers import Tokenizer
+        """The byte-level vocabulary in the faster of two libraries.
+
+        It merges by the rank of the token that results, the other by the rank of the pair. These
+        agree where every token is what its own bytes encode to, as the tests check.
+        """
+        import tiktoken
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        found = Tokenizer.from_buffer(self.byte_level)
-        found.encode_special_tokens = True
-        return found
+        special = {x["content"] for x in json.loads(self.byte_level)["added_tokens"]}
+        words = self.a_bytes.words()
+        ranks = {word: i for i, word in enumerate(words) if word and word.decode("utf-8", "replace") not in special}
+        return tiktoken.Encoding(hashlib.sha256(self.byte_level).hexdigest(), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     @cached_property
     def b(self):
@@ -211,9 +233,9 @@ class Tokenizers:
 
     def encoded(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of every text by A (behind a space) and by B."""
-        a = self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
+        a = [self.a.encode_to_numpy(f" {t}", disallowed_special=()) for t in texts]
         b = self.b.encode(texts, num_threads=1)
-        return [np.array(x.ids, np.int64) for x in a], [np.array(x, np.int64) for x in b]
+        return [x.astype(np.int64) for x in a], [np.array(x, np.int64) for x in b]
 
 
 DIGITS = np.arange(1 << 16).astype("S5").view(np.uint8).reshape(-1, 5)
@@ -289,9 +311,10 @@ class Aligned:
         owner = np.zeros(len(rows), np.int64)
         rows[seat_a], owner[seat_a] = _ended(self.a, last_a, ",", "|"), self.text_a
         rows[seat_b], owner[seat_b] = _ended(self.b, last_b, ",", ";"), self.text_b
-        length = np.bincount(owner, (rows > 0).sum(axis=1), minlength=self.texts).astype(np.int64)
+        filled = rows > 0
+        length = np.bincount(owner, filled.sum(axis=1), minlength=self.texts).astype(np.int64)
         ends = np.cumsum(length)
-        line = rows[rows > 0].tobytes()
+        line = rows[filled].tobytes()
         return [line[e - n : e - 1] if n else b"" for e, n in zip(ends, length, strict=True)]
 
 
@@ -307,19 +330,23 @@ def aligned(texts: list[str], tools: Tokenizers, terms: int) -> Aligned:
 
     A text that is empty, or whose tokens do not spell a space and the text, has no tokens.
     """
-    ids = tools.encoded(texts)
-    kept_a, kept_b = [], []
-    for text, a, b in zip(texts, *ids, strict=True):
-        raw = np.frombuffer(f" {text}".encode(), np.uint8)
-        spelt = bool(text) and all(
-            np.array_equal(table.joined(x), raw) for table, x in ((tools.a_bytes, a), (tools.b_bytes, b))
-        )
-        kept_a.append(a if spelt else a[:0])
-        kept_b.append(b if spelt else b[:0])
-    a, b = (np.concatenate([np.zeros(0, np.int64), *kept]) for kept in (kept_a, kept_b))
-    own_a, own_b = (np.repeat(np.arange(len(texts)), [len(x) for x in kept]) for kept in (kept_a, kept_b))
-    by_byte = incidence(tools.b_bytes.length(b)).transposed()
-    overlaps = incidence(tools.a_bytes.length(a)).times(by_byte, terms)
+    raw = [f" {t}".encode() if t else b"" for t in texts]
+    size = np.array([len(r) for r in raw], np.int64)
+    ids = [[x if n else x[:0] for x, n in zip(kept, size, strict=True)] for kept in tools.encoded(texts)]
+    for table, kept in zip((tools.a_bytes, tools.b_bytes), ids, strict=True):
+        spelt = np.array([table.length(x).sum() for x in kept]) == size
+        if spelt.any():
+            good = np.flatnonzero(spelt)
+            bounds = np.cumsum(size[good])
+            same = table.joined(np.concatenate([kept[i] for i in good])) == np.frombuffer(b"".join(raw[i] for i in good), np.uint8)
+            spelt[good[np.unique(np.searchsorted(bounds, np.flatnonzero(~same), "right"))]] = False
+        for i in np.flatnonzero(~spelt):
+            ids[0][i], ids[1][i], size[i] = ids[0][i][:0], ids[1][i][:0], 0
+            raw[i] = b""
+    a, b = (np.concatenate([np.zeros(0, np.int64), *kept]) for kept in ids)
+    own_a, own_b = (np.repeat(np.arange(len(texts)), [len(x) for x in kept]) for kept in ids)
+    in_a, in_b = incidences(tools.a_bytes.length(a), tools.b_bytes.length(b))
+    overlaps = in_a.times(in_b.transposed(), terms)
     return Aligned(len(texts), a, b, own_a, own_b, overlaps, *groups(overlaps))
 
 

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from modspark.llm import merkle, super_minhash, token_alignment
 from modspark.llm.super_minhash import SuperMinHash, UnionFind, grouped, near_duplicates, signatures
@@ -68,10 +69,32 @@ def tools():
     return Tokenizers.read(Alignment())
 
 
+@pytest.fixture(scope="module")
+def library():
+    """The byte-level tokenizer as its own library reads the file."""
+    found = Tokenizer.from_file(Alignment().byte_level)
+    found.encode_special_tokens = True
+    return found
+
+
+def test_both_libraries_encode_alike(tools, library):
+    rng = np.random.default_rng(3)
+    letters = list("aeiou thns'.,-_=\t\n  é日🎉ßЖ0123<|>") + ["'ll", "ing", " the", "http", "\r\n", "endoftext", "\u3000"]
+    texts = ["".join(rng.choice(letters, rng.integers(1, 60))) for _ in range(3000)] + made(40) + ["x" * 50_000, " " * 9000, "<|endoftext|>"]
+    for text in texts:
+        assert tools.a.encode(text, disallowed_special=()) == library.encode(text, add_special_tokens=False).ids
+    # every token is what its own bytes encode to, as far as these are a text that is not cut
+    for i, word in enumerate(tools.a_bytes.words()[:50256]):
+        assert tools.a.encode_single_token(word) == i
+        text = word.decode("utf-8", "replace")
+        if "\ufffd" not in text:
+            assert tools.a.encode(text, disallowed_special=()) == library.encode(text, add_special_tokens=False).ids
+
+
 def groups_by_hand(text, tools):
     if not text:
         return []
-    a, b = tools.a.encode(f" {text}", add_special_tokens=False).ids, tools.b.encode(text)
+    a, b = tools.a.encode(f" {text}", disallowed_special=()), tools.b.encode(text)
     raw = [[t.data[t.start[i] : t.start[i + 1]].tobytes() for i in ids] for t, ids in ((tools.a_bytes, a), (tools.b_bytes, b))]
     if any(b"".join(r) != f" {text}".encode() for r in raw):
         return []
@@ -108,7 +131,7 @@ def alignment_by_hand(texts, tools):
 def test_byte_letters_spell_all_bytes(tools):
     letters = token_alignment.byte_letters()
     assert sorted(letters.values()) == list(range(256)) and len(letters) == 256
-    assert tools.a_bytes.joined(np.array(tools.a.encode(" é\n").ids)).tobytes() == " é\n".encode()
+    assert tools.a_bytes.joined(np.array(tools.a.encode(" é\n"))).tobytes() == " é\n".encode()
 
 
 @pytest.mark.parametrize("settings", [Alignment(), Alignment(terms=16, dictionary=50)])
