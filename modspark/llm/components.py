@@ -2,38 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from modspark.llm.store import saved
 
+SALTS = 16
+"""Neighbours of a node are dealt out to so many tasks when they learn its smallest one."""
+
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): the smallest node that the links reach, for every node that has a link.
 
     Each round replaces the links by stars around the smallest neighbour: first every node
     points its larger neighbours to its smallest one, then its smaller ones. Links never
-    grow in number, a node's neighbours are only ever aggregated, and the rounds are
-    logarithmic in the longest chain. Rounds end when no link changes.
+    grow in number, and the rounds are logarithmic in the longest chain. Rounds end when
+    no link changes, which counts and two sums of hashes over all links tell.
     """
     both = links.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
     now = saved(both.filter("lo <> hi").distinct())
+    mark = _mark(now)
     while True:
         large = _star(now.union(now.select("hi", "lo")).toDF("n", "m"), larger_only=True)
-        after = saved(_star(large.select("hi", "lo").toDF("n", "m"), larger_only=False))
-        same = after.join(now, ["lo", "hi"], "left_anti").isEmpty() and now.join(
-            after, ["lo", "hi"], "left_anti"
-        ).isEmpty()
-        if same:
-            ends = after.select(F.col("hi").alias("node"), F.col("lo").alias("label"))
-            return ends.union(after.select("lo", "lo").distinct())
-        now = after
+        now = saved(_star(large.select("hi", "lo").toDF("n", "m"), larger_only=False))
+        before, mark = mark, _mark(now)
+        if mark == before:
+            ends = now.select(F.col("hi").alias("node"), F.col("lo").alias("label"))
+            return ends.union(now.select("lo", "lo").distinct())
+
+
+def _mark(links: DataFrame) -> Row:
+    total = F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))
+    return links.agg(F.count("*"), total, F.bit_xor(F.xxhash64("hi", "lo"))).first()
 
 
 def _star(pairs: DataFrame, larger_only: bool) -> DataFrame:
-    """Point neighbours m of every node n to the smallest of n and its neighbours."""
+    """Point neighbours m of every node n to the smallest of n and its neighbours.
+
+    A node's neighbours are aggregated in parts, and meet the result in parts.
+    """
     least = pairs.groupBy("n").agg(F.least("n", F.min("m")).alias("root"))
-    linked = pairs.join(least, "n")
+    salt = F.pmod(F.xxhash64("m"), F.lit(SALTS)).cast("int").alias("salt")
+    known = least.select("n", "root", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    linked = pairs.select("n", "m", salt).join(known, ["n", "salt"])
     if larger_only:
         linked = linked.filter("m > n")
         out = linked.select(F.col("root").alias("lo"), F.col("m").alias("hi"))

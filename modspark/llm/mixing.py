@@ -137,7 +137,8 @@ def served(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         .first()
     )
     if last is None:
-        taken = lambda copy: F.lit(0)  # noqa: E731  there are no words
+        # all copies together are within the budget, or there are no words
+        taken = lambda copy: F.lit(1 if budget else 0)
     else:
         spent = last["running"] - last["words"]
         in_range = F.sum("words").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0))

@@ -39,6 +39,8 @@ SENTENCE = r"[.!?\n]+\s*"
 
 
 MARK = 28
+HIGHEST = 3.0
+"""Word scores count up to here."""
 
 
 def symbol_table() -> np.ndarray:
@@ -74,10 +76,14 @@ class ToxicityFit:
     decay: float = 0.7
     penalty: float = 1e-4
     turns: int = 5
-    spoiled: int = 3
+    beside: float = 0.5
+    """Next to a document's most toxic word others count from this share of its score on."""
+    spoiled: int = 5
     """Copies of every toxic word with a character put in, so that gaps are learned."""
     lengths: tuple[int, ...] = (10, 100, 1000)
     """Clean words around the made variants that the curve is fitted on."""
+    made: float = 0.004
+    """Weight of a made variant in that fit; a document as it is has 1."""
     variants: int = 300
     """Documents of each class that variants are made of."""
     seed: int = 7
@@ -101,7 +107,7 @@ class ToxicityModel:
         out = np.tile(np.array([-3.0, -3.0, 0.0]), (n, 1))
         if not len(words.start):
             return out
-        score = np.clip(self.word_scores(words), -3.0, 3.0)
+        score = np.clip(self.word_scores(words), -3.0, HIGHEST)
         full = np.flatnonzero(np.diff(words.first) > 0)
         heads = words.first[:-1][full]
         top = np.maximum.reduceat(score, heads)
@@ -200,8 +206,8 @@ def kernel(words: list[str], landmarks: list[str], decay: float) -> np.ndarray:
     table = np.zeros((len(used) + 1, len(landmarks)), np.float32)
     np.add.at(table, (k, r), v)
     out = np.zeros((len(words), len(landmarks)), np.float32)
-    for at in range(0, len(words), 200):
-        part = words[at : at + 200]
+    for at in range(0, len(words), 100):
+        part = words[at : at + 100]
         r, k, v = word_map(part, decay)
         place = np.minimum(np.searchsorted(used, k), len(used) - 1)
         known = used[place] == k
@@ -332,7 +338,7 @@ def trained(sample: list[tuple[int, str, int]], share: float, fit: ToxicityFit)
         weight = np.zeros(len(names))
         for d in toxic_docs:
             best = bags[d][np.argsort(-score[bags[d]], kind="stable")[:3]]
-            weight[best[score[best] > 0]] += 1
+            weight[best[score[best] > fit.beside * max(0.0, score[best[0]])]] += 1
         toxic = (weight > 0) & (seen[0] / n[0] < 0.2 * seen[1] / n[1])
         rows = np.union1d(pool, np.flatnonzero(toxic))
         rows = rows[toxic[rows] | (seen[0][rows] > 0)]
@@ -378,7 +384,7 @@ def fitted_curve(
     neither a spoiled word nor a long text around it lowers a score.
     """
     clean = [w for words, y in docs if not y for w in words]
-    texts, truth = [words for words, _ in docs], [y for _, y in docs]
+    texts, truth, weight = [words for words, _ in docs], [y for _, y in docs], [1.0] * len(docs)
     scores = np.concatenate([model.word_scores(c) for c in word_slices(pa.array([" ".join(w) for w, _ in docs]))])
     at, left = 0, [fit.variants, fit.variants]
     for words, y in docs:
@@ -393,18 +399,21 @@ def fitted_curve(
             if not y:
                 texts.append(around)
                 truth.append(0)
+                weight.append(fit.made)
             elif toxic:
                 for chosen in (toxic[:1], [stretched(w, rng) for w in toxic[:2]], [stretched(toxic[-1], rng)] * 2):
                     texts.append(around + chosen)
                     truth.append(1)
+                    weight.append(fit.made / 3)
     inputs = np.vstack([model.text_inputs(c) for c in word_slices(pa.array([" ".join(t) for t in texts]))])
-    return logistic(inputs, np.array(truth, float), share)
+    return logistic(inputs, np.array(truth, float), share, np.array(weight))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 1e-4) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, share: float, weight: np.ndarray, ridge: float = 1e-4) -> np.ndarray:
     """Logistic regression with the positive class weighted to its share, by Newton steps."""
     z = np.hstack((np.ones((len(x), 1)), x))
-    weight = np.where(y > 0, share / max(1, y.sum()), (1 - share) / max(1, (1 - y).sum()))
+    total = [max(1e-9, weight[y == c].sum()) for c in (0, 1)]
+    weight = weight * np.where(y > 0, share / total[1], (1 - share) / total[0])
     w = np.zeros(z.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
