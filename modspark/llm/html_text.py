@@ -29,19 +29,21 @@ MARKED = re.compile(r"""\s(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""",
 # fixed values: elements of HTML by what they mean for the text
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = {
-    "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark",
-    "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var",
-}
 NEVER = {
     "nav", "header", "footer", "aside", "form", "button", "select", "fieldset", "dialog", "menu", "noscript", "template",
     "svg", "canvas", "object", "head", "audio", "video", "map", "label", "legend", "datalist",
 }
+BLOCKS = {
+    "html", "body", "li", "dd", "dt", "tr", "td", "th", "thead", "tbody", "tfoot", "caption", "colgroup", "option", "optgroup",
+    "summary", "hgroup", "center", "dir", "listing", "plaintext", "frameset", "hr",
+}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CLOSES_PARAGRAPH = HEADINGS | {
     "address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure", "footer",
     "form", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul",
 }
+# all other tags, unknown ones among them, run on in their line
+LINES = BLOCKS | CLOSES_PARAGRAPH | NEVER | RAW
 SAME_CLOSES = {
     "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "p": {"p"},
@@ -54,6 +56,12 @@ NOISE = re.compile(
     r"toolbar|pagination|pager|tags|contentinfo|complementary|dialog|alert)(?:$|[\s_-])",
     re.I,
 )
+ADVERT = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|promo|promotion|sponsor|sponsored)(?:$|[\s_-])", re.I)
+"""What marks a piece of a line as no part of the text."""
+OWN_HEADER = re.compile(r"\b(?:post|entry|article|story)[_-]header\b", re.I)
+QUOTED = re.compile(r""""[^"]*"|'[^']*'""")
+HIDDEN = re.compile(r"\shidden(?=[\s=/>])", re.I)
+UNSEEN = re.compile(r"""\sstyle\s*=\s*(?:"[^"]*|'[^']*)display\s*:\s*none""", re.I)
 TOP = {"", "html", "body"}
 """Tags that hold the whole page, its article and all else."""
 PUNCTUATION = re.compile(r"[.,;:!?。，،؟]")
@@ -112,13 +120,20 @@ def read_page(source: str) -> Page:
         if not raw.endswith(">"):
             break  # the page ends inside a tag
         tag, closing = name.group(1).lower(), raw[1] == "/"
-        if tag in INLINE:
-            continue
         if tag == "br":
             add(" ")
             continue
         if tag == "a":
             links = 0 if closing else 1
+        if tag not in LINES:
+            # only pieces of a line that do not count are remembered
+            if closing and open_tags[tag]:
+                while stack[-1][0] != tag:
+                    pop()
+                pop()
+            elif not closing and tag not in VOID and (unseen(raw) or marked(raw, ADVERT)):
+                stack.append((tag, stack[-1][1], True))
+                open_tags[tag] += 1
             continue
         block += 1
         if closing:
@@ -151,14 +166,18 @@ def read_page(source: str) -> Page:
         if path == len(page.tag):
             page.parent.append(above[1])
             page.tag.append(tag)
-        noise = above[2] or tag in NEVER or (tag not in {"html", "body", "article", "main"} and marked_noise(raw))
+        noise = above[2] or tag in NEVER or (tag not in TOP and unseen(raw)) or (tag not in {"html", "body", "article", "main"} and marked(raw, NOISE))
         stack.append((tag, path, noise))
         open_tags[tag] += 1
     return page
 
 
-def marked_noise(raw: str) -> bool:
-    return any(NOISE.search(value.strip("\"'")) for value in MARKED.findall(raw))
+def marked(raw: str, words: re.Pattern) -> bool:
+    return any(words.search(OWN_HEADER.sub(" ", value.strip("\"'"))) for value in MARKED.findall(raw))
+
+
+def unseen(raw: str) -> bool:
+    return bool(HIDDEN.search(QUOTED.sub('""', raw)) or UNSEEN.search(raw))
 
 
 def smoothed(values: np.ndarray, width: float) -> np.ndarray:
@@ -192,7 +211,8 @@ def main_text(source: str | None, ratios: PathRatios = PathRatios()) -> str:
     score = np.bincount(place, fused) / count * (length > 0)
     best = score.max()
     if best <= 0:
-        return ""
+        # nothing but links: what an article or main element holds is meant to be read
+        return "\n".join(text for path, text, _ in rows if within(page, path, {"article", "main"}))
     chosen = {int(p) for p, s in zip(paths, score, strict=True) if s >= ratios.share * best}
     container = lowest_common(page, {page.parent[path] for path in chosen})
     if page.tag[container] in TOP:
@@ -215,6 +235,14 @@ def lowest_common(page: Page, paths: set[int]) -> int:
     return paths.pop()
 
 
+def within(page: Page, path: int, tags: set[str]) -> bool:
+    while path >= 0:
+        if page.tag[path] in tags:
+            return True
+        path = page.parent[path]
+    return False
+
+
 def below(page: Page, path: int, container: int) -> bool:
     while path > container:
         path = page.parent[path]

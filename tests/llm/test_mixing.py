@@ -103,3 +103,14 @@ def test_weights_and_budget_share(spark):
     found = mix_report(spark.createDataFrame(rows, SCHEMA), Mix(weights=(3, 2, 1))).collect()
     taken = {s: sum(r["taken"] for r in found if r["source"] == s) for s in "abc"}
     assert taken == {"a": 900, "b": 600, "c": 300}
+
+
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_documents_taken_at_most_so_often(spark, most):
+    """With one copy each the budget is all there is, and all of it is taken."""
+    rows = corpus({"a": [3, 40, 7] * 4, "b": [5] * 3, None: [6, 9]})
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    found = mix_report(docs, Mix(most=most)).collect()
+    total, taken = sum(r["size"] for r in found), sum(r["taken"] for r in found)
+    assert all(r["taken"] <= most * r["size"] for r in found)
+    assert taken == total if most == 1 else 0.8 * total <= taken <= total

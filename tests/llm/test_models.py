@@ -81,6 +81,34 @@ def test_toxic_words_with_gaps_and_marks(corpus):
     assert scores[0] < 0.3 and (scores[1:] >= 0.3).all()
 
 
+INSIDE = {
+    "void": ("super<wbr>cali and <img src='a.png'> world, with an <input> too.", "supercali and world, with an too."),
+    "phrasing": ("The <ruby>kan<rt>ji</rt></ruby>, an <acronym>HTML</acronym>, a <x-tag data-a='1'>new</x-tag> one.", "The kanji, an HTML, a new one."),
+    "advert": ("Before <span class='advert'>Buy now!</span>after <em class=\"ad\">this <b>too</b></em>all, yes.", "Before after all, yes."),
+    "unclosed advert": ("Before <span class='advert'>Buy now!", "Before"),
+    "hidden": ("Seen <span hidden>not seen </span>again, <b style='color:red; display : none'>never</b>yes.", "Seen again, yes."),
+    "hidden in a value": ("Seen <span class='a hidden b' title=' hidden '>also, yes</span>.", "Seen also, yes."),
+    "link": ("A <a href='x'>link, here,</a> in the text.", "A link, here, in the text."),
+}
+
+
+@pytest.mark.parametrize("kind", INSIDE)
+def test_pieces_of_a_line(kind):
+    source, line = INSIDE[kind]
+    rest = "".join(f"<p>{p}</p>" for p in ARTICLE)
+    text = main_text(f"<body><article><h1>Title</h1><p>{source}</p>{rest}</article></body>").split("\n")
+    assert text == ["Title", line, *PLAIN.split("\n")[1:]]
+
+
+def test_hidden_blocks_own_headers_and_articles_of_links():
+    rest = "".join(f"<p>{p}</p>" for p in ARTICLE)
+    page = "<body><article><div class='post-header'><h1>Title here</h1></div><p hidden>Never, ever, seen.</p><div style=\"display:none\"><p>Nor, this, one.</p></div>{}</article></body>"
+    assert main_text(page.format(rest)) == PLAIN
+    links = "<body><ul><li><a href='/'>Home</a></li></ul><article><p><a href='x'>All of it, really, is a link.</a></p><p><a href='y'>And this.</a></p></article></body>"
+    assert main_text(links) == "All of it, really, is a link.\nAnd this."
+    assert main_text("<body><ul><li><a href='/'>Home</a></li></ul></body>") == ""
+
+
 @pytest.mark.parametrize("length", [10, 100, 1000])
 def test_insertions_are_caught_at_any_length(corpus, length):
     """Every place and several letters and marks in every trained insult; clean texts stay clean."""
