@@ -5,17 +5,18 @@ intercept among them: it is the weight of one more feature that is 1 everywhere.
 kept as blocks of sparse rows. Every step is one pass over them that serves all columns still
 at work, whatever label or setting they belong to: losses and slopes at a point, or the curvature along
 a direction. Partial sums are added by ranges of features, so no task or driver ever holds more
-than features x columns numbers.
+than a few times features x columns numbers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import RDD, StorageLevel
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 BLOCK = 1 << 18
@@ -49,11 +50,11 @@ class Block:
             out[:, k] = np.bincount(self.owner, self.value * w[self.feature], self.n) + w[-1]
         return out
 
-    def add_back(self, rows: np.ndarray, into: np.ndarray) -> None:
-        """Add features x rows to ``into`` (columns x features)."""
-        size = into.shape[1]
+    def add_back(self, rows: np.ndarray, into: np.ndarray, power: int = 1) -> None:
+        """Add (powers of) features x rows to ``into`` (columns x features)."""
+        size, value = into.shape[1], self.value**power
         for k in range(len(into)):
-            into[k] += np.bincount(self.feature, self.value * rows[self.owner, k], size)
+            into[k] += np.bincount(self.feature, value * rows[self.owner, k], size)
             into[k, -1] += rows[:, k].sum()
 
 
@@ -93,50 +94,60 @@ def blocks(rows: DataFrame, features: str, labels: str, width: int) -> DataFrame
 
 def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in batches:
-        for row in batch.to_pylist():
-            n = row["n"]
-            yield Block(
-                n,
-                np.frombuffer(row["owner"], np.int32),
-                np.frombuffer(row["feature"], np.int32),
-                np.frombuffer(row["value"], np.float64),
-                np.frombuffer(row["target"], np.float64).reshape(n, -1),
-            )
+        yield from map(_block, batch.to_pylist())
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -500, 500)))
 
 
-def _ranges(data: DataFrame) -> int:
-    return max(1, min(16, data.sparkSession.sparkContext.defaultParallelism))
-
+@dataclass
+class Data:
+    """Blocks as tasks keep them between the passes, which differ in the weights alone.
 
-def _summed(data: DataFrame, shape: tuple[int, int], partial) -> np.ndarray:
-    """The sum over all blocks of what ``partial(block, into)`` adds to an array of this shape."""
-    ranges = _ranges(data)
-    cuts = np.linspace(0, shape[1], ranges + 1).astype(int)
+    A pass is a fold over each task's blocks and a sum by ranges of features. It is one small job of
+    many, so it goes without a query plan of its own.
+    """
 
-    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = np.zeros(shape), False
-        for block in unpacked(batches):
-            partial(block, total)
-            seen = True
-        if seen:
-            parts = [np.ascontiguousarray(total[:, a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(ranges), pa.int32()), pa.array(parts, pa.binary())], names=["range", "part"])
+    blocks: RDD[Block]
+    rows: int
+
+    @staticmethod
+    def of(packed: DataFrame) -> Data:
+        kept = packed.rdd.mapPartitions(lambda rows: map(_block, rows)).persist(StorageLevel.MEMORY_AND_DISK)
+        return Data(kept, kept.map(lambda b: b.n).sum())
+
+    def close(self) -> None:
+        self.blocks.unpersist()
+
+    def summed(self, shape: tuple[int, int], sent: object, partial: Callable[[Block, np.ndarray, object], None]) -> np.ndarray:
+        """The sum over all blocks of what ``partial(block, into, sent)`` adds to an array of this shape."""
+        parts = max(1, self.blocks.getNumPartitions())
+        ranges = max(1, min(parts, 64, self.blocks.context.defaultParallelism))
+        cuts = np.linspace(0, shape[1], ranges + 1).astype(int)
+        known = self.blocks.context.broadcast(sent)
+
+        def sweep(blocks: Iterator[Block]) -> Iterator[tuple[int, np.ndarray]]:
+            total = None
+            for block in blocks:
+                total = np.zeros(shape) if total is None else total
+                partial(block, total, known.value)
+            if total is not None:
+                yield from ((r, total[:, a:b]) for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)))
+
+        try:
+            found = self.blocks.mapPartitions(sweep).reduceByKey(np.add, ranges).collect()
+        finally:
+            known.destroy()
+        out = np.zeros(shape)
+        for r, part in found:
+            out[:, cuts[r] : cuts[r + 1]] = part
+        return out
 
-    def add(parts: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(p, np.float64) for p in parts.column("part").to_pylist())
-        return pa.table({"range": parts.column("range")[:1], "part": pa.array([total.tobytes()], pa.binary())})
 
-    kind = "range int, part binary"
-    found = data.mapInArrow(sweep, kind).groupBy("range").applyInArrow(add, kind).collect()
-    out = np.zeros(shape)
-    for r in found:
-        a, b = cuts[r["range"]], cuts[r["range"] + 1]
-        out[:, a:b] = np.frombuffer(r["part"], np.float64).reshape(shape[0], b - a)
-    return out
+def _block(row: Row | dict) -> Block:
+    target = np.frombuffer(row["target"], np.float64).reshape(row["n"], -1)
+    return Block(row["n"], *(np.frombuffer(row[c], kind) for c, kind in (("owner", np.int32), ("feature", np.int32), ("value", np.float64))), target)
 
 
 def _signs(block: Block, columns: Sequence[Column]) -> tuple[np.ndarray, np.ndarray]:
@@ -145,106 +156,116 @@ def _signs(block: Block, columns: Sequence[Column]) -> tuple[np.ndarray, np.ndar
     return given, np.where(given, [c.positive for c in columns], 1.0)
 
 
-def losses_and_slopes(data: DataFrame, columns: Sequence[Column], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Objective and slope of every column at its weights."""
-    sent = data.sparkSession.sparkContext.broadcast(weights)
+def losses_and_slopes(
+    data: Data, columns: Sequence[Column], weights: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Objective, slope and own curvature of every weight, for every column at its weights."""
+    size = weights.shape[1]
 
-    def partial(block: Block, into: np.ndarray) -> None:
+    def partial(block: Block, into: np.ndarray, w: np.ndarray) -> None:
         given, weight = _signs(block, columns)
-        margin = block.margins(sent.value)
-        block.add_back(weight * (sigmoid(margin) - given), into[:, :-1])
+        margin = block.margins(w)
+        p = sigmoid(margin)
+        block.add_back(weight * (p - given), into[:, :size])
+        block.add_back(weight * p * (1 - p), into[:, size : 2 * size], 2)
         into[:, -1] += (weight * np.logaddexp(0, np.where(given, -margin, margin))).sum(axis=0)
 
-    try:
-        found = _summed(data, (len(columns), weights.shape[1] + 1), partial)
-    finally:
-        sent.destroy()
-    c = np.array([x.c for x in columns])
-    loss = c * found[:, -1] + 0.5 * (weights**2).sum(axis=1)
-    return loss, c[:, None] * found[:, :-1] + weights
+    found = data.summed((len(columns), 2 * size + 1), weights, partial)
+    c = np.array([x.c for x in columns])[:, None]
+    loss = c[:, 0] * found[:, -1] + 0.5 * (weights**2).sum(axis=1)
+    return loss, c * found[:, :size] + weights, c * found[:, size:-1] + 1.0
 
 
-def curvatures(data: DataFrame, columns: Sequence[Column], weights: np.ndarray, along: np.ndarray) -> np.ndarray:
+def curvatures(data: Data, columns: Sequence[Column], weights: np.ndarray, along: np.ndarray) -> np.ndarray:
     """The second derivative of every column's objective times a direction of its own."""
-    sent = data.sparkSession.sparkContext.broadcast((weights, along))
 
-    def partial(block: Block, into: np.ndarray) -> None:
-        w, v = sent.value
+    def partial(block: Block, into: np.ndarray, sent: tuple[np.ndarray, np.ndarray]) -> None:
+        w, v = sent
         _, weight = _signs(block, columns)
         p = sigmoid(block.margins(w))
         block.add_back(weight * p * (1 - p) * block.margins(v), into)
 
-    try:
-        found = _summed(data, weights.shape, partial)
-    finally:
-        sent.destroy()
+    found = data.summed(weights.shape, (weights, along), partial)
     return np.array([x.c for x in columns])[:, None] * found + along
 
 
 @dataclass
 class _Search:
-    """Where a column stands: its point, and the conjugate gradients inside its trust region."""
+    """Where a column stands: its point, and the conjugate gradients inside its trust region.
+
+    Steps are measured by the weights' own curvatures, so a weight of a rare feature moves as
+    freely as that of a common one.
+    """
 
     weights: np.ndarray
     loss: float
     slope: np.ndarray
-    radius: float
+    own: np.ndarray
+    radius: float = np.inf
     step: np.ndarray = field(init=False)
     residual: np.ndarray = field(init=False)
     along: np.ndarray = field(init=False)
+    first: float = field(init=False)
+
+    def size(self, step: np.ndarray) -> float:
+        return float(np.sqrt((self.own * step) @ step))
 
     def open(self) -> None:
         self.step = np.zeros_like(self.weights)
         self.residual = -self.slope
-        self.along = self.residual.copy()
+        self.along = self.residual / self.own
+        self.first = self.residual @ self.along
+        if not np.isfinite(self.radius):
+            self.radius = max(1.0, self.size(self.along))
 
     def advance(self, curved: np.ndarray, share: float) -> bool:
         """One step of conjugate gradients; whether the inner search is over."""
-        before = self.residual @ self.residual
+        before = self.residual @ (self.residual / self.own)
         alpha = before / max(self.along @ curved, 1e-300)
         further = self.step + alpha * self.along
-        if further @ further >= self.radius**2:
+        if self.size(further) >= self.radius:
             # to the edge of the region
-            dd, sd, ss = self.along @ self.along, self.step @ self.along, self.step @ self.step
+            dd, sd, ss = self.size(self.along) ** 2, (self.own * self.step) @ self.along, self.size(self.step) ** 2
             alpha = (-sd + np.sqrt(max(sd * sd + dd * (self.radius**2 - ss), 0.0))) / dd
             self.step = self.step + alpha * self.along
             self.residual = self.residual - alpha * curved
             return True
         self.step = further
         self.residual = self.residual - alpha * curved
-        after = self.residual @ self.residual
-        self.along = self.residual + (after / before) * self.along
-        return bool(after <= share**2 * (self.slope @ self.slope))
+        left = self.residual / self.own
+        after = self.residual @ left
+        self.along = left + (after / before) * self.along
+        return bool(after <= share**2 * self.first)
 
     def predicted(self) -> float:
         """How much the quadratic model falls along the step."""
         return float(0.5 * (self.step @ (self.residual - self.slope)))
 
-    def settle(self, loss: float, slope: np.ndarray) -> None:
+    def settle(self, loss: float, slope: np.ndarray, own: np.ndarray) -> None:
         """Take the step if the objective falls, and fit the region to how well it was foretold."""
         fell, foretold = self.loss - loss, self.predicted()
         ratio = fell / foretold if foretold > 0 else 0.0
-        size = float(np.linalg.norm(self.step))
+        size = self.size(self.step)
         if ratio < 0.25:
             self.radius = 0.25 * size
         elif ratio > 0.75:
             self.radius = max(self.radius, 3.0 * size)
         if ratio > 1e-4 or (fell >= 0 and foretold <= 1e-12 * abs(self.loss)):
-            self.weights, self.loss, self.slope = self.weights + self.step, loss, slope
+            self.weights, self.loss, self.slope, self.own = self.weights + self.step, loss, slope, own
 
 
 def minimised(
-    data: DataFrame, features: int, columns: Sequence[Column], max_iter: int = 200, tolerance: float = 1e-6, inner: int = 60
+    data: Data, features: int, columns: Sequence[Column], max_iter: int = 200, tolerance: float = 1e-5, inner: int = 60
 ) -> np.ndarray:
     """Weights that minimise every column's objective: columns x (features + 1), the intercept last.
 
     A column is done when no slope of its objective over C times the rows exceeds
     ``tolerance``, or after ``max_iter`` outer steps. The driver holds a few vectors a column.
     """
-    n = max(1, data.agg(F.sum("n")).first()[0] or 0)
+    n = max(1, data.rows)
     start = np.zeros((len(columns), features + 1))
-    loss, slope = losses_and_slopes(data, columns, start)
-    state = [_Search(start[k], float(loss[k]), slope[k], float(np.linalg.norm(slope[k]))) for k in range(len(columns))]
+    state = [_Search(start[k], float(f), g, d) for k, (f, g, d) in enumerate(zip(*losses_and_slopes(data, columns, start), strict=True))]
+    steep = [max(np.abs(x.slope).max(), 1e-300) for x in state]
 
     def still(k: int) -> bool:
         return np.abs(state[k].slope).max() > tolerance * columns[k].c * n and state[k].radius > 1e-12
@@ -255,17 +276,18 @@ def minimised(
             break
         for k in work:
             state[k].open()
+        # rough at first, closer as the slope falls
+        share = {k: min(0.5, max(0.1, np.sqrt(np.abs(state[k].slope).max() / steep[k]))) for k in work}
         searching = work
         for _ in range(inner):
             own = [columns[k] for k in searching]
             found = curvatures(data, own, np.array([state[k].weights for k in searching]), np.array([state[k].along for k in searching]))
-            searching = [k for k, curved in zip(searching, found, strict=True) if not state[k].advance(curved, 0.1)]
+            searching = [k for k, curved in zip(searching, found, strict=True) if not state[k].advance(curved, share[k])]
             if not searching:
                 break
         tried = np.array([state[k].weights + state[k].step for k in work])
-        loss, slope = losses_and_slopes(data, [columns[k] for k in work], tried)
-        for i, k in enumerate(work):
-            state[k].settle(float(loss[i]), slope[i])
+        for k, *found in zip(work, *losses_and_slopes(data, [columns[k] for k in work], tried), strict=True):
+            state[k].settle(float(found[0]), *found[1:])
     return np.array([s.weights for s in state])
 
 

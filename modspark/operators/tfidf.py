@@ -18,7 +18,6 @@ from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.common import _py2java
 from pyspark.ml.feature import (
-    IDF,
     CountVectorizerModel,
     ElementwiseProduct,
     NGram,
@@ -108,20 +107,29 @@ class TfidfModel(Scorer):
         return TfidfModel([c.removeprefix("_prob_") for c in columns], stages)
 
 
-def _commonest(terms: DataFrame, most: int) -> list[str]:
-    """The commonest terms, by name among equals, so that two fits agree.
+def _commonest(terms: DataFrame, column: str, most: int) -> tuple[list[tuple[str, int]], int]:
+    """The commonest terms with the number of their texts, and the number of all texts.
 
-    A table of how many terms have which count finds the least count that can stay; rarer
+    Terms are taken by their occurrences, by name among equals, so that two fits agree. Every
+    text gives its terms, its distinct terms and one null, so a single pass counts all three. A
+    table of how many terms have which count finds the least count that can stay; rarer
     terms are filtered out before the rest is put in order.
     """
-    counted = terms.groupBy("term").agg(F.count("*").alias("n")).persist(StorageLevel.DISK_ONLY)
+    facts = F.concat(
+        F.transform(column, lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("texts"))),
+        F.transform(F.array_distinct(column), lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("texts"))),
+        F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).alias("n"), F.lit(1).alias("texts"))),
+    )
+    counted = terms.select(F.inline(facts)).groupBy("term").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
+    counted = counted.persist(StorageLevel.DISK_ONLY)
     try:
-        by_count = counted.groupBy("n").agg(F.count("*").alias("terms"))
+        by_count = counted.filter("term IS NOT NULL").groupBy("n").agg(F.count("*").alias("terms"))
         down = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
         cut = by_count.withColumn("upto", F.sum("terms").over(down)).filter(F.col("upto") >= most)
         least = cut.agg(F.max("n")).first()[0] or 1
-        top = counted.filter(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(most)
-        return [r["term"] for r in top.collect()]
+        top = counted.filter((F.col("n") >= least) & F.col("term").isNotNull()).orderBy(F.desc("n"), "term").limit(most)
+        texts = counted.filter("term IS NULL").first()
+        return [(r["term"], r["texts"]) for r in top.collect()], texts["texts"] if texts else 0
     finally:
         counted.unpersist()
 
@@ -129,19 +137,17 @@ def _commonest(terms: DataFrame, most: int) -> list[str]:
 def fit_features(df: DataFrame, text: str, settings: TfidfSettings) -> list[Transformer]:
     """Stages from text to unit-length TF-IDF vectors.
 
-    The smoothed inverse document frequency plus one is folded into one scaling vector;
-    the vocabulary is the only thing the driver holds, limited by ``max_features``.
+    The smoothed inverse document frequency plus one is a scaling vector; the vocabulary is
+    the only thing the driver holds, limited by ``max_features``.
     """
     stages, terms_column = _term_stages(settings.ngram_range)
     terms = _through(stages, df.select(_empty_text(text).alias(_TEXT))).select(terms_column)
-    vocabulary = _commonest(terms.select(F.explode(terms_column).alias("term")), settings.max_features)
+    vocabulary, texts = _commonest(terms, terms_column, settings.max_features)
     if not vocabulary:
         raise ValueError("no text has a term")
-    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol=terms_column, outputCol="_tf")
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counter.transform(terms))
-    scale = ElementwiseProduct(
-        scalingVec=Vectors.dense([x + 1.0 for x in idf.idf.toArray().tolist()]), inputCol="_tf", outputCol="_scaled"
-    )
+    counter = CountVectorizerModel.from_vocabulary([t for t, _ in vocabulary], inputCol=terms_column, outputCol="_tf")
+    idf = [math.log((1 + texts) / (1 + n)) + 1.0 for _, n in vocabulary]
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_scaled")
     return [*stages, counter, scale, Normalizer(p=2.0, inputCol="_scaled", outputCol=_FEATURES)]
 
 
@@ -214,21 +220,36 @@ def _positive_weights(rows: DataFrame, label_fields: Sequence[str], labels: str,
     return {r["label"]: float(r["pos_weight"]) for r in positive_weights(rows, label_fields, labels).collect()}
 
 
-def _constant(features: DataFrame, label_fields: Sequence[str], labels: str) -> dict[int, float]:
+def _constant(data: newton.Data, width: int) -> dict[int, float]:
     """Places of the labels that all rows agree on, with the intercept that says so."""
-    given = [F.count_if(F.get(F.col(labels), F.lit(i)) > 0) for i in range(len(label_fields))]
-    n, *counts = features.agg(F.count("*"), *given).first()
-    return {i: math.inf if k == n and n else -math.inf for i, k in enumerate(counts) if k in (0, n)}
+    counts = data.blocks.map(lambda b: (b.target > 0).sum(axis=0)).fold(np.zeros(width), np.add)
+    return {i: math.inf if k == data.rows and k else -math.inf for i, k in enumerate(counts) if k in (0, data.rows)}
 
 
 def fitted_weights(
-    data: DataFrame, size: int, trials: Sequence[TfidfSettings], weights: Sequence[Mapping[str, float]],
+    features: DataFrame, size: int, trials: Sequence[TfidfSettings], weights: Mapping[str, float],
+    label_fields: Sequence[str], labels: str,
+) -> np.ndarray:
+    """(trials x labels) x (features + intercept), all fitted in the same passes over the rows.
+
+    ``weights`` are those of trials that weigh positive rows. A label that all rows agree on is
+    not fitted; its intercept says so.
+    """
+    data = newton.Data.of(newton.blocks(features, _FEATURES, labels, len(label_fields)))
+    try:
+        constant = _constant(data, len(label_fields))
+        return _fitted(data, size, trials, weights, label_fields, constant)
+    finally:
+        data.close()
+
+
+def _fitted(
+    data: newton.Data, size: int, trials: Sequence[TfidfSettings], weights: Mapping[str, float],
     label_fields: Sequence[str], constant: Mapping[int, float],
 ) -> np.ndarray:
-    """(trials x labels) x (features + intercept), all fitted in the same passes over the blocks."""
     columns = [
-        newton.Column(i, settings.c, weight[name])
-        for settings, weight in zip(trials, weights, strict=True)
+        newton.Column(i, settings.c, weights[name] if settings.use_pos_weight else 1.0)
+        for settings in trials
         for i, name in enumerate(label_fields)
     ]
     found = np.zeros((len(columns), size + 1))
@@ -268,13 +289,8 @@ def fit_classifiers(
 
     A label that all rows agree on gets a classifier that always says so.
     """
-    data = newton.blocks(features, _FEATURES, labels, len(label_fields)).persist()
-    try:
-        weights = _positive_weights(features, label_fields, labels, settings)
-        constant = _constant(features, label_fields, labels)
-        found = fitted_weights(data, size, [settings], [weights], label_fields, constant)
-    finally:
-        data.unpersist()
+    weights = _positive_weights(features, label_fields, labels, settings)
+    found = fitted_weights(features, size, [settings], weights, label_fields, labels)
     return [_classifier(name, found[i]) for i, name in enumerate(label_fields)]
 
 
@@ -370,13 +386,9 @@ def _measured(
     """f1_micro, f1_macro and auc_macro of trials that share their features."""
     stages = fit_features(train, text, trials[0])
     features = _through(stages, train.select(_empty_text(text).alias(_TEXT), labels)).select(_FEATURES, labels)
-    data = newton.blocks(features, _FEATURES, labels, len(label_fields)).persist()
-    try:
-        weights = [_positive_weights(train, label_fields, labels, settings) for settings in trials]
-        constant = _constant(train, label_fields, labels)
-        found = fitted_weights(data, _size(stages), trials, weights, label_fields, constant)
-    finally:
-        data.unpersist()
+    weighing = next((settings for settings in trials if settings.use_pos_weight), trials[0])
+    weights = _positive_weights(train, label_fields, labels, weighing)
+    found = fitted_weights(features, _size(stages), trials, weights, label_fields, labels)
     rows = _through(stages, validation.select(_empty_text(text).alias(_TEXT), labels)).select(_FEATURES, labels)
     scored = newton.probabilities(newton.blocks(rows, _FEATURES, labels, len(label_fields)), found, len(trials))
     long = to_long(scored, label_fields, ["trial"], "labels")
