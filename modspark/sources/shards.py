@@ -75,8 +75,9 @@ def export_shards(
         chosen = left[first : first + size]
         rows = parts.filter(F.col("shard").isin(chosen)) if len(chosen) < shards else parts
         ordered = rows.repartitionById(shards, "shard").sortWithinPartitions("shard", "_key", *id_columns)
-        ordered.write.mode("append").option("maxRecordsPerFile", 0).partitionBy("shard").parquet(f"{path}/rows")
-        _measured(spark.read.parquet(f"{path}/rows").filter(F.col("shard").isin(chosen)), df.columns, named).write.mode("append").parquet(f"{path}/manifest")
+        # a shard that was written without its manifest row is written anew
+        ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(f"{path}/rows")
+        _measured(spark.read.schema(parts.schema).parquet(f"{path}/rows").filter(F.col("shard").isin(chosen)), df.columns, named).write.mode("append").parquet(f"{path}/manifest")
     found = spark.read.schema(MANIFEST).parquet(f"{path}/manifest") if shards and (left or done) else spark.createDataFrame([], MANIFEST)
     return found.filter(F.col("cuts") == named).drop("cuts")
 

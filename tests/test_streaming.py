@@ -162,7 +162,7 @@ def test_rolling_f1_as_labels_come_in(spark, tmp_path):
 
     def go():
         sides = [spark.readStream.schema(kinds[p]).option("maxFilesPerTrigger", 1).parquet(p) for p in (log, truth)]
-        rows = quality.judged(*sides, ["toxic"], quality.LabelDelay("1 day", "7 days", "1 hour"))
+        rows = quality.judged(*sides, ["toxic"], quality.LabelDelay("5 days", "7 days", "1 hour"))
         quality.append_counts(rows, ["toxic"], str(tmp_path / "counts"), str(tmp_path / "checkpoint")).awaitTermination()
         return sorted(map(tuple, quality.current_f1(spark, str(tmp_path / "counts"), 3).collect()))
 
@@ -189,7 +189,7 @@ def test_rolling_f1_as_labels_come_in(spark, tmp_path):
     add(truth, [("2024-05-31 12:00:00", "z", [1.0])])
     go()
     sides = [spark.readStream.schema(kinds[p]).option("maxFilesPerTrigger", 1).parquet(p) for p in (log, truth)]
-    rows = quality.judged(*sides, ["toxic"], quality.LabelDelay("1 day", "7 days", "1 hour"))
+    rows = quality.judged(*sides, ["toxic"], quality.LabelDelay("5 days", "7 days", "1 hour"))
     add(log, decided(31, ["y"]))
     query = quality.append_counts(rows, ["toxic"], str(tmp_path / "counts"), str(tmp_path / "checkpoint"))
     query.awaitTermination()
