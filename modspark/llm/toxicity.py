@@ -12,6 +12,7 @@ scored by look-ups. A logistic curve on a text's highest word scores gives its s
 from __future__ import annotations
 
 import re
+import sys
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -270,12 +271,13 @@ def labelled_sentences(docs: DataFrame, labels: DataFrame, fit: ToxicityFit) ->
         cut.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id", "sentence"), "doc_id", "sentence").limit(fit.sentences)
         for toxic in (0, 1)
     ]
-    rows = picked[0].union(picked[1]).collect()
-    return sorted((r["doc_id"], r["sentence"], r["toxic"]) for r in rows)
+    rows = picked[0].union(picked[1]).toArrow()
+    return sorted(zip(*(rows.column(c).to_pylist() for c in ("doc_id", "sentence", "toxic")), strict=True))
 
 
 def word_list(sentence: str) -> list[str]:
-    return re.findall(r"[^\x20\x09-\x0D]+", sentence.translate(_LOWER))
+    """The words of a sentence; equal words are one object, so that a sample is small."""
+    return [sys.intern(w) for w in re.findall(r"[^\x20\x09-\x0D]+", sentence.translate(_LOWER))]
 
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -384,29 +386,50 @@ def fitted_curve(
     neither a spoiled word nor a long text around it lowers a score.
     """
     clean = [w for words, y in docs if not y for w in words]
-    texts, truth, weight = [words for words, _ in docs], [y for _, y in docs], [1.0] * len(docs)
-    scores = np.concatenate([model.word_scores(c) for c in word_slices(pa.array([" ".join(w) for w, _ in docs]))])
-    at, left = 0, [fit.variants, fit.variants]
+    pool: list[list[str]] = []
+    inputs: list[np.ndarray] = []
+    truth, weight, held = [], [], 0
+
+    def flush() -> None:
+        nonlocal held
+        if pool:
+            inputs.extend(model.text_inputs(c) for c in word_slices(pa.array([" ".join(t) for t in pool])))
+        pool.clear()
+        held = 0
+
+    def add(words: list[str], y: int, w: float) -> None:
+        nonlocal held
+        pool.append(words)
+        truth.append(y)
+        weight.append(w)
+        held += len(words)
+        if held > FLUSH_WORDS:
+            flush()
+
+    left = [fit.variants, fit.variants]
     for words, y in docs:
-        own, at = scores[at : at + len(words)], at + len(words)
+        add(words, y, 1.0)
         left[y] -= 1
-        if left[y] < 0:
+        if left[y] < 0 or not clean:
             continue
-        toxic = [words[i] for i in np.flatnonzero(own > 0)] if y else []
-        for length in fit.lengths if clean else ():
+        toxic = []
+        if y:
+            own = np.concatenate([model.word_scores(c) for c in word_slices(pa.array([" ".join(words)]))])
+            toxic = [words[i] for i in np.flatnonzero(own > 0)]
+        for length in fit.lengths:
             first = int(rng.integers(len(clean)))
             around = [clean[(first + i) % len(clean)] for i in range(length)]
             if not y:
-                texts.append(around)
-                truth.append(0)
-                weight.append(fit.made)
+                add(around, 0, fit.made)
             elif toxic:
                 for chosen in (toxic[:1], [stretched(w, rng) for w in toxic[:2]], [stretched(toxic[-1], rng)] * 2):
-                    texts.append(around + chosen)
-                    truth.append(1)
-                    weight.append(fit.made / 3)
-    inputs = np.vstack([model.text_inputs(c) for c in word_slices(pa.array([" ".join(t) for t in texts]))])
-    return logistic(inputs, np.array(truth, float), share, np.array(weight))
+                    add(around + chosen, 1, fit.made / 3)
+    flush()
+    return logistic(np.vstack(inputs), np.array(truth, float), share, np.array(weight))
+
+
+FLUSH_WORDS = 1 << 16
+"""Texts of so many words are measured at a time when the curve is fitted."""
 
 
 def logistic(x: np.ndarray, y: np.ndarray, share: float, weight: np.ndarray, ridge: float = 1e-4) -> np.ndarray:
