@@ -120,11 +120,23 @@ def worst_cases(
 ) -> DataFrame:
     """The ``k`` rows furthest from their labels as records without text; all if there are fewer.
 
-    Each task keeps its own k best rows, texts included, in one pass. ``order`` and then a
-    hash of the text break ties; null ids come first, and rows that repeat count each.
+    Each task keeps its own k best by scores alone; the k winners, a bounded table, then
+    fetch their texts. ``order`` and then a hash of the text break ties and name a row; null
+    ids come first and find their texts too, and rows that repeat count each.
     """
-    rows = df.select(*order, text, labels, probs, max_error(labels, probs).alias("max_abs_error"))
-    top = rows.orderBy(F.desc("max_abs_error"), *order, F.xxhash64(text)).limit(k)
+    hashed = df.withColumn("_hash", F.xxhash64(text))
+    narrow = hashed.select(*order, "_hash", labels, probs, max_error(labels, probs).alias("max_abs_error"))
+    best = narrow.orderBy(F.desc("max_abs_error"), *order, "_hash").limit(k)
+    keys = [*order, "_hash"]
+    won = best.groupBy(*keys).agg(F.collect_list(F.struct(labels, probs, "max_abs_error")).alias("_rows"))
+    won = won.select(*[F.col(c).alias(f"_won_{c}") for c in keys], "_rows")
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_won_{c}"))
+    found = hashed.select(*keys, text).join(F.broadcast(won), same)
+    found = found.groupBy(*keys).agg(F.min(text).alias(text), F.first("_rows").alias("_rows"))
+    top = found.select(*order, text, F.inline("_rows"))
+    top = top.repartition(1).sortWithinPartitions(F.desc("max_abs_error"), *order)
     names = F.array(*[F.lit(x) for x in label_fields])
     indexes = range(len(label_fields))
     raw = F.coalesce(F.col(text), F.lit(""))
