@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -252,8 +253,8 @@ def linear_machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: fl
     return w[:-1], float(w[-1])
 
 
-def labelled_sentences(docs: DataFrame, labels: DataFrame, fit: ToxicityFit) -> list[tuple[int, str, int]]:
-    """(document number, sentence, label): the bounded training sample.
+def labelled_sentences(docs: DataFrame, labels: DataFrame, fit: ToxicityFit) -> DataFrame:
+    """doc_id, sentence, toxic: the bounded training sample.
 
     Labels are one row per document; the sample of them is bounded by a parameter, so it
     may be broadcast.
@@ -271,8 +272,7 @@ def labelled_sentences(docs: DataFrame, labels: DataFrame, fit: ToxicityFit) ->
         cut.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id", "sentence"), "doc_id", "sentence").limit(fit.sentences)
         for toxic in (0, 1)
     ]
-    rows = picked[0].union(picked[1]).toArrow()
-    return sorted(zip(*(rows.column(c).to_pylist() for c in ("doc_id", "sentence", "toxic")), strict=True))
+    return picked[0].union(picked[1]).select("doc_id", "sentence", F.col("toxic").cast("int").alias("toxic"))
 
 
 def word_list(sentence: str) -> list[str]:
@@ -451,8 +451,22 @@ def logistic(x: np.ndarray, y: np.ndarray, share: float, weight: np.ndarray, rid
 def fitted(docs: DataFrame, labels: DataFrame, held_out: Column, fit: ToxicityFit = ToxicityFit()) -> ToxicityModel:
     """The model learned from labels of the documents that are not held out."""
     known = labels.filter(~held_out)
-    share = known.filter("toxic is not null and doc_id is not null").agg(F.avg("toxic")).first()[0]
-    return trained(labelled_sentences(docs, known, fit), share or 0.0, fit)
+    share = known.filter("toxic is not null and doc_id is not null").agg(F.avg("toxic")).first()[0] or 0.0
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the bounded sample is one task's: the driver sees the finished model alone
+        sample = sorted(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        model = trained(sample, share, fit)
+        parts = [model.weights.tobytes(), model.bias, model.curve.tolist()]
+        kinds = [pa.binary(), pa.float64(), pa.list_(pa.float64())]
+        columns = [pa.array([x], kind) for x, kind in zip(parts, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, names=["weights", "bias", "curve"])
+
+    sample = labelled_sentences(docs, known, fit).repartition(1)
+    row = sample.mapInArrow(train, "weights binary, bias double, curve array<double>").first()
+    if row is None:  # a partition without rows may not run at all
+        return trained([], share, fit)
+    return ToxicityModel(np.frombuffer(row["weights"], np.float32), row["bias"], fit.decay, np.array(row["curve"]))
 
 
 def scored(docs: DataFrame, model: ToxicityModel) -> DataFrame:
