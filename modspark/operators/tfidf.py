@@ -7,11 +7,13 @@ labels, and all settings that share features, are fitted in the same passes.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import islice, product
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel, Transformer
@@ -37,6 +39,11 @@ from modspark.operators.scoring import Scorer
 
 _TEXT, _FEATURES = "_tfidf_text", "_tfidf"
 
+SLICE_WORDS = 1 << 21
+"""A task counts terms of texts taken together up to this many words; a longer text is a slice of its own."""
+ROWS = 1 << 17
+"""Counted terms that leave a task in one batch."""
+
 
 @dataclass(frozen=True)
 class TfidfSettings:
@@ -107,21 +114,89 @@ class TfidfModel(Scorer):
         return TfidfModel([c.removeprefix("_prob_") for c in columns], stages)
 
 
-def _commonest(terms: DataFrame, column: str, most: int) -> tuple[list[tuple[str, int]], int]:
+def _levels(words: pa.Array, ngram_range: tuple[int, int]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(terms, occurrences, texts) of a list of words per text, n-gram length by length.
+
+    A longer n-gram is numbered by the shorter one it begins with and its last word, so only
+    distinct ones become strings.
+    """
+    known = words.flatten().dictionary_encode()
+    place = np.asarray(known.indices).astype(np.int64)
+    owner = np.repeat(np.arange(len(words)), np.diff(np.asarray(words.offsets)))
+    number, names = place, known.dictionary
+    low, high = ngram_range
+    for n in range(1, high + 1):
+        if n > 1:
+            inside = np.flatnonzero(owner[n - 1 :] == owner[: len(owner) - n + 1]) if len(owner) >= n else np.zeros(0, int)
+            code = number[inside] * len(known.dictionary) + place[inside + n - 1]
+        else:
+            inside, code = np.arange(len(place)), place
+        if not len(code):
+            return
+        order = np.argsort(code, kind="stable")
+        found, own = code[order], owner[inside][order]
+        new = np.concatenate(([True], found[1:] != found[:-1]))
+        other = new | np.concatenate(([True], own[1:] != own[:-1]))
+        heads = np.flatnonzero(new)
+        if n > 1:
+            first, last = np.divmod(found[heads], len(known.dictionary))
+            names = pc.binary_join_element_wise(names.take(pa.array(first)), known.dictionary.take(pa.array(last)), " ")
+        else:
+            names = names.take(pa.array(found[heads]))
+        if n >= low:
+            yield names, np.diff(np.append(heads, len(found))), np.add.reduceat(other.astype(np.int64), heads)
+        number = np.zeros(len(owner), np.int64)
+        number[inside[order]] = np.cumsum(new) - 1
+
+
+def _slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Array]:
+    """Lists of words, taken together until they hold ``most`` words; a longer text is a slice of its own."""
+    held, size = [], 0
+    for batch in batches:
+        ends = np.asarray(batch.column(0).offsets)
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + most - size, side="right")) - 1)
+            to = min(to, batch.num_rows)
+            held.append(batch.column(0).slice(at, to - at))
+            size += int(ends[to] - ends[at])
+            at = to
+            if size >= most or at < batch.num_rows:
+                yield pa.concat_arrays(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_arrays(held)
+
+
+def _counted(words: DataFrame, ngram_range: tuple[int, int]) -> DataFrame:
+    """term, n, texts: occurrences and texts of every term of words(array<string>).
+
+    Tasks count slices of their texts, so what is shuffled has a row per distinct term of a slice
+    and not one per occurrence. The null term has the number of all texts.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in _slices(batches, SLICE_WORDS):
+            total = (pa.array([None], pa.string()), np.zeros(1, np.int64), np.array([len(texts)]))
+            for found in (total, *_levels(texts, ngram_range)):
+                for at in range(0, len(found[0]), ROWS):
+                    term, n, held = (x[at : at + ROWS] for x in found)
+                    yield pa.RecordBatch.from_arrays(
+                        [term.cast(pa.string()), pa.array(n, pa.int64()), pa.array(held, pa.int64())], names=["term", "n", "texts"]
+                    )
+
+    counted = words.mapInArrow(count, "term string, n long, texts long")
+    return counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
+
+
+def _commonest(words: DataFrame, ngram_range: tuple[int, int], most: int) -> tuple[list[tuple[str, int]], int]:
     """The commonest terms with the number of their texts, and the number of all texts.
 
-    Terms are taken by their occurrences, by name among equals, so that two fits agree. Every
-    text gives its terms, its distinct terms and one null, so a single pass counts all three. A
+    Terms are taken by their occurrences, by name among equals, so that two fits agree. A
     table of how many terms have which count finds the least count that can stay; rarer
     terms are filtered out before the rest is put in order.
     """
-    facts = F.concat(
-        F.transform(column, lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("texts"))),
-        F.transform(F.array_distinct(column), lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("texts"))),
-        F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).alias("n"), F.lit(1).alias("texts"))),
-    )
-    counted = terms.select(F.inline(facts)).groupBy("term").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
-    counted = counted.persist(StorageLevel.DISK_ONLY)
+    counted = _counted(words, ngram_range).persist(StorageLevel.DISK_ONLY)
     try:
         by_count = counted.filter("term IS NOT NULL").groupBy("n").agg(F.count("*").alias("terms"))
         down = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
@@ -141,8 +216,8 @@ def fit_features(df: DataFrame, text: str, settings: TfidfSettings) -> list[Tran
     the only thing the driver holds, limited by ``max_features``.
     """
     stages, terms_column = _term_stages(settings.ngram_range)
-    terms = _through(stages, df.select(_empty_text(text).alias(_TEXT))).select(terms_column)
-    vocabulary, texts = _commonest(terms, terms_column, settings.max_features)
+    words = stages[0].transform(df.select(_empty_text(text).alias(_TEXT))).select("_words")
+    vocabulary, texts = _commonest(words, settings.ngram_range, settings.max_features)
     if not vocabulary:
         raise ValueError("no text has a term")
     counter = CountVectorizerModel.from_vocabulary([t for t, _ in vocabulary], inputCol=terms_column, outputCol="_tf")

@@ -129,3 +129,22 @@ def test_weights_by_term(rows):
     assert found["good", "toxic"] < 0 and ("bad", "never") not in found
     size = tfidf.gradient_size(model, rows, tfidf.TfidfSettings(), labels="labels").collect()
     assert {r["label"] for r in size if r["size"] < 1e-5} == {"toxic", "never"}
+
+
+def test_terms_are_counted_before_the_shuffle(spark, monkeypatch):
+    """Counts of n-grams by hand, over slices of few words; no row per occurrence is made."""
+    texts = [["b", "a", "b", "a", "b"], [], ["a"], ["c", "b", "a", "b"], ["é", "a"]] * 3
+    words = spark.createDataFrame([(t,) for t in texts], "w array<string>").repartition(2)
+    monkeypatch.setattr(tfidf, "SLICE_WORDS", 6)
+    monkeypatch.setattr(tfidf, "ROWS", 3)
+    for low, high in ((1, 1), (1, 3), (2, 2)):
+        found = tfidf._counted(words, (low, high))
+        want, held = Counter(), Counter()
+        for t in texts:
+            grams = [" ".join(t[i : i + n]) for n in range(low, high + 1) for i in range(len(t) - n + 1)]
+            want.update(grams)
+            held.update(set(grams))
+        rows = {r["term"]: (r["n"], r["texts"]) for r in found.collect()}
+        assert rows.pop(None) == (0, len(texts))
+        assert rows == {t: (want[t], held[t]) for t in want}
+        assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
