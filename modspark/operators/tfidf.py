@@ -263,29 +263,32 @@ def gradient_size(
     The objective is the mean weighted log loss plus the squared weights, intercept included,
     over twice C times the rows. A size near zero says that it has been minimised.
     """
-    rows = _through(model.stages.stages, df.select(_empty_text(text).alias(_TEXT), labels)).persist()
-    try:
-        n = max(1, rows.count())
-        weights = _positive_weights(rows, model.labels, labels, settings)
-        found = []
-        fitted = {s.getProbabilityCol(): s for s in model.stages.stages if isinstance(s, LogisticRegressionModel)}
-        for i, name in enumerate(model.labels):
-            y = F.coalesce(F.get(F.col(labels), F.lit(i)), F.lit(0.0))
-            w = F.when(y > 0, weights[name]).otherwise(1.0)
-            miss = w * (F.get(vector_to_array(F.col(f"_prob_{name}")), F.lit(1)) - F.when(y > 0, 1.0).otherwise(0.0))
-            cells = rows.select(miss.alias("m"), _cells(_FEATURES)).toDF("m", "place", "x")
-            slopes = cells.groupBy("place").agg((F.sum(F.col("m") * F.col("x")) / n).alias("g"))
-            slope = {r["place"]: r["g"] for r in slopes.collect()}
-            classifier = fitted[f"_prob_{name}"]
-            theta, intercept = classifier.coefficients.toArray(), classifier.intercept
-            penalty = 1.0 / (settings.c * n)
-            inner = rows.agg(F.sum(miss) / n).first()[0] or 0.0
-            sizes = [abs(slope.get(k, 0.0) + penalty * t) for k, t in enumerate(theta)]
-            # a label that is the same in all rows has a constant classifier, without an objective
-            sizes.append(abs(inner + penalty * intercept) if math.isfinite(intercept) else 0.0)
-            found.append((name, float(max(sizes))))
-    finally:
-        rows.unpersist()
+    rows = _through(model.stages.stages, df.select(_empty_text(text).alias(_TEXT), labels))
+    weights = _positive_weights(df, model.labels, labels, settings)
+    misses = []
+    for i, name in enumerate(model.labels):
+        y = F.coalesce(F.get(F.col(labels), F.lit(i)), F.lit(0.0))
+        w = F.when(y > 0, weights[name]).otherwise(1.0)
+        misses.append((w * (F.get(vector_to_array(F.col(f"_prob_{name}")), F.lit(1)) - F.when(y > 0, 1.0).otherwise(0.0))).alias(f"m{i}"))
+    # every row has one more cell of 1, for the intercept; it counts the rows as well
+    cut = F.unwrap_udt(_FEATURES)
+    one = F.array(F.struct(F.lit(-1).alias("place"), F.lit(1.0).alias("value")))
+    held = F.arrays_zip(cut["indices"].alias("place"), cut["values"].alias("value"))
+    cells = rows.select(*misses, F.inline(F.concat(one, held))).withColumnsRenamed({"value": "x"})
+    added = [F.sum(F.col(f"m{i}") * F.col("x")).alias(f"g{i}") for i in range(len(misses))]
+    slopes = {r["place"]: r for r in cells.groupBy("place").agg(F.count("*").alias("n"), *added).collect()}
+    n = max(1, slopes[-1]["n"] if slopes else 0)
+    penalty = 1.0 / (settings.c * n)
+    fitted = {s.getProbabilityCol(): s for s in model.stages.stages if isinstance(s, LogisticRegressionModel)}
+    found = []
+    for i, name in enumerate(model.labels):
+        classifier = fitted[f"_prob_{name}"]
+        theta, intercept = classifier.coefficients.toArray(), classifier.intercept
+        slope = {place: (r[f"g{i}"] or 0.0) / n for place, r in slopes.items()}
+        sizes = [abs(slope.get(k, 0.0) + penalty * t) for k, t in enumerate(theta)]
+        # a label that is the same in all rows has a constant classifier, without an objective
+        sizes.append(abs(slope.get(-1, 0.0) + penalty * intercept) if math.isfinite(intercept) else 0.0)
+        found.append((name, float(max(sizes))))
     return df.sparkSession.createDataFrame(found, "label string, size double")
 
 
@@ -382,11 +385,7 @@ def train_tfidf_lr(
 ) -> TfidfModel:
     stages = fit_features(df, text, settings)
     features = _through(stages, df.select(_empty_text(text).alias(_TEXT), labels)).select(_FEATURES, labels)
-    features = features.persist()
-    try:
-        classifiers = fit_classifiers(features, label_fields, labels, settings, _size(stages))
-    finally:
-        features.unpersist()
+    classifiers = fit_classifiers(features, label_fields, labels, settings, _size(stages))
     return TfidfModel(list(label_fields), PipelineModel([*stages, *classifiers]))
 
 

@@ -148,3 +148,15 @@ def test_terms_are_counted_before_the_shuffle(spark, monkeypatch):
         assert rows.pop(None) == (0, len(texts))
         assert rows == {t: (want[t], held[t]) for t in want}
         assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_slope_check_keeps_no_copy_of_its_rows(rows, monkeypatch):
+    settings = tfidf.TfidfSettings()
+    model = tfidf.train_tfidf_lr(rows, ["toxic", "never"], settings)
+
+    def never(*args):
+        raise AssertionError("rows with all their columns are kept")
+
+    monkeypatch.setattr(type(rows), "persist", never)
+    found = {r["label"]: r["size"] for r in tfidf.gradient_size(model, rows, settings).collect()}
+    assert set(found) == {"toxic", "never"} and max(found.values()) < 1e-5
