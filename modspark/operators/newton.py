@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,18 +44,35 @@ class Block:
     value: np.ndarray
     target: np.ndarray
 
+    @cached_property
+    def places(self) -> np.ndarray:
+        """Features as numpy's own index type, turned once for all columns of a pass."""
+        return self.feature.astype(np.intp)
+
+    @cached_property
+    def owners(self) -> np.ndarray:
+        return self.owner.astype(np.intp)
+
+    @cached_property
+    def heads(self) -> np.ndarray:
+        """Where the cells of every row that has some begin."""
+        return np.flatnonzero(np.concatenate(([True], self.owner[1:] != self.owner[:-1]))) if len(self.owner) else self.places
+
     def margins(self, weights: np.ndarray) -> np.ndarray:
         """Rows x columns: features times weights (columns x features, the intercept last)."""
-        out = np.empty((self.n, len(weights)))
+        out = np.zeros((self.n, len(weights)))
+        own = self.owners[self.heads]
         for k, w in enumerate(weights):
-            out[:, k] = np.bincount(self.owner, self.value * w[self.feature], self.n) + w[-1]
+            if len(own):
+                out[own, k] = np.add.reduceat(self.value * w.take(self.places), self.heads)
+            out[:, k] += w[-1]
         return out
 
     def add_back(self, rows: np.ndarray, into: np.ndarray, power: int = 1) -> None:
         """Add (powers of) features x rows to ``into`` (columns x features)."""
         size, value = into.shape[1], self.value**power
         for k in range(len(into)):
-            into[k] += np.bincount(self.feature, value * rows[self.owner, k], size)
+            into[k] += np.bincount(self.places, value * np.ascontiguousarray(rows[:, k]).take(self.owners), size)
             into[k, -1] += rows[:, k].sum()
 
 
@@ -156,37 +174,61 @@ def _signs(block: Block, columns: Sequence[Column]) -> tuple[np.ndarray, np.ndar
     return given, np.where(given, [c.positive for c in columns], 1.0)
 
 
-def losses_and_slopes(
-    data: Data, columns: Sequence[Column], weights: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Objective, slope and own curvature of every weight, for every column at its weights."""
+@dataclass(frozen=True)
+class Sums:
+    """What a pass finds for a column: objective, slope and own curvatures at its weights."""
+
+    loss: float
+    slope: np.ndarray
+    own: np.ndarray
+
+
+def swept(
+    data: Data, columns: Sequence[Column], weights: np.ndarray, along: Sequence[np.ndarray | None]
+) -> list[Sums | np.ndarray]:
+    """One pass: for a column with a direction, the second derivative of its objective at its
+    weights times that direction; for one without, the objective, its slope and own curvatures."""
     size = weights.shape[1]
+    curved = [k for k, v in enumerate(along) if v is not None]
+    plain = [k for k, v in enumerate(along) if v is None]
+    c, p = len(curved), len(plain)
+    directions = np.array([along[k] for k in curved]).reshape(c, size)
 
-    def partial(block: Block, into: np.ndarray, w: np.ndarray) -> None:
+    def partial(block: Block, into: np.ndarray, sent: tuple[np.ndarray, np.ndarray]) -> None:
+        w, v = sent
         given, weight = _signs(block, columns)
         margin = block.margins(w)
-        p = sigmoid(margin)
-        block.add_back(weight * (p - given), into[:, :size])
-        block.add_back(weight * p * (1 - p), into[:, size : 2 * size], 2)
-        into[:, -1] += (weight * np.logaddexp(0, np.where(given, -margin, margin))).sum(axis=0)
+        chance = sigmoid(margin)
+        bent = weight * chance * (1 - chance)
+        if c:
+            block.add_back(bent[:, curved] * block.margins(v), into[:c, :size])
+        if p:
+            block.add_back((weight * (chance - given))[:, plain], into[c : c + p, :size])
+            block.add_back(bent[:, plain], into[c + p :, :size], 2)
+            into[c : c + p, -1] += (weight * np.logaddexp(0, np.where(given, -margin, margin))).sum(axis=0)[plain]
+
+    found = data.summed((c + 2 * p, size + 1), (weights, directions), partial)
+    out: list = [None] * len(columns)
+    for row, k in enumerate(curved):
+        out[k] = columns[k].c * found[row, :size] + along[k]
+    for row, k in enumerate(plain, c):
+        w, rate = weights[k], columns[k].c
+        loss = rate * found[row, -1] + 0.5 * (w @ w)
+        out[k] = Sums(float(loss), rate * found[row, :size] + w, rate * found[row + p, :size] + 1.0)
+    return out
 
-    found = data.summed((len(columns), 2 * size + 1), weights, partial)
-    c = np.array([x.c for x in columns])[:, None]
-    loss = c[:, 0] * found[:, -1] + 0.5 * (weights**2).sum(axis=1)
-    return loss, c * found[:, :size] + weights, c * found[:, size:-1] + 1.0
+
+def losses_and_slopes(
+    data: Data, columns: Sequence[Column], weights: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Objective, slope and own curvature of every weight, for every column at its weights."""
+    found = swept(data, columns, weights, [None] * len(columns))
+    return np.array([x.loss for x in found]), np.array([x.slope for x in found]), np.array([x.own for x in found])
 
 
 def curvatures(data: Data, columns: Sequence[Column], weights: np.ndarray, along: np.ndarray) -> np.ndarray:
     """The second derivative of every column's objective times a direction of its own."""
-
-    def partial(block: Block, into: np.ndarray, sent: tuple[np.ndarray, np.ndarray]) -> None:
-        w, v = sent
-        _, weight = _signs(block, columns)
-        p = sigmoid(block.margins(w))
-        block.add_back(weight * p * (1 - p) * block.margins(v), into)
-
-    found = data.summed(weights.shape, (weights, along), partial)
-    return np.array([x.c for x in columns])[:, None] * found + along
+    return np.array(swept(data, columns, weights, list(along)))
 
 
 @dataclass
@@ -264,30 +306,41 @@ def minimised(
     """
     n = max(1, data.rows)
     start = np.zeros((len(columns), features + 1))
-    state = [_Search(start[k], float(f), g, d) for k, (f, g, d) in enumerate(zip(*losses_and_slopes(data, columns, start), strict=True))]
+    state = [_Search(start[k], x.loss, x.slope, x.own) for k, x in enumerate(swept(data, columns, start, [None] * len(columns)))]
     steep = [max(np.abs(x.slope).max(), 1e-300) for x in state]
-
-    def still(k: int) -> bool:
-        return np.abs(state[k].slope).max() > tolerance * columns[k].c * n and state[k].radius > 1e-12
-
-    for _ in range(max_iter):
-        work = [k for k in range(len(columns)) if still(k)]
-        if not work:
-            break
-        for k in work:
-            state[k].open()
+    outer, steps = [0] * len(columns), [0] * len(columns)
+    share = [0.5] * len(columns)
+    searching: set[int] = set()
+
+    def opened(k: int) -> bool:
+        """Begin the next search of a column, unless it is done."""
+        steepest = np.abs(state[k].slope).max()
+        if outer[k] >= max_iter or steepest <= tolerance * columns[k].c * n or state[k].radius <= 1e-12:
+            return False
+        state[k].open()
         # rough at first, closer as the slope falls
-        share = {k: min(0.5, max(0.1, np.sqrt(np.abs(state[k].slope).max() / steep[k]))) for k in work}
-        searching = work
-        for _ in range(inner):
-            own = [columns[k] for k in searching]
-            found = curvatures(data, own, np.array([state[k].weights for k in searching]), np.array([state[k].along for k in searching]))
-            searching = [k for k, curved in zip(searching, found, strict=True) if not state[k].advance(curved, share[k])]
-            if not searching:
-                break
-        tried = np.array([state[k].weights + state[k].step for k in work])
-        for k, *found in zip(work, *losses_and_slopes(data, [columns[k] for k in work], tried), strict=True):
-            state[k].settle(float(found[0]), *found[1:])
+        share[k] = min(0.5, max(0.1, np.sqrt(steepest / steep[k])))
+        steps[k] = 0
+        searching.add(k)
+        return True
+
+    work = [k for k in range(len(columns)) if opened(k)]
+    while work:
+        # every column goes at its own pace: some look at a new point while others still search
+        points = np.array([state[k].weights if k in searching else state[k].weights + state[k].step for k in work])
+        along = [state[k].along if k in searching else None for k in work]
+        done = []
+        for k, found in zip(work, swept(data, [columns[k] for k in work], points, along), strict=True):
+            if k in searching:
+                steps[k] += 1
+                if state[k].advance(found, share[k]) or steps[k] >= inner:
+                    searching.discard(k)
+                continue
+            state[k].settle(found.loss, found.slope, found.own)
+            outer[k] += 1
+            if not opened(k):
+                done.append(k)
+        work = [k for k in work if k not in done]
     return np.array([s.weights for s in state])
 
 

@@ -83,3 +83,18 @@ def test_missing_labels_and_no_rows(spark):
     assert {r["trial"] for r in seen} == {0, 1} and all(r["probs"] == [0.5, 0.5] for r in seen)
     nothing = newton.Data.of(newton.blocks(spark.createDataFrame([], SCHEMA), "v", "labels", 2))
     assert (newton.minimised(nothing, 3, [Column(0)]) == 0).all()
+
+
+def test_columns_go_at_their_own_pace(data, monkeypatch):
+    """All columns together take no more passes than the slowest of them takes alone."""
+    x, _, blocks = data
+    columns = [Column(0, 0.1), Column(1, 64.0), Column(2, 4.0, 3.0), Column(0, 1000.0)]
+    passes, summed = [], newton.Data.summed
+    monkeypatch.setattr(newton.Data, "summed", lambda *args: passes.append(1) or summed(*args))
+
+    def needed(some):
+        passes.clear()
+        newton.minimised(blocks, x.shape[1], some, tolerance=1e-7)
+        return len(passes)
+
+    assert needed(columns) <= max(needed([c]) for c in columns)
