@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,19 +56,21 @@ class LanguageModel:
     entries: int
 
 
-def coded(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first text, its place for every trigram, trigram), slice by slice."""
+def coded(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, number of texts, a text's place among them for every trigram, trigram), slice by slice.
+
+    Only one slice at a time leaves Arrow's memory.
+    """
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(texts):
-        to, size = at, 0
-        while to < len(texts) and (to == at or size + len(texts[to] or "") <= SLICE_CHARS):
-            size += len(texts[to] or "")
-            to += 1
-        part = [t or "" for t in texts[at:to]]
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + SLICE_CHARS, side="right")))
+        part = [t or "" for t in texts.slice(at, to - at).to_pylist()]
         points = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         owner = np.repeat(np.arange(len(part)), [len(t) for t in part])
         inside = np.flatnonzero(owner[2:] == owner[:-2]) if len(owner) > 2 else np.zeros(0, np.int64)
-        yield at, owner[inside], (points[inside] << 42) | (points[inside + 1] << 21) | points[inside + 2]
+        yield at, len(part), owner[inside], (points[inside] << 42) | (points[inside + 1] << 21) | points[inside + 2]
         at = to
 
 
@@ -115,7 +118,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang") -> LanguageMode
         held, size = [], 0
         for batch in batches:
             place = np.array([places.get(x, -1) for x in batch.column(1).to_pylist()])
-            for first, owner, gram in coded(batch.column(0).to_pylist()):
+            for first, _, owner, gram in coded(batch.column(0)):
                 if not len(gram):
                     continue
                 known, back = np.unique(gram, return_inverse=True)
@@ -191,6 +194,10 @@ class GramTable:
         place, count = (x.flatten().to_numpy(zero_copy_only=False) for x in (places, counts))
         return GramTable(gram[order], np.concatenate(([0], np.cumsum(size))), place, np.log(count + 1.0))
 
+    @staticmethod
+    def empty() -> GramTable:
+        return GramTable(np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0))
+
     def sums(self, owner: np.ndarray, gram: np.ndarray, times: np.ndarray, texts: int, languages: int) -> np.ndarray:
         """texts x languages: what the trigrams add, each as often as it occurs."""
         if not len(self.gram) or not len(gram):
@@ -244,8 +251,7 @@ def _sums_by_broadcast(df: DataFrame, model: LanguageModel, key: str, text: str)
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, sizes = [], []
-            for first, owner, gram in coded(texts := batch.column(1).to_pylist()):
-                n = _slice_size(first, texts)
+            for _, n, owner, gram in coded(batch.column(1)):
                 found.append(table.value.sums(*counted_grams(owner, gram), n, languages))
                 sizes.append(np.bincount(owner, minlength=n))
             if not found:
@@ -256,15 +262,6 @@ def _sums_by_broadcast(df: DataFrame, model: LanguageModel, key: str, text: str)
     return df.select(F.col(key), lowered(F.col(text)).alias("__text")).mapInArrow(score, f"`{key}` {kind}, n long, s array<double>")
 
 
-def _slice_size(first: int, texts: list[str | None]) -> int:
-    """How many texts the slice that begins with this one has."""
-    size, to = 0, first
-    while to < len(texts) and (to == first or size + len(texts[to] or "") <= SLICE_CHARS):
-        size += len(texts[to] or "")
-        to += 1
-    return to - first
-
-
 def _sums_batch(keys: pa.Array, n: np.ndarray, sums: np.ndarray, key: str) -> pa.RecordBatch:
     ends = pa.array(np.arange(len(n) + 1) * sums.shape[1], pa.int32())
     return pa.RecordBatch.from_arrays(
@@ -279,8 +276,8 @@ def _sums_by_range(df: DataFrame, model: LanguageModel, key: str, text: str) ->
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, owner, gram in coded(texts := batch.column(1).to_pylist()):
-                keys = batch.column(0).slice(first, _slice_size(first, texts))
+            for first, n, owner, gram in coded(batch.column(1)):
+                keys = batch.column(0).slice(first, n)
                 owner, gram, times = counted_grams(owner, gram)
                 where = range_of(gram, ranges)
                 order = np.argsort(where, kind="stable")
@@ -301,21 +298,34 @@ def _sums_by_range(df: DataFrame, model: LanguageModel, key: str, text: str) ->
                 listed = pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(named))
                 yield pa.RecordBatch.from_arrays([*packed.columns, listed], names=["range", "owner", "gram", "times", "keys"])
 
-    def met(pieces: pa.Table, grams: pa.Table) -> pa.Table:
-        table = GramTable.of(grams)
-        out = []
-        for row, keys in zip(pieces.drop_columns("keys").to_pylist(), pieces.column("keys"), strict=True):
-            owner, gram, times = (np.frombuffer(row[c], np.int64) for c in ("owner", "gram", "times"))
-            n = np.bincount(owner, times, len(keys)).astype(np.int64)
-            out.append(_sums_batch(keys.values, n, table.sums(owner, gram, times, len(keys), languages), key))
-        empty = pa.schema([(key, pieces.schema.field("keys").type.value_type), ("n", pa.int64()), ("s", pa.list_(pa.float64()))])
-        return pa.Table.from_batches(out) if out else empty.empty_table()
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a range's trigrams come first, then its pieces: one range of the model and one batch are held
+        held: list[pa.Table] = []
+        known, table = None, None
+        for batch in batches:
+            where, piece = batch.column("range").to_numpy(), batch.column("piece").to_numpy(zero_copy_only=False)
+            for r, a, b in _cuts(where):
+                if r != known:
+                    held, known, table = [], r, None
+                cut = a + int(np.searchsorted(piece[a:b], True))
+                if cut > a:
+                    held.append(pa.table({c: batch.column(c).slice(a, cut - a) for c in ("gram", "places", "counts")}))
+                for i in range(cut, b):
+                    if table is None:
+                        table = GramTable.of(pa.concat_tables(held)) if held else GramTable.empty()
+                        held = []
+                    keys = batch.column("keys")[i].values
+                    owner, gram, times = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int64) for c in ("owner", "grams", "times"))
+                    n = np.bincount(owner, times, len(keys)).astype(np.int64)
+                    yield _sums_batch(keys, n, table.sums(owner, gram, times, len(keys), languages), key)
 
     counted = df.select(F.col(key), lowered(F.col(text)).alias("__text")).mapInArrow(
         count, f"range int, owner binary, gram binary, times binary, keys array<{kind}>"
     )
-    both = counted.groupBy("range").cogroup(model.grams.groupBy("range"))
-    return both.applyInArrow(met, f"`{key}` {kind}, n long, s array<double>")
+    pieces = counted.withColumnRenamed("gram", "grams").withColumn("piece", F.lit(True))
+    both = model.grams.withColumn("piece", F.lit(False)).unionByName(pieces, allowMissingColumns=True)
+    dealt = both.repartition("range").sortWithinPartitions("range", "piece")
+    return dealt.mapInArrow(met, f"`{key}` {kind}, n long, s array<double>")
 
 
 def _best(model: LanguageModel) -> Column:

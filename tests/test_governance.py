@@ -135,3 +135,15 @@ def test_latency_with_nan_and_infinity(spark):
     assert found["p99_ms"] == float("inf") or found["p99_ms"] != found["p99_ms"]
     endless = monitoring.latency_summary(spark.createDataFrame([(float("inf"),)] * 3, "ms double"), "ms").first()
     assert endless["p50_ms"] == endless["mean_ms"] == float("inf")
+
+
+def test_model_meets_pieces_batch_by_batch(spark, monkeypatch):
+    """The large-model path gives the small one's answers and holds no range's pieces as a whole."""
+    rows = [(i, ("ab cd " * (i % 7 + 1) if i % 2 else "xy zw é " * (i % 5 + 1)) if i % 11 else None, "aa" if i % 2 else "bb") for i in range(300)]
+    frame = spark.createDataFrame(rows, "id int, text string, lang string").repartition(3)
+    model = langid.train(frame)
+    monkeypatch.setattr(langid, "SLICE_CHARS", 64)
+    small = {r["id"]: r["lang"] for r in langid.identify(frame, model, "id").collect()}
+    large = langid.identify(frame, model, "id", broadcast_bytes=0)
+    assert {r["id"]: r["lang"] for r in large.collect()} == small and small[11] == "unknown" and small[1] == "aa" and small[2] == "bb"
+    assert "CoGroup" not in large._jdf.queryExecution().executedPlan().toString()
