@@ -154,6 +154,8 @@ class UnionFind:
         return x != y
 
 
+MAIN_BLOCKS = 8
+"""A block of a key's largest group is so many times larger than the others."""
 FLUSH_LINKS = 1 << 18
 """A task joins links to groups in memory up to this many before it hands them on."""
 
@@ -235,7 +237,8 @@ def links(table: DataFrame, texts_of, settings: SuperMinHash) -> DataFrame:
 
     ``table`` holds sig, n, keys, mini; ``texts_of`` gives one text per wanted sig. First every
     member of a key is compared with one of them. The second round looks only at keys whose members
-    then lie in several groups, and at pairs of different groups: block by block signatures tell the members
+    then lie in several groups, and at pairs of different groups: members outside a key's largest group
+    meet that group and each other. Block by block signatures tell the members
     that may be similar, and only these are compared on their sets. No step has a row per pair of a block.
     """
     t = settings.at_least
@@ -260,25 +263,54 @@ def links(table: DataFrame, texts_of, settings: SuperMinHash) -> DataFrame:
             "key", "sig", "n", F.coalesce("label", "sig").alias("label"), "members"
         )
     )
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("members").alias("members"))
-    blocks = F.ceil(F.col("members") / settings.block).cast("int").alias("blocks")
-    open_keys = saved(open_keys.filter("low <> high").select("key", blocks))
-    wanted = labelled.join(open_keys, "key").drop("members")
+    rest = open_members(labelled, settings)
     minis = table.filter("n > 0").groupBy("sig").agg(F.min("mini").alias("mini"))
-    rest = wanted.join(minis, "sig")
-    own = F.pmod(F.xxhash64("sig", "key"), F.col("blocks")).cast("int")
-    dealt = rest.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sig", "n", "label", "mini")
+    dealt = dealt_out(rest.join(minis, "sig")).select("key", "i", "j", "own", "sig", "n", "label", "mini")
     kind = "key long, i int, j int, own int, sig binary, label binary"
     likely = saved(dealt.groupBy("key", "i", "j").applyInArrow(_likely(settings), kind))
     more = likely.join(texts, "sig").groupBy("key", "i", "j").applyInArrow(_linked(settings), "a binary, b binary")
     return found.union(more)
 
 
+def open_members(labelled: DataFrame, settings: SuperMinHash) -> DataFrame:
+    """Members of keys with several groups, with the key's largest group and how many blocks it and the rest make."""
+    by_label = labelled.groupBy("key", "label").agg(F.count("*").alias("size"))
+    main = F.max(F.struct("size", "label"))
+    open_keys = by_label.groupBy("key").agg(main.alias("main"), F.sum("size").alias("members"), F.count("*").alias("labels"))
+    blocks = F.ceil((F.col("members") - F.col("main.size")) / settings.block).cast("int").alias("blocks")
+    mains = F.ceil(F.col("main.size") / (settings.block * MAIN_BLOCKS)).cast("int").alias("mains")
+    open_keys = saved(open_keys.filter("labels > 1").select("key", F.col("main.label").alias("main"), blocks, mains))
+    return labelled.join(open_keys, "key").drop("members")
+
+
+def dealt_out(rest: DataFrame) -> DataFrame:
+    """A row per member and pair of blocks (i, j) it is compared in.
+
+    A key's largest group is not compared with itself: only the rest is dealt out to pairs of blocks, and
+    each of its blocks meets the largest group once.
+    """
+    in_main, spread = F.col("label") == F.col("main"), F.xxhash64("sig", "key")
+    own = F.when(in_main, -F.pmod(spread, F.col("mains")) - 1).otherwise(F.pmod(spread, F.col("blocks"))).cast("int")
+    # a member of the rest meets every block of the rest, and every block of the largest group
+    others = F.sequence(F.when(in_main, F.lit(0)).otherwise(1 - F.col("mains")), F.col("blocks") - 1)
+    dealt = rest.select("*", own.alias("own"), F.explode(others).alias("other"))
+    # the first block of the largest group meets a block of the rest where that meets itself
+    i = F.when(F.col("own") == -1, F.col("other")).when(F.col("own") < 0, F.col("own") + 1).otherwise(F.least("own", "other"))
+    j = F.when(F.col("own") < 0, F.col("other")).otherwise(F.greatest("own", "other"))
+    return dealt.withColumns({"i": i, "j": j})
+
+
 def _numbers(labels: pa.ChunkedArray) -> np.ndarray:
     return labels.combine_chunks().dictionary_encode().indices.to_numpy()
 
 
+def _sides(i: int, j: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the members to compare: blocks of the rest count from 0, those of the largest group from -1 down."""
+    if i == j:
+        return np.flatnonzero(own == j), np.flatnonzero((own == j) | (own < 0))
+    return (np.flatnonzero(own == i), np.flatnonzero(own == j)) if i >= 0 else (np.flatnonzero(own == j), np.flatnonzero(own < 0))
+
+
 def _likely(settings: SuperMinHash):
     """The members of a block that may be similar to one of another group, by sizes and signatures.
 
@@ -290,7 +322,7 @@ def _likely(settings: SuperMinHash):
         i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
         own, n, label = table.column("own").to_numpy(), table.column("n").to_numpy(), _numbers(table.column("label"))
         mini = np.frombuffer(b"".join(table.column("mini").to_pylist()), np.uint8).reshape(len(n), -1)
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        left, right = _sides(i, j, own)
         wanted = np.zeros(len(n), bool)
         # the band of the key is the first that all members of the block agree in
         whole = (mini == mini[0]).reshape(len(n), settings.bands, settings.rows).all(axis=2).all(axis=0)
@@ -298,7 +330,7 @@ def _likely(settings: SuperMinHash):
         for x in left:
             ys = right[(label[right] != label[x]) & (100 * np.minimum(n[right], n[x]) >= t * np.maximum(n[right], n[x]))]
             if i == j:
-                ys = ys[ys > x]
+                ys = ys[(ys > x) | (own[ys] < 0)]
             same = mini[ys] == mini[x]
             near = same.sum(axis=1) >= least
             if band and near.any():
@@ -321,7 +353,7 @@ def _linked(settings: SuperMinHash):
         sig = table.column("sig").to_pylist()
         sets = sets_of(table.column("text").combine_chunks(), settings.shingle)
         n = np.array([len(x) for x in sets])
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        left, right = _sides(i, j, own)
         common = common_counts(sets, left, right)
         alike = 100 * common >= t * (n[left][:, None] + n[right][None, :] - common)
         alike &= label[left][:, None] != label[right][None, :]

@@ -363,3 +363,27 @@ def test_union_find_across_tasks(spark):
     for i in range(500):
         low = i // 50 * 50
         assert found[bytes([i // 256, i % 256])] == bytes([low // 256, low % 256])
+
+
+@pytest.mark.parametrize("main, others", [(300, 5), (20, 20), (1, 1), (2, 9)])
+def test_largest_group_of_a_key_is_not_dealt_out_to_pairs_of_blocks(spark, main, others):
+    """All pairs of different groups meet once; rows follow the members and not their square."""
+    labels = ["m"] * main + [f"o{i // 2}" for i in range(others)]
+    rows = [(7, f"s{i:03}".encode(), 1, x.encode(), len(labels)) for i, x in enumerate(labels)]
+    rows += [(8, f"s{i:03}".encode(), 1, b"m", 4) for i in range(4)]
+    labelled = spark.createDataFrame(rows, "key long, sig binary, n long, label binary, members long")
+    settings = SuperMinHash(block=8)
+    dealt = super_minhash.dealt_out(super_minhash.open_members(labelled, settings)).collect()
+    groups, met = {}, {}
+    for r in dealt:
+        assert r["key"] == 7
+        groups.setdefault((r["i"], r["j"]), []).append(r)
+    for (i, j), held in groups.items():
+        left, right = super_minhash._sides(i, j, np.array([r["own"] for r in held]))
+        pairs = {frozenset((bytes(held[x]["sig"]), bytes(held[y]["sig"]))) for x in left for y in right if held[x]["label"] != held[y]["label"]}
+        for pair in pairs:
+            met[pair] = met.get(pair, 0) + 1
+    sigs = [(f"s{i:03}".encode(), x) for i, x in enumerate(labels)]
+    assert met == {frozenset((a, b)): 1 for a, x in sigs for b, y in sigs if a < b and x != y}
+    if main == 300:
+        assert len(dealt) <= main + others * (1 + main // 64)
