@@ -288,7 +288,7 @@ def verified(pairs: DataFrame, texts: DataFrame, settings: JaccardJoin) -> DataF
 
 
 def links(table: DataFrame, settings: JaccardJoin) -> DataFrame:
-    """(a, b): links between different sets that connect all that is connected.
+    """(a, b): links between different sets that connect all that is connected, the first round's as stars.
 
     First every key's members are compared with the member whose keyed position is the
     least. Then, in keys whose members still lie in several components, the pairs across
@@ -336,7 +336,8 @@ def links(table: DataFrame, settings: JaccardJoin) -> DataFrame:
         reachable(settings, "x.n", "x.p", "y.n", "y.p")
     )
     second = _pairs(crossing, "x.sig", "y.sig").join(first, ["a", "b"], "left_anti")
-    return found.union(verified(saved(second), texts, settings))
+    stars = group.filter("node <> label").select(F.col("label").alias("a"), F.col("node").alias("b"))
+    return stars.union(verified(saved(second), texts, settings))
 
 
 def _pairs(frame: DataFrame, a: str, b: str) -> DataFrame:
@@ -416,8 +417,7 @@ def similar_documents(docs: DataFrame, settings: JaccardJoin = JaccardJoin(), co
     false), group_id names the component whatever the ids. Other columns of docs are ignored. An empty table gives an empty result.
     """
     table = indexed(docs, settings)
-    edges = saved(links(table, settings))
-    group = saved(components(edges))
+    group = saved(components(links(table, settings)))
     if count_links:
         degree = link_counts(group, table.filter("text is not null").select("sig", "text"), settings)
     else:

@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modspark.llm.components import components
+from modspark.llm.components import UnionFind
+from modspark.llm.components import components as grouped
 from modspark.llm.jaccard_join import common_counts, shingle_sets
 from modspark.llm.store import saved
 from modspark.llm.words import factors, mix
@@ -136,62 +137,8 @@ def sketched(docs: DataFrame, settings: SuperMinHash) -> DataFrame:
     )
 
 
-class UnionFind:
-    """Groups of the numbers 0 to n - 1; the root of a group is its smallest member."""
-
-    def __init__(self, n: int):
-        self.parent = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self.parent[x] != x:
-            self.parent[x] = self.parent[self.parent[x]]
-            x = self.parent[x]
-        return x
-
-    def union(self, x: int, y: int) -> bool:
-        x, y = self.root(x), self.root(y)
-        self.parent[max(x, y)] = min(x, y)
-        return x != y
-
-
 MAIN_BLOCKS = 8
 """A block of a key's largest group is so many times larger than the others."""
-FLUSH_LINKS = 1 << 18
-"""A task joins links to groups in memory up to this many before it hands them on."""
-
-
-def grouped(links: DataFrame) -> DataFrame:
-    """(node, label): the smallest member of every group that the links (a, b) make.
-
-    Each task first joins its own links by union-find and hands on one link per node that
-    joined, to the group's smallest; what is left between tasks is joined in rounds.
-    """
-
-    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.num_rows
-            if size >= FLUSH_LINKS:
-                yield _stars(held)
-                held, size = [], 0
-        if size:
-            yield _stars(held)
-
-    return components(links.select("a", "b").mapInArrow(contract, "a binary, b binary"))
-
-
-def _stars(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-    pairs = [(a, b) for batch in held for a, b in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True)]
-    names = sorted({x for pair in pairs for x in pair})
-    number = {x: i for i, x in enumerate(names)}
-    groups = UnionFind(len(names))
-    for a, b in pairs:
-        groups.union(number[a], number[b])
-    stars = [(names[groups.root(i)], x) for i, x in enumerate(names) if groups.root(i) != i]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([s[i] for s in stars], pa.binary()) for i in (0, 1)], names=["a", "b"]
-    )
 
 
 def sizes_allow(n: str, m: str, t: int) -> F.Column:

@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from modspark.llm import merkle, super_minhash, token_alignment
+from modspark.llm import components, merkle, super_minhash, token_alignment
+from modspark.llm.store import saved
 from modspark.llm.super_minhash import SuperMinHash, UnionFind, grouped, near_duplicates, signatures
 from modspark.llm.token_alignment import Alignment, Csr, Tokenizers, alignment, pair_counts, token_links
 from tests.llm.test_texts import EDGES, LOWER, WORD, frame, made
@@ -365,6 +366,37 @@ def test_union_find_across_tasks(spark):
         assert found[bytes([i // 256, i % 256])] == bytes([low // 256, low % 256])
 
 
+def chains(spark, parts):
+    """Chains 0-1-..-9, 10-..-19, ... of bytes and, by brute force, the label of every node."""
+    pairs = [(bytes([i]), bytes([i + 1])) if i % 3 else (bytes([i + 1]), bytes([i])) for i in range(200) if i % 10 != 9]
+    frame = spark.createDataFrame(pairs, "a binary, b binary").union(spark.createDataFrame([(b"z", b"z")], "a binary, b binary"))
+    return frame.repartition(parts), {bytes([i]): bytes([i // 10 * 10]) for i in range(200)}
+
+
+@pytest.mark.parametrize("parts, most", [(1, 1), (5, 5), (40, 5)])
+def test_components_write_few_tables(spark, monkeypatch, parts, most):
+    """Links of one task need no round of joins, links of many tasks few: every round is a plan on the driver."""
+    tables = []
+    monkeypatch.setattr(components, "saved", lambda frame: tables.append(kept := saved(frame)) or kept)
+    links, expected = chains(spark, parts)
+    found = [(bytes(r["node"]), bytes(r["label"])) for r in components.components(links).collect()]
+    assert len(found) == len(expected) and dict(found) == expected
+    assert len(tables) <= most
+    assert components.components(links.limit(0)).count() == 0
+
+
+def test_small_batches_of_links(spark, monkeypatch):
+    """Groups come out whole also where a task hands on its links piece by piece."""
+    links, expected = chains(spark, 3)
+    monkeypatch.setattr(components, "FLUSH_LINKS", 4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        found = [(bytes(r["node"]), bytes(r["label"])) for r in grouped(links).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(found) == len(expected) and dict(found) == expected
+
+
 @pytest.mark.parametrize("main, others", [(300, 5), (20, 20), (1, 1), (2, 9)])
 def test_largest_group_of_a_key_is_not_dealt_out_to_pairs_of_blocks(spark, main, others):
     """All pairs of different groups meet once; rows follow the members and not their square."""
