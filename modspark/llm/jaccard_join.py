@@ -28,6 +28,8 @@ from modspark.llm.words import factors, mix, run_hashes, word_slices
 
 FLUSH_SHINGLES = 2_000_000
 """A task counts shingles in memory up to this many before it hands them on."""
+FETCHES = 4
+"""The driver gets the filters' segments in so many jobs."""
 
 
 @dataclass(frozen=True)
@@ -168,7 +170,8 @@ def token_filter(docs: DataFrame, settings: JaccardJoin) -> TokenFilter:
         return pa.table({"range": table.column("range")[:1], "segment": pa.array([segment], pa.binary())})
 
     counted = docs.select("text").mapInArrow(count_own, "range int, piece binary")
-    segments = counted.groupBy("range").applyInArrow(sum_range, "range int, segment binary")
+    # written first: the driver's iterator runs a job for every partition, one after the other
+    segments = saved(counted.groupBy("range").applyInArrow(sum_range, "range int, segment binary")).coalesce(FETCHES)
     return TokenFilter(bits, ranges, ((r["range"], r["segment"]) for r in segments.toLocalIterator()))
 
 
@@ -242,11 +245,13 @@ def indexed(docs: DataFrame, settings: JaccardJoin) -> DataFrame:
                     names=["doc_id", "text_key", "n", "sig", "keys", "places", "text"],
                 )
 
-    return saved(
+    table = saved(
         docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
             index, "doc_id long, text_key long, n long, sig binary, keys array<long>, places array<int>, text string"
         )
     )
+    filters.destroy()
+    return table
 
 
 def reachable(settings: JaccardJoin, n: str, p: str, m: str, q: str) -> F.Column:

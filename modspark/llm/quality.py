@@ -237,14 +237,33 @@ def fitted(docs: DataFrame, labels: DataFrame, held_out: Column, fit: AdditiveFi
     """The model from at most ``fit.rows`` labelled documents that are not held out.
 
     Labels without a value are passed over; of several labels of a document the highest
-    counts. The sample of labels is bounded by a parameter, so it may be broadcast.
+    counts. The sample of labels is bounded by a parameter, so it may be broadcast, and its
+    rows are one task's: the driver sees the finished model alone.
     """
     truth = labels.filter(~held_out).filter("quality is not null and doc_id is not null")
     truth = truth.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     sample = hashed_sample(truth, "doc_id", fit.rows)
     rows = described(docs.join(F.broadcast(sample.select("doc_id")), "doc_id"))
-    rows = rows.join(F.broadcast(sample), "doc_id").orderBy(F.xxhash64("doc_id"), *FEATURES).limit(fit.rows).toPandas()
-    return trained(rows[list(FEATURES)].to_numpy(float), rows["quality"].to_numpy(float), fit)
+    rows = rows.join(F.broadcast(sample), "doc_id").orderBy(F.xxhash64("doc_id"), *FEATURES).limit(fit.rows)
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1) for batch in batches]
+        table = np.vstack([np.zeros((0, len(FEATURES) + 1)), *parts])
+        model = trained(table[:, :-1], table[:, -1], fit)
+        pairs = [{"i": i, "j": j, "steps": values.ravel()} for (i, j), values in model.pairs.items()]
+        columns = [[model.cuts], [model.base], [model.single], [pairs]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["cuts", "base", "single", "pairs"])
+
+    lists = pa.list_(pa.list_(pa.float64()))
+    pair = pa.struct([("i", pa.int32()), ("j", pa.int32()), ("steps", pa.list_(pa.float64()))])
+    kinds = [lists, pa.float64(), lists, pa.list_(pair)]
+    schema = "cuts array<array<double>>, base double, single array<array<double>>, pairs array<struct<i:int,j:int,steps:array<double>>>"
+    row = rows.select(*FEATURES, "quality").mapInArrow(train, schema).first()
+    if row is None:  # a partition without rows may not run at all
+        return trained(np.zeros((0, len(FEATURES))), np.zeros(0), fit)
+    cuts, single = ([np.array(x, float) for x in row[c]] for c in ("cuts", "single"))
+    tables = {(p["i"], p["j"]): np.array(p["steps"]).reshape(len(single[p["i"]]), len(single[p["j"]])) for p in row["pairs"]}
+    return AdditiveModel(cuts, row["base"], single, tables)
 
 
 def scored(docs: DataFrame, model: AdditiveModel) -> DataFrame:

@@ -72,6 +72,25 @@ def test_held_out_accuracy(spark, corpus, module, column):
     assert all(0 <= r["score"] <= 1 for r in nothing)
 
 
+def test_quality_is_fitted_away_from_the_driver(spark, corpus, monkeypatch):
+    """The driver gets the tables of the model, no rows; they are those of the rows' own fit."""
+    docs, labels = corpus
+    rows = quality.described(docs).join(labels.dropna().dropDuplicates(["doc_id"]), "doc_id")
+    rows = rows.orderBy(F.xxhash64("doc_id"), *quality.FEATURES).select(*quality.FEATURES, "quality").collect()
+    table = np.array([tuple(r) for r in rows], float)
+    expected = quality.trained(table[:, :-1], table[:, -1], quality.AdditiveFit())
+
+    def refused(frame):
+        raise AssertionError("rows on the driver")
+
+    monkeypatch.setattr(type(docs), "toPandas", refused)
+    model = quality.fitted(docs, labels, F.lit(False))
+    assert model.base == expected.base and set(model.pairs) == set(expected.pairs) and model.pairs
+    for found, own in ((model.cuts, expected.cuts), (model.single, expected.single)):
+        assert len(found) == len(own) and all(np.array_equal(x, y) for x, y in zip(found, own, strict=True))
+    assert all(np.array_equal(model.pairs[p], expected.pairs[p]) for p in expected.pairs)
+
+
 def test_toxic_words_with_gaps_and_marks(corpus):
     docs, labels = corpus
     model = toxicity.fitted(docs, labels, F.lit(False))

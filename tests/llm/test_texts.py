@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from modspark.llm import decontamination, licenses, line_rules
-from modspark.llm.jaccard_join import JaccardJoin, one_of_each, similar_documents
+from modspark.llm.jaccard_join import JaccardJoin, one_of_each, similar_documents, token_filter
 from modspark.llm.lm_scoring import BloomModel, estimates, scored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -92,6 +92,22 @@ def test_similar_documents(spark, texts, settings):
         assert (r["n_shingles"], r["component_id"]) == expected[r["doc_id"]]
 
 
+def test_token_filter_takes_few_jobs(spark, texts):
+    """Its segments come in a few jobs, not in one for every partition."""
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 40)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    spark.sparkContext.setJobGroup("token filter", "")
+    try:
+        known = token_filter(frame(spark, texts), JaccardJoin())
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("token filter")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert known.table.any() and len(jobs) < 20
+
+
 def test_all_links_between_different_sets_are_counted(spark):
     base = [f"t{i}" for i in range(100)]
     family = [" ".join(base)] * 2
